@@ -33,13 +33,18 @@ def _is_directive(line: Column) -> Column:
     return F.lower(F.substring(line, 1, 9)) == "# syntax="
 
 
-def logical_lines(content: Column) -> Column:
-    """Array of finished logical lines; directive lines come as ``# syntax=...`` elements.
+# The steps to logical lines. Each result is used several times by the next step, so each belongs in
+# a column of its own (see ``operators.lint.logical_lines``); nested, it would be computed per use.
 
-    A continuation that never ends before the end of the file yields nothing.
-    """
+
+def kept_lines(content: Column) -> Column:
+    """Stripped lines without blanks and comments; directive lines stay."""
     lines = F.transform(split_lines(content), strip)
-    kept = F.filter(lines, lambda t: (t != "") & (~t.startswith("#") | _is_directive(t)))
+    return F.filter(lines, lambda t: (t != "") & (~t.startswith("#") | _is_directive(t)))
+
+
+def glued_lines(kept: Column) -> Column:
+    """Logical lines with bracketed directives inside; the last element is the unfinished rest."""
     bodies = F.transform(
         kept,
         lambda t: F.when(t.startswith("#"), F.concat(F.lit(_OPEN), t, F.lit(_CLOSE))).otherwise(cut_comment(t)),
@@ -50,21 +55,30 @@ def logical_lines(content: Column) -> Column:
         .when(b.endswith("\\"), F.concat(rstrip(drop_last_char(b)), F.lit(" ")))
         .otherwise(F.concat(b, F.lit("\n"))),
     )
-    glued = F.split(F.array_join(pieces, ""), "\n")
-    last = F.size(glued) - 1
-    finished = F.slice(glued, 1, last)
+    return F.split(F.array_join(pieces, ""), "\n")
+
+
+def has_directive(kept: Column) -> Column:
+    return F.exists(kept, lambda t: t.startswith("#"))
+
+
+def finished_lines(glued: Column, directives: Column) -> Column:
+    """Finished logical lines; directive lines come before the line they were found in.
+
+    A continuation that never ends before the end of the file yields nothing.
+    """
     with_directives = F.flatten(
         F.transform(
             glued,
             lambda l, i: F.concat(
                 F.regexp_extract_all(l, F.lit(_DIRECTIVE), F.lit(1)),
-                F.when(i < last, F.array(F.regexp_replace(l, _DIRECTIVE, ""))).otherwise(
+                F.when(i < F.size(glued) - 1, F.array(F.regexp_replace(l, _DIRECTIVE, ""))).otherwise(
                     F.array().cast("array<string>")
                 ),
             ),
         )
     )
-    return F.when(F.exists(kept, lambda t: t.startswith("#")), with_directives).otherwise(finished)
+    return F.when(directives, with_directives).otherwise(F.slice(glued, 1, F.size(glued) - 1))
 
 
 def as_instruction(line: Column) -> Column:

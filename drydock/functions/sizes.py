@@ -10,49 +10,62 @@ UNITS = ("B", "KB", "MB", "GB", "TB", "PB")
 _STEP = 1024
 
 
-def _scaled(value: Column, formats: list[Column]) -> Column:
-    """Pick formats[i] for values below 1024 ** (i + 1); the last one takes the rest."""
+def _by_magnitude(size: Column, values: list[object]) -> Column:
+    """values[i] for sizes below 1024 ** (i + 1); the last one takes the rest."""
     result = None
-    for i, text in enumerate(formats[:-1]):
-        cond = value < F.lit(float(_STEP ** (i + 1)))
-        result = F.when(cond, text) if result is None else result.when(cond, text)
-    return result.otherwise(formats[-1])
+    for i, value in enumerate(values[:-1]):
+        cond = size < _STEP ** (i + 1)
+        result = F.when(cond, F.lit(value)) if result is None else result.when(cond, F.lit(value))
+    return result.otherwise(F.lit(values[-1]))
 
 
-def _fmt(pattern: str, value: Column, power: int) -> Column:
-    return F.format_string(pattern, value / F.lit(float(_STEP**power)))
+def _decimal_text(size: Column, unit: Column, scale: Column | int, digits: Column | int, half_up: bool) -> Column:
+    """``size / unit`` with ``digits`` decimals (``scale`` is 10 ** digits), exactly.
+
+    Units are powers of two and multiples of 1/1024 hit ties often, so ties are rounded on purpose:
+    up, or to even.
+    """
+    scaled = size * scale
+    rest = F.pmod(scaled, unit)
+    whole = ((scaled - rest) / unit).cast("long")
+    tie = F.lit(True) if half_up else whole % 2 == 1
+    rounded = whole + F.when((rest * 2 > unit) | ((rest * 2 == unit) & tie), 1).otherwise(0)
+    text = F.lpad(rounded.cast("string"), 20, "0")
+    return F.concat(
+        F.coalesce(F.nullif(F.ltrim(F.substring(text, F.lit(1), 20 - F.lit(digits)), F.lit("0")), F.lit("")), F.lit("0")),
+        F.when(F.lit(digits) > 0, F.concat(F.lit("."), F.substring(text, 21 - F.lit(digits), F.lit(digits)))).otherwise(""),
+    )
 
 
 def compact_size(num_bytes: Column) -> Column:
     """``512B``, ``1.50MB``: two digits, no space, whole bytes, up to TB."""
-    value = num_bytes.cast("double")
-    texts = [F.concat(num_bytes.cast("long").cast("string"), F.lit("B"))]
-    texts += [_fmt(f"%.2f{UNITS[i]}", value, i) for i in range(1, 5)]
-    return _scaled(value, texts)
+    size = num_bytes.cast("long")
+    unit = _by_magnitude(size, [_STEP**i for i in range(5)])
+    number = _decimal_text(size, unit, 100, 2, half_up=False)
+    return F.when(size < _STEP, F.concat(size.cast("string"), F.lit("B"))).otherwise(
+        F.concat(number, _by_magnitude(size, list(UNITS[:5])))
+    )
 
 
 def spaced_size(num_bytes: Column) -> Column:
     """``512.0 B``, ``1.5 MB``: one digit, with a space, up to PB."""
-    value = num_bytes.cast("double")
-    return _scaled(value, [_fmt(f"%.1f {UNITS[i]}", value, i) for i in range(6)])
+    size = num_bytes.cast("long")
+    unit = _by_magnitude(size, [_STEP**i for i in range(6)])
+    return F.concat(
+        _decimal_text(size, unit, 10, 1, half_up=False), F.lit(" "), _by_magnitude(size, list(UNITS))
+    )
 
 
 def signed_size(num_bytes: Column) -> Column:
     """``512 B``, ``1.50 MB``, ``-15.0 GB``, ``150 MB``: three significant digits, sign in front."""
-    size = F.abs(num_bytes.cast("double"))
-
-    def digits(power: int) -> Column:
-        value = size / F.lit(float(_STEP**power))
-        return (
-            F.when(value >= 100, F.format_string(f"%.0f {UNITS[power]}", value))
-            .when(value >= 10, F.format_string(f"%.1f {UNITS[power]}", value))
-            .otherwise(F.format_string(f"%.2f {UNITS[power]}", value))
-        )
-
-    text = _scaled(size, [F.format_string("%.0f B", size), *[digits(i) for i in range(1, 6)]])
-    return F.when(num_bytes.isNull(), F.lit("0 B")).when(
-        num_bytes < 0, F.concat(F.lit("-"), text)
-    ).otherwise(text)
+    size = F.abs(num_bytes.cast("long"))
+    unit = _by_magnitude(size, [_STEP**i for i in range(6)])
+    digits = F.when((size >= unit * 100) | (size < _STEP), 0).when(size >= unit * 10, 1).otherwise(2)
+    scale = F.when((size >= unit * 100) | (size < _STEP), 1).when(size >= unit * 10, 10).otherwise(100)
+    text = F.concat(_decimal_text(size, unit, scale, digits, half_up=True), F.lit(" "), _by_magnitude(size, list(UNITS)))
+    return F.when(num_bytes.isNull(), F.lit("0 B")).otherwise(
+        F.concat(F.when(num_bytes < 0, F.lit("-")).otherwise(""), text)
+    )
 
 
 def parse_size(text: Column, strict: bool = False) -> Column:
@@ -64,12 +77,8 @@ def parse_size(text: Column, strict: bool = False) -> Column:
     pattern = rf"^\s*([0-9]+(?:\.[0-9]+)?){gap}([A-Za-z]+)\s*$"
     value = F.regexp_extract(text, pattern, 1).try_cast("double")
     unit = F.nullif(F.upper(F.regexp_extract(text, pattern, 2)), F.lit(""))
-    factor = None
-    for power, name in enumerate(UNITS):
-        cond = unit == name
-        factor = F.when(cond, F.lit(float(_STEP**power))) if factor is None else factor.when(
-            cond, F.lit(float(_STEP**power))
-        )
+    factors = F.create_map(*[F.lit(x) for i, name in enumerate(UNITS) for x in (name, float(_STEP**i))])
+    factor = F.try_element_at(factors, unit)
     return F.struct(value.alias("value"), unit.alias("unit"), (value * factor).alias("bytes"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules
 from ..functions.text import fallback
+from .rows import unfold
 from .skew import previous
 
 # Policies and drivers that count as unset.
@@ -40,8 +41,7 @@ def inspect_findings(doc: Column) -> Column:
 def container_findings(containers: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """``keys, rule_id, severity``; a container without a finding gets one ``container_ok`` row."""
     keys = keys or ["container_id"]
-    found = containers.select(*keys, F.explode(inspect_findings(F.col("doc"))).alias("f"))
-    return found.select(*keys, "f.*")
+    return unfold(containers, keys, inspect_findings(F.col("doc")), "f").select(*keys, "f.*")
 
 
 def rule_sets(containers: DataFrame, keys: list[str]) -> DataFrame:
@@ -67,4 +67,4 @@ def _changes(df: DataFrame, keys: list[str], before: str) -> DataFrame:
     closed = F.transform(
         F.array_except(old, "rule_ids"), lambda r: F.struct(r.alias("rule_id"), F.lit("closed").alias("change"))
     )
-    return df.select(*keys, F.explode(F.concat(opened, closed)).alias("c")).select(*keys, "c.*")
+    return unfold(df, keys, F.concat(opened, closed), "c").select(*keys, "c.*")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules, sizes
 from ..functions.text import fallback, strip
+from .rows import hold, unfold
 from .skew import running
 
 # Thresholds, the source label and the switch values of the pip cache.
@@ -76,8 +77,8 @@ def large_layers(layers: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def image_findings(images: DataFrame, layers: DataFrame | None = None, strict: bool = False) -> DataFrame:
-    """``image_id, rule_id, severity``, one row per finding and per large layer; images without a
-    finding get one ``image_ok`` row.
+    """``image_id, rule_id, severity, n``; ``n`` is the number of layers for the large-layer rule, else
+    1. Images without a finding get one ``image_ok`` row.
 
     Large layers are counted per image before the join, so an image with very many layers brings
     one row to it.
@@ -91,17 +92,20 @@ def image_findings(images: DataFrame, layers: DataFrame | None = None, strict: b
         n_large = F.coalesce(F.col("n_large"), F.lit(0))
     readable = F.lit(True) if layers is None else ~F.exists("found", lambda f: f["rule_id"] == "image_inspect_failed")
     base = per_image.select("image_id", "found", F.when(readable, n_large).otherwise(0).alias("n_large"))
-    own = base.select(
-        "image_id",
-        F.explode(F.when(F.col("n_large") == 0, rules.or_ok(F.col("found"), "image_ok")).otherwise(F.col("found"))).alias("f"),
-    ).select("image_id", "f.*", F.lit(1).cast("long").alias("n"))
-    large = base.filter("n_large > 0").select(
-        "image_id",
-        F.lit("image_large_layer").alias("rule_id"),
-        F.lit(rules.BY_ID["image_large_layer"].severity).alias("severity"),
-        F.col("n_large").cast("long").alias("n"),
+    counted = F.transform(
+        "found", lambda f: F.struct(f["rule_id"].alias("rule_id"), f["severity"].alias("severity"), F.lit(1).cast("long").alias("n"))
+    )
+    large, ok = rules.BY_ID["image_large_layer"], rules.BY_ID["image_ok"]
+
+    def row(rule: rules.Rule, n: Column) -> Column:
+        return F.array(F.struct(F.lit(rule.rule_id).alias("rule_id"), F.lit(rule.severity).alias("severity"), n.cast("long").alias("n")))
+
+    every = (
+        F.when(F.col("n_large") > 0, F.concat(counted, row(large, F.col("n_large"))))
+        .when(F.size("found") == 0, row(ok, F.lit(1)))
+        .otherwise(counted)
     )
-    return own.unionByName(large)
+    return unfold(base, ["image_id"], every, "f").select("image_id", "f.*")
 
 
 def subject(kind: str, name: Column, identity: Column) -> Column:
@@ -116,7 +120,7 @@ def image_summary(images: DataFrame, shown: int = 10) -> DataFrame:
     """The header facts of an image; env and labels show their first ``shown`` entries."""
     doc, config = F.col("doc"), F.col("doc.Config")
     labels = F.map_entries(config["Labels"])
-    return images.filter(doc.isNotNull()).select(
+    return hold(images, ["image_id"], doc, "doc").select(
         "image_id",
         joined_list(doc["RepoTags"]).alias("repo_tags"),
         joined_list(doc["RepoDigests"]).alias("repo_digests"),

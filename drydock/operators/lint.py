@@ -12,19 +12,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import buildfile, rules
+from .rows import unfold
 
 KEYS = ("file_id",)
 
 
+def logical_lines(files: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """One row per file with its logical lines ``lines``; null where ``content`` is null."""
+    kept = files.select(*keys, buildfile.kept_lines(F.col("content")).alias("kept"))
+    glued = kept.select(
+        *keys, buildfile.has_directive(F.col("kept")).alias("directives"), buildfile.glued_lines(F.col("kept")).alias("glued")
+    )
+    return glued.select(*keys, buildfile.finished_lines(F.col("glued"), F.col("directives")).alias("lines"))
+
+
 def with_instructions(files: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """One row per file with its instruction array ``instrs``; null where ``content`` is null."""
-    lines = files.select(*keys, buildfile.logical_lines(F.col("content")).alias("lines"))
-    return lines.select(*keys, buildfile.instructions(F.col("lines")).alias("instrs"))
+    return logical_lines(files, keys).select(*keys, buildfile.instructions(F.col("lines")).alias("instrs"))
 
 
 def instructions(files: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """``keys, idx, instruction, value``; idx counts from 0 within the file."""
-    lines = files.select(*keys, F.posexplode(buildfile.logical_lines(F.col("content"))).alias("idx", "line"))
+    lines = unfold(logical_lines(files, keys), keys, F.col("lines"), "line", pos="idx")
     return lines.select(*keys, "idx", buildfile.as_instruction(F.col("line")).alias("i")).select(
         *keys, "idx", "i.instruction", "i.value"
     )
@@ -47,14 +56,11 @@ def findings(files: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     )
     rows = flagged.select(*keys, "last", "whole", F.posexplode_outer("instrs").alias("idx", "i"))
     own = rules.instruction_findings(F.col("idx"), F.col("i.instruction"), F.col("i.value"))
-    found = rows.select(
-        *keys,
-        F.when(F.col("idx").isNull(), F.col("whole"))
-        .when(F.col("idx") == F.col("last"), F.concat(own, F.col("whole")))
-        .otherwise(own)
-        .alias("found"),
-    )
-    return found.select(*keys, F.explode("found").alias("f")).select(*keys, "f.*")
+    # Null on all but the last row, so the rules of the row stand once in the expression.
+    whole = F.when(F.col("idx").isNull() | (F.col("idx") == F.col("last")), F.col("whole"))
+    own = F.when(F.col("idx").isNotNull(), own)
+    found = F.flatten(F.array_compact(F.array(own, whole)))
+    return unfold(rows, keys, found, "f").select(*keys, "f.*")
 
 
 def with_findings(files: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

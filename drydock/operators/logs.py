@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import contains_any, split_lines
+from .rows import unfold
 
 # Default keywords and radius.
 KEYWORDS = ("docker", "dockerd", "containerd", "buildkit")
@@ -16,7 +17,7 @@ RADIUS = 10
 
 def number_lines(logs: DataFrame, source: str = "source") -> DataFrame:
     """``source, line_no, content`` from whole log texts; line numbers count from 1."""
-    rows = logs.select(source, F.posexplode(split_lines(F.col("content"))).alias("line_no", "content"))
+    rows = unfold(logs, [source], split_lines(F.col("content")), "content", pos="line_no")
     return rows.select(source, (F.col("line_no") + 1).alias("line_no"), "content")
 
 
@@ -41,13 +42,15 @@ def context_in_text(
     hits = F.filter(
         F.transform("lines", lambda l, i: F.when(contains_any(F.lower(l), low), i)), lambda i: i.isNotNull()
     )
-    at = split.select(source, "lines", F.explode(hits).alias("hit"))
+    at = unfold(split, [source, "lines"], hits, "hit")
     start = F.greatest(F.col("hit") - radius, F.lit(0))
-    around = at.select(
-        source,
-        "hit",
-        start.alias("start"),
-        F.posexplode(F.slice("lines", start + 1, F.col("hit") + radius + 1 - start)).alias("k", "content"),
+    near = at.withColumn("start", start)
+    around = unfold(
+        near,
+        [source, "hit", "start"],
+        F.slice("lines", F.col("start") + 1, F.col("hit") + radius + 1 - F.col("start")),
+        "content",
+        pos="k",
     )
     line = F.col("start") + F.col("k")
     return around.select(

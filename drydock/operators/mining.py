@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import paths
+from .rows import hold, unfold
 from .skew import first_per_key, fits_broadcast, lookup_join
 
 PR = ["project", "pnumber"]
@@ -19,10 +20,8 @@ def dedup_prs(prs: DataFrame, position: str = "pos") -> DataFrame:
 
 def changed_files(diffs: DataFrame) -> DataFrame:
     """``project, pnumber, path`` from diff text; one text may hold many files, one PR many texts."""
-    lines = diffs.select(*PR, F.explode(F.split("diff_text", "\n")).alias("line")).filter(
-        F.col("line").startswith("diff --git ")
-    )
-    return lines.select(*PR, paths.diff_header_path(F.col("line")).alias("path")).filter("path is not null")
+    lines = unfold(diffs, PR, F.split("diff_text", "\n"), "line").filter(F.col("line").startswith("diff --git "))
+    return hold(lines, PR, paths.diff_header_path(F.col("line")), "path")
 
 
 def matching_paths(files: DataFrame, patterns: DataFrame) -> DataFrame:

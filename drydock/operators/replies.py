@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import replies as rp
+from .rows import hold, unfold
 
 # List lengths in the prompt.
 ISSUES_SHOWN, RECOMMENDATIONS_SHOWN = 10, 15
@@ -141,12 +142,10 @@ def normalise(responses: DataFrame, key: str = "id", window: int | None = rp.SAL
         .when(any_saved, F.lit("partial"))
         .otherwise(F.lit("parse_error"))
     )
-    return saved.select(
-        key,
-        status.alias("status"),
-        F.when(F.col("api_error"), F.col("raw")).when(failed & ~any_saved, F.lit("The reply is not valid JSON")).alias("error"),
-        data.alias("data"),
-    )
+    error = F.when(F.col("api_error"), F.col("raw")).when(failed & ~any_saved, F.lit("The reply is not valid JSON"))
+    # Through a generator, so that filters on the result do not copy the parsing below themselves.
+    result = F.struct(status.alias("status"), error.alias("error"), data.alias("data"))
+    return hold(saved, [key], result, "r").select(key, "r.*")
 
 
 def succeeded(status: Column) -> Column:
@@ -171,21 +170,14 @@ def top_recommendations(analyses: DataFrame, k: int = 5, key: str = "id") -> Dat
     """``key, category, n_total, rank, severity, message``: the first ``k`` per category, categories in
     report order. Lists sit in their row, so this is a slice, not a window."""
     categories = F.array(*[F.lit(c) for c in ("security", "performance", "best_practice", "optimization")])
-    per_category = analyses.select(
-        key,
-        F.explode(
-            F.transform(
-                categories,
-                lambda c: F.struct(
-                    c.alias("category"),
-                    F.filter(F.col("data.recommendations"), lambda r: r["category"] == c).alias("recs"),
-                ),
-            )
-        ).alias("g"),
-    )
-    ranked = per_category.select(
-        key, "g.category", F.size("g.recs").alias("n_total"), F.posexplode(F.slice("g.recs", 1, k)).alias("pos", "r")
+    grouped = F.transform(
+        categories,
+        lambda c: F.struct(
+            c.alias("category"), F.filter(F.col("data.recommendations"), lambda r: r["category"] == c).alias("recs")
+        ),
     )
+    per_category = unfold(analyses, [key], grouped, "g").select(key, "g.category", F.size("g.recs").alias("n_total"), "g.recs")
+    ranked = unfold(per_category, [key, "category", "n_total"], F.slice("recs", 1, k), "r", pos="pos")
     return ranked.select(
         key,
         "category",
@@ -199,4 +191,4 @@ def top_recommendations(analyses: DataFrame, k: int = 5, key: str = "id") -> Dat
 def model_size_issues(analyses: DataFrame, key: str = "id") -> DataFrame:
     """``key, issue``: performance issues, then optimisation options, that speak of size."""
     both = F.concat("data.performance_issues", "data.optimization_opportunities")
-    return analyses.select(key, F.posexplode(rp.size_issues(both)).alias("pos", "issue"))
+    return unfold(analyses, [key], rp.size_issues(both), "issue", pos="pos")

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules
+from .lint import with_findings
+from .rows import hold
 
 STAGES = ("original", "static_optimized", "llm_optimized")
 
@@ -23,12 +25,11 @@ def file_savings(found: DataFrame, keys: Sequence[str] = ("file_id",)) -> DataFr
 
 def savings_in_row(files: DataFrame, keys: Sequence[str] = ("file_id",)) -> DataFrame:
     """The same from files, one row per file with at least one size finding, without a shuffle."""
-    from .lint import with_findings
-
     ids = F.filter(F.col("findings")["rule_id"], rules.is_size_related)
-    per_file = with_findings(files, keys).select(*keys, ids.alias("ids")).filter(F.size("ids") > 0)
+    per_file = with_findings(files, keys).select(*keys, ids.alias("ids"))
     total = F.aggregate("ids", F.lit(0).cast("long"), lambda acc, r: acc + rules.saving_kb(r))
-    return per_file.select(*keys, F.size("ids").cast("long").alias("n_size_findings"), total.alias("saving_kb"))
+    summed = F.struct(F.size("ids").cast("long").alias("n_size_findings"), total.alias("saving_kb"))
+    return hold(per_file, keys, F.when(F.size("ids") > 0, summed), "s").select(*keys, "s.*")
 
 
 def top_files(savings: DataFrame, k: int = 20, key: str = "file_id") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scoring as sc
 from .replies import succeeded
+from .rows import unfold
 
 SCORE_NAMES = ("overall", "security", "efficiency", "best_practices", "complexity", "maintainability", "wasted_kb")
 IMPROVED = ("overall", "security", "efficiency", "best_practices")
@@ -27,7 +28,7 @@ def improvements(compared: DataFrame, key: str = "file_id") -> DataFrame:
             for n in sc.COMPARED_SCORES
         ]
     )
-    return compared.select(key, F.explode(rows).alias("r")).select(key, "r.score_key", "r.i.*")
+    return unfold(compared, [key], rows, "r").select(key, "r.score_key", "r.i.*")
 
 
 def issue_changes(compared: DataFrame, key: str = "file_id") -> DataFrame:
@@ -38,7 +39,7 @@ def issue_changes(compared: DataFrame, key: str = "file_id") -> DataFrame:
             for s, f in sc.SECTIONS.items()
         ]
     )
-    return compared.select(key, F.explode(rows).alias("r")).select(key, "r.section", "r.c.*")
+    return unfold(compared, [key], rows, "r").select(key, "r.section", "r.c.*")
 
 
 def compare(original: DataFrame, fixed: DataFrame, key: str = "file_id") -> DataFrame:

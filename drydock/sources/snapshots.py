@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.rows import hold
 from . import schemas
 
 
 def json_lines(lines: DataFrame, schema: str, column: str = "line") -> DataFrame:
     """Parsed ``doc`` of each non-blank line; malformed lines are dropped."""
-    kept = lines.filter(F.trim(column) != "")
     doc = F.when(F.try_parse_json(column).isNotNull(), F.from_json(column, schema))
-    return kept.withColumn("doc", doc).filter("doc is not null").drop(column)
+    return hold(lines.filter(F.trim(column) != ""), [c for c in lines.columns if c != column], doc, "doc")
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
