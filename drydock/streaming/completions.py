@@ -40,13 +40,14 @@ def reassemble(chunks: DataFrame, segment: int = SEGMENT) -> DataFrame:
     )
 
 
-def stream_segments(chunks: DataFrame, id_type: str, segment: int = SEGMENT, timeout: str = "10 minutes") -> DataFrame:
+def stream_segments(chunks: DataFrame, id_type: str, segment: int = SEGMENT, timeout: str | None = None) -> DataFrame:
     """The streaming form: a segment is emitted once all its chunks are there.
 
     The last segment is complete when the chunk with a finish reason and all before it have come.
-    A segment that stays silent for ``timeout`` is emitted as it is. State per key is one segment.
+    With a ``timeout`` a segment that stays silent for so long is emitted as it is; a processing-time
+    limit keeps the query alive, so a draining run goes without. State per key is one segment.
     """
-    limit_ms = int(pd.Timedelta(timeout).total_seconds() * 1000)
+    limit_ms = int(pd.Timedelta(timeout).total_seconds() * 1000) if timeout else None
 
     def collect(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         seqs, texts, end, reason = state.get if state.exists else ([], [], -1, None)
@@ -60,7 +61,8 @@ def stream_segments(chunks: DataFrame, id_type: str, segment: int = SEGMENT, tim
         wanted = segment if end < 0 else end - int(key[1]) * segment + 1
         if len(seqs) < wanted and not state.hasTimedOut:
             state.update((seqs, texts, end, reason))
-            state.setTimeoutDuration(limit_ms)
+            if limit_ms:
+                state.setTimeoutDuration(limit_ms)
             return
         if state.exists:
             state.remove()
@@ -69,18 +71,26 @@ def stream_segments(chunks: DataFrame, id_type: str, segment: int = SEGMENT, tim
             {"id": [key[0]], "segment": [int(key[1])], "text": [text], "n_chunks": [len(seqs)], "finish_reason": [reason]}
         )
 
+    mode = GroupStateTimeout.ProcessingTimeTimeout if limit_ms else GroupStateTimeout.NoTimeout
     out = f"id {id_type}, segment bigint, text string, n_chunks int, finish_reason string"
     return (
         segmented(chunks, segment)
         .groupBy("id", "segment")
-        .applyInPandasWithState(collect, out, STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+        .applyInPandasWithState(collect, out, STATE, "append", mode)
     )
 
 
 def watch_completions(
-    chunks: DataFrame, id_type: str, sink: str, checkpoint: str, segment: int = SEGMENT, every_seconds: float | None = None
+    chunks: DataFrame,
+    id_type: str,
+    sink: str,
+    checkpoint: str,
+    segment: int = SEGMENT,
+    every_seconds: float | None = None,
+    timeout: str = "10 minutes",
 ) -> StreamingQuery:
-    out = stream_segments(chunks, id_type, segment)
+    """Append finished segments to a parquet sink; polling runs also flush silent ones."""
+    out = stream_segments(chunks, id_type, segment, timeout if every_seconds else None)
     writer = out.writeStream.format("parquet").outputMode("append").option("path", sink).option(
         "checkpointLocation", checkpoint
     )
