@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import last_segment, without_prefix
+from .text import last_segment
 
 # Path endings and folders that never count, and those that always do.
 IGNORED_ENDINGS = (".txt", ".md", ".png", "jpeg", ".in")
@@ -49,10 +49,7 @@ def variant_key(repo: Column, file_name: Column, stage: Column) -> Column:
 
 def diff_header_path(line: Column) -> Column:
     """New path of a ``diff --git a/x b/y`` line of exactly four words, else null."""
-    words = F.filter(F.split(line, r"\s+"), lambda w: w != "")
-    return F.when(
-        line.startswith("diff --git ") & (F.size(words) == 4), without_prefix(F.get(words, F.lit(3)), "b/")
-    )
+    return F.nullif(F.regexp_extract(line, r"(?U)^diff --git \s*\S+\s+(?:b/)?(\S+)\s*$", 1), F.lit(""))
 
 
 def is_counted_path(path: Column) -> Column:

@@ -5,66 +5,97 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 # Units in steps of 1024.
 UNITS = ("B", "KB", "MB", "GB", "TB", "PB")
 _STEP = 1024
 
 
-def _by_magnitude(size: Column, values: list[object]) -> Column:
-    """values[i] for sizes below 1024 ** (i + 1); the last one takes the rest."""
-    result = None
-    for i, value in enumerate(values[:-1]):
-        cond = size < _STEP ** (i + 1)
-        result = F.when(cond, F.lit(value)) if result is None else result.when(cond, F.lit(value))
-    return result.otherwise(F.lit(values[-1]))
+def _power(size: Column, highest: int) -> Column:
+    """Which power of 1024 a size is counted in, at most ``highest``."""
+    power = F.when(size < _STEP, 0)
+    for i in range(1, highest):
+        power = power.when(size < _STEP ** (i + 1), i)
+    return power.otherwise(highest)
+
 
+def _lookup(values: list[object], index: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(v) for v in values]), index + 1)
 
-def _decimal_text(size: Column, unit: Column, scale: Column | int, digits: Column | int, half_up: bool) -> Column:
-    """``size / unit`` with ``digits`` decimals (``scale`` is 10 ** digits), exactly.
 
-    Units are powers of two and multiples of 1/1024 hit ties often, so ties are rounded on purpose:
-    up, or to even.
+def _decimal_text(size: Column, power: Column, digits: Column, half_up: bool) -> Column:
+    """``size / 1024**power`` to ``digits`` (0 to 2) decimals, from exact integer arithmetic.
+
+    Multiples of 1/1024 hit ties often, so ties are rounded on purpose: up, or to even.
     """
-    scaled = size * scale
-    rest = F.pmod(scaled, unit)
-    whole = ((scaled - rest) / unit).cast("long")
-    tie = F.lit(True) if half_up else whole % 2 == 1
-    rounded = whole + F.when((rest * 2 > unit) | ((rest * 2 == unit) & tie), 1).otherwise(0)
-    text = F.lpad(rounded.cast("string"), 20, "0")
-    return F.concat(
-        F.coalesce(F.nullif(F.ltrim(F.substring(text, F.lit(1), 20 - F.lit(digits)), F.lit("0")), F.lit("")), F.lit("0")),
-        F.when(F.lit(digits) > 0, F.concat(F.lit("."), F.substring(text, 21 - F.lit(digits), F.lit(digits)))).otherwise(""),
-    )
+
+    def rounded(a: Column) -> Column:
+        rest = F.pmod(a["scaled"], a["unit"])
+        whole = ((a["scaled"] - rest) / a["unit"]).cast("long")
+        return let(F.struct(whole.alias("whole"), rest.alias("rest"), a["unit"].alias("unit")), carry)
+
+    def carry(a: Column) -> Column:
+        tie = F.lit(True) if half_up else a["whole"] % 2 == 1
+        up = (a["rest"] * 2 > a["unit"]) | ((a["rest"] * 2 == a["unit"]) & tie)
+        return a["whole"] + F.when(up, 1).otherwise(0)
+
+    def text(number: Column) -> Column:
+        padded = F.lpad(number.cast("string"), F.greatest(F.length(number.cast("string")), digits + 1), "0")
+        return let(
+            padded,
+            lambda t: F.when(digits == 0, t).otherwise(
+                F.concat(F.substring(t, F.lit(1), F.length(t) - digits), F.lit("."), F.right(t, digits))
+            ),
+        )
+
+    scale = _lookup([1, 10, 100], digits)
+    unit = _lookup([_STEP**i for i in range(len(UNITS))], power)
+    return let(let(F.struct((size * scale).alias("scaled"), unit.alias("unit")), rounded), text)
 
 
 def compact_size(num_bytes: Column) -> Column:
     """``512B``, ``1.50MB``: two digits, no space, whole bytes, up to TB."""
     size = num_bytes.cast("long")
-    unit = _by_magnitude(size, [_STEP**i for i in range(5)])
-    number = _decimal_text(size, unit, 100, 2, half_up=False)
-    return F.when(size < _STEP, F.concat(size.cast("string"), F.lit("B"))).otherwise(
-        F.concat(number, _by_magnitude(size, list(UNITS[:5])))
+    return let(
+        F.struct(size.alias("size"), _power(size, 4).alias("power")),
+        lambda a: F.concat(
+            _decimal_text(a["size"], a["power"], F.when(a["power"] == 0, 0).otherwise(2), half_up=False),
+            _lookup(list(UNITS), a["power"]),
+        ),
     )
 
 
 def spaced_size(num_bytes: Column) -> Column:
     """``512.0 B``, ``1.5 MB``: one digit, with a space, up to PB."""
     size = num_bytes.cast("long")
-    unit = _by_magnitude(size, [_STEP**i for i in range(6)])
-    return F.concat(
-        _decimal_text(size, unit, 10, 1, half_up=False), F.lit(" "), _by_magnitude(size, list(UNITS))
+    return let(
+        F.struct(size.alias("size"), _power(size, 5).alias("power")),
+        lambda a: F.concat(
+            _decimal_text(a["size"], a["power"], F.lit(1), half_up=False), F.lit(" "), _lookup(list(UNITS), a["power"])
+        ),
     )
 
 
 def signed_size(num_bytes: Column) -> Column:
     """``512 B``, ``1.50 MB``, ``-15.0 GB``, ``150 MB``: three significant digits, sign in front."""
     size = F.abs(num_bytes.cast("long"))
-    unit = _by_magnitude(size, [_STEP**i for i in range(6)])
-    digits = F.when((size >= unit * 100) | (size < _STEP), 0).when(size >= unit * 10, 1).otherwise(2)
-    scale = F.when((size >= unit * 100) | (size < _STEP), 1).when(size >= unit * 10, 10).otherwise(100)
-    text = F.concat(_decimal_text(size, unit, scale, digits, half_up=True), F.lit(" "), _by_magnitude(size, list(UNITS)))
+
+    def digits(a: Column) -> Column:
+        unit = _lookup([_STEP**i for i in range(len(UNITS))], a["power"])
+        return F.when((a["power"] == 0) | (a["size"] >= unit * 100), 0).when(a["size"] >= unit * 10, 1).otherwise(2)
+
+    def text(a: Column) -> Column:
+        return let(
+            F.struct(a["size"].alias("size"), a["power"].alias("power"), digits(a).alias("digits")),
+            lambda b: F.concat(
+                _decimal_text(b["size"], b["power"], b["digits"], half_up=True), F.lit(" "), _lookup(list(UNITS), b["power"])
+            ),
+        )
+
+    positive = let(F.struct(size.alias("size"), _power(size, 5).alias("power")), text)
     return F.when(num_bytes.isNull(), F.lit("0 B")).otherwise(
-        F.concat(F.when(num_bytes < 0, F.lit("-")).otherwise(""), text)
+        F.concat(F.when(num_bytes < 0, F.lit("-")).otherwise(""), positive)
     )
 
 
@@ -75,11 +106,19 @@ def parse_size(text: Column, strict: bool = False) -> Column:
     """
     gap = r"\s+" if strict else r"\s*"
     pattern = rf"^\s*([0-9]+(?:\.[0-9]+)?){gap}([A-Za-z]+)\s*$"
-    value = F.regexp_extract(text, pattern, 1).try_cast("double")
-    unit = F.nullif(F.upper(F.regexp_extract(text, pattern, 2)), F.lit(""))
     factors = F.create_map(*[F.lit(x) for i, name in enumerate(UNITS) for x in (name, float(_STEP**i))])
-    factor = F.try_element_at(factors, unit)
-    return F.struct(value.alias("value"), unit.alias("unit"), (value * factor).alias("bytes"))
+    parts = F.struct(
+        F.regexp_extract(text, pattern, 1).try_cast("double").alias("value"),
+        F.nullif(F.upper(F.regexp_extract(text, pattern, 2)), F.lit("")).alias("unit"),
+    )
+    return let(
+        parts,
+        lambda p: F.struct(
+            p["value"].alias("value"),
+            p["unit"].alias("unit"),
+            (p["value"] * F.try_element_at(factors, p["unit"])).alias("bytes"),
+        ),
+    )
 
 
 def is_large_layer(size: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,15 @@ WHITESPACE = (
 INLINE_SPACE = r"\t\x1f \x{a0}\x{1680}\x{2000}-\x{200a}\x{202f}\x{205f}\x{3000}"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once, however often the body uses it.
+
+    Nested expressions are copied per use, which makes long ladders slow to run and to compile; a
+    one-element array binds the value to a name instead.
+    """
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
@@ -46,10 +57,6 @@ def contains_any(text: Column, words: list[str] | tuple[str, ...]) -> Column:
     return hit
 
 
-def without_prefix(text: Column, prefix: str) -> Column:
-    return F.when(text.startswith(prefix), F.substring(text, F.lit(len(prefix) + 1), F.length(text))).otherwise(text)
-
-
 def last_segment(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules, sizes
-from ..functions.text import fallback, strip
+from ..functions.text import fallback, let, strip
 from .rows import hold, unfold
 from .skew import running
 
@@ -72,8 +72,8 @@ def large_layers(layers: DataFrame, strict: bool = False) -> DataFrame:
 
     ``strict`` skips sizes written without a space.
     """
-    parsed = layers.filter(has_size(F.col("size_text"))).withColumn("_p", sizes.parse_size(F.col("size_text"), strict))
-    return parsed.filter(sizes.is_large_layer(F.col("_p"))).drop("_p")
+    large = let(sizes.parse_size(F.col("size_text"), strict), sizes.is_large_layer)
+    return layers.filter(has_size(F.col("size_text")) & large)
 
 
 def image_findings(images: DataFrame, layers: DataFrame | None = None, strict: bool = False) -> DataFrame:

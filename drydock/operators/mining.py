@@ -24,42 +24,61 @@ def changed_files(diffs: DataFrame) -> DataFrame:
     return hold(lines, PR, paths.diff_header_path(F.col("line")), "path")
 
 
+def _pattern_lists(patterns: DataFrame) -> DataFrame | None:
+    """``project, patterns`` when the patterns measure small enough to broadcast, else None."""
+    used = _used(patterns)
+    if not fits_broadcast(used):
+        return None
+    return used.groupBy("project").agg(F.collect_set("pattern").alias("patterns"))
+
+
+def _used(patterns: DataFrame) -> DataFrame:
+    """Distinct patterns; a blank one would match every path."""
+    return patterns.select("project", F.trim("pattern").alias("pattern")).filter("pattern <> ''").distinct()
+
+
+def _has_pattern() -> Column:
+    return F.exists("patterns", lambda p: F.col("path").contains(p))
+
+
 def matching_paths(files: DataFrame, patterns: DataFrame) -> DataFrame:
     """Counted paths that contain a pattern of their project, each (project, pnumber, path) row once.
 
     Pattern lists are hand-kept, so they normally pass the size check and ride along as one array
-    per project. Beyond it every path is joined to the patterns of its project and the hits are
-    folded back per path.
+    per project. Beyond it a path meets the patterns of its project in arrays of bounded length.
     """
-    used = patterns.filter(F.trim("pattern") != "").select("project", F.trim("pattern").alias("pattern")).distinct()
-    counted = files.filter(paths.is_counted_path(F.col("path")))
-    paths_once = counted.select(*PR, "path").distinct()
-    hit = F.exists("patterns", lambda p: F.col("path").contains(p))
-    if fits_broadcast(used):
-        lists = used.groupBy("project").agg(F.collect_set("pattern").alias("patterns"))
-        return paths_once.join(F.broadcast(lists), "project").filter(hit).drop("patterns")
-    # A project's patterns as arrays of bounded length; a path meets each array of its project once.
+    once = files.filter(paths.is_counted_path(F.col("path"))).select(*PR, "path").distinct()
+    lists = _pattern_lists(patterns)
+    if lists is not None:
+        return once.join(F.broadcast(lists), "project").filter(_has_pattern()).drop("patterns")
     chunk = F.pmod(F.xxhash64("pattern"), F.lit(PATTERN_CHUNKS)).cast("int")
     chunked = (
-        used.withColumn("_chunk", chunk).groupBy("project", "_chunk").agg(F.collect_set("pattern").alias("patterns"))
+        _used(patterns)
+        .withColumn("_chunk", chunk)
+        .groupBy("project", "_chunk")
+        .agg(F.collect_set("pattern").alias("patterns"))
     )
-    spread = paths_once.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(PATTERN_CHUNKS - 1))))
-    return lookup_join(spread, chunked, ["project", "_chunk"]).filter(hit).select(*PR, "path").distinct()
+    spread = once.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(PATTERN_CHUNKS - 1))))
+    return lookup_join(spread, chunked, ["project", "_chunk"]).filter(_has_pattern()).select(*PR, "path").distinct()
 
 
 def file_evidence(files: DataFrame, patterns: DataFrame) -> DataFrame:
     """``project, pnumber, n_changed, is_candidate``: one row per PR with at least one changed file.
 
-    Partial sums per PR make the shuffle carry one row per PR and task.
+    With broadcast patterns this is one pass and one shuffle of partial sums, one row per PR and
+    task, whatever the size of a PR.
     """
-    counted = files.groupBy(*PR).agg(
-        F.count("*").alias("n_changed"),
-        F.bool_or(paths.is_counted_path(F.col("path")) & paths.is_build_path(F.col("path"))).alias("by_name"),
-    )
-    by_pattern = matching_paths(files, patterns).groupBy(*PR).agg(F.lit(True).alias("by_pattern"))
-    return counted.join(by_pattern, PR, "left").select(
-        *PR, "n_changed", (F.col("by_name") | F.coalesce("by_pattern", F.lit(False))).alias("is_candidate")
-    )
+    counted = paths.is_counted_path(F.col("path"))
+    lists = _pattern_lists(patterns)
+    if lists is not None:
+        tagged = files.join(F.broadcast(lists), "project", "left")
+        hit = paths.is_build_path(F.col("path")) | F.coalesce(_has_pattern(), F.lit(False))
+        return tagged.groupBy(*PR).agg(F.count("*").alias("n_changed"), F.bool_or(counted & hit).alias("is_candidate"))
+    per_path = files.groupBy(*PR, "path").agg(F.count("*").alias("n"))
+    hits = matching_paths(files, patterns).withColumn("by_pattern", F.lit(True))
+    tagged = per_path.join(hits, [*PR, "path"], "left")
+    hit = paths.is_build_path(F.col("path")) | F.coalesce("by_pattern", F.lit(False))
+    return tagged.groupBy(*PR).agg(F.sum("n").alias("n_changed"), F.bool_or(counted & hit).alias("is_candidate"))
 
 
 def select_prs(prs: DataFrame, files: DataFrame, patterns: DataFrame, position: str = "pos") -> DataFrame:

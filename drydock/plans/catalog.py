@@ -579,7 +579,7 @@ def size_reduction_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    schema = fr.table(spark, sf, name).schema
+    schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
     return spark.readStream.schema(schema).parquet(f"{sf}/{name}.parquet*")
 
 
