@@ -14,12 +14,16 @@ def size_run(all_repos: DataFrame, files: DataFrame, responses: DataFrame, parit
     reply to it, savings and the error, if any.
 
     ``files(repo_id, file_id, path, content)``; ``responses(file_id, raw)``. File texts go through
-    one map before any shuffle, so only ids and numbers are joined.
+    one map before the choice, so only ids and numbers are shuffled, not the texts.
     """
-    chosen = repos.preferred_file(repos.build_files(files).select("repo_id", "file_id", "path", "content"))
-    static = rewrite.static_rewrite(chosen, ["repo_id", "file_id"]).select(
-        "repo_id", "file_id", F.col("n_changes").cast("long").alias("static_issues"), F.col("saving_kb").alias("static_kb")
+    every = rewrite.static_rewrite(repos.build_files(files), ["repo_id", "file_id", "path"]).select(
+        "repo_id",
+        "file_id",
+        "path",
+        F.col("n_changes").cast("long").alias("static_issues"),
+        F.col("saving_kb").alias("static_kb"),
     )
+    static = repos.preferred_file(every).drop("path")
     analysed = replies.normalise(responses, "file_id")
     issues = analysed.select(
         "file_id",
