@@ -13,6 +13,7 @@ def read_build_files(spark: SparkSession, root: str) -> DataFrame:
     """``path, file_name, content, is_plausible`` of every build file below ``root``.
 
     The name test runs before the content is decoded, and bytes that are not UTF-8 are replaced.
+    Files of zero bytes are not listed: Spark's file sources plan no split for them.
     """
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     named = raw.select("path", last_segment(F.col("path")).alias("file_name"), "content").filter(
