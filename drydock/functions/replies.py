@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import contains_any, count_of, strip
+from .text import contains_any, count_of, let, strip
 
 # The reply fields, their defaults, and the salvage window in characters.
 LIST_FIELDS = (
@@ -37,14 +37,18 @@ def is_api_error(raw: Column) -> Column:
 
 def unfenced(raw: Column) -> Column:
     """Text of the first closed code fence, a ``json`` fence first; otherwise the stripped reply."""
-    text = strip(raw)
 
-    def body(opening: str) -> Column:
+    def body(text: Column, opening: str) -> Column:
         after = F.substring(text, F.instr(text, opening) + F.lit(len(opening)), F.length(text))
-        return F.when(after.contains(FENCE), strip(F.substring_index(after, FENCE, 1))).otherwise(text)
+        return let(
+            after, lambda t: F.when(t.contains(FENCE), strip(F.substring_index(t, FENCE, 1))).otherwise(text)
+        )
 
-    return (
-        F.when(text.contains(FENCE + "json"), body(FENCE + "json")).when(text.contains(FENCE), body(FENCE)).otherwise(text)
+    return let(
+        strip(raw),
+        lambda text: F.when(text.contains(FENCE + "json"), body(text, FENCE + "json"))
+        .when(text.contains(FENCE), body(text, FENCE))
+        .otherwise(text),
     )
 
 
@@ -94,15 +98,17 @@ def brace_walk(text: Column) -> Column:
 def salvage_tail(raw: Column, field: str, window: int | None = SALVAGE_WINDOW) -> Column:
     """Reply text from the ``[`` that follows the field name on, or null."""
     mark = f'"{field}"'
-    after = F.substring(raw, F.instr(raw, mark), F.length(raw))
-    tail = F.substring(after, F.instr(after, "["), F.length(after) if window is None else F.lit(window))
-    return F.when(raw.contains(mark) & after.contains("["), tail)
+
+    def from_bracket(after: Column) -> Column:
+        length = F.length(after) if window is None else F.lit(window)
+        return F.when(after.contains("["), F.substring(after, F.instr(after, "["), length))
+
+    return F.when(raw.contains(mark), let(F.substring(raw, F.instr(raw, mark), F.length(raw)), from_bracket))
 
 
 def salvage_list(tail: Column) -> Column:
     """The string array at the start of a salvage tail, or null when it does not close or parse."""
-    walk = _first_close(tail, "[", "]")
-    text = F.when(walk["done"], F.substring(tail, F.lit(1), walk["taken"]))
+    text = let(_first_close(tail, "[", "]"), lambda w: F.when(w["done"], F.substring(tail, F.lit(1), w["taken"])))
     return F.try_variant_get(F.try_parse_json(text), "$", "array<string>")
 
 
@@ -123,9 +129,12 @@ def error_class(error: Column) -> Column:
 
 def without_fences(raw: Column) -> Column:
     """Reply without fence marks; text behind an unclosed last fence is dropped."""
-    parts = F.split(strip(raw), FENCE)
-    even = F.size(parts) % 2 == 1
-    return strip(F.array_join(F.when(even, parts).otherwise(F.slice(parts, 1, F.size(parts) - 1)), ""))
+    return let(
+        F.split(strip(raw), FENCE),
+        lambda parts: strip(
+            F.array_join(F.when(F.size(parts) % 2 == 1, parts).otherwise(F.slice(parts, 1, F.size(parts) - 1)), "")
+        ),
+    )
 
 
 def _is_from(line: Column) -> Column:

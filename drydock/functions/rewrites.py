@@ -16,8 +16,9 @@ APT_INSTALL, APT_FLAG = "apt-get install", "--no-install-recommends"
 PIP_INSTALL, PIP_FLAG = "pip install", "--no-cache-dir"
 LIST_CLEANUP = "rm -rf /var/lib/apt/lists"
 CLEANUP_TAIL = " && rm -rf /var/lib/apt/lists/*"
-# A line end that does not continue the command.
-COMMAND_BREAK = r"(?<!\\[ \t\r]{0,16})\n"
+# A line end that does not continue the command; blank lines do not end a continuation.
+COMMAND_BREAK = r"(?<!\\[ \t\r\n]{0,64})\n"
+ENDS_IN_COMMENT = r"\n[ \t]*#[^\n]*$"
 CLEANUP_LINE = "\n    && rm -rf /var/lib/apt/lists/* \\"
 
 
@@ -69,6 +70,7 @@ def _command_needs_cleanup(command: Column) -> Column:
         & ~command.contains(LIST_CLEANUP)
         & ~rstrip(command).endswith("&&")
         & ~rstrip(command).endswith("\\")
+        & ~command.rlike(ENDS_IN_COMMENT)
     )
 
 

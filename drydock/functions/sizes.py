@@ -24,79 +24,44 @@ def _lookup(values: list[object], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), index + 1)
 
 
-def _decimal_text(size: Column, power: Column, digits: Column, half_up: bool) -> Column:
-    """``size / 1024**power`` to ``digits`` (0 to 2) decimals, from exact integer arithmetic.
-
-    Multiples of 1/1024 hit ties often, so ties are rounded on purpose: up, or to even.
-    """
-
-    def rounded(a: Column) -> Column:
-        rest = F.pmod(a["scaled"], a["unit"])
-        whole = ((a["scaled"] - rest) / a["unit"]).cast("long")
-        return let(F.struct(whole.alias("whole"), rest.alias("rest"), a["unit"].alias("unit")), carry)
-
-    def carry(a: Column) -> Column:
-        tie = F.lit(True) if half_up else a["whole"] % 2 == 1
-        up = (a["rest"] * 2 > a["unit"]) | ((a["rest"] * 2 == a["unit"]) & tie)
-        return a["whole"] + F.when(up, 1).otherwise(0)
-
-    def text(number: Column) -> Column:
-        padded = F.lpad(number.cast("string"), F.greatest(F.length(number.cast("string")), digits + 1), "0")
-        return let(
-            padded,
-            lambda t: F.when(digits == 0, t).otherwise(
-                F.concat(F.substring(t, F.lit(1), F.length(t) - digits), F.lit("."), F.right(t, digits))
-            ),
-        )
-
-    scale = _lookup([1, 10, 100], digits)
-    unit = _lookup([_STEP**i for i in range(len(UNITS))], power)
-    return let(let(F.struct((size * scale).alias("scaled"), unit.alias("unit")), rounded), text)
+def _scaled(size: Column, highest: int) -> Column:
+    """``struct<value, power>``. The division by a power of two is exact, so the digits are too."""
+    power = _power(size, highest)
+    return F.struct((size / _lookup([_STEP**i for i in range(len(UNITS))], power)).alias("value"), power.alias("power"))
 
 
 def compact_size(num_bytes: Column) -> Column:
-    """``512B``, ``1.50MB``: two digits, no space, whole bytes, up to TB."""
+    """``512B``, ``1.50MB``: two digits (ties to even), no space, whole bytes, up to TB."""
     size = num_bytes.cast("long")
     return let(
-        F.struct(size.alias("size"), _power(size, 4).alias("power")),
-        lambda a: F.concat(
-            _decimal_text(a["size"], a["power"], F.when(a["power"] == 0, 0).otherwise(2), half_up=False),
-            _lookup(list(UNITS), a["power"]),
+        _scaled(size, 4),
+        lambda a: F.when(a["power"] == 0, F.concat(size.cast("string"), F.lit("B"))).otherwise(
+            F.concat(F.format_string("%.2f", F.bround(a["value"], 2)), _lookup(list(UNITS), a["power"]))
         ),
     )
 
 
 def spaced_size(num_bytes: Column) -> Column:
-    """``512.0 B``, ``1.5 MB``: one digit, with a space, up to PB."""
-    size = num_bytes.cast("long")
+    """``512.0 B``, ``1.5 MB``: one digit (ties to even), with a space, up to PB."""
     return let(
-        F.struct(size.alias("size"), _power(size, 5).alias("power")),
-        lambda a: F.concat(
-            _decimal_text(a["size"], a["power"], F.lit(1), half_up=False), F.lit(" "), _lookup(list(UNITS), a["power"])
-        ),
+        _scaled(num_bytes.cast("long"), 5),
+        lambda a: F.concat(F.format_string("%.1f ", F.bround(a["value"], 1)), _lookup(list(UNITS), a["power"])),
     )
 
 
 def signed_size(num_bytes: Column) -> Column:
-    """``512 B``, ``1.50 MB``, ``-15.0 GB``, ``150 MB``: three significant digits, sign in front."""
-    size = F.abs(num_bytes.cast("long"))
-
-    def digits(a: Column) -> Column:
-        unit = _lookup([_STEP**i for i in range(len(UNITS))], a["power"])
-        return F.when((a["power"] == 0) | (a["size"] >= unit * 100), 0).when(a["size"] >= unit * 10, 1).otherwise(2)
+    """``512 B``, ``1.50 MB``, ``-15.0 GB``, ``150 MB``: three significant digits (ties up), sign in
+    front, up to PB."""
 
     def text(a: Column) -> Column:
-        return let(
-            F.struct(a["size"].alias("size"), a["power"].alias("power"), digits(a).alias("digits")),
-            lambda b: F.concat(
-                _decimal_text(b["size"], b["power"], b["digits"], half_up=True), F.lit(" "), _lookup(list(UNITS), b["power"])
-            ),
+        number = (
+            F.when((a["value"] >= 100) | (a["power"] == 0), F.format_string("%.0f ", a["value"]))
+            .when(a["value"] >= 10, F.format_string("%.1f ", a["value"]))
+            .otherwise(F.format_string("%.2f ", a["value"]))
         )
+        return F.concat(F.when(num_bytes < 0, F.lit("-")).otherwise(""), number, _lookup(list(UNITS), a["power"]))
 
-    positive = let(F.struct(size.alias("size"), _power(size, 5).alias("power")), text)
-    return F.when(num_bytes.isNull(), F.lit("0 B")).otherwise(
-        F.concat(F.when(num_bytes < 0, F.lit("-")).otherwise(""), positive)
-    )
+    return F.when(num_bytes.isNull(), F.lit("0 B")).otherwise(let(_scaled(F.abs(num_bytes.cast("long")), 5), text))
 
 
 def parse_size(text: Column, strict: bool = False) -> Column:
@@ -121,8 +86,13 @@ def parse_size(text: Column, strict: bool = False) -> Column:
     )
 
 
-def is_large_layer(size: Column) -> Column:
-    """A parsed size counted in gigabytes, or above 200 MB."""
-    return F.coalesce(
-        size["unit"].startswith("GB") | (size["unit"].startswith("MB") & (size["value"] > 200)), F.lit(False)
-    )
+def is_large_layer(text: Column, strict: bool = False) -> Column:
+    """A size text counted in gigabytes, or above 200 MB; text that is no size is not large.
+
+    A filter over every layer, so it works without regular expressions.
+    """
+    trimmed = F.trim(text)
+    number, unit = F.substring(trimmed, F.lit(1), F.length(trimmed) - 2), F.upper(F.right(trimmed, F.lit(2)))
+    value = number.try_cast("double")
+    large = ((unit == "GB") & value.isNotNull()) | ((unit == "MB") & (value > 200))
+    return F.coalesce(large & number.endswith(" ") if strict else large, F.lit(False))

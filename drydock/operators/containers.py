@@ -41,7 +41,7 @@ def inspect_findings(doc: Column) -> Column:
 def container_findings(containers: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """``keys, rule_id, severity``; a container without a finding gets one ``container_ok`` row."""
     keys = keys or ["container_id"]
-    return unfold(containers, keys, inspect_findings(F.col("doc")), "f").select(*keys, "f.*")
+    return unfold(containers, keys, inspect_findings(F.col("doc")), "_f").select(*keys, "_f.*")
 
 
 def rule_sets(containers: DataFrame, keys: list[str]) -> DataFrame:
@@ -67,4 +67,4 @@ def _changes(df: DataFrame, keys: list[str], before: str) -> DataFrame:
     closed = F.transform(
         F.array_except(old, "rule_ids"), lambda r: F.struct(r.alias("rule_id"), F.lit("closed").alias("change"))
     )
-    return unfold(df, keys, F.concat(opened, closed), "c").select(*keys, "c.*")
+    return unfold(df, keys, F.concat(opened, closed), "_c").select(*keys, "_c.*")

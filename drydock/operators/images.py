@@ -72,8 +72,7 @@ def large_layers(layers: DataFrame, strict: bool = False) -> DataFrame:
 
     ``strict`` skips sizes written without a space.
     """
-    large = let(sizes.parse_size(F.col("size_text"), strict), sizes.is_large_layer)
-    return layers.filter(has_size(F.col("size_text")) & large)
+    return layers.filter(has_size(F.col("size_text")) & sizes.is_large_layer(F.col("size_text"), strict))
 
 
 def image_findings(images: DataFrame, layers: DataFrame | None = None, strict: bool = False) -> DataFrame:
@@ -144,11 +143,12 @@ def image_summary(images: DataFrame, shown: int = 10) -> DataFrame:
 
 def layer_command(created_by: Column, comment: Column, width: int = 80) -> Column:
     """Command in one line with its comment, cut to ``width`` with an ellipsis."""
-    command = fallback(strip(F.regexp_replace(created_by, r"(?U)\s+", " ")), "<metadata>")
-    text = F.concat(
-        command, F.when(F.coalesce(comment, F.lit("")) != "", F.concat(F.lit(" ("), comment, F.lit(")"))).otherwise("")
+    one_line = strip(F.regexp_replace(created_by, r"(?U)\s+", " "))
+    note = F.when(F.coalesce(comment, F.lit("")) != "", F.concat(F.lit(" ("), comment, F.lit(")"))).otherwise("")
+    return let(
+        F.concat(let(one_line, lambda c: fallback(c, "<metadata>")), note),
+        lambda t: F.when(F.length(t) > width, F.concat(F.substring(t, 1, width - 1), F.lit("…"))).otherwise(t),
     )
-    return F.when(F.length(text) > width, F.concat(F.substring(text, 1, width - 1), F.lit("…"))).otherwise(text)
 
 
 def short_id(layer_id: Column) -> Column:

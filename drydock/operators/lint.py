@@ -60,7 +60,7 @@ def findings(files: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     whole = F.when(F.col("idx").isNull() | (F.col("idx") == F.col("last")), F.col("whole"))
     own = F.when(F.col("idx").isNotNull(), own)
     found = F.flatten(F.array_compact(F.array(own, whole)))
-    return unfold(rows, keys, found, "f").select(*keys, "f.*")
+    return unfold(rows, keys, found, "_f").select(*keys, "_f.*")
 
 
 def with_findings(files: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

@@ -145,7 +145,7 @@ def normalise(responses: DataFrame, key: str = "id", window: int | None = rp.SAL
     error = F.when(F.col("api_error"), F.col("raw")).when(failed & ~any_saved, F.lit("The reply is not valid JSON"))
     # Through a generator, so that filters on the result do not copy the parsing below themselves.
     result = F.struct(status.alias("status"), error.alias("error"), data.alias("data"))
-    return hold(saved, [key], result, "r").select(key, "r.*")
+    return hold(saved, [key], result, "_r").select(key, "_r.*")
 
 
 def succeeded(status: Column) -> Column:

@@ -120,7 +120,7 @@ def stage_texts(rewritten: DataFrame, model_text: DataFrame | None = None, keys:
         stages = F.concat(
             stages, F.array(F.when(kept, F.struct(F.lit("llm_optimized").alias("stage"), F.col("model").alias("content"))))
         )
-    return rewritten.select(*keys, F.explode(F.array_compact(stages)).alias("s")).select(*keys, "s.*")
+    return rewritten.select(*keys, F.explode(F.array_compact(stages)).alias("_s")).select(*keys, "_s.*")
 
 
 def keep_real_rewrites(df: DataFrame, before: str, after: str) -> DataFrame:

@@ -29,7 +29,7 @@ def savings_in_row(files: DataFrame, keys: Sequence[str] = ("file_id",)) -> Data
     per_file = with_findings(files, keys).select(*keys, ids.alias("ids"))
     total = F.aggregate("ids", F.lit(0).cast("long"), lambda acc, r: acc + rules.saving_kb(r))
     summed = F.struct(F.size("ids").cast("long").alias("n_size_findings"), total.alias("saving_kb"))
-    return hold(per_file, keys, F.when(F.size("ids") > 0, summed), "s").select(*keys, "s.*")
+    return hold(per_file, keys, F.when(F.size("ids") > 0, summed), "_s").select(*keys, "_s.*")
 
 
 def top_files(savings: DataFrame, k: int = 20, key: str = "file_id") -> DataFrame:

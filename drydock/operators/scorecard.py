@@ -28,7 +28,7 @@ def improvements(compared: DataFrame, key: str = "file_id") -> DataFrame:
             for n in sc.COMPARED_SCORES
         ]
     )
-    return unfold(compared, [key], rows, "r").select(key, "r.score_key", "r.i.*")
+    return unfold(compared, [key], rows, "_r").select(key, "_r.score_key", "_r.i.*")
 
 
 def issue_changes(compared: DataFrame, key: str = "file_id") -> DataFrame:
@@ -39,7 +39,7 @@ def issue_changes(compared: DataFrame, key: str = "file_id") -> DataFrame:
             for s, f in sc.SECTIONS.items()
         ]
     )
-    return unfold(compared, [key], rows, "r").select(key, "r.section", "r.c.*")
+    return unfold(compared, [key], rows, "_r").select(key, "_r.section", "_r.c.*")
 
 
 def compare(original: DataFrame, fixed: DataFrame, key: str = "file_id") -> DataFrame:

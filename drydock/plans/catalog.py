@@ -125,7 +125,9 @@ def static_rewrite(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def safe_rewrite(spark: SparkSession, sf: str) -> DataFrame:
     done = rewrite.static_rewrite(_build_files(spark, sf), safe_cleanup=True)
-    return done.select("file_id", "changed", "n_changes", F.md5("rewritten").alias("text_md5"))
+    return done.select(
+        "file_id", "changed", F.col("n_changes").cast("long").alias("n_changes"), F.md5("rewritten").alias("text_md5")
+    )
 
 
 @query

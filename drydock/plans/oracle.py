@@ -357,6 +357,62 @@ _oracle(
     "build_files",
 )
 
+_cte(
+    "commands",
+    "step1",
+    sql="""SELECT file_id, g, max(line_no) AS line_no, string_agg(raw, chr(10) ORDER BY line_no) AS c, any_value(n_clean) AS n_clean FROM (
+        SELECT *, coalesce(sum(CASE WHEN open THEN 0 ELSE 1 END) OVER (
+          PARTITION BY file_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS g
+        FROM (SELECT *, coalesce(last_value(CASE WHEN trim(raw) <> '' THEN ends_with(rtrim(raw), '\\') END IGNORE NULLS) OVER (
+          PARTITION BY file_id ORDER BY line_no ROWS UNBOUNDED PRECEDING), false) AS open FROM step1) JOIN gates USING (file_id)) GROUP BY file_id, g""",
+)
+_cte(
+    "safe_lines",
+    "commands",
+    sql="""SELECT *, n_clean > 0 AND contains(c, 'apt-get install') AND contains(c, '&&') AND NOT contains(c, 'rm -rf /var/lib/apt/lists')
+        AND NOT ends_with(rtrim(c, ' ' || chr(10)), '&&') AND NOT ends_with(rtrim(c, ' ' || chr(10)), '\\')
+        AND NOT regexp_matches(c, '\n[ \t]*#[^\n]*$') AS hit FROM commands""",
+)
+_cte(
+    "safe_done",
+    "safe_lines",
+    sql=f"""SELECT s.file_id, any_value(content) AS content, count(*) FILTER (hit) AS n_hit,
+        string_agg(CASE WHEN hit THEN rtrim(c, ' ' || chr(10)) || ' && rm -rf /var/lib/apt/lists/*' ELSE c END, chr(10) ORDER BY line_no) AS text
+      FROM safe_lines s JOIN gates USING (file_id) GROUP BY s.file_id""",
+)
+_cte(
+    "safe_split",
+    "safe_done",
+    sql="SELECT file_id, unnest(string_split(text, chr(10))) AS raw, unnest(range(0, len(string_split(text, chr(10))))) AS line_no FROM safe_done",
+)
+_cte(
+    "safe_final",
+    "safe_split",
+    "lines",
+    sql=f"""SELECT s.file_id, any_value(content) AS content, any_value(CASE WHEN n_apt > 0 THEN n_edit ELSE 0 END) + any_value(n_hit)
+          + any_value(CASE WHEN n_pip > 0 THEN 1 ELSE 0 END) * {_edits('raw', _PI, _PF)} AS n,
+        string_agg(CASE WHEN n_pip > 0 THEN {_flagged('raw', _PI, _PF)} ELSE raw END, chr(10) ORDER BY line_no) AS text
+      FROM safe_split s JOIN (SELECT file_id, n_apt, n_pip FROM gates) USING (file_id)
+        JOIN (SELECT file_id, content, n_hit FROM safe_done) USING (file_id)
+        JOIN (SELECT file_id, {_edits('raw', _AI, _AF)} AS n_edit FROM lines GROUP BY file_id) USING (file_id) GROUP BY s.file_id""",
+)
+_oracle(
+    "safe_rewrite",
+    """SELECT file_id, text <> content AS changed, CAST(CASE WHEN text <> content THEN n ELSE 0 END AS BIGINT) AS n_changes,
+      md5(text) AS text_md5 FROM safe_final""",
+    "safe_final",
+)
+_PROMPT = """'Review the container build file below. Reply with one JSON object with the fields security_risks, performance_issues, '
+      || 'optimization_opportunities, runtime_concerns, best_practices_missing, estimated_wasted_space_kb, complexity_score, '
+      || 'maintainability_score, overall_assessment, recommendations.' || chr(10) || chr(10) || content || chr(10)"""
+_oracle("analysis_prompt", f"SELECT file_id, md5({_PROMPT}) AS prompt_md5 FROM texts", "texts")
+_oracle(
+    "model_call",
+    f"""SELECT file_id, CASE WHEN length({_PROMPT}) % 5 = 0 THEN 'LLM API error: 429'
+      ELSE 'FROM scratch' || chr(10) || '# ' || length({_PROMPT}) END AS raw FROM texts""",
+    "texts",
+)
+
 # --- repositories ------------------------------------------------------------------------------
 
 _cte(
@@ -802,6 +858,32 @@ _cte(
 )
 _SCORES = ("overall", "security", "efficiency", "best_practices", "complexity", "maintainability", "wasted_kb")
 _oracle("issue_scores", f"SELECT id, status, {', '.join(_SCORES)} FROM scored", "scored")
+
+
+def _numbered(title: str, field: str) -> str:
+    items = f"list_transform(({field})[:10], lambda t, i: i || '. ' || t || chr(10))"
+    return f"chr(10) || '{title} (' || len({field}) || '):' || chr(10) || array_to_string({items}, '')"
+
+
+_cte(
+    "rec_text",
+    "rec",
+    sql="""SELECT id, count(*) AS n, string_agg('- [' || upper(severity) || '] ' || category || ': ' || message
+          || CASE WHEN line <> 0 THEN ' (line ' || line || ')' ELSE '' END || chr(10), '' ORDER BY k) FILTER (k <= 15) AS t
+      FROM rec GROUP BY id""",
+)
+_oracle(
+    "fix_prompt",
+    f"""SELECT s.id AS file_id, 'Correct only the issues listed and return the whole build file as plain text.' || chr(10) || chr(10) || content || chr(10) || chr(10)
+      || {" || ".join(f"'{n}: ' || CAST({n} AS VARCHAR) || '/100' || chr(10)" for n in ('security', 'efficiency', 'best_practices', 'overall'))}
+      || {_numbered('Security risks', 'risks')} || {_numbered('Performance issues', 'perf')}
+      || {_numbered('Optimisation options', 'opts')} || {_numbered('Missing practices', 'miss')}
+      || CASE WHEN r.n > 0 THEN chr(10) || 'Recommendations (' || r.n || '):' || chr(10) || r.t ELSE '' END AS prompt
+    FROM scored s JOIN texts ON texts.file_id = s.id LEFT JOIN rec_text r ON r.id = s.id WHERE good""",
+    "scored",
+    "texts",
+    "rec_text",
+)
 _cte("before_after", "scored", sql="SELECT b.id AS file_id, b, a FROM scored b JOIN scored a ON a.id = b.id + 1 WHERE b.id % 2 = 0 AND b.good AND a.good")
 _oracle(
     "score_improvement",

@@ -39,8 +39,8 @@ def apply_batch(
     # A seed only lends its rules to the first fresh row; what it opened was reported before.
     changes = changes.filter(~F.col("_mark")).drop("_mark")
     every = fresh.drop("_seed") if state is None else fresh.drop("_seed").unionByName(state.select(*columns))
-    last = every.groupBy(subject).agg(F.max_by(F.struct(*order, "rule_ids"), F.struct(*order)).alias("s"))
-    return changes, last.select(subject, "s.*")
+    last = every.groupBy(subject).agg(F.max_by(F.struct(*order, "rule_ids"), F.struct(*order)).alias("_last"))
+    return changes, last.select(subject, "_last.*")
 
 
 def watch_transitions(
