@@ -157,7 +157,7 @@ def short_id(layer_id: Column) -> Column:
     )
 
 
-def layer_table(layers: DataFrame, order: list[str], block: Column) -> DataFrame:
+def layer_table(layers: DataFrame, order: list[str], block: Column | None = None) -> DataFrame:
     """Layers oldest first with their number and the size so far.
 
     ``layers(image_id, layer_id, created_by, comment, size_bytes)`` plus the ``order`` columns.

@@ -188,6 +188,18 @@ def top_recommendations(analyses: DataFrame, k: int = 5, key: str = "id") -> Dat
     )
 
 
+def top_issues(analyses: DataFrame, k: int = 5, key: str = "id") -> DataFrame:
+    """``key, list_name, n_total, rank, issue``: the first ``k`` of each issue list."""
+    lists = F.array(
+        *[F.struct(F.lit(f).alias("list_name"), F.col("data")[f].alias("issues")) for f in rp.LIST_FIELDS]
+    )
+    per_list = unfold(analyses, [key], lists, "_l").select(
+        key, "_l.list_name", F.size("_l.issues").alias("n_total"), "_l.issues"
+    )
+    ranked = unfold(per_list, [key, "list_name", "n_total"], F.slice("issues", 1, k), "issue", pos="pos")
+    return ranked.select(key, "list_name", "n_total", (F.col("pos") + 1).alias("rank"), "issue")
+
+
 def model_size_issues(analyses: DataFrame, key: str = "id") -> DataFrame:
     """``key, issue``: performance issues, then optimisation options, that speak of size."""
     both = F.concat("data.performance_issues", "data.optimization_opportunities")

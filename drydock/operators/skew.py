@@ -2,8 +2,9 @@
 
 Ordered work over a key is done in blocks: the rows of one (key, block) are ordered in one task,
 per-block summaries are scanned over the few blocks of a key, and the two are joined on
-(key, block). The block must not decrease along the order, so a range of the first order column is
-the usual choice; its width bounds the rows one task sorts, whatever the size of the key.
+(key, block). The block must not decrease along the order: a range of the first order column, whose
+width is measured (``adaptive_block``) or given. It bounds the rows one task sorts, whatever the
+size of the key.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 << 20
+BLOCK_ROWS = 1_000_000
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
@@ -63,18 +65,38 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k:
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def adaptive_block(df: DataFrame, keys: Sequence[str], column: str, target_rows: int = BLOCK_ROWS) -> Column:
+    """A block number along ``column`` (numeric or time) that gives the largest key about
+    ``target_rows`` rows per block. When no key is larger than that, every key is one block.
+
+    Costs one aggregation over the keys and the order column, with one row coming back.
+    """
+    kind = dict(df.dtypes)[column]
+    value = F.unix_micros(F.col(column).cast("timestamp")) if kind in ("timestamp", "date") else F.col(column)
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi"))
+    largest = per_key.orderBy(F.desc("n")).first()
+    if largest is None or largest["n"] <= target_rows:
+        return F.lit(0).cast("long")
+    width = max(1, int((largest["hi"] - largest["lo"]) * target_rows / largest["n"]))
+    return F.floor(value / width)
+
+
+def _blocked(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column | None) -> DataFrame:
+    return df.withColumn("_block", adaptive_block(df, keys, order[0]) if block is None else block)
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    block: Column,
+    block: Column | None,
     value: str,
     total: str = "cumulative",
     number: str | None = None,
 ) -> DataFrame:
     """Running sum of ``value``, and the 1-based row number, in ``order`` within ``keys``."""
     keys = list(keys)
-    blocked = df.withColumn("_block", block)
+    blocked = _blocked(df, keys, order, block)
     sums = blocked.groupBy(*keys, "_block").agg(F.sum(value).alias("_t"), F.count(F.lit(1)).alias("_c"))
     before = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     offsets = sums.select(
@@ -105,10 +127,10 @@ def _carry(df: DataFrame, keys: list[str], order: Sequence[str], value: Column,
     return blocks.select(*keys, "_block", F.last("_last", ignorenulls=True).over(w)["v"].alias("_carry"))
 
 
-def forward_fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, column: str) -> DataFrame:
+def forward_fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column | None, column: str) -> DataFrame:
     """Replace null or blank ``column`` by the last value above it within ``keys``."""
     keys = list(keys)
-    blocked = df.withColumn(column, F.nullif(F.trim(column), F.lit(""))).withColumn("_block", block)
+    blocked = _blocked(df.withColumn(column, F.nullif(F.trim(column), F.lit(""))), keys, order, block)
     carry = _carry(blocked, keys, order, F.col(column), before_only=False)
     inside = W.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     filled = blocked.join(carry, [*keys, "_block"]).withColumn(
@@ -118,11 +140,11 @@ def forward_fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], block
 
 
 def previous(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column, column: str, out: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column | None, column: str, out: str
 ) -> DataFrame:
     """Value of ``column`` in the row before, within ``keys``; null in the first row."""
     keys = list(keys)
-    blocked = df.withColumn("_block", block)
+    blocked = _blocked(df, keys, order, block)
     carry = _carry(blocked, keys, order, F.col(column), before_only=True)
     inside = W.partitionBy(*keys, "_block").orderBy(*order)
     joined = blocked.join(carry, [*keys, "_block"])

@@ -287,8 +287,7 @@ def size_format(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def layer_cumulative_size(spark: SparkSession, sf: str) -> DataFrame:
-    block = F.floor(F.col("l_orderkey") / 1_000_000)
-    return images.layer_table(fr.layers(spark, sf), fr.LAYER_ORDER, block)
+    return images.layer_table(fr.layers(spark, sf), fr.LAYER_ORDER)
 
 
 @query
@@ -308,7 +307,7 @@ def container_rules(spark: SparkSession, sf: str) -> DataFrame:
 def container_transitions(spark: SparkSession, sf: str) -> DataFrame:
     snaps = fr.container_snapshots(fr.table(spark, sf, "events"))
     sets = containers.rule_sets(snaps, list(fr.CONTAINER_KEYS))
-    out = containers.transitions(sets, "container_id", ["ts", "event_id"], F.to_date("ts"))
+    out = containers.transitions(sets, "container_id", ["ts", "event_id"])
     return out.select("container_id", "event_id", "rule_id", "change")
 
 
@@ -449,6 +448,11 @@ def top5_per_category(spark: SparkSession, sf: str) -> DataFrame:
     return replies.top_recommendations(_analyses(spark, sf))
 
 
+@query
+def top5_issues(spark: SparkSession, sf: str) -> DataFrame:
+    return replies.top_issues(_analyses(spark, sf))
+
+
 @query
 def model_call(spark: SparkSession, sf: str) -> DataFrame:
     """Prompts through a callable in Arrow batches; a stub stands in for the model."""
@@ -512,8 +516,9 @@ def run_metadata(spark: SparkSession, sf: str) -> DataFrame:
     out = work_dir(spark, "scorecard")
     sinks.write_scorecard(card, scorecard.run_metadata(card), out)
     good = scorecard.stage_success(spark.read.parquet(f"{out}/scores")).agg(F.count_if("success").alias("n_success"))
-    meta = spark.read.parquet(f"{out}/run_metadata").select("repo_count", "dockerfile_count", F.lit(1).alias("one"))
-    return meta.join(good.withColumn("one", F.lit(1)), "one").drop("one")
+    meta = spark.read.parquet(f"{out}/run_metadata").select("repo_count", "dockerfile_count")
+    both = meta.unionByName(good, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in ("repo_count", "dockerfile_count", "n_success")])
 
 
 # --- builds ------------------------------------------------------------------------------------
@@ -559,7 +564,7 @@ def taxonomy_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def relation_fill(spark: SparkSession, sf: str) -> DataFrame:
-    return labels.fill_relations(fr.relation_sheet(spark, sf), "row_no", 100_000)
+    return labels.fill_relations(fr.relation_sheet(spark, sf), "row_no")
 
 
 @query
@@ -598,7 +603,7 @@ def stream_finding_transitions(spark: SparkSession, sf: str) -> DataFrame:
     sets = containers.rule_sets(fr.container_snapshots(_stream(spark, sf, "events")), list(fr.CONTAINER_KEYS))
     base = work_dir(spark, "transitions")
     transitions.watch_transitions(
-        sets, f"{base}/out", f"{base}/state", f"{base}/checkpoint", "container_id", ["ts", "event_id"], F.to_date("ts")
+        sets, f"{base}/out", f"{base}/state", f"{base}/checkpoint", "container_id", ["ts", "event_id"], F.date_trunc("hour", "ts")
     ).awaitTermination()
     return spark.read.parquet(f"{base}/out").select("container_id", "event_id", "rule_id", "change")
 

@@ -841,6 +841,15 @@ _oracle(
       WHERE category <> 'other') WHERE rank <= 5""",
     "rec",
 )
+_oracle(
+    "top5_issues",
+    " UNION ALL ".join(
+        f"""SELECT id, '{name}' AS list_name, CAST(len({f}) AS INTEGER) AS n_total, CAST(unnest(range(1, len({f}[:5]) + 1)) AS INTEGER) AS rank,
+        unnest({f}[:5]) AS issue FROM analysis"""
+        for name, f in (("security_risks", "risks"), ("performance_issues", "perf"), ("optimization_opportunities", "opts"), ("best_practices_missing", "miss"))
+    ),
+    "analysis",
+)
 _cte(
     "score",
     "analysis",

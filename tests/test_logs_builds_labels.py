@@ -82,7 +82,7 @@ def test_taxonomy(spark):
 
 def test_relations(spark):
     df = spark.createDataFrame([(0, "a", "x"), (1, "", "y"), (2, None, "y"), (3, "b", "x")], "row_no int, left_label string, right_label string")
-    filled = labels.fill_relations(df, "row_no", 2)
+    filled = labels.fill_relations(df, "row_no", block=F.floor(F.col("row_no") / 2))
     assert [r.left_label for r in filled.orderBy("row_no").collect()] == ["a", "a", "a", "b"]
     assert {tuple(r) for r in labels.relation_counts(filled, "left_label", "right_label").collect()} == {("a", "x", 1), ("a", "y", 2), ("b", "x", 1)}
 

@@ -49,6 +49,18 @@ def test_previous(hot):
     same(skew.previous(rows, ["k"], ["pos"], F.floor(F.col("pos") / 50), "v", "b"), plain)
 
 
+def test_adaptive_block(spark, hot):
+    block = skew.adaptive_block(hot, ["k"], "pos", target_rows=100)
+    sizes = hot.groupBy("k", block.alias("b")).count()
+    assert 50 <= sizes.agg(F.max("count")).first()[0] <= 200
+    assert hot.select(skew.adaptive_block(hot, ["k"], "pos").alias("b")).distinct().count() == 1
+    timed = hot.select("k", F.timestamp_micros(F.col("pos") * 1_000_000).alias("t"))
+    assert timed.select(skew.adaptive_block(timed, ["k"], "t", 100).alias("b")).distinct().count() > 10
+    assert skew.adaptive_block(hot.limit(0), ["k"], "pos") is not None
+    w = W.partitionBy("k").orderBy("pos")
+    same(skew.previous(hot, ["k"], ["pos"], None, "v", "b"), hot.withColumn("b", F.lag("v").over(w)))
+
+
 def test_first_and_top(hot):
     w = W.partitionBy("k").orderBy("pos")
     plain = hot.withColumn("rank", F.row_number().over(w))
