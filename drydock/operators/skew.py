@@ -65,9 +65,9 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k:
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def adaptive_block(df: DataFrame, keys: Sequence[str], column: str, target_rows: int = BLOCK_ROWS) -> Column:
+def adaptive_block(df: DataFrame, keys: Sequence[str], column: str, target_rows: int = BLOCK_ROWS) -> Column | None:
     """A block number along ``column`` (numeric or time) that gives the largest key about
-    ``target_rows`` rows per block. When no key is larger than that, every key is one block.
+    ``target_rows`` rows per block. None when no key is larger than that: blocks are not needed.
 
     Costs one aggregation over the keys and the order column, with one row coming back.
     """
@@ -75,14 +75,11 @@ def adaptive_block(df: DataFrame, keys: Sequence[str], column: str, target_rows:
     value = F.unix_micros(F.col(column).cast("timestamp")) if kind in ("timestamp", "date") else F.col(column)
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi"))
     largest = per_key.orderBy(F.desc("n")).first()
-    if largest is None or largest["n"] <= target_rows:
-        return F.lit(0).cast("long")
+    if largest is None or largest["n"] <= target_rows or largest["lo"] is None:
+        return None
     width = max(1, int((largest["hi"] - largest["lo"]) * target_rows / largest["n"]))
-    return F.floor(value / width)
-
-
-def _blocked(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column | None) -> DataFrame:
-    return df.withColumn("_block", adaptive_block(df, keys, order[0]) if block is None else block)
+    # Nulls sort first, so they go below every block.
+    return F.coalesce(F.floor(value / width), F.lit(-(2**62)))
 
 
 def running(
@@ -96,7 +93,14 @@ def running(
 ) -> DataFrame:
     """Running sum of ``value``, and the 1-based row number, in ``order`` within ``keys``."""
     keys = list(keys)
-    blocked = _blocked(df, keys, order, block)
+    if block is None:
+        block = adaptive_block(df, keys, order[0])
+    if block is None:
+        w = W.partitionBy(*keys).orderBy(*order)
+        upto = w.rowsBetween(W.unboundedPreceding, 0)
+        out = df.withColumn(total, F.coalesce(F.sum(value).over(upto), F.lit(0)))
+        return out.withColumn(number, F.row_number().over(w).cast("long")) if number else out
+    blocked = df.withColumn("_block", block)
     sums = blocked.groupBy(*keys, "_block").agg(F.sum(value).alias("_t"), F.count(F.lit(1)).alias("_c"))
     before = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     offsets = sums.select(
@@ -107,22 +111,31 @@ def running(
     )
     inside = W.partitionBy(*keys, "_block").orderBy(*order)
     upto = inside.rowsBetween(W.unboundedPreceding, 0)
-    joined = blocked.join(offsets, [*keys, "_block"])
+    joined = _add_by_key(blocked, offsets, [*keys, "_block"])
     out = joined.withColumn(total, F.col("_base") + F.coalesce(F.sum(value).over(upto), F.lit(0)))
     if number:
         out = out.withColumn(number, F.col("_skip") + F.row_number().over(inside))
     return out.drop("_block", "_base", "_skip")
 
 
-def _carry(df: DataFrame, keys: list[str], order: Sequence[str], value: Column, before_only: bool) -> DataFrame:
-    """Per (keys, _block): the last non-null ``value`` in all earlier blocks, as ``_carry``.
+def _add_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join that keeps null keys, to a right side with one row per key."""
+    renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(renamed, same).drop(*[f"_r_{k}" for k in keys])
+
+
+def _carry(df: DataFrame, keys: list[str], order: Sequence[str], value: Column, skip_nulls: bool) -> DataFrame:
+    """Per (keys, _block): ``value`` of the last row in all earlier blocks, as ``_carry``.
 
-    ``before_only`` takes the value of the last row whatever it is, wrapped so that null counts.
+    ``skip_nulls`` takes the last row that has a value.
     """
-    pick = F.struct(*order)
-    last = df.filter(value.isNotNull()) if not before_only else df
-    per_block = last.groupBy(*keys, "_block").agg(F.max_by(F.struct(value.alias("v")), pick).alias("_last"))
-    blocks = df.select(*keys, "_block").distinct().join(per_block, [*keys, "_block"], "left") if not before_only else per_block
+    position = F.struct(*order)
+    if skip_nulls:
+        position = F.when(value.isNotNull(), position)
+    blocks = df.groupBy(*keys, "_block").agg(F.max_by(F.struct(value.alias("v")), position).alias("_last"))
     w = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     return blocks.select(*keys, "_block", F.last("_last", ignorenulls=True).over(w)["v"].alias("_carry"))
 
@@ -130,10 +143,16 @@ def _carry(df: DataFrame, keys: list[str], order: Sequence[str], value: Column,
 def forward_fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column | None, column: str) -> DataFrame:
     """Replace null or blank ``column`` by the last value above it within ``keys``."""
     keys = list(keys)
-    blocked = _blocked(df.withColumn(column, F.nullif(F.trim(column), F.lit(""))), keys, order, block)
-    carry = _carry(blocked, keys, order, F.col(column), before_only=False)
+    if block is None:
+        block = adaptive_block(df, keys, order[0])
+    blank = df.withColumn(column, F.nullif(F.trim(column), F.lit("")))
+    if block is None:
+        whole = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+        return blank.withColumn(column, F.last(column, ignorenulls=True).over(whole))
+    blocked = blank.withColumn("_block", block)
+    carry = _carry(blocked, keys, order, F.col(column), skip_nulls=True)
     inside = W.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    filled = blocked.join(carry, [*keys, "_block"]).withColumn(
+    filled = _add_by_key(blocked, carry, [*keys, "_block"]).withColumn(
         column, F.coalesce(F.last(column, ignorenulls=True).over(inside), F.col("_carry"))
     )
     return filled.drop("_block", "_carry")
@@ -144,10 +163,14 @@ def previous(
 ) -> DataFrame:
     """Value of ``column`` in the row before, within ``keys``; null in the first row."""
     keys = list(keys)
-    blocked = _blocked(df, keys, order, block)
-    carry = _carry(blocked, keys, order, F.col(column), before_only=True)
+    if block is None:
+        block = adaptive_block(df, keys, order[0])
+    if block is None:
+        return df.withColumn(out, F.lag(column).over(W.partitionBy(*keys).orderBy(*order)))
+    blocked = df.withColumn("_block", block)
+    carry = _carry(blocked, keys, order, F.col(column), skip_nulls=False)
     inside = W.partitionBy(*keys, "_block").orderBy(*order)
-    joined = blocked.join(carry, [*keys, "_block"])
+    joined = _add_by_key(blocked, carry, [*keys, "_block"])
     first = F.row_number().over(inside) == 1
     return joined.withColumn(
         out, F.when(first, F.col("_carry")).otherwise(F.lag(column).over(inside))
