@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.rows import hold
 from ..sources import snapshots
 
 # Line templates of the derived build files: text before and after a fragment of the document.
@@ -248,15 +249,17 @@ def layers(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("l_suppkey") % 5 == 3, F.concat(F.col("l_linenumber").cast("string"), F.lit(".25 GB")))
         .otherwise(F.concat(q, F.lit(" kB")))
     )
-    return table(spark, sf_dir, "lineitem").select(
+    made = table(spark, sf_dir, "lineitem").select(
         F.col("l_partkey").alias("image_id"),
         F.concat(F.lit("sha256:"), F.md5(F.concat_ws("-", "l_orderkey", "l_linenumber"))).alias("layer_id"),
         F.concat(F.lit("RUN   step "), F.col("l_returnflag"), F.lit("  "), F.repeat(F.lit("x"), (F.col("l_quantity") * 2).cast("int"))).alias("created_by"),
         F.when(F.col("l_linestatus") == "O", "cached").otherwise("").alias("comment"),
         F.when(F.col("l_linenumber") == 7, 0).otherwise(F.floor("l_extendedprice") * 10000).cast("long").alias("size_bytes"),
-        text.alias("size_text"),
+        text.alias("text"),
         *LAYER_ORDER,
     )
+    # The size text stands for a stored column: filters must not rebuild it.
+    return hold(made, [c for c in made.columns if c != "text"], F.col("text"), "size_text")
 
 
 def container_captures(rows: DataFrame) -> DataFrame:

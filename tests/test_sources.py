@@ -88,8 +88,8 @@ def test_pull_requests(spark, tmp_path):
 
 
 def test_sheets(spark, tmp_path):
-    (tmp_path / "ompl_Patterns.csv").write_text("ci/\n\n tests \n")
-    assert {tuple(r) for r in sheets.read_patterns(spark, str(tmp_path / "ompl_Patterns.csv")).collect()} == {("ompl", "ci/"), ("ompl", "tests")}
+    (tmp_path / "proj_Patterns.csv").write_text("ci/\n\n tests \n")
+    assert {tuple(r) for r in sheets.read_patterns(spark, str(tmp_path / "proj_Patterns.csv")).collect()} == {("proj", "ci/"), ("proj", "tests")}
     (tmp_path / "t.csv").write_text("Name;Frequency;Is New?\nA_b;3;YES\n")
     r = sheets.read_taxonomy(spark, str(tmp_path / "t.csv"), "bad").first()
     assert (r.label, r["levels"], r.freq, r.is_new) == ("A_b", ["A", "b"], 3, "YES")
