@@ -8,9 +8,8 @@ from decimal import Decimal
 
 import pytest
 
-import __spark_entry__ as entry
 from drydock.operators import lint, repos, rewrite, savings
-from drydock.plans import frames
+from drydock.plans import catalog, frames, oracle
 
 duckdb = pytest.importorskip("duckdb")
 SF = os.environ.get("DRYDOCK_TEST_TABLES", "/root/testdata/sf0.001")
@@ -33,12 +32,12 @@ def plain(value):
 
 
 @needs_tables
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(oracle.ORACLE))
 def test_query_equals_sql(spark, sql, name):
-    df = entry.queries()[name](spark, SF)
+    df = catalog.QUERIES[name](spark, SF)
     cols = sorted(df.columns)
     got = sorted((tuple(plain(r[c]) for c in cols) for r in df.collect()), key=str)
-    cur = sql.execute(entry.oracle_sql()[name])
+    cur = sql.execute(oracle.ORACLE[name])
     names = [d[0] for d in cur.description]
     assert sorted(names) == cols
     order = [names.index(c) for c in cols]
@@ -46,13 +45,13 @@ def test_query_equals_sql(spark, sql, name):
 
 
 @needs_tables
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(entry.oracle_sql())))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(oracle.ORACLE)))
 def test_query_without_sql_runs(spark, name):
-    assert entry.queries()[name](spark, SF).count() > 0
+    assert catalog.QUERIES[name](spark, SF).count() > 0
 
 
 def test_oracle_names_are_queries():
-    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(oracle.ORACLE) <= set(catalog.QUERIES)
 
 
 def plan_of(df):
@@ -72,7 +71,7 @@ def test_file_work_needs_no_shuffle(spark, tmp_path):
 @needs_tables
 def test_native_queries_use_no_python(spark):
     python = {"model_call", "stream_chunk_reassembly"}
-    light = [n for n in sorted(entry.queries()) if not n.startswith("stream_") and n not in python | {"stage_texts", "result_csv", "run_metadata"}]
+    light = [n for n in sorted(catalog.QUERIES) if not n.startswith("stream_") and n not in python | {"stage_texts", "result_csv", "run_metadata"}]
     for name in light:
-        plan = plan_of(entry.queries()[name](spark, SF))
+        plan = plan_of(catalog.QUERIES[name](spark, SF))
         assert not re.search("PythonUDF|EvalPython|InPandas|InArrow", plan), name
