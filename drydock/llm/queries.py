@@ -6,9 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .minhash import op2_circulant_minhash
 from .quality_rules import op1_compression_bands
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_compression_bands": op1_compression_bands,
+    "op2_circulant_minhash": op2_circulant_minhash,
 }
-ORACLE: dict[str, str] = {}
+
+_NEAR_DUPLICATES = """
+with recursive w as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') ws
+  from documents),
+s as (
+  select distinct doc_id, unnest(
+    case when len(ws) = 0 then []
+         when len(ws) < 4 then [array_to_string(ws, ' ')]
+         else list_transform(range(1, len(ws) - 2), i -> array_to_string(ws[i:i+3], ' ')) end) sh
+  from w),
+n as (select doc_id, count(*) n from s group by doc_id),
+p as (select a.doc_id a, b.doc_id b, count(*) c from s a join s b on a.sh = b.sh and a.doc_id <> b.doc_id group by 1, 2),
+e as (
+  select a, b from p join n x on x.doc_id = p.a join n y on y.doc_id = p.b
+  where 100 * c >= 80 * (x.n + y.n - c)),
+r(a, b) as (select a, b from e union select r.a, e.b from r join e on r.b = e.a)
+select w.doc_id, coalesce(any_value(n.n), 0)::bigint n_shingles,
+  least(w.doc_id, coalesce(min(r.b), w.doc_id)) component_id,
+  w.doc_id = least(w.doc_id, coalesce(min(r.b), w.doc_id)) kept
+from w left join n using (doc_id) left join r on r.a = w.doc_id group by w.doc_id
+"""
+
+ORACLE: dict[str, str] = {"op2_circulant_minhash": _NEAR_DUPLICATES}
