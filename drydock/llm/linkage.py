@@ -1,8 +1,8 @@
 """Links between similar items: buckets, exact confirmation, and components by distributed union-find.
 
 Items are compared only inside buckets, and never all with all: in each round a bucket's leaders meet
-its other members. The first round's leader is the smallest id. A later round takes leaders from the
-smallest component that the bucket still holds; a leader that has met everyone outside its component
+its other members. The first round's leader is the smallest id. A later round takes leaders from outside the
+largest component that the bucket still holds; a leader that has met everyone outside its component
 leaves the bucket. The rounds end when every bucket holds one component, so no pair that shares a
 bucket and lies in two components stays unchecked.
 
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
-#: Leaders that a bucket sends out in one round after the first.
-LEADERS = 32
+#: Pairs that a bucket may send out in a round after the first, and leaders that it may send in any case.
+ROUND_PAIRS, LEADERS = 1 << 16, 32
 #: 64-bit words of a membership bitmap: the bound of what is broadcast, whatever the number of keys.
 BITMAP_WORDS = 1 << 17
 
@@ -78,38 +78,43 @@ def _stars(members: DataFrame) -> DataFrame:
     return members.join(lead, "bucket").filter("id <> a").select("a", F.col("id").alias("b")).distinct()
 
 
-def _next_leaders(open_: DataFrame) -> DataFrame:
-    """``bucket, id, component`` of up to ``LEADERS`` members of each bucket's smallest component."""
+def _next_leaders(open_: DataFrame, turn: int) -> DataFrame:
+    """``bucket, a, ca``: members outside their bucket's largest component, the first and a hashed share of the others."""
     sizes = open_.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    least = sizes.groupBy("bucket").agg(F.min(F.struct("n", "component")).alias("s"))
-    of_least = open_.join(least, "bucket").filter(F.col("component") == F.col("s.component"))
-    ranked = of_least.withColumn("r", F.expr("row_number() over (partition by bucket order by id)"))
-    return ranked.filter(F.col("r") <= LEADERS).select("bucket", "id", "component")
+    total = sizes.groupBy("bucket").agg(F.sum("n").alias("total"), F.max(F.struct("n", "component")).alias("most"))
+    outside = open_.join(total, "bucket").filter(F.col("component") != F.col("most.component"))
+    first = outside.groupBy("bucket").agg(F.min("id").alias("first"))
+    wanted = F.greatest(F.lit(LEADERS), F.lit(ROUND_PAIRS) / F.col("total"))
+    turned = F.pmod(F.xxhash64("id", F.lit(turn)), F.col("total") - F.col("most.n")) < wanted
+    chosen = outside.join(first, "bucket").filter((F.col("id") == F.col("first")) | turned)
+    return chosen.select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"))
 
 
-def linked(members: DataFrame, confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked(members: DataFrame, prepare: Callable[[DataFrame], Callable[[DataFrame], DataFrame]]) -> DataFrame:
     """``id, component`` of the ids that are linked with another one.
 
-    ``members``: ``bucket, id``, one row per pair. ``confirm`` takes distinct pairs ``(a, b)`` and returns
-    those that are similar.
+    ``members``: ``bucket, id``, one row per pair. ``prepare`` takes the ids that may ever be compared (column
+    ``id``) and returns a function from distinct pairs ``(a, b)`` to those that are similar.
     """
-    crowded = members.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo <> hi")
-    members = stored(members.join(crowded.select("bucket"), "bucket", "left_semi"), "buckets")
+    crowded = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    crowded = stored(crowded, "crowded")
+    members = stored(maybe_in(members, "bucket", crowded).join(crowded, "bucket", "left_semi"), "buckets")
+    confirm = prepare(stored(members.select("id").distinct(), "ids"))
     edges = stored(confirm(_stars(members)), "links")
     comps = components(edges)
-    open_ = members
+    open_, turn = members, 0
     while True:
         held = _labelled(open_.select("bucket", "id"), comps)
         mixed = held.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
         open_ = stored(held.join(mixed.select("bucket"), "bucket", "left_semi"), "open")
         if open_.isEmpty():
             return comps
-        lead = stored(_next_leaders(open_), "leaders")
-        named = lead.select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"))
-        pairs = open_.join(named, "bucket").filter("component <> ca")
+        turn += 1
+        lead = stored(_next_leaders(open_, turn), "leaders")
+        pairs = open_.join(lead, "bucket").filter("component <> ca")
         found = confirm(pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct())
         found = stored(found, "links")
         if not found.isEmpty():
             edges = edges.unionByName(found)
             comps = components(edges)
-        open_ = open_.join(lead.select("bucket", "id"), ["bucket", "id"], "left_anti")
+        open_ = open_.join(lead.select("bucket", F.col("a").alias("id")), ["bucket", "id"], "left_anti")

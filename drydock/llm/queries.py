@@ -23,7 +23,7 @@ s as (
   select distinct doc_id, unnest(
     case when len(ws) = 0 then []
          when len(ws) < 4 then [array_to_string(ws, ' ')]
-         else list_transform(range(1, len(ws) - 2), i -> array_to_string(ws[i:i+3], ' ')) end) sh
+         else list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i+3], ' ')) end) sh
   from w),
 n as (select doc_id, count(*) n from s group by doc_id),
 p as (select a.doc_id a, b.doc_id b, count(*) c from s a join s b on a.sh = b.sh and a.doc_id <> b.doc_id group by 1, 2),

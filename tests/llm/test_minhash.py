@@ -87,7 +87,7 @@ def test_later_rounds_find_links_that_the_first_leader_lacks(spark):
     links = {(2, 3), (4, 5), (3, 4)}
     members = spark.createDataFrame([(1, i) for i in range(1, 6)], "bucket long, id long")
     truth = spark.createDataFrame(sorted(links), "a long, b long")
-    got = linkage.linked(members, lambda pairs: pairs.join(truth, ["a", "b"]))
+    got = linkage.linked(members, lambda ids: lambda pairs: pairs.join(truth, ["a", "b"]))
     assert sorted(map(tuple, got.collect())) == [(2, 2), (3, 2), (4, 2), (5, 2)]
 
 
