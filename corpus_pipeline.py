@@ -7,17 +7,44 @@ written to the shared folder and read back, so none is computed twice.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from drydock.llm import common
-from drydock.llm import quality_rules
+from drydock.llm import common, decontamination, line_dedup, minhash, packing, quality_rules
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents outside the compression bands go."""
+    """Documents that fail the base rules or lie outside the compression bands go."""
     return quality_rules.keep_good(docs)
 
 
-STAGES = [("quality", quality)]
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of similar lines the first stays; a document of which no line stays goes."""
+    left = line_dedup.remove_repeats(docs)
+    return left.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest id stays."""
+    return minhash.keep_first(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents into which a benchmark item leaks go."""
+    return decontamination.keep_clean(docs, common.table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of every piece of the documents that are left."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality", quality),
+    ("lines", lines),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminate),
+    ("packed", packed),
+]
 
 #: Compression and token ids have no SQL form; the tests hold the stages against brute force.
 ORACLE_SQL = None

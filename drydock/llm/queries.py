@@ -6,12 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import op3_string_tiling
+from .line_dedup import op4_fuzzy_lines
 from .minhash import op2_circulant_minhash
+from .packing import op8_linear_grouping
 from .quality_rules import op1_compression_bands
+from .warc import op10_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_compression_bands": op1_compression_bands,
     "op2_circulant_minhash": op2_circulant_minhash,
+    "op3_string_tiling": op3_string_tiling,
+    "op4_fuzzy_lines": op4_fuzzy_lines,
+    "op8_linear_grouping": op8_linear_grouping,
+    "op10_warc": op10_warc,
 }
 
 _NEAR_DUPLICATES = """
@@ -37,4 +45,18 @@ select w.doc_id, coalesce(any_value(n.n), 0)::bigint n_shingles,
 from w left join n using (doc_id) left join r on r.a = w.doc_id group by w.doc_id
 """
 
-ORACLE: dict[str, str] = {"op2_circulant_minhash": _NEAR_DUPLICATES}
+_ARCHIVES = """
+with p as (
+  select page_id, url, octet_length(encode(coalesce(html, ''))) size, sha1(coalesce(html, '')) hex from pages),
+g as (select hex, size, max(page_id) keeper from p group by all),
+b as (select p.*, g.keeper, cast(unhex(p.hex) as bit)::varchar bits from p join g using (hex, size))
+select page_id, size::bigint payload_bytes,
+  array_to_string(list_transform(range(0, 160, 5),
+    lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + list_sum(list_transform(range(0, 5), lambda j: cast(substr(bits, cast(i + j + 1 as int), 1) as int) * (16 >> j::int)))::int, 1)), '') payload_digest,
+  case when page_id = keeper then 'response' else 'revisit' end record_type,
+  case when page_id <> keeper then keeper end refers_to, coalesce(url, '') url
+from b
+"""
+
+ORACLE: dict[str, str] = {"op2_circulant_minhash": _NEAR_DUPLICATES, "op10_warc": _ARCHIVES}
