@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import op3_string_tiling
+from .language_id import op6_subword_language
 from .line_dedup import op4_fuzzy_lines
 from .minhash import op2_circulant_minhash
 from .packing import op8_linear_grouping
+from .quality_classifier import op7_additive_quality
 from .quality_rules import op1_compression_bands
 from .warc import op10_warc
 
@@ -18,6 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_circulant_minhash": op2_circulant_minhash,
     "op3_string_tiling": op3_string_tiling,
     "op4_fuzzy_lines": op4_fuzzy_lines,
+    "op6_subword_language": op6_subword_language,
+    "op7_additive_quality": op7_additive_quality,
     "op8_linear_grouping": op8_linear_grouping,
     "op10_warc": op10_warc,
 }
