@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy step handles; a longer single text makes a step of its own.
 STEP_BYTES = 1 << 21
+#: Texts that go to a Python worker at a time while a table is stored.
+ARROW_ROWS = 2000
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 _PRIME = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _U = np.uint64
 
@@ -42,9 +45,15 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: it is computed once and survives lost executors."""
-    folder = new_folder(df.sparkSession, label)
-    df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    spark = df.sparkSession
+    folder = new_folder(spark, label)
+    rows = int(spark.conf.get(_ARROW_ROWS))
+    spark.conf.set(_ARROW_ROWS, str(min(rows, ARROW_ROWS) if rows > 0 else ARROW_ROWS))
+    try:
+        df.write.parquet(folder)
+    finally:
+        spark.conf.set(_ARROW_ROWS, str(rows))
+    return spark.read.schema(df.schema).parquet(folder)
 
 
 def fold_of(column: str, n: int) -> Column:

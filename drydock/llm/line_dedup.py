@@ -120,6 +120,17 @@ def _similar(size: int, percent: int):
     return run
 
 
+def alike_lines(size: int, percent: int):
+    """Whether one line is similar enough to each of many."""
+
+    def alike(one: pa.Scalar, others: list[pa.Scalar]) -> list[bool]:
+        x = char_set(one.as_py(), size)
+        sets = [char_set(y.as_py(), size) for y in others]
+        return [100 * len(x & y) >= percent * len(x | y) for y in sets]
+
+    return alike
+
+
 def line_classes(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -148,13 +159,13 @@ def line_classes(
         text = c.stored(text.select("place", trimmed.alias("l")), "candidates")
         typed = f"struct<doc:{kind},line:int>"
 
-        def confirm(pairs: DataFrame) -> DataFrame:
+        def similar(pairs: DataFrame) -> DataFrame:
             both = pairs.join(text.select(F.col("place").alias("a"), F.col("l").alias("ta")), "a")
             both = both.join(text.select(F.col("place").alias("b"), F.col("l").alias("tb")), "b")
             both = both.select("a", "b", "ta", "tb")
             return both.mapInArrow(_similar(size, percent), f"a {typed}, b {typed}").distinct()
 
-        return confirm
+        return linkage.Compare(similar, text.select(F.col("place").alias("id"), F.col("l").alias("v")), alike_lines(size, percent))
 
     comps = linkage.linked(members, prepare)
     reps = folded.select("k1", "k2", "rep").join(comps.withColumnRenamed("id", "rep"), "rep", "left")

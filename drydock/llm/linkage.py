@@ -1,25 +1,27 @@
 """Links between similar items: buckets, exact confirmation, and components by distributed union-find.
 
-Items are compared only inside buckets, and never all with all: in each round a bucket's leaders meet
-its other members. The first round's leader is the smallest id. A later round takes leaders from outside the
-largest component that the bucket still holds; a leader that has met everyone outside its component
-leaves the bucket. The rounds end when every bucket holds one component, so no pair that shares a
-bucket and lies in two components stays unchecked.
+Items are compared only inside buckets, and never all with all. First each bucket's smallest id meets the others.
+What is then left to settle are buckets that hold several components; there, members outside the largest
+component meet the members of other components: as pairs if they are few, else in blocks of about
+``BLOCK`` items, two blocks to a row, whose items are compared inside the task that gets the row. So no
+pair that shares a bucket and lies in two components stays unchecked, and what moves grows with the number of members.
 
-``id`` may be any orderable type. Tables between rounds are written to the shared folder.
+``id`` may be any orderable type. Tables between the steps are written to the shared folder.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import stored
 
-#: Pairs that a bucket may send out in a round after the first, and leaders that it may send in any case.
-ROUND_PAIRS, LEADERS = 1 << 16, 32
+#: Most pairs of a bucket that are compared as rows, and items of a block beyond that.
+FEW_PAIRS, BLOCK = 256, 64
 #: 64-bit words of a membership bitmap: the bound of what is broadcast, whatever the number of keys.
 BITMAP_WORDS = 1 << 17
 
@@ -78,43 +80,81 @@ def _stars(members: DataFrame) -> DataFrame:
     return members.join(lead, "bucket").filter("id <> a").select("a", F.col("id").alias("b")).distinct()
 
 
-def _next_leaders(open_: DataFrame, turn: int) -> DataFrame:
-    """``bucket, a, ca``: members outside their bucket's largest component, the first and a hashed share of the others."""
-    sizes = open_.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-    total = sizes.groupBy("bucket").agg(F.sum("n").alias("total"), F.max(F.struct("n", "component")).alias("most"))
-    outside = open_.join(total, "bucket").filter(F.col("component") != F.col("most.component"))
-    first = outside.groupBy("bucket").agg(F.min("id").alias("first"))
-    wanted = F.greatest(F.lit(LEADERS), F.lit(ROUND_PAIRS) / F.col("total"))
-    turned = F.pmod(F.xxhash64("id", F.lit(turn)), F.col("total") - F.col("most.n")) < wanted
-    chosen = outside.join(first, "bucket").filter((F.col("id") == F.col("first")) | turned)
-    return chosen.select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"))
+@dataclass
+class Compare:
+    """How items are compared.
 
+    ``pairs``: from distinct pairs ``(a, b)`` to those that are similar. ``items``: ``id, v``, what is compared.
+    ``alike``: from one value and many others to one truth value for each of them.
+    """
 
-def linked(members: DataFrame, prepare: Callable[[DataFrame], Callable[[DataFrame], DataFrame]]) -> DataFrame:
+    pairs: Callable[[DataFrame], DataFrame]
+    items: DataFrame
+    alike: Callable[[object, list], list[bool]]
+
+
+def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
+    """``bucket, id, component, total, inside`` of the buckets with several components; ``inside``: in their largest."""
+    held = _labelled(members.select("bucket", "id"), comps)
+    sizes = held.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    total = sizes.groupBy("bucket").agg(F.sum("n").alias("total"), F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("kinds"))
+    mixed = held.join(total.filter("kinds > 1"), "bucket")
+    return mixed.select("bucket", "id", "component", "total", F.col("most.n").alias("n_inside"), (F.col("component") == F.col("most.component")).alias("inside"))
+
+
+def _met_in_blocks(alike: Callable[[object, list], list[bool]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                left, right = batch.column("left")[k].values, batch.column("right")[k].values
+                (ia, ca, va), (ib, cb, vb) = ((x.field("id"), x.field("component").to_pylist(), x.field("v")) for x in (left, right))
+                values = [vb[j] for j in range(len(vb))]
+                found: list[tuple[int, int]] = []
+                for i in range(len(va)):
+                    others = [j for j in range(len(values)) if cb[j] != ca[i]]
+                    if others:
+                        found += [(i, j) for j, yes in zip(others, alike(va[i], [values[j] for j in others]), strict=True) if yes]
+                if found:
+                    a, b = (pa.array(x, pa.int32()) for x in zip(*found, strict=True))
+                    yield pa.RecordBatch.from_arrays([ia.take(a), ib.take(b)], ["a", "b"])
+
+    return run
+
+
+def _links_in_blocks(open_: DataFrame, compare: Compare) -> DataFrame:
+    count = F.greatest(F.lit(1), F.ceil(F.when(F.col("inside"), F.col("n_inside")).otherwise(F.col("total") - F.col("n_inside")) / BLOCK))
+    placed = open_.withColumn("block", F.pmod(F.xxhash64("id"), count))
+    item = F.struct("id", "component", "v")
+    blocks = placed.join(compare.items, "id").groupBy("bucket", "inside", "block").agg(F.collect_list(item).alias("of"))
+    blocks = stored(blocks, "blocks")
+    left = blocks.filter("not inside").select("bucket", F.col("block").alias("lb"), F.col("of").alias("left"))
+    right = blocks.select("bucket", "inside", F.col("block").alias("rb"), F.col("of").alias("right"))
+    met = left.join(right, "bucket").filter("inside or lb <= rb").select("left", "right")
+    kind = compare.items.schema["id"].dataType.simpleString()
+    return met.mapInArrow(_met_in_blocks(compare.alike), f"a {kind}, b {kind}").distinct()
+
+
+def linked(members: DataFrame, prepare: Callable[[DataFrame], Compare]) -> DataFrame:
     """``id, component`` of the ids that are linked with another one.
 
-    ``members``: ``bucket, id``, one row per pair. ``prepare`` takes the ids that may ever be compared (column
-    ``id``) and returns a function from distinct pairs ``(a, b)`` to those that are similar.
+    ``members``: ``bucket, id``, one row per pair. ``prepare`` takes the ids that may ever be compared (column ``id``).
     """
     crowded = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
     crowded = stored(crowded, "crowded")
     members = stored(maybe_in(members, "bucket", crowded).join(crowded, "bucket", "left_semi"), "buckets")
-    confirm = prepare(stored(members.select("id").distinct(), "ids"))
-    edges = stored(confirm(_stars(members)), "links")
+    compare = prepare(stored(members.select("id").distinct(), "ids"))
+    edges = stored(compare.pairs(_stars(members)), "links")
     comps = components(edges)
-    open_, turn = members, 0
-    while True:
-        held = _labelled(open_.select("bucket", "id"), comps)
-        mixed = held.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-        open_ = stored(held.join(mixed.select("bucket"), "bucket", "left_semi"), "open")
-        if open_.isEmpty():
-            return comps
-        turn += 1
-        lead = stored(_next_leaders(open_, turn), "leaders")
-        pairs = open_.join(lead, "bucket").filter("component <> ca")
-        found = confirm(pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct())
-        found = stored(found, "links")
-        if not found.isEmpty():
-            edges = edges.unionByName(found)
-            comps = components(edges)
-        open_ = open_.join(lead.select("bucket", F.col("a").alias("id")), ["bucket", "id"], "left_anti")
+
+    open_ = stored(_open(members, comps).withColumn("few", (F.col("total") - F.col("n_inside")) * F.col("total") <= FEW_PAIRS), "open")
+    few = open_.filter("few")
+    lead = few.filter("not inside").select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"))
+    pairs = few.join(lead, "bucket").filter("component <> ca")
+    found = compare.pairs(pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct())
+    edges = stored(edges.unionByName(found), "links")
+    many = open_.filter("not few").select("bucket", "id")
+    comps = components(edges)
+    if many.isEmpty():
+        return comps
+    open_ = stored(_open(many, comps), "open")
+    return components(edges.unionByName(_links_in_blocks(open_, compare)))

@@ -101,12 +101,28 @@ def _sets(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in c.slices(batches, "t"):
             v, before = shingle_sets(part.column("t"), n)
-            lists = pa.ListArray.from_arrays(pa.array(before, pa.int32()), pa.array(v.view(np.int64)))
+            signed, _ = c.distinct_in_rows(v.view(np.int64), before)
+            lists = pa.ListArray.from_arrays(pa.array(before, pa.int32()), pa.array(signed))
             yield pa.RecordBatch.from_arrays([part.column("id"), lists], ["id", "s"])
 
     return run
 
 
+def alike_sets(percent: int):
+    """Whether one sorted set is similar enough to each of many."""
+
+    def alike(one: pa.Scalar, others: list[pa.Scalar]) -> list[bool]:
+        x = one.values.to_numpy()
+        parts = [y.values.to_numpy() for y in others]
+        size = np.array([len(y) for y in parts])
+        flat = np.concatenate(parts)
+        at = np.minimum(np.searchsorted(x, flat), len(x) - 1)
+        both = np.add.reduceat((x[at] == flat).astype(np.int64), np.concatenate([[0], np.cumsum(size)[:-1]]))
+        return (100 * both >= percent * (size + len(x) - both)).tolist()
+
+    return alike
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -132,7 +148,7 @@ def near_duplicates(
         sets = linkage.maybe_in(texts, "id", ids).mapInArrow(_sets(shingle), f"id {kind}, s array<long>")
         sets = c.stored(sets, "sets")
 
-        def confirm(pairs: DataFrame) -> DataFrame:
+        def similar(pairs: DataFrame) -> DataFrame:
             both = pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
             both = both.join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b")
             small, large = F.least(F.size("sa"), F.size("sb")), F.greatest(F.size("sa"), F.size("sb"))
@@ -140,7 +156,7 @@ def near_duplicates(
             alike = (100 * small >= percent * large) & (100 * shared >= percent * (small + large - shared))
             return both.filter(alike).select("a", "b").distinct()
 
-        return confirm
+        return linkage.Compare(similar, sets.withColumnRenamed("s", "v"), alike_sets(percent))
 
     comps = linkage.linked(members, prepare)
     reps = folded.select("n", "k1", "k2", "rep").join(comps.withColumnRenamed("id", "rep"), "rep", "left")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontamination import op3_string_tiling
 from .language_id import op6_subword_language
 from .line_dedup import op4_fuzzy_lines
+from .lm_scoring import op9_maximum_entropy
 from .minhash import op2_circulant_minhash
 from .packing import op8_linear_grouping
 from .quality_classifier import op7_additive_quality
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_subword_language": op6_subword_language,
     "op7_additive_quality": op7_additive_quality,
     "op8_linear_grouping": op8_linear_grouping,
+    "op9_maximum_entropy": op9_maximum_entropy,
     "op10_warc": op10_warc,
 }
 

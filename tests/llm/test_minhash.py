@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
+import pytest
 
 from drydock.llm import linkage, minhash
 
@@ -14,7 +15,7 @@ def shingles(text, n):
     return frozenset(tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1)))
 
 
-def brute(rows, n):
+def brute(rows, n, percent=80):
     sets = {i: shingles(t, n) for i, t in rows}
     root = {i: i for i in sets}
 
@@ -27,7 +28,7 @@ def brute(rows, n):
     for k, a in enumerate(ids):
         for b in ids[:k]:
             both = len(sets[a] & sets[b])
-            if both and 100 * both >= 80 * len(sets[a] | sets[b]):
+            if both and 100 * both >= percent * len(sets[a] | sets[b]):
                 x, y = sorted((find(a), find(b)))
                 root[y] = x
     return sorted((i, len(sets[i]), find(i), find(i) == i) for i in ids)
@@ -82,13 +83,29 @@ def test_coordinates_estimate_similarity():
     assert abs((sig[0] == sig[1]).mean() - 800 / 1200) < 0.08
 
 
-def test_later_rounds_find_links_that_the_first_leader_lacks(spark):
-    """Bucket 1 holds 1 2 3 4 5; only 2-3 and 4-5 are similar, then 3-4."""
-    links = {(2, 3), (4, 5), (3, 4)}
-    members = spark.createDataFrame([(1, i) for i in range(1, 6)], "bucket long, id long")
+@pytest.mark.parametrize("few", [256, 0])
+def test_links_that_the_first_member_lacks(spark, monkeypatch, few):
+    """Bucket 1 holds 1 to 150; the only links are 2-3, 4-5, 3-4 and 149-150, as pairs and in blocks."""
+    monkeypatch.setattr(linkage, "FEW_PAIRS", few)
+    links = {(2, 3), (4, 5), (3, 4), (149, 150)}
+    n = 6 if few else 150
+    members = spark.createDataFrame([(1, i) for i in range(1, n + 1)], "bucket long, id long")
     truth = spark.createDataFrame(sorted(links), "a long, b long")
-    got = linkage.linked(members, lambda ids: lambda pairs: pairs.join(truth, ["a", "b"]))
-    assert sorted(map(tuple, got.collect())) == [(2, 2), (3, 2), (4, 2), (5, 2)]
+    items = members.selectExpr("id", "id as v")
+
+    def alike(one, others):
+        return [(min(p), max(p)) in links for p in ((one.as_py(), y.as_py()) for y in others)]
+
+    got = linkage.linked(members, lambda ids: linkage.Compare(lambda pairs: pairs.join(truth, ["a", "b"]), items, alike))
+    assert sorted(map(tuple, got.collect())) == [(2, 2), (3, 2), (4, 2), (5, 2)] + ([] if few else [(149, 149), (150, 149)])
+
+
+@pytest.mark.parametrize("few", [256, 0])
+def test_blocks_equal_brute_force(spark, monkeypatch, few):
+    monkeypatch.setattr(linkage, "FEW_PAIRS", few)
+    rows = corpus(11)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, minhash.near_duplicates(df, shingle=4, percent=60).collect())) == brute(rows, 4, 60)
 
 
 def test_components_of_a_path_and_a_star(spark):
