@@ -14,6 +14,7 @@ from .minhash import op2_circulant_minhash
 from .packing import op8_linear_grouping
 from .quality_classifier import op7_additive_quality
 from .quality_rules import op1_compression_bands
+from .token_files import op5_context_mixing
 from .warc import op10_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_circulant_minhash": op2_circulant_minhash,
     "op3_string_tiling": op3_string_tiling,
     "op4_fuzzy_lines": op4_fuzzy_lines,
+    "op5_context_mixing": op5_context_mixing,
     "op6_subword_language": op6_subword_language,
     "op7_additive_quality": op7_additive_quality,
     "op8_linear_grouping": op8_linear_grouping,
