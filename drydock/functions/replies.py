@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .text import contains_any, count_of, let, strip
 
-# The reply fields, their defaults, and the salvage window in characters.
+# The reply fields and their defaults.
 LIST_FIELDS = (
     "security_risks",
     "performance_issues",
@@ -17,10 +17,9 @@ LIST_FIELDS = (
 )
 NUMBER_DEFAULTS = {"estimated_wasted_space_kb": 0.0, "complexity_score": 5.0, "maintainability_score": 5.0}
 SALVAGE_FIELDS = ("security_risks", "performance_issues")
-SALVAGE_WINDOW = 2000
 ERROR_PREFIXES = ("LLM API error:", "Error:")
 RECOMMENDATION = "array<struct<category:string,severity:string,message:string,instruction_line:int>>"
-# Words that mark an issue text as being about image size (lower-case search, as listed).
+# Words that mark an issue text as being about image size (lower-case search, as listed).
 SIZE_WORDS = (
     "size", "layer", "cache", "no-cache", "multi-stage",
     "apt-get clean", "rm -rf /var/lib/apt/lists",
@@ -28,6 +27,7 @@ SIZE_WORDS = (
     "reduce", "smaller", "minimize", "compress",
 )
 FENCE = "```"
+# Words of a build file without a FROM line.
 FALLBACK_WORDS = ("FROM", "RUN", "COPY", "ADD", "WORKDIR")
 
 
@@ -95,8 +95,8 @@ def brace_walk(text: Column) -> Column:
     return F.when(text.startswith("{"), _first_close(text, "{", "}"))
 
 
-def salvage_tail(raw: Column, field: str, window: int | None = SALVAGE_WINDOW) -> Column:
-    """Reply text from the ``[`` that follows the field name on, or null."""
+def salvage_tail(raw: Column, field: str, window: int | None = None) -> Column:
+    """Reply text from the ``[`` that follows the field name on, or null; ``window`` limits its length."""
     mark = f'"{field}"'
 
     def from_bracket(after: Column) -> Column:

@@ -40,6 +40,11 @@ def split_lines(text: Column) -> Column:
     return F.split(text, LINE_BREAK)
 
 
+def text_lines(text: Column) -> Column:
+    """As ``split_lines``, but a line break at the end of a text does not open another line."""
+    return let(split_lines(text), lambda l: F.when(F.element_at(l, -1) == "", F.slice(l, F.lit(1), F.size(l) - 1)).otherwise(l))
+
+
 def drop_last_char(text: Column) -> Column:
     return F.substring(text, F.lit(1), F.length(text) - 1)
 

@@ -50,12 +50,12 @@ def rule_sets(containers: DataFrame, keys: list[str]) -> DataFrame:
     return containers.select(*keys, F.array_sort(F.filter(ids, lambda r: r != "container_ok")).alias("rule_ids"))
 
 
-def transitions(snapshots: DataFrame, subject: str, order: list[str], block: Column | None = None) -> DataFrame:
+def transitions(snapshots: DataFrame, subject: str, order: list[str]) -> DataFrame:
     """``subject, order, rule_id, change``: what opened or closed since the snapshot before.
 
     ``snapshots`` carries ``rule_ids``. The first snapshot of a subject opens all its findings.
     """
-    compared = previous(snapshots, [subject], order, block, "rule_ids", "_before")
+    compared = previous(snapshots, [subject], order, "rule_ids", "_before")
     return _changes(compared, [subject, *order], "_before")
 
 

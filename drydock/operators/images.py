@@ -157,13 +157,13 @@ def short_id(layer_id: Column) -> Column:
     )
 
 
-def layer_table(layers: DataFrame, order: list[str], block: Column | None = None) -> DataFrame:
+def layer_table(layers: DataFrame, order: list[str]) -> DataFrame:
     """Layers oldest first with their number and the size so far.
 
     ``layers(image_id, layer_id, created_by, comment, size_bytes)`` plus the ``order`` columns.
     """
     sized = layers.withColumn("size_bytes", F.coalesce("size_bytes", F.lit(0)))
-    out = running(sized, ["image_id"], order, block, "size_bytes", total="cumulative_bytes", number="layer_no")
+    out = running(sized, ["image_id"], order, "size_bytes", total="cumulative_bytes", number="layer_no")
     return out.select(
         "image_id",
         "layer_no",

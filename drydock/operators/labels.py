@@ -79,9 +79,9 @@ def relation_counts(pairs: DataFrame, left: str, right: str) -> DataFrame:
     return pairs.groupBy(left, right).agg(F.count("*").alias("occurrences"))
 
 
-def fill_relations(sheet: DataFrame, order: str, keys: Sequence[str] = (), block: Column | None = None) -> DataFrame:
+def fill_relations(sheet: DataFrame, order: str, keys: Sequence[str] = ()) -> DataFrame:
     """Edge list of a relation sheet whose blank left label means the label above."""
-    return forward_fill(sheet, list(keys), [order], block, "left_label")
+    return forward_fill(sheet, list(keys), [order], "left_label")
 
 
 def observed_bytes(text: Column) -> Column:

@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import paths
 from .rows import hold, unfold
-from .skew import first_per_key, fits_broadcast, lookup_join
+from .skew import first_per_key
 
 PR = ["project", "pnumber"]
-PATTERN_CHUNKS = 64
+LIST_LENGTH = 64
 
 
 def dedup_prs(prs: DataFrame, position: str = "pos") -> DataFrame:
@@ -24,19 +24,21 @@ def changed_files(diffs: DataFrame) -> DataFrame:
     return hold(lines, PR, paths.diff_header_path(F.col("line")), "path")
 
 
-def _pattern_lists(patterns: DataFrame) -> DataFrame | None:
-    """``project, patterns`` when the patterns measure small enough to broadcast, else None."""
-    used = _used(patterns)
-    if not fits_broadcast(used):
-        return None
-    return used.groupBy("project").agg(F.collect_set("pattern").alias("patterns"))
-
-
 def _used(patterns: DataFrame) -> DataFrame:
     """Distinct patterns; a blank one would match every path."""
     return patterns.select("project", F.trim("pattern").alias("pattern")).filter("pattern <> ''").distinct()
 
 
+def _pattern_lists(patterns: DataFrame) -> DataFrame:
+    """``project, patterns, n_lists``: the patterns of a project in lists of about ``LIST_LENGTH``."""
+    used = _used(patterns)
+    size = used.groupBy("project").agg(F.count("*").alias("n"))
+    chunk = F.pmod(F.xxhash64("pattern"), F.ceil(F.col("n") / LIST_LENGTH))
+    lists = used.join(size, "project").groupBy("project", chunk.alias("_chunk")).agg(F.collect_list("pattern").alias("patterns"))
+    n_lists = lists.groupBy("project").agg(F.count("*").alias("n_lists"))
+    return lists.drop("_chunk").join(n_lists, "project")
+
+
 def _has_pattern() -> Column:
     return F.exists("patterns", lambda p: F.col("path").contains(p))
 
@@ -44,41 +46,26 @@ def _has_pattern() -> Column:
 def matching_paths(files: DataFrame, patterns: DataFrame) -> DataFrame:
     """Counted paths that contain a pattern of their project, each (project, pnumber, path) row once.
 
-    Pattern lists are hand-kept, so they normally pass the size check and ride along as one array
-    per project. Beyond it a path meets the patterns of its project in arrays of bounded length.
+    A path meets the lists of its project, which for hand-kept patterns is one; only hits are made distinct.
     """
-    once = files.filter(paths.is_counted_path(F.col("path"))).select(*PR, "path").distinct()
-    lists = _pattern_lists(patterns)
-    if lists is not None:
-        return once.join(F.broadcast(lists), "project").filter(_has_pattern()).drop("patterns")
-    chunk = F.pmod(F.xxhash64("pattern"), F.lit(PATTERN_CHUNKS)).cast("int")
-    chunked = (
-        _used(patterns)
-        .withColumn("_chunk", chunk)
-        .groupBy("project", "_chunk")
-        .agg(F.collect_set("pattern").alias("patterns"))
-    )
-    spread = once.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(PATTERN_CHUNKS - 1))))
-    return lookup_join(spread, chunked, ["project", "_chunk"]).filter(_has_pattern()).select(*PR, "path").distinct()
+    counted = files.filter(paths.is_counted_path(F.col("path"))).select(*PR, "path")
+    return counted.join(_pattern_lists(patterns), "project").filter(_has_pattern()).select(*PR, "path").distinct()
 
 
 def file_evidence(files: DataFrame, patterns: DataFrame) -> DataFrame:
     """``project, pnumber, n_changed, is_candidate``: one row per PR with at least one changed file.
 
-    With broadcast patterns this is one pass and one shuffle of partial sums, one row per PR and
-    task, whatever the size of a PR.
+    Every file meets each list of its project once, so the rows of a PR are a multiple of its files. One
+    shuffle of partial sums, one row per PR and task, whatever the size of a PR.
     """
-    counted = paths.is_counted_path(F.col("path"))
-    lists = _pattern_lists(patterns)
-    if lists is not None:
-        tagged = files.join(F.broadcast(lists), "project", "left")
-        hit = paths.is_build_path(F.col("path")) | F.coalesce(_has_pattern(), F.lit(False))
-        return tagged.groupBy(*PR).agg(F.count("*").alias("n_changed"), F.bool_or(counted & hit).alias("is_candidate"))
-    per_path = files.groupBy(*PR, "path").agg(F.count("*").alias("n"))
-    hits = matching_paths(files, patterns).withColumn("by_pattern", F.lit(True))
-    tagged = per_path.join(hits, [*PR, "path"], "left")
-    hit = paths.is_build_path(F.col("path")) | F.coalesce("by_pattern", F.lit(False))
-    return tagged.groupBy(*PR).agg(F.sum("n").alias("n_changed"), F.bool_or(counted & hit).alias("is_candidate"))
+    tagged = files.join(_pattern_lists(patterns), "project", "left")
+    hit = paths.is_build_path(F.col("path")) | F.coalesce(_has_pattern(), F.lit(False))
+    summed = tagged.groupBy(*PR).agg(
+        F.count("*").alias("n"),
+        F.coalesce(F.max("n_lists"), F.lit(1)).alias("times"),
+        F.bool_or(paths.is_counted_path(F.col("path")) & hit).alias("is_candidate"),
+    )
+    return summed.select(*PR, (F.col("n") / F.col("times")).cast("long").alias("n_changed"), "is_candidate")
 
 
 def select_prs(prs: DataFrame, files: DataFrame, patterns: DataFrame, position: str = "pos") -> DataFrame:
@@ -108,15 +95,14 @@ def search_hits(pages: DataFrame, min_stars: int = 10) -> DataFrame:
 
 
 def container_commits(commit_files: DataFrame, repos: DataFrame | None = None, path_test: str | None = None) -> DataFrame:
-    """Sorted distinct URLs of commits that change, not add, a container file."""
+    """Distinct URLs of commits that change, not add, a container file; sinks and samples sort them."""
     touched = (
         F.lower("filename").contains("docker") if path_test is None else F.col("filename").rlike(paths.CONTAINER_PATH_TESTS[path_test])
     )
     kept = commit_files.filter(touched & (F.col("change_type") != "ADD"))
     if repos is not None:
-        kept = lookup_join(kept, repos.select("repo_url").distinct(), ["repo_url"], "left_semi")
-    urls = kept.select(paths.commit_url(F.col("repo_url"), F.col("sha")).alias("commit_url")).distinct()
-    return urls.orderBy("commit_url")
+        kept = kept.join(repos.select("repo_url").distinct(), "repo_url", "left_semi")
+    return kept.select(paths.commit_url(F.col("repo_url"), F.col("sha")).alias("commit_url")).distinct()
 
 
 def split_commit_urls(urls: DataFrame, column: str = "commit_url") -> DataFrame:

@@ -17,6 +17,7 @@ from .rows import hold, unfold
 
 # List lengths in the prompt.
 ISSUES_SHOWN, RECOMMENDATIONS_SHOWN = 10, 15
+NO_FIX = "No new build file in the reply"
 PROMPT_LISTS = (
     ("Security risks", "security_risks"),
     ("Performance issues", "performance_issues"),
@@ -96,7 +97,7 @@ def call_model(prompts: DataFrame, complete: Callable[[str], str], key: str = "f
     return prompts.select(key, "prompt").mapInPandas(run, schema)
 
 
-def normalise(responses: DataFrame, key: str = "id", window: int | None = rp.SALVAGE_WINDOW) -> DataFrame:
+def normalise(responses: DataFrame, key: str = "id", window: int | None = None) -> DataFrame:
     """``key, status, error, data``.
 
     ``status`` is ok, partial (only the salvaged lists are known), api_error or parse_error; ``data``
@@ -152,18 +153,27 @@ def succeeded(status: Column) -> Column:
     return status.isin("ok", "partial")
 
 
-def fixed_files(responses: DataFrame, originals: DataFrame, key: str = "file_id") -> DataFrame:
-    """``key, status, fixed``: the build file in each reply, kept when it is new and not blank."""
+def fixed_files(responses: DataFrame, originals: DataFrame, key: str = "file_id", errors: bool = False) -> DataFrame:
+    """``key, status, fixed``: the build file in each reply, kept when it is new and not blank.
+
+    New texts are told from the originals by their hashes, so only replies' own texts are carried.
+    ``errors`` adds ``fix_error``: what went wrong, if anything.
+    """
     lines = responses.select(
         key,
         rp.is_api_error(F.coalesce("raw", F.lit(""))).alias("api_error"),
         F.split(rp.without_fences(F.coalesce("raw", F.lit(""))), "\n").alias("lines"),
+        F.when(rp.is_api_error(F.coalesce("raw", F.lit(""))), F.col("raw")).alias("api_text"),
     )
-    extracted = lines.select(key, "api_error", rp.buildfile_lines(F.col("lines")).alias("fixed"))
-    joined = extracted.join(originals.select(key, "content"), key)
-    real = (F.col("fixed") != "") & (F.col("fixed") != F.col("content"))
+    extracted = lines.select(key, "api_error", "api_text", rp.buildfile_lines(F.col("lines")).alias("fixed"))
+    hashed = originals.select(key, F.sha2("content", 256).alias("_old"))
+    joined = extracted.withColumn("_new", F.sha2("fixed", 256)).join(hashed, key)
+    real = (F.col("fixed") != "") & (F.col("_new") != F.col("_old"))
     status = F.when(F.col("api_error"), F.lit("api_error")).when(real, F.lit("ok")).otherwise(F.lit("no_change"))
-    return joined.select(key, status.alias("status"), F.when(status == "ok", F.col("fixed")).alias("fixed"))
+    out = [key, status.alias("status"), F.when(status == "ok", F.col("fixed")).alias("fixed")]
+    if errors:
+        out.append(F.when(status == "api_error", F.col("api_text")).when(status == "no_change", F.lit(NO_FIX)).alias("fix_error"))
+    return joined.select(*out)
 
 
 def top_recommendations(analyses: DataFrame, k: int = 5, key: str = "id") -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import buildfile, paths
-from .skew import first_per_key, lookup_join
+from .skew import first_per_key
 
 
 def build_files(files: DataFrame) -> DataFrame:
@@ -32,19 +32,19 @@ def preferred_file(files: DataFrame, repo: str = "repo_id") -> DataFrame:
 def with_missing(repos: DataFrame, files: DataFrame, repo: str = "repo_id", columns: Sequence[str] = ("path",)) -> DataFrame:
     """Every build file with ``status`` ok, and one row per repository without any.
 
-    A left join as the union of the rows that match and the keys that do not: the file side, whose
-    key may be hot, then only meets keyed lookups.
+    A left join as the union of the rows that match and the keys that do not: both are joins that
+    adaptive execution splits when a key is hot.
     """
     repos = repos.select(repo).distinct()
     kept = files.select(repo, *columns)
-    found = lookup_join(kept, repos, [repo], "left_semi").withColumn("status", F.lit("ok"))
+    found = kept.join(repos, repo, "left_semi").withColumn("status", F.lit("ok"))
     empty = repos.join(files.select(repo).distinct(), repo, "left_anti").withColumn("status", F.lit("no_dockerfile"))
     return found.unionByName(empty, allowMissingColumns=True)
 
 
 def fresh_only(work: DataFrame, done: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rows whose key has not been processed yet."""
-    return lookup_join(work, done.select(*on).distinct(), on, "left_anti")
+    return work.join(done.select(*on).distinct(), list(on), "left_anti")
 
 
 def content_key(content: Column) -> Column:

@@ -2,9 +2,10 @@
 
 Ordered work over a key is done in blocks: the rows of one (key, block) are ordered in one task,
 per-block summaries are scanned over the few blocks of a key, and the two are joined on
-(key, block). The block must not decrease along the order: a range of the first order column, whose
-width is measured (``adaptive_block``) or given. It bounds the rows one task sorts, whatever the
-size of the key.
+(key, block). Blocks are cut at rows of the key that a hash of the whole order tuple picks, about one in
+``block_rows``: so they hold about that many rows wherever the key's rows lie along the order, for any
+orderable type, and the same ones when a task is run again. A key with few rows has no cut and one block.
+Rows that agree in the whole order tuple stay together; give an order that tells rows apart.
 """
 
 from __future__ import annotations
@@ -15,43 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 200_000
-MAX_BROADCAST_BYTES = 64 << 20
 BLOCK_ROWS = 1_000_000
-
-
-def fits_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
-    """Measure a lookup side before broadcasting it. Reads at most ``max_rows + 1`` rows."""
-    text = F.length(F.to_json(F.struct(*df.columns)))
-    n, size = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(F.sum(text), F.lit(0))).first()
-    return n <= max_rows and size <= max_bytes
-
-
-def lookup_join(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    how: str = "inner",
-    hot_rows: int = 5_000_000,
-    salts: int = 64,
-) -> DataFrame:
-    """Join a large side to a keyed side: broadcast when the keyed side measures small, else salt.
-
-    Only keys with more than ``hot_rows`` left rows are salted, so the right side is copied for those
-    few keys alone. ``how`` is one of inner, left, left_semi and left_anti.
-    """
-    on = list(on)
-    if fits_broadcast(right):
-        return left.join(F.broadcast(right), on, how)
-    # At most rows / hot_rows keys pass this filter.
-    hot = left.groupBy(*on).count().filter(F.col("count") > hot_rows).select(*on, F.lit(True).alias("_hot"))
-    if not fits_broadcast(hot):
-        return left.join(right, on, how)
-    salt = F.when(F.col("_hot"), F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")).otherwise(0)
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    spread = left.join(F.broadcast(hot), on, "left").withColumn("_salt", salt).drop("_hot")
-    copied = right.join(F.broadcast(hot), on, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return spread.join(copied, [*on, "_salt"], how).drop("_salt")
+# Steps of the search for a block: enough for 2**20 cuts in a key.
+SEARCH_BITS = 20
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -65,42 +32,39 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k:
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def adaptive_block(df: DataFrame, keys: Sequence[str], column: str, target_rows: int = BLOCK_ROWS) -> Column | None:
-    """A block number along ``column`` (numeric or time) that gives the largest key about
-    ``target_rows`` rows per block. None when no key is larger than that: blocks are not needed.
+def with_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """``df`` with ``_block``, which does not decrease along ``order`` within ``keys``.
 
-    Costs one aggregation over the keys and the order column, with one row coming back.
+    The cuts of a key come as one sorted array, about one for ``block_rows`` rows; a row finds its block by
+    binary search. The join is on the keys, so adaptive execution broadcasts the cuts or splits a hot key.
     """
-    kind = dict(df.dtypes)[column]
-    value = F.unix_micros(F.col(column).cast("timestamp")) if kind in ("timestamp", "date") else F.col(column)
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"), F.max(value).alias("hi"))
-    largest = per_key.orderBy(F.desc("n")).first()
-    if largest is None or largest["n"] <= target_rows or largest["lo"] is None:
-        return None
-    width = max(1, int((largest["hi"] - largest["lo"]) * target_rows / largest["n"]))
-    # Nulls sort first, so they go below every block.
-    return F.coalesce(F.floor(value / width), F.lit(-(2**62)))
+    at = F.struct(*order)
+    picked = df.filter(F.pmod(F.xxhash64(*keys, *order), F.lit(block_rows)) == 0)
+    cuts = picked.groupBy(*keys).agg(F.array_sort(F.collect_set(at)).alias("_cuts"))
+    joined = _add_by_key(df.withColumn("_at", at), cuts, keys, "left") if keys else df.withColumn("_at", at).join(cuts, how="left")
+
+    def step(found: Column, bit: Column) -> Column:
+        to = found + F.call_function("shiftleft", F.lit(1), bit)
+        inside = to <= F.size("_cuts")
+        return F.when(inside & (F.get("_cuts", F.when(inside, to - 1)) <= F.col("_at")), to).otherwise(found)
+
+    bits = F.sequence(F.lit(SEARCH_BITS), F.lit(0), F.lit(-1))
+    block = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(F.aggregate(bits, F.lit(0), step))
+    return joined.withColumn("_block", block).drop("_cuts", "_at")
 
 
 def running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    block: Column | None,
     value: str,
     total: str = "cumulative",
     number: str | None = None,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Running sum of ``value``, and the 1-based row number, in ``order`` within ``keys``."""
     keys = list(keys)
-    if block is None:
-        block = adaptive_block(df, keys, order[0])
-    if block is None:
-        w = W.partitionBy(*keys).orderBy(*order)
-        upto = w.rowsBetween(W.unboundedPreceding, 0)
-        out = df.withColumn(total, F.coalesce(F.sum(value).over(upto), F.lit(0)))
-        return out.withColumn(number, F.row_number().over(w).cast("long")) if number else out
-    blocked = df.withColumn("_block", block)
+    blocked = with_blocks(df, keys, order, block_rows)
     sums = blocked.groupBy(*keys, "_block").agg(F.sum(value).alias("_t"), F.count(F.lit(1)).alias("_c"))
     before = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
     offsets = sums.select(
@@ -118,13 +82,13 @@ def running(
     return out.drop("_block", "_base", "_skip")
 
 
-def _add_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Inner join that keeps null keys, to a right side with one row per key."""
+def _add_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join that matches null keys, to a right side with one row per key."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     same = F.lit(True)
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-    return left.join(renamed, same).drop(*[f"_r_{k}" for k in keys])
+    return left.join(renamed, same, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def _carry(df: DataFrame, keys: list[str], order: Sequence[str], value: Column, skip_nulls: bool) -> DataFrame:
@@ -140,16 +104,11 @@ def _carry(df: DataFrame, keys: list[str], order: Sequence[str], value: Column,
     return blocks.select(*keys, "_block", F.last("_last", ignorenulls=True).over(w)["v"].alias("_carry"))
 
 
-def forward_fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column | None, column: str) -> DataFrame:
+def forward_fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Replace null or blank ``column`` by the last value above it within ``keys``."""
     keys = list(keys)
-    if block is None:
-        block = adaptive_block(df, keys, order[0])
     blank = df.withColumn(column, F.nullif(F.trim(column), F.lit("")))
-    if block is None:
-        whole = W.partitionBy(*keys).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-        return blank.withColumn(column, F.last(column, ignorenulls=True).over(whole))
-    blocked = blank.withColumn("_block", block)
+    blocked = with_blocks(blank, keys, order, block_rows)
     carry = _carry(blocked, keys, order, F.col(column), skip_nulls=True)
     inside = W.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     filled = _add_by_key(blocked, carry, [*keys, "_block"]).withColumn(
@@ -159,15 +118,11 @@ def forward_fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], block
 
 
 def previous(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], block: Column | None, column: str, out: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, out: str, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Value of ``column`` in the row before, within ``keys``; null in the first row."""
     keys = list(keys)
-    if block is None:
-        block = adaptive_block(df, keys, order[0])
-    if block is None:
-        return df.withColumn(out, F.lag(column).over(W.partitionBy(*keys).orderBy(*order)))
-    blocked = df.withColumn("_block", block)
+    blocked = with_blocks(df, keys, order, block_rows)
     carry = _carry(blocked, keys, order, F.col(column), skip_nulls=False)
     inside = W.partitionBy(*keys, "_block").orderBy(*order)
     joined = _add_by_key(blocked, carry, [*keys, "_block"])

@@ -66,7 +66,7 @@ def lint_findings(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def lint_rule_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return lint.counts(lint.findings(_build_files(spark, sf)))
+    return lint.counts_in_row(_build_files(spark, sf))
 
 
 @query
@@ -216,7 +216,7 @@ def fresh_files(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def size_run(spark: SparkSession, sf: str) -> DataFrame:
     replies_ = fr.responses(spark, sf).withColumnRenamed("id", "file_id")
-    return flows.size_run(fr.repos(spark, sf), fr.files(spark, sf), replies_)
+    return flows.size_run(fr.repos(spark, sf), fr.files(spark, sf), replies_, fr.fix_replies(spark, sf))
 
 
 @query
@@ -603,26 +603,26 @@ def stream_finding_transitions(spark: SparkSession, sf: str) -> DataFrame:
     sets = containers.rule_sets(fr.container_snapshots(_stream(spark, sf, "events")), list(fr.CONTAINER_KEYS))
     base = work_dir(spark, "transitions")
     transitions.watch_transitions(
-        sets, f"{base}/out", f"{base}/state", f"{base}/checkpoint", "container_id", ["ts", "event_id"], F.date_trunc("hour", "ts")
+        sets, f"{base}/out", f"{base}/checkpoint", "container_id", ["ts", "event_id"]
     ).awaitTermination()
     return spark.read.parquet(f"{base}/out").select("container_id", "event_id", "rule_id", "change")
 
 
 @query
 def chunk_reassembly(spark: SparkSession, sf: str) -> DataFrame:
-    """Server-sent lines to chunks to text, in segments."""
+    """Server-sent lines to chunks to whole texts."""
     rows = fr.chunks(fr.table(spark, sf, "conversations"))
     choice = F.struct("text", F.lit(0).alias("index"), "finish_reason")
     line = F.concat(
         F.lit("data: "), F.to_json(F.struct(F.col("id").cast("string").alias("id"), F.array(choice).alias("choices")))
     )
     parsed = snapshots.completion_chunks(rows.select("seq", line.alias("line")), ("seq",))
-    return completions.reassemble(parsed, segment=64).withColumn("id", F.col("id").cast("long"))
+    return completions.reassemble(parsed).withColumn("id", F.col("id").cast("long"))
 
 
 @query
 def stream_chunk_reassembly(spark: SparkSession, sf: str) -> DataFrame:
     base = work_dir(spark, "completions")
     chunks = fr.chunks(_stream(spark, sf, "conversations"))
-    completions.watch_completions(chunks, "bigint", f"{base}/out", f"{base}/checkpoint", segment=64).awaitTermination()
-    return spark.read.parquet(f"{base}/out")
+    completions.watch_completions(chunks, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return completions.latest(spark, f"{base}/out")

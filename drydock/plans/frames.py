@@ -46,27 +46,9 @@ PATHS = ("Dockerfile", "docker/Dockerfile.gpu", "sub/dockerfile", "README.md", "
 FRAGMENT_BREAK = r"\. |\n"
 
 
-# Tables whose rows cost much work each, with a unique key to spread them by.
-SPREAD_KEYS = {
-    "documents": ["doc_id"],
-    "conversations": ["conv_id", "turn"],
-    "events": ["event_id"],
-    "lineitem": ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"],
-    "part": ["p_partkey"],
-}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A benchmark table.
-
-    A table that comes in fewer splits than there are cores would leave most of them idle, so it is
-    spread over them first. Real corpora come in far more splits and are read as they are.
-    """
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if name in SPREAD_KEYS and df.rdd.getNumPartitions() * 2 <= cores:
-        return df.repartition(cores, *SPREAD_KEYS[name])
-    return df
+    """A benchmark table, in the splits it comes in."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def pick(values: tuple[str | None, ...], index: Column) -> Column:
@@ -352,7 +334,9 @@ def patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("source"), F.col("text").alias("content"))
+    """``source, content``; every fourth text ends in a line break, as files do."""
+    end = F.when(F.col("doc_id") % 4 == 0, F.lit("\n")).otherwise(F.lit(""))
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("source"), F.concat("text", end).alias("content"))
 
 
 LOG_KEYWORDS = ("license", "http", "THE")
@@ -371,6 +355,7 @@ def commit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+LONG_LIST = 200  # some replies list so many risks, which is some thousand characters
 MISSING = ("no USER", "no HEALTHCHECK", "no labels", "ADD used", "no tag", "no owner", "no cleanup", "no limits", "no docs")
 SLOW = ("Layer cache grows", "slow start", "Reduce image size", "Layer cache grows")
 CATEGORIES = ("security", "performance", "best_practice", "optimization", "other")
@@ -387,7 +372,7 @@ def reply_parts(rows: DataFrame) -> DataFrame:
         "role",
         "text",
         F.transform(
-            F.slice(F.sequence(F.lit(1), F.lit(12)), 1, (turn % 4 + conv % 3).cast("int")),
+            F.slice(F.sequence(F.lit(1), F.lit(LONG_LIST)), 1, F.when(conv % 20 == 6, LONG_LIST).otherwise(turn % 4 + conv % 3).cast("int")),
             lambda k: F.concat(F.lit('open "port" '), (k % 4).cast("string")),
         ).alias("security_risks"),
         F.slice(F.array(*[F.lit(x) for x in SLOW]), 1, (F.length("text") % 5).cast("int")).alias("performance_issues"),
@@ -479,12 +464,14 @@ def build_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_builds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``repo_id, stage, image_size, build_success``."""
+    """``repo_id, stage, image_size, build_success``.
+
+    Stages that no order of a repository names are the absent ones.
+    """
     key = F.col("o_orderkey")
-    rows = table(spark, sf_dir, "orders").filter((key % 3 == 0) | (F.col("o_custkey") % 5 != 0))
-    return rows.select(
+    return table(spark, sf_dir, "orders").select(
         F.floor(key / 3).alias("repo_id"),
-        pick(("original", "static_optimized", "llm_optimized"), key).alias("stage"),
+        pick(("original", "static_optimized", "llm_optimized", "llm_optimized", "original"), F.col("o_custkey")).alias("stage"),
         F.when((F.col("o_orderstatus") != "P") & (key % 7 != 0), F.concat((F.col("o_custkey") % 900 + 1).cast("string"), F.lit("MB"))).alias(
             "image_size"
         ),

@@ -481,9 +481,9 @@ _oracle(
 )
 _cte(
     "stage_builds",
-    sql="""SELECT o_orderkey // 3 AS repo_id, o_orderkey % 3 AS s, o_orderstatus <> 'P' AS ok,
+    sql="""SELECT o_orderkey // 3 AS repo_id, ([0, 1, 2, 2, 0])[o_custkey % 5 + 1] AS s, o_orderstatus <> 'P' AS ok,
         CASE WHEN o_orderstatus <> 'P' AND o_orderkey % 7 <> 0 THEN (o_custkey % 900 + 1) || 'MB' END AS size
-      FROM orders WHERE o_orderkey % 3 = 0 OR o_custkey % 5 <> 0""",
+      FROM orders""",
 )
 
 
@@ -765,7 +765,7 @@ _cte(
     "log_line",
     sql="""SELECT source, CAST(n AS INTEGER) AS line_no, content, regexp_matches(lower(content), 'license|http|the') AS hit FROM (
         SELECT doc_id AS source, unnest(l) AS content, unnest(range(1, len(l) + 1)) AS n
-        FROM (SELECT doc_id, regexp_split_to_array(text, '\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}]') AS l FROM documents))""",
+        FROM (SELECT doc_id, CASE WHEN l[-1] = '' THEN l[:-2] ELSE l END AS l FROM (SELECT doc_id, regexp_split_to_array(text || CASE WHEN doc_id % 4 = 0 THEN chr(10) ELSE '' END, '\\r\\n|[\\n\\r\\x0b\\x0c\\x1c-\\x1e\\x{85}\\x{2028}\\x{2029}]') AS l FROM documents)))""",
 )
 _CONTEXT = """SELECT m.source, m.line_no AS match_line, c.line_no, CASE WHEN c.line_no = m.line_no THEN '*' ELSE '' END AS marker, c.content
     FROM log_line m JOIN log_line c ON c.source = m.source AND c.line_no BETWEEN m.line_no - 2 AND m.line_no + 2 WHERE m.hit"""
@@ -780,7 +780,7 @@ _cte(
     sql=f"""SELECT *, CASE shape WHEN 5 THEN 'api_error' WHEN 6 THEN 'partial' WHEN 7 THEN 'parse_error' ELSE 'ok' END AS status,
         shape IN (0, 1, 2, 3, 4) AS whole, shape IN (0, 1, 2, 3, 4, 6) AS lists FROM (
         SELECT conv_id * 8 + turn AS id, (conv_id + turn) % 10 AS shape, conv_id, turn, role, text,
-          list_transform(range(1, 1 + turn % 4 + conv_id % 3), lambda k: 'open "port" ' || (k % 4)) AS risks,
+          list_transform(range(1, 1 + CASE WHEN conv_id % 20 = 6 THEN {fr.LONG_LIST} ELSE turn % 4 + conv_id % 3 END), lambda k: 'open "port" ' || (k % 4)) AS risks,
           ({_list(fr.SLOW)})[:length(text) % 5] AS perf,
           CASE conv_id % 3 WHEN 0 THEN [] WHEN 1 THEN ['use multi-stage builds'] ELSE ['minimize layers', 'pin versions'] END AS opts,
           ({_list(fr.MISSING)})[:(conv_id + turn) % 10] AS miss,
@@ -820,6 +820,7 @@ _oracle(
     "analysis",
     "fix_raw",
 )
+# The size words as a pattern.
 _WORDS = "size|layer|cache|no-cache|multi-stage|apt-get clean|rm -rf /var/lib/apt/lists|--no-install-recommends|--no-cache-dir|reduce|smaller|minimize|compress"
 _cte(
     "size_issue",
@@ -949,19 +950,30 @@ _oracle(
     "SELECT count(DISTINCT repo_url) AS repo_count, count(*) AS dockerfile_count, count(*) FILTER (ok2) AS n_success FROM card",
     "card",
 )
+_cte(
+    "fix_base",
+    "fixed",
+    "static_done",
+    sql="""SELECT file_id, CASE WHEN starts_with(raw, 'Error:') OR starts_with(raw, 'LLM API error:') THEN raw
+        WHEN fixed <> '' AND fixed <> text THEN NULL ELSE 'No new build file in the reply' END AS fix_error
+      FROM fixed JOIN static_done USING (file_id)""",
+)
 _cte(
     "size_run",
     "preferred",
     "static_done",
     "size_issue",
+    "fix_base",
     sql="""SELECT c_custkey AS repo_id, p.file_id, coalesce(s.n_changes, 0) AS static_issues, coalesce(s.saving_kb, 0) AS static_kb,
-        coalesce(CASE WHEN i.status IN ('ok', 'partial') THEN len(i.issues) END, 0) AS llm_issues,
-        coalesce(CASE WHEN i.status IN ('ok', 'partial') AND len(i.issues) > 0 THEN
+        coalesce(CASE WHEN i.status IN ('ok', 'partial') AND x.file_id IS NOT NULL AND x.fix_error IS NULL THEN len(i.issues) END, 0) AS llm_issues,
+        coalesce(CASE WHEN i.status IN ('ok', 'partial') AND len(i.issues) > 0 AND x.file_id IS NOT NULL AND x.fix_error IS NULL THEN
           list_sum(list_transform(i.issues, lambda t: CASE WHEN contains(lower(t), 'cache') OR contains(lower(t), 'clean') THEN 10000
             WHEN contains(lower(t), 'multi-stage') THEN 100000 WHEN contains(lower(t), 'layer') THEN 20000 ELSE 0 END)) + greatest(i.waste, 0) END, 0) AS llm_kb,
-        CASE WHEN p.file_id IS NULL THEN 'no_dockerfile' WHEN i.id IS NULL THEN 'no reply' ELSE a.error END AS error
+        CASE WHEN p.file_id IS NULL THEN 'no_dockerfile' WHEN i.id IS NULL THEN 'no reply' WHEN a.error IS NOT NULL THEN a.error
+          WHEN len(i.issues) > 0 AND x.file_id IS NULL THEN 'no fix reply' WHEN len(i.issues) > 0 THEN x.fix_error END AS error
       FROM customer c LEFT JOIN preferred p ON p.repo_id = c_custkey LEFT JOIN static_done s ON s.file_id = p.file_id
-        LEFT JOIN size_issue i ON i.id = p.file_id LEFT JOIN analysis a ON a.id = p.file_id""",
+        LEFT JOIN size_issue i ON i.id = p.file_id LEFT JOIN analysis a ON a.id = p.file_id
+        LEFT JOIN fix_base x ON x.file_id = p.file_id""",
 )
 _oracle(
     "size_run",
@@ -1066,9 +1078,9 @@ _oracle(
 
 # --- streams -----------------------------------------------------------------------------------
 
-_CHUNKS = """SELECT id, CAST((i - 1) // 64 AS BIGINT) AS segment, string_agg(CASE WHEN i = 1 THEN w ELSE ' ' || w END, '' ORDER BY i) AS text,
+_CHUNKS = """SELECT id, string_agg(CASE WHEN i = 1 THEN w ELSE ' ' || w END, '' ORDER BY i) AS text,
       CAST(count(*) AS INTEGER) AS n_chunks, CASE WHEN max(i) = any_value(n) THEN 'stop' END AS finish_reason
     FROM (SELECT conv_id * 8 + turn AS id, unnest(string_split(text, ' ')) AS w, unnest(range(1, len(string_split(text, ' ')) + 1)) AS i,
-      len(string_split(text, ' ')) AS n FROM conversations) GROUP BY 1, 2"""
+      len(string_split(text, ' ')) AS n FROM conversations) GROUP BY 1"""
 _oracle("chunk_reassembly", _CHUNKS)
 _oracle("stream_chunk_reassembly", _CHUNKS)

@@ -37,10 +37,13 @@ def build_session(app: str = "drydock", master: str | None = None, **conf: str)
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder for streaming checkpoints and sinks.
 
-    It lies below the folder the cluster names in ``spark.checkpoint.dir`` (shared storage).
-    Only a session without that setting, as in a local test, gets a temporary folder.
+    It lies below the folder the cluster names in ``spark.checkpoint.dir`` (shared storage). Without that
+    setting a local session gets a temporary folder, and any other is an error: executors would each
+    write to their own disk.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         shared = tempfile.mkdtemp(prefix="drydock-")
     return f"{shared.rstrip('/')}/drydock-{label}-{uuid.uuid4().hex[:12]}"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,17 +14,19 @@ from ..functions.text import last_segment
 def read_build_files(spark: SparkSession, root: str) -> DataFrame:
     """``path, file_name, content, is_plausible`` of every build file below ``root``.
 
-    The name test runs before the content is decoded, and bytes that are not UTF-8 are replaced.
-    Files of zero bytes are not listed: Spark's file sources plan no split for them.
+    The name test runs before the content is decoded, and bytes that are not UTF-8 are replaced. Spark
+    lists files of zero bytes but plans no split for them, so listed files that were not read are added as
+    empty texts.
     """
     raw = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    named = raw.select("path", last_segment(F.col("path")).alias("file_name"), "content").filter(
-        buildfile.is_buildfile_name(F.col("file_name"))
-    )
-    text = F.col("content").cast("string")
-    return named.select("path", "file_name", F.make_valid_utf8(text).alias("content")).withColumn(
-        "is_plausible", buildfile.is_plausible(F.col("content"))
-    )
+    is_build = buildfile.is_buildfile_name(last_segment(F.col("path")))
+    listed = spark.createDataFrame([(unquote(p),) for p in raw.inputFiles()], "path string").filter(is_build)
+    strip = F.regexp_replace("path", "^file:/+", "file:/")
+    empty = listed.withColumn("_k", strip).join(raw.select(strip.alias("_k")), "_k", "left_anti").select("path", F.lit("").alias("content"))
+    text = F.make_valid_utf8(F.col("content").cast("string"))
+    both = raw.filter(is_build).select("path", text.alias("content")).unionByName(empty)
+    named = both.select(F.regexp_replace("path", "^file:/+", "file:/").alias("path"), last_segment(F.col("path")).alias("file_name"), "content")
+    return named.withColumn("is_plausible", buildfile.is_plausible(F.col("content")))
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:

@@ -54,9 +54,9 @@ def image_listing(lines: DataFrame) -> DataFrame:
 
 def history(captures: DataFrame) -> DataFrame:
     """``image_id, pos, ...`` from ``captures(image_id, lines)``; pos 0 is the oldest entry."""
-    rows = captures.select("image_id", F.posexplode(F.split("lines", r"\r?\n")).alias("n", "line"), F.size(F.split("lines", r"\r?\n")).alias("n_lines"))
-    parsed = json_lines(rows, schemas.HISTORY_ENTRY)
-    return parsed.select("image_id", (F.col("n_lines") - 1 - F.col("n")).alias("pos"), "doc.*")
+    entries = F.transform(F.split("lines", r"\r?\n"), lambda l: F.when(F.try_parse_json(l).isNotNull(), F.from_json(l, schemas.HISTORY_ENTRY)))
+    oldest_first = F.reverse(F.array_compact(entries))  # blank and malformed lines do not count
+    return captures.select("image_id", F.posexplode(oldest_first).alias("pos", "doc")).select("image_id", "pos", "doc.*")
 
 
 def completion_chunks(lines: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:

@@ -1,97 +1,50 @@
-"""Reassembly of streamed completions.
+"""Reassembly of streamed completions: the whole text of each id, from chunks in any order.
 
-A completion is cut into segments of ``SEGMENT`` chunks by its sequence number. A segment is a
-bounded group whatever the length of the completion; segments in order give the whole text.
+A chunk that comes twice counts once. The batch and the streaming form give the same rows, also for
+completions whose end has not come.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import Any
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .watch import trigger
 
-SEGMENT = 4096
-STATE = "seqs array<bigint>, texts array<string>, end bigint, reason string"
-
 
-def segmented(chunks: DataFrame, segment: int = SEGMENT) -> DataFrame:
-    return chunks.withColumn("segment", F.floor(F.col("seq") / segment))
+def reassemble(chunks: DataFrame) -> DataFrame:
+    """``id, text, n_chunks, finish_reason`` from ``chunks(id, seq, text, finish_reason)``.
 
-
-def reassemble(chunks: DataFrame, segment: int = SEGMENT) -> DataFrame:
-    """``id, segment, text, n_chunks, finish_reason`` from ``chunks(id, seq, text, finish_reason)``."""
-    pieces = segmented(chunks, segment).groupBy("id", "segment").agg(
-        F.array_sort(F.collect_list(F.struct("seq", "text"))).alias("pieces"),
-        F.max("finish_reason").alias("finish_reason"),
+    The chunks of one completion meet in one task: they make one text, which has to fit a row.
+    """
+    pieces = chunks.groupBy("id").agg(
+        F.array_sort(F.collect_set(F.struct("seq", "text"))).alias("pieces"), F.max("finish_reason").alias("finish_reason")
     )
     return pieces.select(
         "id",
-        "segment",
         F.array_join(F.transform("pieces", lambda p: p["text"]), "").alias("text"),
         F.size("pieces").alias("n_chunks"),
         "finish_reason",
     )
 
 
-def stream_segments(chunks: DataFrame, id_type: str, segment: int = SEGMENT, timeout: str | None = None) -> DataFrame:
-    """The streaming form: a segment is emitted once all its chunks are there.
+def watch_completions(chunks: DataFrame, sink: str, checkpoint: str, every_seconds: float | None = None) -> StreamingQuery:
+    """The same over a stream: each micro-batch writes the completions it changed, as they now are.
 
-    The last segment is complete when the chunk with a finish reason and all before it have come.
-    With a ``timeout`` a segment that stays silent for so long is emitted as it is; a processing-time
-    limit keeps the query alive, so a draining run goes without. State per key is one segment.
+    The state is a native aggregate, one set of chunks per id. A batch that is run again overwrites its own
+    rows. ``latest`` reads the sink.
     """
-    limit_ms = int(pd.Timedelta(timeout).total_seconds() * 1000) if timeout else None
 
-    def collect(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seqs, texts, end, reason = state.get if state.exists else ([], [], -1, None)
-        seqs, texts = list(seqs), list(texts)
-        for batch in batches:
-            seqs.extend(int(s) for s in batch["seq"])
-            texts.extend(batch["text"])
-            done = batch[batch["finish_reason"].notna()]
-            if len(done):
-                end, reason = int(done["seq"].iloc[0]), str(done["finish_reason"].iloc[0])
-        wanted = segment if end < 0 else end - int(key[1]) * segment + 1
-        if len(seqs) < wanted and not state.hasTimedOut:
-            state.update((seqs, texts, end, reason))
-            if limit_ms:
-                state.setTimeoutDuration(limit_ms)
-            return
-        if state.exists:
-            state.remove()
-        text = "".join(t for _, t in sorted(zip(seqs, texts, strict=True)))
-        yield pd.DataFrame(
-            {"id": [key[0]], "segment": [int(key[1])], "text": [text], "n_chunks": [len(seqs)], "finish_reason": [reason]}
-        )
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
 
-    mode = GroupStateTimeout.ProcessingTimeTimeout if limit_ms else GroupStateTimeout.NoTimeout
-    out = f"id {id_type}, segment bigint, text string, n_chunks int, finish_reason string"
-    return (
-        segmented(chunks, segment)
-        .groupBy("id", "segment")
-        .applyInPandasWithState(collect, out, STATE, "append", mode)
-    )
+    writer = reassemble(chunks).writeStream.outputMode("update").foreachBatch(on_batch).option("checkpointLocation", checkpoint)
+    return trigger(writer, every_seconds).start()
 
 
-def watch_completions(
-    chunks: DataFrame,
-    id_type: str,
-    sink: str,
-    checkpoint: str,
-    segment: int = SEGMENT,
-    every_seconds: float | None = None,
-    timeout: str = "10 minutes",
-) -> StreamingQuery:
-    """Append finished segments to a parquet sink; polling runs also flush silent ones."""
-    out = stream_segments(chunks, id_type, segment, timeout if every_seconds else None)
-    writer = out.writeStream.format("parquet").outputMode("append").option("path", sink).option(
-        "checkpointLocation", checkpoint
-    )
-    return trigger(writer, every_seconds).start()
+def latest(spark: SparkSession, sink: str) -> DataFrame:
+    """The last state of every completion in a sink."""
+    rows = spark.read.parquet(sink)
+    last = rows.groupBy("id").agg(F.max_by(F.struct("text", "n_chunks", "finish_reason"), "batch").alias("l"))
+    return last.select("id", "l.*")

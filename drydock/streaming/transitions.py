@@ -1,70 +1,63 @@
-"""Opened and closed findings between successive snapshots of a stream.
+"""Opened and closed findings between successive snapshots of a stream, with the last snapshot of each
+subject as keyed state.
 
-Each micro-batch is compared with the batch operator, seeded with the last snapshot of every
-subject it touches. The last snapshots live in a table with one version per batch, written before
-the batch commits, so a replayed batch reads the same version and writes the same rows.
+Snapshots of a subject that come in one micro-batch are taken in order. One that is not after the subject's
+stored snapshot is late: it is dropped, as what it would have changed has been reported.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Iterator
+from typing import Any
+
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.containers import transitions
-from ..operators.skew import lookup_join
-from .watch import trigger
+from .watch import to_parquet, trigger
 
 
-def _version(path: str, batch: int) -> str:
-    return f"{path}/version={batch}"
+def changes(before: set[str], now: list[str]) -> list[tuple[str, str]]:
+    new = sorted(set(now) - before)
+    return [(r, "opened") for r in new] + [(r, "closed") for r in sorted(before - set(now))]
 
 
-def apply_batch(
-    batch: DataFrame, state: DataFrame | None, subject: str, order: list[str], block: Column
-) -> tuple[DataFrame, DataFrame]:
-    """Changes in one batch, and the last snapshot of every subject after it.
+def _plain(value: Any) -> Any:
+    return value.to_pydatetime() if isinstance(value, pd.Timestamp) else value.item() if hasattr(value, "item") else value
 
-    ``block`` must place earlier snapshots in earlier or equal blocks.
-    """
-    columns = [subject, *order, "rule_ids"]
-    fresh = batch.select(*columns).withColumn("_seed", F.lit(False))
-    if state is None:
-        seeded = fresh
-    else:
-        touched = fresh.select(subject).distinct()
-        seeds = lookup_join(state.select(*columns), touched, [subject], "left_semi").withColumn("_seed", F.lit(True))
-        seeded = fresh.unionByName(seeds)
-    changes = transitions(seeded.withColumn("_mark", F.col("_seed")), subject, [*order, "_mark"], block)
-    # A seed only lends its rules to the first fresh row; what it opened was reported before.
-    changes = changes.filter(~F.col("_mark")).drop("_mark")
-    every = fresh.drop("_seed") if state is None else fresh.drop("_seed").unionByName(state.select(*columns))
-    last = every.groupBy(subject).agg(F.max_by(F.struct(*order, "rule_ids"), F.struct(*order)).alias("_last"))
-    return changes, last.select(subject, "_last.*")
 
+def stream_transitions(snapshots: DataFrame, subject: str, order: list[str]) -> DataFrame:
+    """``subject, order, rule_id, change`` of ``snapshots(subject, order, rule_ids)``."""
+    fields = {f.name: f.dataType.simpleString() for f in snapshots.schema.fields}
+    position = ", ".join(f"`{c}` {fields[c]}" for c in order)
 
-def watch_transitions(
-    snapshots: DataFrame,
-    sink: str,
-    state_path: str,
-    checkpoint: str,
-    subject: str,
-    order: list[str],
-    block: Column,
-    every_seconds: float | None = None,
-) -> StreamingQuery:
-    """Write the changes of each batch of ``snapshots(subject, order, rule_ids)`` below ``sink``."""
+    def compare(key: tuple[Any, ...], batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        last, rules = None, set()
+        if state.exists:
+            *last, held = state.get
+            last, rules = tuple(map(_plain, last)), set(held)
+        rows = []
+        arrived = pd.concat(list(batches)).sort_values(order, kind="stable")
+        for values, ids in zip(arrived[order].itertuples(index=False), arrived["rule_ids"], strict=True):
+            at = tuple(map(_plain, values))
+            if last is not None and at <= last:
+                continue
+            rows += [(key[0], *values, *change) for change in changes(rules, list(ids))]
+            last, rules = at, set(ids)
+        state.update((*last, sorted(rules)))
+        yield pd.DataFrame(rows, columns=[subject, *order, "rule_id", "change"])
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        spark: SparkSession = batch.sparkSession
-        state = spark.read.parquet(_version(state_path, batch_id - 1)) if batch_id > 0 else None
-        held = batch.persist()
-        try:
-            changes, last = apply_batch(held, state, subject, order, block)
-            changes.write.mode("overwrite").parquet(f"{sink}/batch={batch_id}")
-            last.write.mode("overwrite").parquet(_version(state_path, batch_id))
-        finally:
-            held.unpersist()
+    out = f"`{subject}` {fields[subject]}, {position}, rule_id string, change string"
+    return (
+        snapshots.select(subject, *order, "rule_ids")
+        .groupBy(subject)
+        .applyInPandasWithState(compare, out, f"{position}, rule_ids array<string>", "append", GroupStateTimeout.NoTimeout)
+    )
 
-    writer = snapshots.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
-    return trigger(writer, every_seconds).start()
+
+def watch_transitions(
+    snapshots: DataFrame, sink: str, checkpoint: str, subject: str, order: list[str], every_seconds: float | None = None
+) -> StreamingQuery:
+    """Append the changes to a parquet sink."""
+    return trigger(to_parquet(stream_transitions(snapshots, subject, order), sink, checkpoint), every_seconds).start()

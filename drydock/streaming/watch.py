@@ -27,15 +27,15 @@ def watch_containers(
     makes a restarted run exactly-once.
     """
     found = containers.container_findings(snapshots, keys)
-    return trigger(_to_parquet(found, sink, checkpoint), every_seconds).start()
+    return trigger(to_parquet(found, sink, checkpoint), every_seconds).start()
 
 
 def watch_images(snapshots: DataFrame, sink: str, checkpoint: str, every_seconds: float | None = None) -> StreamingQuery:
     found = images.image_findings(snapshots)
-    return trigger(_to_parquet(found, sink, checkpoint), every_seconds).start()
+    return trigger(to_parquet(found, sink, checkpoint), every_seconds).start()
 
 
-def _to_parquet(df: DataFrame, sink: str, checkpoint: str) -> DataStreamWriter:
+def to_parquet(df: DataFrame, sink: str, checkpoint: str) -> DataStreamWriter:
     return df.writeStream.format("parquet").outputMode("append").option("path", sink).option(
         "checkpointLocation", checkpoint
     )

@@ -82,7 +82,7 @@ def test_taxonomy(spark):
 
 def test_relations(spark):
     df = spark.createDataFrame([(0, "a", "x"), (1, "", "y"), (2, None, "y"), (3, "b", "x")], "row_no int, left_label string, right_label string")
-    filled = labels.fill_relations(df, "row_no", block=F.floor(F.col("row_no") / 2))
+    filled = labels.fill_relations(df, "row_no")
     assert [r.left_label for r in filled.orderBy("row_no").collect()] == ["a", "a", "a", "b"]
     assert {tuple(r) for r in labels.relation_counts(filled, "left_label", "right_label").collect()} == {("a", "x", 1), ("a", "y", 2), ("b", "x", 1)}
 
@@ -103,3 +103,17 @@ def test_unpivot(spark):
     df = spark.createDataFrame([(1, "Y", "N", None, "a")], "pr int, q_1 string, q_2 string, w_1 string, w_2 string")
     assert {tuple(r) for r in labels.unpivot_ratings(df, ["pr"], ["q", "w"]).collect()} == {(1, "q", "Y", "N"), (1, "w", None, "a")}
     assert labels.size_status(F.lit("x")) is not None
+
+
+def test_last_line_break_opens_no_line(spark):
+    df = spark.createDataFrame([("a", "x\nrun docker\n"), ("b", ""), ("c", "docker\n\n")], "source string, content string")
+    assert sorted((r.source, r.line_no, r.content) for r in logs.number_lines(df).collect()) == [("a", 1, "x"), ("a", 2, "run docker"), ("c", 1, "docker"), ("c", 2, "")]
+    assert sorted((r.source, r.line_no) for r in logs.context_in_text(df, radius=3).collect()) == [("a", 1), ("a", 2), ("c", 1), ("c", 2)]
+
+
+def test_context_across_line_blocks(spark):
+    lines = spark.range(1, 4000).select(F.lit("s").alias("source"), F.col("id").alias("line_no"), F.when(F.col("id").isin(1023, 1024, 3000), "docker").otherwise("x").alias("content"))
+    for radius in (3, 1500):
+        got = logs.context_in_lines(lines, radius=radius)
+        want = sum(min(3999, m + radius) - max(1, m - radius) + 1 for m in (1023, 1024, 3000))
+        assert got.count() == want

@@ -27,41 +27,42 @@ def same(a, b):
     assert left == right
 
 
-def test_running(hot):
-    w = W.partitionBy("k").orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
-    plain = hot.withColumn("cumulative", F.sum("v").over(w)).withColumn(
-        "n", F.row_number().over(W.partitionBy("k").orderBy("pos")).cast("long")
-    )
-    same(skew.running(hot, ["k"], ["pos"], F.floor(F.col("pos") / 100), "v", number="n"), plain)
-
-
-@pytest.mark.parametrize("keys", [[], ["k"]])
-def test_forward_fill(hot, keys):
-    w = W.partitionBy(*keys).orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
+ORDERS = {
+    "number": "pos",
+    "text": "lpad(cast(pos as string), 6, '0')",
+    "time": "timestamp_micros(pos * 1000000)",
+    "time without zone": "cast(timestamp_micros(pos * 1000000) as timestamp_ntz)",
+    "far outliers": "if(pos % 500 = 0, pos * 1000000000, pos)",
+}
+
+
+@pytest.mark.parametrize("kind", ORDERS)
+@pytest.mark.parametrize("block_rows", [50, 10**6])
+def test_ordered_work_equals_plain_windows(hot, kind, block_rows):
+    rows = hot.withColumn("o", F.expr(ORDERS[kind])).withColumn("n", F.when(F.col("v") > 0, F.col("v")))
+    w = W.partitionBy("k").orderBy("o")
+    upto = w.rowsBetween(W.unboundedPreceding, 0)
+    plain = rows.withColumn("cumulative", F.sum("v").over(upto)).withColumn("no", F.row_number().over(w).cast("long"))
+    same(skew.running(rows, ["k"], ["o"], "v", number="no", block_rows=block_rows), plain)
+    same(skew.previous(rows, ["k"], ["o"], "n", "b", block_rows), rows.withColumn("b", F.lag("n").over(w)))
+    blank = rows.withColumn("label", F.nullif(F.trim("label"), F.lit("")))
+    same(skew.forward_fill(rows, ["k"], ["o"], "label", block_rows), blank.withColumn("label", F.last("label", ignorenulls=True).over(upto)))
+
+
+def test_forward_fill_without_keys(hot):
+    whole = W.orderBy("pos").rowsBetween(W.unboundedPreceding, 0)
     blank = hot.withColumn("label", F.nullif(F.trim("label"), F.lit("")))
-    plain = blank.withColumn("label", F.last("label", ignorenulls=True).over(w))
-    same(skew.forward_fill(hot, keys, ["pos"], F.floor(F.col("pos") / 64), "label"), plain)
-
+    same(skew.forward_fill(hot, [], ["pos"], "label", 64), blank.withColumn("label", F.last("label", ignorenulls=True).over(whole)))
 
-def test_previous(hot):
-    rows = hot.withColumn("v", F.when(F.col("v") > 0, F.col("v")))
-    plain = rows.withColumn("b", F.lag("v").over(W.partitionBy("k").orderBy("pos")))
-    same(skew.previous(rows, ["k"], ["pos"], F.floor(F.col("pos") / 50), "v", "b"), plain)
 
-
-def test_adaptive_block(hot, monkeypatch):
-    block = skew.adaptive_block(hot, ["k"], "pos", target_rows=100)
-    sizes = hot.groupBy("k", block.alias("b")).count()
-    assert 50 <= sizes.agg(F.max("count")).first()[0] <= 200
-    assert skew.adaptive_block(hot, ["k"], "pos") is None
-    timed = hot.select("k", F.timestamp_micros(F.col("pos") * 1_000_000).alias("t"))
-    assert timed.select(skew.adaptive_block(timed, ["k"], "t", 100).alias("b")).distinct().count() > 10
-    assert skew.adaptive_block(hot.limit(0), ["k"], "pos") is None
-    w = W.partitionBy("k").orderBy("pos")
-    plain = hot.withColumn("b", F.lag("v").over(w))
-    same(skew.previous(hot, ["k"], ["pos"], None, "v", "b"), plain)
-    monkeypatch.setattr(skew, "adaptive_block", lambda df, keys, column: block)
-    same(skew.previous(hot, ["k"], ["pos"], None, "v", "b"), plain)
+@pytest.mark.parametrize("order", [["o"], ["same", "pos"]])
+def test_blocks_are_even_when_the_order_is_not(spark, order):
+    """Clustered values with far outliers, and one time for all rows: the largest block stays small."""
+    rows = spark.range(40_000).select(
+        F.col("id").alias("pos"), F.lit(7).alias("same"), F.when(F.col("id") % 4000 == 0, F.col("id") * 10**9).otherwise(F.col("id")).alias("o")
+    )
+    sizes = skew.with_blocks(rows, [], order, 1000).groupBy("_block").count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] < 10_000 and sizes[1] > 20
 
 
 def test_first_and_top(hot):
@@ -76,32 +77,6 @@ def test_first_is_cut_before_the_shuffle(hot):
     assert plan.count("WindowGroupLimit") == 2
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("small", [True, False])
-def test_lookup_join(spark, hot, monkeypatch, how, small):
-    right = spark.range(0, 4).select(F.col("id").alias("k"), (F.col("id") * 10).alias("w"))
-    if not small:
-        # Only the list of hot keys counts as small, so the salted path runs.
-        monkeypatch.setattr(skew, "fits_broadcast", lambda df, *a: "_hot" in df.columns)
-    same(skew.lookup_join(hot, right, ["k"], how, hot_rows=500, salts=8), hot.join(right, ["k"], how))
-
-
-def test_salting_spreads_the_hot_key(spark, hot, monkeypatch):
-    monkeypatch.setattr(skew, "fits_broadcast", lambda df, *a: "_hot" in df.columns)
-    right = spark.range(0, 7).select(F.col("id").alias("k"))
-    joined = skew.lookup_join(hot.repartition(4), right, ["k"], "inner", hot_rows=500, salts=16)
-    assert "_salt" in joined._jdf.queryExecution().analyzed().toString()
-    assert joined.count() == hot.filter("k is not null").count()
-
-
-def test_fits_broadcast(spark):
-    df = spark.range(100).select(F.repeat(F.lit("x"), 50).alias("t"))
-    assert skew.fits_broadcast(df)
-    assert not skew.fits_broadcast(df, max_rows=99)
-    assert not skew.fits_broadcast(df, max_bytes=1000)
-    assert skew.fits_broadcast(df.limit(0))
-
-
 def test_with_missing(spark):
     r = spark.createDataFrame([(1,), (2,), (2,), (3,)], "repo_id int")
     f = spark.createDataFrame([(1, "a"), (1, "b"), (9, "c")], "repo_id int, path string")
@@ -142,11 +117,11 @@ def pr_tables(spark):
     return prs, mining.changed_files(diffs), patterns
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_select_prs(pr_tables, monkeypatch, small):
-    if not small:
-        monkeypatch.setattr(mining, "fits_broadcast", lambda df, *a: False)
+@pytest.mark.parametrize("length", [64, 1])
+def test_select_prs(spark, pr_tables, monkeypatch, length):
+    monkeypatch.setattr(mining, "LIST_LENGTH", length)
     prs, files, patterns = pr_tables
+    patterns = patterns.unionByName(spark.createDataFrame([("p", f"none{i}/") for i in range(20)], patterns.schema))
     rows = {(r.project, r.pnumber, r.pos) for r in mining.select_prs(prs, files, patterns).collect()}
     assert rows == {("p", 1, 0), ("p", 4, 4), ("p", 5, 6)}
     assert {tuple(r) for r in mining.matching_paths(files, patterns).collect()} == {("p", 4, "core/new.c")}

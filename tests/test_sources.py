@@ -64,7 +64,17 @@ def test_history(spark):
     text = "\n".join(json.dumps({"ID": i, "Size": s}) for i, s in (("top", "1 MB"), ("base", "2 MB")))
     df = spark.createDataFrame([("i", text + "\n")], "image_id string, lines string")
     rows = sorted((r.pos, r.ID) for r in snapshots.history(df).collect())
-    assert [r[1] for r in rows] == ["base", "top"]
+    assert rows == [(0, "base"), (1, "top")]
+    broken = df.selectExpr("image_id", "concat('{\"ID\":\\n\\n', lines, '\\n') as lines")
+    assert sorted((r.pos, r.ID) for r in snapshots.history(broken).collect()) == rows
+
+
+def test_build_files_of_zero_bytes_are_read(spark, tmp_path):
+    for name, text in (("a/Dockerfile", ""), ("a b/dockerfile.x", "FROM a"), ("c/Dockerfile.é y", ""), ("c/other", ""), ("d/Dockerfile", "\n")):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    got = sorted((r.path.split(f"{tmp_path}/")[1], r.content, r.is_plausible) for r in files.read_build_files(spark, str(tmp_path)).collect())
+    assert got == [("a b/dockerfile.x", "FROM a", True), ("a/Dockerfile", "", False), ("c/Dockerfile.é y", "", False), ("d/Dockerfile", "\n", False)]
 
 
 def test_completion_chunks(spark):

@@ -50,24 +50,23 @@ def test_transitions_over_batches_equal_one_batch(spark, captures, tmp_path):
     parts, schema = captures
     write(parts, str(tmp_path / "in"))
     sets = containers.rule_sets(stream(spark, str(tmp_path / "in"), schema), ["container_id", "t"])
-    block = F.floor(F.col("t") / 2)
-    transitions.watch_transitions(
-        sets, str(tmp_path / "out"), str(tmp_path / "state"), str(tmp_path / "cp"), "container_id", ["t"], block
-    ).awaitTermination()
+    transitions.watch_transitions(sets, str(tmp_path / "out"), str(tmp_path / "cp"), "container_id", ["t"]).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).select("container_id", "t", "rule_id", "change")
     batch = snapshots.containers(spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "in")), ("container_id", "t"))
-    expected = containers.transitions(containers.rule_sets(batch, ["container_id", "t"]), "container_id", ["t"], block)
+    expected = containers.transitions(containers.rule_sets(batch, ["container_id", "t"]), "container_id", ["t"])
     assert got.count() > 10
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
 
 
-def test_apply_batch_keeps_untouched_subjects(spark):
+def test_a_late_snapshot_changes_nothing(spark, tmp_path):
     schema = "s string, t int, rule_ids array<string>"
-    state = spark.createDataFrame([("a", 1, ["x"]), ("b", 1, ["y"])], schema)
-    batch = spark.createDataFrame([("a", 5, ["z"])], schema)
-    changes, last = transitions.apply_batch(batch, state, "s", ["t"], F.floor(F.col("t") / 2))
-    assert {tuple(r) for r in changes.collect()} == {("a", 5, "z", "opened"), ("a", 5, "x", "closed")}
-    assert {(r.s, r.t) for r in last.collect()} == {("a", 5), ("b", 1)}
+    batches = [[("a", 10, ["x"]), ("b", 1, ["y"])], [("a", 5, ["x", "y"])], [("a", 11, ["z"]), ("a", 10, ["q"])]]
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+    reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1)
+    transitions.watch_transitions(reader.parquet(f"{tmp_path}/in"), str(tmp_path / "out"), str(tmp_path / "cp"), "s", ["t"]).awaitTermination()
+    got = {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert got == {("a", 10, "x", "opened"), ("b", 1, "y", "opened"), ("a", 11, "z", "opened"), ("a", 11, "x", "closed")}
 
 
 def test_bad_interval(spark, captures, tmp_path):
@@ -77,22 +76,17 @@ def test_bad_interval(spark, captures, tmp_path):
         watch.watch_containers(stream(spark, str(tmp_path / "in"), schema), str(tmp_path / "o"), str(tmp_path / "c"), ["t"], every_seconds=0)
 
 
-def test_segments_join_to_the_text(spark, tmp_path):
+def test_stream_equals_batch_with_repeats_and_open_ends(spark, tmp_path):
     words = [f"w{i} " for i in range(25)]
     rows = [("x", i, w, "stop" if i == 24 else None) for i, w in enumerate(words)] + [("y", 0, "only", "stop"), ("z", 0, "open", None)]
     schema = "id string, seq long, text string, finish_reason string"
-    frames = [spark.createDataFrame(rows[i::3], schema) for i in range(3)]
+    frames = [spark.createDataFrame(rows[i::3] + rows[:2], schema) for i in range(3)]
     write(frames, str(tmp_path / "in"))
     reader = spark.readStream.schema(schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1)
-    completions.watch_completions(
-        reader.parquet(str(tmp_path / "in")), "string", str(tmp_path / "out"), str(tmp_path / "cp"), segment=10
-    ).awaitTermination()
-    got = {(r.id, r.segment): (r.text, r.n_chunks) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
-    assert "".join(got[("x", k)][0] for k in range(3)) == "".join(words)
-    assert got[("x", 2)][1] == 5 and got[("y", 0)] == ("only", 1)
-    assert ("z", 0) not in got  # still open
-    batch = completions.reassemble(spark.createDataFrame(rows, schema), segment=10)
-    assert {(r.id, r.segment): (r.text, r.n_chunks) for r in batch.filter("id <> 'z'").collect()} == got
+    completions.watch_completions(reader.parquet(str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    got = {tuple(r) for r in completions.latest(spark, str(tmp_path / "out")).collect()}
+    assert got == {("x", "".join(words), 25, "stop"), ("y", "only", 1, "stop"), ("z", "open", 1, None)}
+    assert got == {tuple(r) for r in completions.reassemble(spark.createDataFrame(rows + rows[:5], schema)).collect()}
 
 
 def test_windowed_counts(spark):
