@@ -26,6 +26,11 @@ SIZE_WORDS = (
     "--no-install-recommends", "--no-cache-dir", "COPY", "ADD",
     "reduce", "smaller", "minimize", "compress",
 )
+# The shorter list of the size review.
+REVIEW_WORDS = (
+    "size", "layer", "cache", "no-cache", "multi-stage",
+    "apt-get clean", "rm -rf /var/lib/apt/lists", "--no-install-recommends", "--no-cache-dir",
+)
 FENCE = "```"
 # Words of a build file without a FROM line.
 FALLBACK_WORDS = ("FROM", "RUN", "COPY", "ADD", "WORKDIR")
@@ -112,8 +117,8 @@ def salvage_list(tail: Column) -> Column:
     return F.try_variant_get(F.try_parse_json(text), "$", "array<string>")
 
 
-def size_issues(issues: Column) -> Column:
-    return F.filter(issues, lambda t: contains_any(F.lower(t), SIZE_WORDS))
+def size_issues(issues: Column, words: tuple[str, ...] = SIZE_WORDS) -> Column:
+    return F.filter(issues, lambda t: contains_any(F.lower(t), words))
 
 
 def error_class(error: Column) -> Column:

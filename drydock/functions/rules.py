@@ -19,19 +19,20 @@ class Rule:
     size_related: bool = False
     saving_kb: int = 0
     size_profile: bool = False
+    review_profile: bool = False
 
 
 # Severities, savings in KB and the size flags.
 RULES: tuple[Rule, ...] = (
     Rule("from_unpinned", "file", "warning", "Base image has no fixed tag or digest."),
-    Rule("apt_no_recommends", "file", "info", "Package install pulls in recommended packages.", True, 50000, True),
-    Rule("apt_clean", "file", "info", "Package lists stay in the layer.", True, 10000, True),
-    Rule("apt_update_split", "file", "info", "Index update and install are in separate layers.", True, 20000),
-    Rule("pip_cache", "file", "info", "Python download cache stays in the layer.", True, 10000),
+    Rule("apt_no_recommends", "file", "info", "Package install pulls in recommended packages.", True, 50000, True, True),
+    Rule("apt_clean", "file", "info", "Package lists stay in the layer.", True, 10000, True, True),
+    Rule("apt_update_split", "file", "info", "Index update and install are in separate layers.", True, 20000, False, True),
+    Rule("pip_cache", "file", "info", "Python download cache stays in the layer.", True, 10000, False, True),
     Rule("pipe_to_shell", "file", "warning", "A download is piped straight into a shell."),
-    Rule("combine_run", "file", "info", "A single command takes a layer of its own.", True, 20000, True),
+    Rule("combine_run", "file", "info", "A single command takes a layer of its own.", True, 20000, True, True),
     Rule("add_vs_copy", "file", "info", "ADD is used where COPY would do.", False, 0, True),
-    Rule("multi_stage", "file", "suggestion", "Build tools could stay in an earlier stage.", True, 100000, True),
+    Rule("multi_stage", "file", "suggestion", "Build tools could stay in an earlier stage.", True, 100000, True, True),
     Rule("no_user", "file", "warning", "No USER instruction, the image runs as root."),
     Rule("no_healthcheck", "file", "suggestion", "No HEALTHCHECK instruction."),
     Rule("missing_file", "file", "error", "The build file could not be read."),
@@ -92,6 +93,11 @@ def in_size_profile(rule_id: Column) -> Column:
     return rule_id.isin([r.rule_id for r in RULES if r.size_profile])
 
 
+def in_review_profile(rule_id: Column) -> Column:
+    """Rules of the profile that goes with a size review by a model."""
+    return rule_id.isin([r.rule_id for r in RULES if r.review_profile])
+
+
 def instruction_findings(idx: Column, instruction: Column, value: Column) -> Column:
     run = instruction == "RUN"
     apt = run & (value.contains("apt-get") | value.contains("apt "))

@@ -75,6 +75,13 @@ def large_layers(layers: DataFrame, strict: bool = False) -> DataFrame:
     return layers.filter(has_size(F.col("size_text")) & sizes.is_large_layer(F.col("size_text"), strict))
 
 
+def layer_findings(layers: DataFrame, strict: bool = False) -> DataFrame:
+    """``image_id, layer_id, size_text, rule_id, severity``: one row per large layer."""
+    rule = rules.BY_ID["image_large_layer"]
+    found = large_layers(layers, strict).select("image_id", "layer_id", "size_text")
+    return found.withColumn("rule_id", F.lit(rule.rule_id)).withColumn("severity", F.lit(rule.severity))
+
+
 def image_findings(images: DataFrame, layers: DataFrame | None = None, strict: bool = False) -> DataFrame:
     """``image_id, rule_id, severity, n``; ``n`` is the number of layers for the large-layer rule, else
     1. Images without a finding get one ``image_ok`` row.

@@ -116,6 +116,12 @@ def size_reduction(observed: DataFrame) -> DataFrame:
     )
 
 
+def reduction_percentiles(reduced: DataFrame, shares: Sequence[float] = (0.1, 0.5, 0.9)) -> DataFrame:
+    """Percentiles of the size ratio, interpolated, over the images that have one."""
+    names = [f"ratio_p{round(100 * s):02d}" for s in shares]
+    return reduced.agg(*[F.percentile("ratio", s).alias(n) for s, n in zip(shares, names, strict=True)])
+
+
 def reduction_summary(reduced: DataFrame) -> DataFrame:
     return reduced.agg(
         F.count("*").alias("n_images"),

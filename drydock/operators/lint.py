@@ -86,6 +86,11 @@ def size_profile(found: DataFrame) -> DataFrame:
     return found.filter(rules.in_size_profile(F.col("rule_id")))
 
 
+def review_profile(found: DataFrame) -> DataFrame:
+    """Findings of the rules of the size review."""
+    return found.filter(rules.in_review_profile(F.col("rule_id")))
+
+
 def counts(found: DataFrame, key: str = "file_id") -> DataFrame:
     """Findings and files per rule. Counting per (rule, file) first keeps the distinct count a
     plain two-level sum, so a rule that fires everywhere is never gathered in one task."""

@@ -105,6 +105,11 @@ def container_commits(commit_files: DataFrame, repos: DataFrame | None = None, p
     return kept.select(paths.commit_url(F.col("repo_url"), F.col("sha")).alias("commit_url")).distinct()
 
 
+def join_commits(commit_files: DataFrame, commits: DataFrame) -> DataFrame:
+    """Changed files with the columns of their commit, by repository and ``sha``; merge-only commits drop out."""
+    return commit_files.join(commits, ["repo_url", "sha"])
+
+
 def split_commit_urls(urls: DataFrame, column: str = "commit_url") -> DataFrame:
     return urls.select(column, paths.commit_url_parts(F.col(column)).alias("p")).select(column, "p.*")
 

@@ -210,7 +210,7 @@ def top_issues(analyses: DataFrame, k: int = 5, key: str = "id") -> DataFrame:
     return ranked.select(key, "list_name", "n_total", (F.col("pos") + 1).alias("rank"), "issue")
 
 
-def model_size_issues(analyses: DataFrame, key: str = "id") -> DataFrame:
+def model_size_issues(analyses: DataFrame, key: str = "id", words: tuple[str, ...] = rp.SIZE_WORDS) -> DataFrame:
     """``key, issue``: performance issues, then optimisation options, that speak of size."""
     both = F.concat("data.performance_issues", "data.optimization_opportunities")
-    return unfold(analyses, [key], rp.size_issues(both), "issue", pos="pos")
+    return unfold(analyses, [key], rp.size_issues(both, words), "issue", pos="pos")

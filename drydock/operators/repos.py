@@ -60,7 +60,7 @@ def nth(df: DataFrame, position: Column, k: int) -> DataFrame:
 
 def hash_sample(df: DataFrame, key: Column, n: int, seed: int = 0) -> DataFrame:
     """``n`` rows drawn uniformly without replacement, the same ones for the same seed."""
-    return df.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+    return ranked_sample(df, F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string"))), n)
 
 
 def ranked_sample(df: DataFrame, rank: Column, n: int) -> DataFrame:

@@ -79,6 +79,20 @@ def lint_size_related(spark: SparkSession, sf: str) -> DataFrame:
     return flows.size_lint(fr.files(spark, sf)).groupBy("rule_id").agg(F.count("*").alias("n"))
 
 
+@query
+def lint_size_review(spark: SparkSession, sf: str) -> DataFrame:
+    found = lint.review_profile(lint.findings(_build_files(spark, sf)))
+    return found.groupBy("rule_id").agg(F.count("*").alias("n"))
+
+
+@query
+def lint_missing_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Every tenth file stands for one that could not be read."""
+    files = _build_files(spark, sf)
+    unread = files.withColumn("content", F.when(F.col("file_id") % 10 != 0, F.col("content")))
+    return lint.findings(unread).filter("rule_id = 'missing_file'")
+
+
 @query
 def file_savings(spark: SparkSession, sf: str) -> DataFrame:
     return savings.savings_in_row(_build_files(spark, sf))
@@ -174,6 +188,15 @@ def repo_list_first_and_kth(spark: SparkSession, sf: str) -> DataFrame:
     return first.unionByName(kth)
 
 
+@query
+def repo_list_limited(spark: SparkSession, sf: str) -> DataFrame:
+    """The first URLs of both readings of a list, in list order."""
+    lines = fr.repo_lines(spark, sf)
+    split = repo_sources.limited(repo_sources.repo_urls(lines), 25, ("line_no", "part"))
+    plain = repo_sources.limited(repo_sources.plain_repo_urls(lines), 25)
+    return split.select(F.lit("split").alias("which"), "line_no", "url").unionByName(plain.select(F.lit("plain").alias("which"), "line_no", "url"))
+
+
 @query
 def repo_sheet(spark: SparkSession, sf: str) -> DataFrame:
     rows = repo_sources.repo_sheet(fr.repo_sheet(spark, sf).withColumn("pos", F.monotonically_increasing_id()))
@@ -268,6 +291,11 @@ def large_layers_strict(spark: SparkSession, sf: str) -> DataFrame:
     return images.large_layers(fr.layers(spark, sf), strict=True).select("image_id", "layer_id", "size_text")
 
 
+@query
+def large_layer_findings(spark: SparkSession, sf: str) -> DataFrame:
+    return images.layer_findings(fr.layers(spark, sf))
+
+
 @query
 def size_parse(spark: SparkSession, sf: str) -> DataFrame:
     parsed = fr.layers(spark, sf).select("size_text").distinct()
@@ -360,6 +388,19 @@ def commit_path_test(spark: SparkSession, sf: str) -> DataFrame:
     return mining.container_commits(fr.commit_files(spark, sf), path_test="container_and_deploy_files")
 
 
+@query
+def commit_details(spark: SparkSession, sf: str) -> DataFrame:
+    return mining.join_commits(fr.commit_files(spark, sf), fr.commits(spark, sf))
+
+
+@query
+def commit_list_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Commit URLs written as sorted lines, read back and split."""
+    out = work_dir(spark, "commits")
+    sinks.write_sorted_lines(mining.container_commits(fr.commit_files(spark, sf)), "commit_url", out)
+    return repo_sources.commit_urls(spark.read.text(out).withColumnRenamed("value", "line"))
+
+
 @query
 def commit_url_parts(spark: SparkSession, sf: str) -> DataFrame:
     return mining.split_commit_urls(mining.container_commits(fr.commit_files(spark, sf)))
@@ -368,8 +409,7 @@ def commit_url_parts(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def hash_sample(spark: SparkSession, sf: str) -> DataFrame:
     urls = mining.container_commits(fr.commit_files(spark, sf))
-    rank = F.md5(F.concat(F.lit("7:"), F.col("commit_url")))
-    return repos.ranked_sample(urls, rank, 333).orderBy("commit_url")
+    return repos.hash_sample(urls, F.col("commit_url"), 333, seed=7).orderBy("commit_url")
 
 
 @query
@@ -443,6 +483,30 @@ def model_size_issues(spark: SparkSession, sf: str) -> DataFrame:
     return replies.model_size_issues(_analyses(spark, sf))
 
 
+@query
+def model_review_issues(spark: SparkSession, sf: str) -> DataFrame:
+    return replies.model_size_issues(_analyses(spark, sf), words=rp.REVIEW_WORDS)
+
+
+@query
+def analysis_json(spark: SparkSession, sf: str) -> DataFrame:
+    """Nested analyses written as JSON lines and read back."""
+    out = work_dir(spark, "analyses")
+    parsed = _analyses(spark, sf).select("id", "status", "data")
+    sinks.write_json(parsed, out)
+    back = spark.read.schema(parsed.schema).json(out)
+    return back.select("id", "status", F.size("data.recommendations").alias("n_recommendations"), F.array_join("data.security_risks", "|").alias("risks"))
+
+
+@query
+def pr_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """Selected pull requests written as CSV with their input columns, and read back."""
+    out = work_dir(spark, "prs")
+    rows = mining.dedup_prs(fr.prs(spark, sf))
+    sinks.write_rows(rows, out)
+    return spark.read.schema(rows.schema).csv(out, header=True)
+
+
 @query
 def top5_per_category(spark: SparkSession, sf: str) -> DataFrame:
     return replies.top_recommendations(_analyses(spark, sf))
@@ -549,6 +613,11 @@ def status_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return buildlogs.status_rollup(fr.test_results(spark, sf))
 
 
+@query
+def batch_ok(spark: SparkSession, sf: str) -> DataFrame:
+    return buildlogs.batch_ok(fr.test_results(spark, sf))
+
+
 # --- labels ------------------------------------------------------------------------------------
 
 
@@ -577,6 +646,11 @@ def size_reduction(spark: SparkSession, sf: str) -> DataFrame:
     return labels.size_reduction(fr.observed_sizes(spark, sf))
 
 
+@query
+def size_reduction_percentiles(spark: SparkSession, sf: str) -> DataFrame:
+    return labels.reduction_percentiles(labels.size_reduction(fr.observed_sizes(spark, sf)))
+
+
 @query
 def size_reduction_summary(spark: SparkSession, sf: str) -> DataFrame:
     return labels.reduction_summary(labels.size_reduction(fr.observed_sizes(spark, sf)))
@@ -598,6 +672,14 @@ def stream_container_findings(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out")
 
 
+@query
+def stream_image_findings(spark: SparkSession, sf: str) -> DataFrame:
+    snaps = snapshots.images(fr.image_captures(_stream(spark, sf, "part")))
+    base = work_dir(spark, "watch-images")
+    watch.watch_images(snaps, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 @query
 def stream_finding_transitions(spark: SparkSession, sf: str) -> DataFrame:
     sets = containers.rule_sets(fr.container_snapshots(_stream(spark, sf, "events")), list(fr.CONTAINER_KEYS))

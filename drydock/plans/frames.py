@@ -138,8 +138,8 @@ def _strings(*values: str) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
-def image_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``image_id, json``: inspect output per part, some of it empty or malformed."""
+def image_captures(rows: DataFrame) -> DataFrame:
+    """``image_id, json`` from part rows, batch or stream: inspect output, some of it empty or malformed."""
     key, size = F.col("p_partkey"), F.col("p_size")
     many = [f"V{i}={i}" for i in range(12)]
     env = (
@@ -187,7 +187,7 @@ def image_captures(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key % 13 == 0, F.lit('[{"Id":'))
         .otherwise(F.concat(F.lit("["), F.to_json(doc), F.lit("]")))
     )
-    return table(spark, sf_dir, "part").select(key.alias("image_id"), text.alias("json"))
+    return rows.select(key.alias("image_id"), text.alias("json"))
 
 
 def image_bytes() -> Column:
@@ -201,7 +201,7 @@ def digests() -> Column:
 
 
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return snapshots.images(image_captures(spark, sf_dir))
+    return snapshots.images(image_captures(table(spark, sf_dir, "part")))
 
 
 def histories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -356,6 +356,17 @@ def commit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LONG_LIST = 200  # some replies list so many risks, which is some thousand characters
+def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``repo_url, sha, author, message``: one commit for each even event."""
+    key = F.col("event_id")
+    return table(spark, sf_dir, "events").filter(key % 2 == 0).select(
+        mined_repo(F.col("user_id")).alias("repo_url"),
+        F.md5(F.floor(key / 2).cast("string")).alias("sha"),
+        F.concat(F.lit("dev"), (key % 7).cast("string")).alias("author"),
+        F.concat(F.lit("change "), key.cast("string")).alias("message"),
+    )
+
+
 MISSING = ("no USER", "no HEALTHCHECK", "no labels", "ADD used", "no tag", "no owner", "no cleanup", "no limits", "no docs")
 SLOW = ("Layer cache grows", "slow start", "Reduce image size", "Layer cache grows")
 CATEGORIES = ("security", "performance", "best_practice", "optimization", "other")

@@ -1076,6 +1076,64 @@ _oracle(
     "observed",
 )
 
+_cte("image_only", "image_found", sql="SELECT * FROM image_found WHERE rule_id NOT IN ('image_large_layer', 'image_ok')")
+_oracle(
+    "stream_image_findings",
+    """SELECT * FROM image_only UNION ALL
+    SELECT image_id, 'image_ok', 'ok', 1 FROM image WHERE image_id NOT IN (SELECT image_id FROM image_only)""",
+    "image_only",
+    "image",
+)
+_oracle(
+    "size_reduction_percentiles",
+    """SELECT quantile_cont(r, 0.1) AS ratio_p10, quantile_cont(r, 0.5) AS ratio_p50, quantile_cont(r, 0.9) AS ratio_p90
+    FROM (SELECT round(best / before_bytes, 4) AS r FROM observed)""",
+    "observed",
+)
+_oracle("batch_ok", "SELECT bool_and(o_orderstatus <> 'P' AND o_orderkey % 4 <> 2) AS all_success FROM orders")
+_oracle(
+    "lint_size_review",
+    """SELECT rule_id, count(*) AS n FROM found WHERE rule_id IN
+      ('apt_no_recommends', 'apt_clean', 'apt_update_split', 'pip_cache', 'combine_run', 'multi_stage') GROUP BY 1""",
+    "found",
+)
+_oracle(
+    "lint_missing_files",
+    "SELECT file_id, CAST(-1 AS INTEGER) AS idx, 'missing_file' AS rule_id, 'error' AS severity FROM build_files WHERE file_id % 10 = 0",
+    "build_files",
+)
+_oracle(
+    "repo_list_limited",
+    """(SELECT 'split' AS which, line_no, url FROM repo_parts ORDER BY line_no, part LIMIT 25)
+    UNION ALL (SELECT 'plain', line_no, url FROM repo_plain ORDER BY line_no LIMIT 25)""",
+    "repo_parts",
+    "repo_plain",
+)
+_oracle(
+    "large_layer_findings",
+    "SELECT image_id, layer_id, size_text, 'image_large_layer' AS rule_id, 'info' AS severity FROM large_layer",
+    "large_layer",
+)
+_oracle(
+    "commit_details",
+    """SELECT f.repo_url, f.sha, filename, (['ADD', 'MODIFY', 'DELETE', 'RENAME'])[f.event_id % 4 + 1] AS change_type,
+      'dev' || c.event_id % 7 AS author, 'change ' || c.event_id AS message
+    FROM (SELECT *, 'https://git.example/o' || user_id % 25 || '/r' || user_id AS repo_url, md5(CAST(event_id // 2 AS VARCHAR)) AS sha,
+        (['Dockerfile', 'docker-compose.yml', 'main.c', '.dockerignore', 'chart.yaml'])[(CAST(floor(value) AS BIGINT) + event_id) % 5 + 1] AS filename
+        FROM events) f
+      JOIN events c ON c.event_id % 2 = 0 AND c.user_id = f.user_id AND c.event_id // 2 = f.event_id // 2""",
+)
+_oracle("commit_list_file", "SELECT DISTINCT commit_url FROM docker_commit", "docker_commit")
+_oracle(
+    "model_review_issues",
+    """SELECT id, CAST(unnest(range(0, len(l))) AS INTEGER) AS pos, unnest(l) AS issue FROM (SELECT id, list_filter(list_concat(perf, opts), lambda t:
+      regexp_matches(lower(t), 'size|layer|cache|no-cache|multi-stage|apt-get clean|rm -rf /var/lib/apt/lists|--no-install-recommends|--no-cache-dir')) AS l
+    FROM analysis)""",
+    "analysis",
+)
+_oracle("analysis_json", f"SELECT id, status, CAST(n_rec AS INTEGER) AS n_recommendations, {_join('risks')} AS risks FROM analysis", "analysis")
+_oracle("pr_csv", "SELECT * FROM pr_first", "pr_first")
+
 # --- streams -----------------------------------------------------------------------------------
 
 _CHUNKS = """SELECT id, string_agg(CASE WHEN i = 1 THEN w ELSE ' ' || w END, '' ORDER BY i) AS text,

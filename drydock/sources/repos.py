@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,11 @@ def plain_repo_urls(lines: DataFrame) -> DataFrame:
     return kept.select(*[c for c in lines.columns if c != "line"], strip(F.col("line")).alias("url"))
 
 
+def limited(urls: DataFrame, n: int, order: Sequence[str] = ("line_no",)) -> DataFrame:
+    """The first ``n`` URLs in list order."""
+    return urls.orderBy(*order).limit(n)
+
+
 def first_repo_url(lines: DataFrame) -> DataFrame:
     """The first line that is a URL, as at most one row."""
     urls = plain_repo_urls(lines).filter(F.col("url").startswith("http") & ~F.col("url").startswith("#"))
@@ -38,17 +45,23 @@ def first_repo_url(lines: DataFrame) -> DataFrame:
 
 
 def repo_sheet(rows: DataFrame, limit: int | None = None, position: str | None = None) -> DataFrame:
-    """``url`` from a sheet's Repository column, else Repo; rows without one do not count."""
+    """``url`` from a sheet's Repository column, else Repo; rows without one do not count.
+
+    A ``limit`` takes the first rows by ``position``, which it needs.
+    """
+    if limit is not None and position is None:
+        raise ValueError("a limit needs a position")
     names = [c for c in ("Repository", "Repo") if c in rows.columns]
     url = F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in names])
     kept = rows.withColumn("url", url).filter("url is not null")
     if limit is None:
         return kept
-    return (kept.orderBy(position) if position else kept).limit(limit)
+    return kept.orderBy(position).limit(limit)
 
 
 def read_repo_sheet(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    return repo_sheet(spark.read.csv(path, header=True, multiLine=True, escape='"'), limit)
+    rows = spark.read.csv(path, header=True, multiLine=True, escape='"').withColumn("_pos", F.monotonically_increasing_id())
+    return repo_sheet(rows, limit, "_pos").drop("_pos")
 
 
 def classified_repos(rows: DataFrame) -> DataFrame:
