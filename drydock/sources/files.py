@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import buildfile
-from ..functions.text import last_segment
+from ..functions.text import last_segment, split_lines
+from ..operators.rows import unfold
+from ..operators.skew import running
 
 
 def read_build_files(spark: SparkSession, root: str) -> DataFrame:
@@ -33,3 +35,20 @@ def read_logs(spark: SparkSession, path: str) -> DataFrame:
     """``source, content``: one row per log file, invalid UTF-8 replaced."""
     raw = spark.read.format("binaryFile").load(path)
     return raw.select(F.col("path").alias("source"), F.make_valid_utf8(F.col("content").cast("string")).alias("content"))
+
+
+def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``source, line_no, content`` of log files of any length, numbered from 1.
+
+    Files are read in splits; a line's number is its place among the lines of its file, counted in
+    blocks by (split, row in the split). Line breaks other than CR and LF are found inside what a split calls a line.
+    """
+    read = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("source"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_row"),
+        F.make_valid_utf8("value").alias("value"),
+    )
+    lines = unfold(read, ["source", "_start", "_row"], split_lines(F.col("value")), "content", pos="_part").withColumn("_one", F.lit(1))
+    numbered = running(lines, ["source"], ["_start", "_row", "_part"], "_one", total="line_no")
+    return numbered.select("source", F.col("line_no").cast("int").alias("line_no"), "content")

@@ -151,3 +151,19 @@ def test_sinks(spark, tmp_path):
 def test_rule_table(spark):
     table = lint.rule_table(spark)
     assert table.count() == table.select("rule_id").distinct().count()
+
+
+def test_log_lines_are_numbered_over_splits(spark, tmp_path):
+    texts = {"a.log": "".join(f"line {i}\n" for i in range(5000)), "b.log": "x\r\n\ny\x0bz", "c.log": ""}
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text, newline="")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8000")
+    try:
+        got = {}
+        for r in files.read_log_lines(spark, str(tmp_path)).collect():
+            got.setdefault(r.source.rsplit("/", 1)[1], []).append((r.line_no, r.content))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert {k: [c for _, c in sorted(v)] for k, v in got.items()} == {k: t.splitlines() for k, t in texts.items() if t}
+    assert all([n for n, _ in sorted(v)] == list(range(1, len(v) + 1)) for v in got.values())
