@@ -578,7 +578,7 @@ def run_metadata(spark: SparkSession, sf: str) -> DataFrame:
     """Scorecard and metadata written as two tables; the metadata read back."""
     card = _scorecard(spark, sf)
     out = work_dir(spark, "scorecard")
-    sinks.write_scorecard(card, scorecard.run_metadata(card), out)
+    sinks.write_scorecard(card, scorecard.run_metadata, out)
     good = scorecard.stage_success(spark.read.parquet(f"{out}/scores")).agg(F.count_if("success").alias("n_success"))
     meta = spark.read.parquet(f"{out}/run_metadata").select("repo_count", "dockerfile_count")
     both = meta.unionByName(good, allowMissingColumns=True)

@@ -2,19 +2,27 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_scorecard(card: DataFrame, metadata: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Two tables, ``scores`` and ``run_metadata``."""
-    for name, table in (("scores", card), ("run_metadata", metadata)):
+def write_scorecard(card: DataFrame, metadata: Callable[[DataFrame], DataFrame], path: str, fmt: str = "parquet") -> None:
+    """Two tables, ``scores`` and ``run_metadata``; the metadata is made from the scores as written."""
+
+    def save(table: DataFrame, name: str) -> None:
         writer = table.write.mode("overwrite")
         if fmt == "csv":
             writer.option("header", "true").option("escape", '"').csv(f"{path}/{name}")
         else:
             writer.format(fmt).save(f"{path}/{name}")
 
+    save(card, "scores")
+    reader = card.sparkSession.read.schema(card.schema)
+    written = reader.option("header", "true").option("escape", '"').csv(f"{path}/scores") if fmt == "csv" else reader.format(fmt).load(f"{path}/scores")
+    save(metadata(written), "run_metadata")
+
 
 def write_results(results: DataFrame, path: str) -> None:
     """Result CSV with a header; nulls become empty cells."""

@@ -143,7 +143,7 @@ def test_sinks(spark, tmp_path):
     assert {r.s.k for r in spark.read.json(str(tmp_path / "json")).collect()} == {"a", "b"}
     sinks.write_stage_texts(df.withColumn("stage", F.col("k")), str(tmp_path / "st"))
     assert spark.read.parquet(str(tmp_path / "st")).filter("stage = 'a'").count() == 1
-    sinks.write_scorecard(df, df.limit(1), str(tmp_path / "card"), fmt="csv")
+    sinks.write_scorecard(df, lambda saved: saved.limit(1), str(tmp_path / "card"), fmt="csv")
     assert spark.read.csv(str(tmp_path / "card" / "scores"), header=True).count() == 2
     sinks.write_rows(df, str(tmp_path / "rows"))
 
