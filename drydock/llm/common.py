@@ -53,7 +53,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(folder)
     finally:
         spark.conf.set(_ARROW_ROWS, str(rows))
-    return spark.read.schema(df.schema).parquet(folder)
+    out = spark.read.schema(df.schema).parquet(folder)
+    out._folder = folder
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Removes the files of a ``stored`` table that nothing reads any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df._folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fold_of(column: str, n: int) -> Column:

@@ -46,16 +46,34 @@ def line_spans(buf: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def shingle_hashes(buf: np.ndarray, starts: np.ndarray, stops: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the character runs of each span, in order, and the number of runs before each span."""
+    """Hashes of the character runs of each span (spans in the order of the buffer), and the number of runs before each span.
+
+    Runs are hashed at every character of the buffer at once, and those that leave their span are left out.
+    """
     lead = np.flatnonzero((buf & 0xC0) != 0x80)
-    a, b = np.searchsorted(lead, starts), np.searchsorted(lead, stops)
-    runs = np.maximum(b - a - size + 1, 1)
-    before = np.concatenate([[0], np.cumsum(runs)])
-    at = np.arange(before[-1]) - np.repeat(before[:-1] - a, runs)
-    end = np.minimum(at + size, np.repeat(b, runs))
     limit = np.append(lead, len(buf))
-    stop = np.where(end == np.repeat(b, runs), np.repeat(stops, runs), limit[end])
-    return c.span_hashes(buf, lead[at], stop), before
+    n = len(lead)
+    a, b = np.searchsorted(lead, starts), np.searchsorted(lead, stops)
+    short = b - a < size
+    runs = np.where(short, 1, b - a - size + 1)
+    up, down = c.powers(len(buf))
+    total = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum((buf.astype(np.uint64) + c._U(1)) * up[: len(buf)], out=total[1:])
+    out = np.zeros(n, np.uint64)
+    m = max(n - size + 1, 0)
+    if n == len(buf):
+        out[:m] = (total[size:] - total[: len(total) - size])[:m] * down[:m] + c._U(size)
+    else:
+        ends = total[limit]
+        out[:m] = (ends[size:] - ends[: n + 1 - size])[:m] * down[lead[:m]]
+        out[:m] += (limit[size:] - limit[: n + 1 - size])[:m].astype(np.uint64)
+    few = np.flatnonzero(short)
+    out[a[few]] = c.span_hashes(buf, starts[few], stops[few])
+    change = np.zeros(n + 1, np.int8)
+    change[a] += 1
+    np.subtract.at(change, a + runs, 1)
+    inside = np.cumsum(change[:-1], dtype=np.int8).view(bool)
+    return c.mix(out[inside]), np.concatenate([[0], np.cumsum(runs)])
 
 
 def signature(values: np.ndarray, before: np.ndarray, n: int) -> np.ndarray:
@@ -81,6 +99,8 @@ def _scan(size: int, bands: int, rows: int):
                 continue
             k1 = c.span_hashes(buf, starts, stops)
             _, head, back = np.unique(k1, return_index=True, return_inverse=True)
+            rank = np.argsort(np.argsort(head))
+            head, back = np.sort(head), rank[back]  # in the order of the buffer
             v, before = shingle_hashes(buf, starts[head], stops[head], size)
             k2 = np.add.reduceat(c.mix(v), before[:-1])[back]
             lists: list = [None] * len(starts)  # the first of equal lines carries the bands
@@ -112,6 +132,9 @@ def _similar(size: int, percent: int):
             for a, b in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist(), strict=True):
                 if a != last:
                     last, x = a, char_set(a, size)
+                if 100 * max(1, len(b) - size + 1) < percent * len(x):  # its set cannot be large enough
+                    hits.append(False)
+                    continue
                 y = char_set(b, size)
                 both = len(x & y)
                 hits.append(100 * both >= percent * (len(x) + len(y) - both))
@@ -120,15 +143,16 @@ def _similar(size: int, percent: int):
     return run
 
 
-def alike_lines(size: int, percent: int):
-    """Whether one line is similar enough to each of many."""
+def hashed_sets(size: int):
+    """The shingle hashes of each line, sorted and distinct."""
 
-    def alike(one: pa.Scalar, others: list[pa.Scalar]) -> list[bool]:
-        x = char_set(one.as_py(), size)
-        sets = [char_set(y.as_py(), size) for y in others]
-        return [100 * len(x & y) >= percent * len(x | y) for y in sets]
+    def sets(column: pa.Array) -> list[np.ndarray]:
+        buf, ends = c.text_bytes(column)
+        v, before = shingle_hashes(buf, ends[:-1], ends[1:], size)
+        v, before = c.distinct_in_rows(v.view(np.int64), before)
+        return np.split(v, before[1:-1])
 
-    return alike
+    return sets
 
 
 def line_classes(
@@ -148,6 +172,8 @@ def line_classes(
         texts.mapInArrow(_scan(size, bands, rows), f"doc {kind}, line int, k1 long, k2 long, bands array<long>"), "lines"
     )
     folded = c.stored(lines.groupBy("k1", "k2").agg(F.min(place).alias("rep"), F.min("bands").alias("bands")), "folded")
+    wide, lines = lines, c.stored(lines.drop("bands"), "places")
+    c.discard(wide)
     members = folded.select(F.explode("bands").alias("bucket"), F.col("rep").alias("id"))
 
     def prepare(ids: DataFrame):
@@ -160,12 +186,13 @@ def line_classes(
         typed = f"struct<doc:{kind},line:int>"
 
         def similar(pairs: DataFrame) -> DataFrame:
-            both = pairs.join(text.select(F.col("place").alias("a"), F.col("l").alias("ta")), "a")
-            both = both.join(text.select(F.col("place").alias("b"), F.col("l").alias("tb")), "b")
+            # The last join is on the leader, so its rows follow each other and its set is built once.
+            both = pairs.join(text.select(F.col("place").alias("b"), F.col("l").alias("tb")), "b")
+            both = both.join(text.select(F.col("place").alias("a"), F.col("l").alias("ta")), "a")
             both = both.select("a", "b", "ta", "tb")
             return both.mapInArrow(_similar(size, percent), f"a {typed}, b {typed}").distinct()
 
-        return linkage.Compare(similar, text.select(F.col("place").alias("id"), F.col("l").alias("v")), alike_lines(size, percent))
+        return linkage.Compare(similar, text.select(F.col("place").alias("id"), F.col("l").alias("v")), hashed_sets(size), percent)
 
     comps = linkage.linked(members, prepare)
     reps = folded.select("k1", "k2", "rep").join(comps.withColumnRenamed("id", "rep"), "rep", "left")

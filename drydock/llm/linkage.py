@@ -14,11 +14,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 #: Most pairs of a bucket that are compared as rows, and items of a block beyond that.
 FEW_PAIRS, BLOCK = 256, 64
@@ -85,12 +86,44 @@ class Compare:
     """How items are compared.
 
     ``pairs``: from distinct pairs ``(a, b)`` to those that are similar. ``items``: ``id, v``, what is compared.
-    ``alike``: from one value and many others to one truth value for each of them.
+    ``sets``: from a list of values to their sets, each a sorted array of 64-bit words; sets whose shared part is
+    ``percent`` of their union or more are similar.
     """
 
     pairs: Callable[[DataFrame], DataFrame]
     items: DataFrame
-    alike: Callable[[object, list], list[bool]]
+    sets: Callable[[pa.Array], list[np.ndarray]]
+    percent: int
+
+
+#: Distinct words that one matrix product takes.
+PRODUCT_WORDS = 1 << 15
+
+
+def similar_blocks(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
+    """Whether each set of ``left`` is similar to each of ``right``.
+
+    The sets become rows of zeros and ones over the words that both sides have; products of such matrices
+    count what two sets share, exactly.
+    """
+    flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right)]
+    words = np.intersect1d(*flat)
+    shared = np.zeros((len(left), len(right)))
+    rows = [np.repeat(np.arange(len(x)), [len(y) for y in x]) for x in (left, right)]
+    at = [np.searchsorted(words, x) for x in flat]
+    known = [(k < len(words)) & (words[np.minimum(k, max(len(words) - 1, 0))] == x) if len(words) else np.zeros(len(x), bool) for k, x in zip(at, flat, strict=True)]
+    for start in range(0, len(words), PRODUCT_WORDS):
+        width = min(PRODUCT_WORDS, len(words) - start)
+        side = []
+        for x, row, k, ok in zip((left, right), rows, at, known, strict=True):
+            ok = ok & (k >= start) & (k < start + width)
+            ones = np.zeros((len(x), width), np.float32)
+            ones[row[ok], k[ok] - start] = 1
+            side.append(ones)
+        shared += side[0] @ side[1].T
+    sizes = [np.array([len(y) for y in x], float) for x in (left, right)]
+    union = sizes[0][:, None] + sizes[1][None, :] - shared
+    return (100 * shared >= percent * union) & (shared > 0)
 
 
 def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
@@ -102,21 +135,23 @@ def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
     return mixed.select("bucket", "id", "component", "total", F.col("most.n").alias("n_inside"), (F.col("component") == F.col("most.component")).alias("inside"))
 
 
-def _met_in_blocks(alike: Callable[[object, list], list[bool]]):
+def _met_in_blocks(sets: Callable[[pa.Array], list[np.ndarray]], percent: int):
+    """Links between two blocks: of those that join the same two components one is enough."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
                 left, right = batch.column("left")[k].values, batch.column("right")[k].values
-                (ia, ca, va), (ib, cb, vb) = ((x.field("id"), x.field("component").to_pylist(), x.field("v")) for x in (left, right))
-                values = [vb[j] for j in range(len(vb))]
-                found: list[tuple[int, int]] = []
-                for i in range(len(va)):
-                    others = [j for j in range(len(values)) if cb[j] != ca[i]]
-                    if others:
-                        found += [(i, j) for j, yes in zip(others, alike(va[i], [values[j] for j in others]), strict=True) if yes]
-                if found:
-                    a, b = (pa.array(x, pa.int32()) for x in zip(*found, strict=True))
-                    yield pa.RecordBatch.from_arrays([ia.take(a), ib.take(b)], ["a", "b"])
+                names, place = np.unique(
+                    [str(x) for side in (left, right) for x in side.field("component").to_pylist()], return_inverse=True
+                )
+                ca, cb = place[: len(left)], place[len(left) :]
+                hits = similar_blocks(sets(left.field("v")), sets(right.field("v")), percent) & (ca[:, None] != cb[None, :])
+                i, j = np.nonzero(hits)
+                if len(i):
+                    _, first = np.unique(np.minimum(ca[i], cb[j]) * len(names) + np.maximum(ca[i], cb[j]), return_index=True)
+                    ia, ib = left.field("id").take(pa.array(i[first])), right.field("id").take(pa.array(j[first]))
+                    yield pa.RecordBatch.from_arrays([ia, ib], ["a", "b"])
 
     return run
 
@@ -131,7 +166,7 @@ def _links_in_blocks(open_: DataFrame, compare: Compare) -> DataFrame:
     right = blocks.select("bucket", "inside", F.col("block").alias("rb"), F.col("of").alias("right"))
     met = left.join(right, "bucket").filter("inside or lb <= rb").select("left", "right")
     kind = compare.items.schema["id"].dataType.simpleString()
-    return met.mapInArrow(_met_in_blocks(compare.alike), f"a {kind}, b {kind}").distinct()
+    return met.mapInArrow(_met_in_blocks(compare.sets, compare.percent), f"a {kind}, b {kind}").distinct()
 
 
 def linked(members: DataFrame, prepare: Callable[[DataFrame], Compare]) -> DataFrame:
@@ -141,7 +176,9 @@ def linked(members: DataFrame, prepare: Callable[[DataFrame], Compare]) -> DataF
     """
     crowded = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
     crowded = stored(crowded, "crowded")
-    members = stored(maybe_in(members, "bucket", crowded).join(crowded, "bucket", "left_semi"), "buckets")
+    held = stored(maybe_in(members, "bucket", crowded).join(crowded, "bucket", "left_semi"), "buckets")
+    discard(crowded)
+    members = held
     compare = prepare(stored(members.select("id").distinct(), "ids"))
     edges = stored(compare.pairs(_stars(members)), "links")
     comps = components(edges)

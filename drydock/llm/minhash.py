@@ -108,19 +108,8 @@ def _sets(n: int):
     return run
 
 
-def alike_sets(percent: int):
-    """Whether one sorted set is similar enough to each of many."""
-
-    def alike(one: pa.Scalar, others: list[pa.Scalar]) -> list[bool]:
-        x = one.values.to_numpy()
-        parts = [y.values.to_numpy() for y in others]
-        size = np.array([len(y) for y in parts])
-        flat = np.concatenate(parts)
-        at = np.minimum(np.searchsorted(x, flat), len(x) - 1)
-        both = np.add.reduceat((x[at] == flat).astype(np.int64), np.concatenate([[0], np.cumsum(size)[:-1]]))
-        return (100 * both >= percent * (size + len(x) - both)).tolist()
-
-    return alike
+def stored_sets(column: pa.Array) -> list[np.ndarray]:
+    return [x.values.to_numpy() for x in column]
 
 
 def near_duplicates(
@@ -156,7 +145,7 @@ def near_duplicates(
             alike = (100 * small >= percent * large) & (100 * shared >= percent * (small + large - shared))
             return both.filter(alike).select("a", "b").distinct()
 
-        return linkage.Compare(similar, sets.withColumnRenamed("s", "v"), alike_sets(percent))
+        return linkage.Compare(similar, sets.withColumnRenamed("s", "v"), stored_sets, percent)
 
     comps = linkage.linked(members, prepare)
     reps = folded.select("n", "k1", "k2", "rep").join(comps.withColumnRenamed("id", "rep"), "rep", "left")

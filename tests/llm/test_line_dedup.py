@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
+
 from drydock.llm import line_dedup as ld
 
 BLANK = " \t\n\x0b\x0c\r"
@@ -59,6 +61,13 @@ def test_equals_brute_force(spark):
     assert {r["doc_id"]: r["text"] for r in left.collect()} == texts
 
 
+def test_blocks_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(ld.linkage, "FEW_PAIRS", 0)
+    rows = corpus(8)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, ld.line_classes(df).collect())) == brute(rows)
+
+
 def test_null_ids_repeats_and_empty_table(spark):
     line = "a line that is long enough to have shingles"
     rows = [(None, line), (3, line), (3, line), (7, f"{line}\nand one of its own, quite different")]
@@ -68,3 +77,16 @@ def test_null_ids_repeats_and_empty_table(spark):
     left = sorted(map(str, map(tuple, ld.remove_repeats(df).collect())))
     assert left == sorted(map(str, [(None, line), (3, line), (3, line), (7, "and one of its own, quite different")]))
     assert ld.line_classes(df.limit(0)).count() == 0 and ld.remove_repeats(df.limit(0)).count() == 0
+
+
+def test_hashes_do_not_depend_on_the_rest_of_the_buffer():
+    lines = ["plain words only", "short", "né日 ünd so weiter", "plain words only"]
+    seen = {}
+    for col in ([lines[0]], lines, ["日本"] + lines, lines[::-1]):
+        buf, ends = ld.c.text_bytes(pa.array(col))
+        starts, stops, row, _ = ld.line_spans(buf, ends)
+        v, before = ld.shingle_hashes(buf, starts, stops, 9)
+        for k, r in enumerate(row):
+            got = v[before[k] : before[k + 1]].tolist()
+            assert len(got) == max(1, len(col[r]) - 8)
+            assert seen.setdefault(col[r], got) == got

@@ -87,17 +87,27 @@ def test_coordinates_estimate_similarity():
 def test_links_that_the_first_member_lacks(spark, monkeypatch, few):
     """Bucket 1 holds 1 to 150; the only links are 2-3, 4-5, 3-4 and 149-150, as pairs and in blocks."""
     monkeypatch.setattr(linkage, "FEW_PAIRS", few)
-    links = {(2, 3), (4, 5), (3, 4), (149, 150)}
+    sets = {i: [1000 + i] for i in range(1, 151)} | {2: [1, 2], 3: [2, 3], 4: [3, 4], 5: [4, 5], 149: [7, 8], 150: [8, 9]}
+    links = [(2, 3), (4, 5), (3, 4), (149, 150)]
     n = 6 if few else 150
     members = spark.createDataFrame([(1, i) for i in range(1, n + 1)], "bucket long, id long")
-    truth = spark.createDataFrame(sorted(links), "a long, b long")
-    items = members.selectExpr("id", "id as v")
+    truth = spark.createDataFrame(links, "a long, b long")
+    items = spark.createDataFrame(list(sets.items()), "id long, v array<long>")
+    compare = linkage.Compare(lambda pairs: pairs.join(truth, ["a", "b"]), items, minhash.stored_sets, 33)
+    got = linkage.linked(members, lambda ids: compare)
+    assert sorted(map(tuple, got.collect())) == [(2, 2), (3, 2), (4, 2), (5, 2)] + ([] if few else [(149, 149), (150, 149)])
 
-    def alike(one, others):
-        return [(min(p), max(p)) in links for p in ((one.as_py(), y.as_py()) for y in others)]
 
-    got = linkage.linked(members, lambda ids: linkage.Compare(lambda pairs: pairs.join(truth, ["a", "b"]), items, alike))
-    assert sorted(map(tuple, got.collect())) == [(2, 2), (3, 2), (4, 2), (5, 2)] + ([] if few else [(149, 149), (150, 149)])
+def test_blocks_of_sets(monkeypatch):
+    rng = np.random.default_rng(1)
+    monkeypatch.setattr(linkage, "PRODUCT_WORDS", 16)
+    sides = [[np.unique(rng.integers(0, 60, rng.integers(0, 50))) for _ in range(n)] for n in (13, 17)]
+    got = linkage.similar_blocks(*sides, 40)
+    for i, x in enumerate(sides[0]):
+        for j, y in enumerate(sides[1]):
+            both = len(set(x) & set(y))
+            assert got[i, j] == (both > 0 and 100 * both >= 40 * len(set(x) | set(y)))
+    assert linkage.similar_blocks([], sides[1], 80).shape == (0, 17)
 
 
 @pytest.mark.parametrize("few", [256, 0])
