@@ -1,9 +1,9 @@
 """Token ids of whole texts with a public tokenizer.
 
 The tokenizer first cuts a text into pieces that never cross from visible to blank characters, and
-codes each piece alone. So a text can be coded run by run (blanks and the word after them), and the
-ids of a run that came before are looked up. A text with blanks other than space, tab and line
-breaks is coded whole.
+codes each piece alone; a single space goes to what follows it. So a text can be coded run by run (a space and
+what follows up to the next), and the ids of a run that came before are looked up. A text with blanks next to a
+space is cut into blanks and the word after them, and one with other blanks than space, tab and line breaks is coded whole.
 """
 
 from __future__ import annotations
@@ -16,9 +16,10 @@ import numpy as np
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 #: Runs that one worker remembers; beyond it the table starts anew, which changes the time only.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 _RUN = re.compile(r"[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
 BLANKS = " \n\r\t"
+_BESIDE_SPACE = ("  ", "\n ", "\r ", "\t ")
 _ODD_BLANK = re.compile(r"[^\S \n\r\t]")
 
 
@@ -30,6 +31,19 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class _Numbers(dict):
+    """Gives each new key the next place in ``store``."""
+
+    def __init__(self, store: list[bytes | None]):
+        self.store, self.fresh = store, []
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self.store)
+        self.store.append(None)
+        self.fresh.append(key)
+        return n
+
+
 class Coder:
     """Codes texts as little-endian unsigned 32-bit ids, each followed by the end id."""
 
@@ -42,8 +56,8 @@ class Coder:
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
         self.tokenizer.encode_special_tokens = True
         self.end = np.array([end_id], "<u4").tobytes()
-        self.known: dict[str, bytes] = {}
         self.widths = self._widths()
+        self._forget()
 
     @classmethod
     def of(cls, name: str = TOKENIZER, end_id: int = END_ID) -> Coder:
@@ -64,30 +78,52 @@ class Coder:
             out[i] = len(piece)
         return out
 
-    def _learn(self, runs: list[str]) -> None:
-        """Codes runs that start with a blank as one text, and cuts the ids where the runs' bytes end."""
-        sizes = np.cumsum([len(r.encode()) for r in runs])
-        ids = np.array(self.tokenizer.encode_batch_fast(["".join(runs)], add_special_tokens=False)[0].ids, "<u4")
+    def _forget(self) -> None:
+        self.store: list[bytes | None] = []
+        self.after_space, self.plain = _Numbers(self.store), _Numbers(self.store)
+
+    def _learn_joined(self, keys: list[str]) -> None:
+        """Codes runs that start with a space as one text, and cuts the ids where the runs' bytes end."""
+        text = " " + " ".join(keys)
+        sizes = np.cumsum([len(k.encode()) + 1 for k in keys])
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
         cuts = np.searchsorted(np.cumsum(self.widths[ids]), sizes) + 1
         raw, at = ids.tobytes(), 0
-        for run, to in zip(runs, (cuts * 4).tolist(), strict=True):
-            self.known[run] = raw[at:to]
+        for key, to in zip(keys, (cuts * 4).tolist(), strict=True):
+            self.store[self.after_space[key]] = raw[at:to]
             at = to
 
+    def _learn(self) -> list[tuple[_Numbers, str]]:
+        """Codes the runs that are new; returns the long ones, which rarely come again."""
+        spaced, self.after_space.fresh = self.after_space.fresh, []
+        plain, self.plain.fresh = self.plain.fresh, []
+        whole = [k for k in spaced if k and k[-1] not in BLANKS]
+        for at in range(0, len(whole), 4096):
+            self._learn_joined(whole[at : at + 4096])
+        apart = [k for k in spaced if not k or k[-1] in BLANKS]
+        for numbers, keys, texts in ((self.after_space, apart, [" " + k for k in apart]), (self.plain, plain, plain)):
+            for key, ids in zip(keys, self._ids(texts), strict=True):
+                self.store[numbers[key]] = ids
+        return [(n, k) for n, keys in ((self.after_space, spaced), (self.plain, plain)) for k in keys if len(k) > 200]
+
+    def _numbers(self, text: str) -> list[int]:
+        spaced, plain = self.after_space, self.plain
+        if _ODD_BLANK.search(text):
+            return [plain[text]]
+        if text[-1] == " " or any(x in text for x in _BESIDE_SPACE):
+            return [spaced[r[1:]] if r[0] == " " else plain[r] for r in _RUN.findall(text)]
+        first, *rest = text.split(" ")
+        out = [spaced[r] for r in rest]
+        return [plain[first], *out] if first else out
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text with the end id; a null text is empty."""
-        runs = [[t] if t and _ODD_BLANK.search(t) else _RUN.findall(t) if t else [] for t in texts]
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
-        new = {r for row in runs for r in row if r not in known}
-        inner = [r for r in new if r[0] in BLANKS and r[-1] not in BLANKS]
-        for at in range(0, len(inner), 4096):
-            self._learn(inner[at : at + 4096])
-        rest = [r for r in new if r not in known]
-        known.update(zip(rest, self._ids(rest), strict=True))
-        out = [b"".join([known[r] for r in row]) + self.end for row in runs]
-        for run in new:  # long runs rarely come again
-            if len(run) > 200:
-                del known[run]
+        if len(self.store) > REMEMBERED:
+            self._forget()
+        rows = [self._numbers(t) if t else [] for t in texts]
+        long = self._learn()
+        store = self.store
+        out = [b"".join([store[n] for n in row]) + self.end for row in rows]
+        for numbers, key in long:
+            store[numbers.pop(key)] = b""
         return out
