@@ -41,7 +41,6 @@ def test_tiles_equal_brute_force():
         text = [rng.choice(vocab) for _ in range(rng.randrange(0, 30))]
         for _ in range(rng.randrange(0, 4)):
             at = rng.randrange(0, len(item) + 1)
-            text[rng.randrange(0, len(text) + 1) :][:0] = []
             k = rng.randrange(0, len(text) + 1)
             text = text[:k] + item[at : at + rng.randrange(3, 14)] + text[k:]
         w, first = dc.word_hashes(pa.array([" ".join(item), " ".join(text)]))

@@ -63,8 +63,7 @@ def test_same_bytes_however_partitioned(spark, tmp_path):
     manifest = spark.read.parquet(str(tmp_path / "a" / "manifest")).collect()
     assert {r["file"] for r in manifest} == set(files[0])
     assert sum(r["length"] for r in manifest) == sum(map(len, files[0].values()))
-    ids = [warc.parse(x + b"\r\n\r\n")[0] for name in sorted(files[0]) for x in gzip.decompress(files[0][name]).split(b"\r\n\r\n\r\n\r\n")[:0]]
-    assert ids == []
+    assert sum(gzip.decompress(x).count(b"WARC/1.1\r\n") for x in files[0].values()) == len(rows)
 
 
 def test_files_of_a_broken_run_are_not_read(spark, tmp_path):
