@@ -4,7 +4,6 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from drydock.operators import containers
 from drydock.sources import snapshots
