@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from . import common as c
 
-SHARD_BYTES = 256 << 20
-FILE_BYTES = 64 << 20
+SHARD_BYTES = 64 << 20
+FILE_BYTES = 32 << 20
 #: Compressed bytes that one reading task takes at a time.
 CHUNK_BYTES = 4 << 20
 READ_BYTES = 1 << 14
@@ -221,7 +221,8 @@ def write_archives(
     flags = flags.select("page_id", "digest", F.lit(False).alias("is_page"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"), "refers_to")
     every = rows.select("page_id", "digest", F.lit(True).alias("is_page"), "url", "payload", F.lit(None).cast("long").alias("refers_to")).unionByName(flags)
     every = every.withColumn("shard", shard_of("page_id"))
-    ordered = every.repartitionByRange(len(cuts.value) + 1, "shard").sortWithinPartitions("shard", "page_id", "digest", "is_page", "url")
+    # One shard to a partition: a sampled range partition may put two together.
+    ordered = every.repartitionById(len(cuts.value) + 1, F.col("shard")).sortWithinPartitions("shard", "page_id", "digest", "is_page", "url")
     pages_written = ordered.mapInArrow(_write(f"{folder}/archive", file_bytes), MANIFEST)
     pages_written.write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
