@@ -32,7 +32,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; a local session gets its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="drydock-")
         spark.conf.set("spark.checkpoint.dir", folder)
@@ -143,11 +143,21 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def span_hashes(buf: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span: a polynomial over its bytes, from one prefix sum, mixed with its length."""
-    up, down = powers(len(buf))
+def prefix_sums(buf: np.ndarray) -> np.ndarray:
+    """Sums of ``(byte + 1) * p**place`` before each place, modulo 2**64."""
+    up, _ = powers(len(buf))
     total = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum((buf.astype(np.uint64) + _U(1)) * up[: len(buf)], out=total[1:])
+    terms = buf.astype(np.uint64)
+    terms += _U(1)
+    terms *= up[: len(buf)]
+    np.cumsum(terms, out=total[1:])
+    return total
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, stops: np.ndarray, total: np.ndarray | None = None) -> np.ndarray:
+    """A 64-bit hash of each byte span: a polynomial over its bytes, from prefix sums, mixed with its length."""
+    total = prefix_sums(buf) if total is None else total
+    _, down = powers(len(buf))
     return mix((total[stops] - total[starts]) * down[starts] + (stops - starts).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
 
 
