@@ -2,7 +2,8 @@
 
 A text is measured by its zstandard ratio (compressed bytes over bytes), whole and in fixed chunks.
 Repetitive text lies below the band of its length, random or encoded text above it. Short texts
-compress less, so each length has its own limits.
+compress less, so each length has its own limits. The chunks cover every byte: the last chunk is the last ``CHUNK``
+bytes of the text, and a text shorter than that is one chunk with the limits of its length.
 
 Defined results: a null or empty text has no words, zero counts, a null ratio, ``base_failed`` and is not
 kept. Each row is judged alone: repeated rows get equal results, extra columns do not matter, an
@@ -32,8 +33,16 @@ BANDS = (
     (1 << 62, 0.25, 0.62),
 )
 CHUNK = 2048
-CHUNK_BAND = (0.25, 0.80)
-#: Share of full chunks outside their band from which a text is rejected.
+#: The same of chunks. The upper limits lie between clean text and base64 (at 2,048 bytes 0.53 and 0.77 at the outside).
+CHUNK_BANDS = (
+    (128, 0.0, 9.0),
+    (256, 0.25, 0.95),
+    (512, 0.25, 0.80),
+    (1024, 0.25, 0.75),
+    (2048, 0.25, 0.68),
+    (1 << 62, 0.25, 0.66),
+)
+#: Share of chunks outside their band above which a text is rejected.
 BAD_CHUNKS = 0.25
 LEVEL = 3
 LEAST_WORDS = 20
@@ -98,8 +107,16 @@ def base_counts(col: pa.Array, window: int = WINDOW) -> dict[str, np.ndarray]:
     return out
 
 
-def band_of(n_bytes: int) -> tuple[float, float]:
-    return next((low, high) for below, low, high in BANDS if n_bytes < below)
+def band_of(n_bytes: int, bands: tuple[tuple[int, float, float], ...] = BANDS) -> tuple[float, float]:
+    return next((low, high) for below, low, high in bands if n_bytes < below)
+
+
+def chunk_starts(n_bytes: int) -> list[int]:
+    """Where the chunks of a text start; the last one ends with the text."""
+    starts = list(range(0, n_bytes - CHUNK + 1, CHUNK))
+    if n_bytes % CHUNK:
+        starts.append(max(n_bytes - CHUNK, 0))
+    return starts
 
 
 def measure(col: pa.Array) -> pa.RecordBatch:
@@ -116,14 +133,16 @@ def measure(col: pa.Array) -> pa.RecordBatch:
         text = raw[ends[i] : ends[i + 1]]
         n = len(text)
         ratio = len(pack(text)) / n if n else None
-        low, high = CHUNK_BAND
-        full = n // CHUNK
-        outside = sum(not low <= len(pack(text[k * CHUNK : (k + 1) * CHUNK])) / CHUNK <= high for k in range(full))
+        size = min(n, CHUNK)
+        low, high = band_of(size, CHUNK_BANDS)
+        starts = chunk_starts(n)
+        parts = [ratio] if 0 < n <= CHUNK else [len(pack(text[k : k + CHUNK])) / size for k in starts]
+        outside = sum(not low <= x <= high for x in parts)
         least, most = band_of(n)
         ratios.append(ratio)
-        chunks.append(full)
+        chunks.append(len(starts))
         bad.append(outside)
-        kept.append(ratio is not None and least <= ratio <= most and outside <= BAD_CHUNKS * full)
+        kept.append(ratio is not None and least <= ratio <= most and outside <= BAD_CHUNKS * len(starts))
     columns = {k: pa.array(v, pa.int64()) for k, v in base.items()}
     columns["base_failed"] = pa.array(failed, pa.bool_())
     columns["ratio"] = pa.array(ratios, pa.float64())

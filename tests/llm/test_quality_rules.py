@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import base64
 import random
 import re
 
@@ -77,3 +78,34 @@ def test_empty_table(spark):
 def test_every_length_has_a_band(size):
     low, high = q.band_of(size)
     assert low < high
+
+
+def test_chunks_cover_every_byte():
+    for size in (0, 1, 2047, 2048, 2049, 4095, 4096, 10_000):
+        covered = {b for k in q.chunk_starts(size) for b in range(k, min(k + q.CHUNK, size))}
+        assert covered == set(range(size)) and len(q.chunk_starts(size)) == -(-size // q.CHUNK)
+
+
+def test_encoded_parts_and_tails_are_rejected(spark):
+    rng = random.Random(6)
+    syllables = [a + b for a in "bcdfglmnprst" for b in "aeiou"]
+    words = ["".join(rng.choice(syllables) for _ in range(rng.randrange(1, 4))) for _ in range(400)]
+
+    def prose(size):
+        return " ".join(rng.choice(words) for _ in range(size))[:size]
+
+    def coded(size):
+        raw = base64.b64encode(rng.randbytes(size)).decode()
+        return "\n".join(raw[k : k + 76] for k in range(0, len(raw), 76))[:size]
+
+    def mixed(share):
+        return prose(int(20_000 * (1 - share))) + "\n" + coded(int(20_000 * share))
+
+    clean = [prose(n) for n in (300, 700, 1500, 2047, 2049, 3998, 20_000)]
+    dirty = [prose(2048) + coded(1950), prose(300) + coded(1700), prose(200) + coded(1800), coded(1800), mixed(0.4), mixed(0.5), mixed(0.7)]
+    df = spark.createDataFrame(list(enumerate(clean + dirty)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in q.verdicts(df).collect()}
+    assert [got[k]["kept"] for k in range(len(clean))] == [True] * len(clean)
+    assert [got[k]["kept"] for k in range(len(clean), len(got))] == [False] * len(dirty)
+    assert not any(got[k]["base_failed"] for k in range(len(got) - 3, len(got)))
+    assert got[len(clean)]["n_chunks"] == 2 and got[len(clean)]["n_bad_chunks"] == 1
