@@ -4,6 +4,7 @@ The tokenizer first cuts a text into pieces that never cross from visible to bla
 codes each piece alone; a single space goes to what follows it. So a text can be coded run by run (a space and
 what follows up to the next), and the ids of a run that came before are looked up. A text with blanks next to a
 space is cut into blanks and the word after them, and one with other blanks than space, tab and line breaks is coded whole.
+The tokenizer finds its added tokens before it cuts, so a text that holds one is coded whole too.
 """
 
 from __future__ import annotations
@@ -54,8 +55,8 @@ class Coder:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(tokenizer_path(name))
-        self.tokenizer.encode_special_tokens = True
         self.end = np.array([end_id], "<u4").tobytes()
+        self.added = sorted(x.content for x in self.tokenizer.get_added_tokens_decoder().values())
         self.widths = self._widths()
         self._forget()
 
@@ -108,7 +109,7 @@ class Coder:
 
     def _numbers(self, text: str) -> list[int]:
         spaced, plain = self.after_space, self.plain
-        if _ODD_BLANK.search(text):
+        if _ODD_BLANK.search(text) or any(x in text for x in self.added):
             return [plain[text]]
         if text[-1] == " " or any(x in text for x in _BESIDE_SPACE):
             return [spaced[r[1:]] if r[0] == " " else plain[r] for r in _RUN.findall(text)]

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 
 from drydock.llm import packing
-from drydock.llm.tokens import Coder
+from drydock.llm.tokens import Coder, tokenizer_path
 
 
 def spread(histogram, runs):
@@ -103,3 +103,22 @@ def test_ids_equal_the_tokenizer():
     texts = ["a \n b", "  \n\n  a  'sx '''re don't\tx <|endoftext|> \x1c a", "", " ", "\n \n", None, "ünï 12 3a!! ", "x  \n y z", "k" * 500]
     want = [np.array([*coder.tokenizer.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes() for t in texts]
     assert coder.encode(texts) == want and coder.encode(texts[::-1]) == want[::-1]
+
+
+def test_ids_equal_a_freshly_loaded_tokenizer():
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(tokenizer_path())
+    texts = [
+        "hello <|endoftext|> world and more words",
+        "<|endoftext|>",
+        "a<|endoftext|><|endoftext|>  b",
+        "one \n<|endoftext|>\n two",
+        "ends with it <|endoftext|>",
+        "<|endoftext| > is not one, nor <|endof text|>",
+        "hello world and more words",
+        "ünï <|endoftext|> 12\x1c",
+    ]
+    want = [np.array([*plain.encode(t, add_special_tokens=False).ids, 2], "<u4").tobytes() for t in texts]
+    assert sum(50256 in np.frombuffer(x, "<u4") for x in want) == 6
+    assert Coder.of().encode(texts) == want and Coder.of().encode(texts[::-1]) == want[::-1]
