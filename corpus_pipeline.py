@@ -30,7 +30,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents into which a benchmark item leaks go."""
-    return decontamination.keep_clean(docs, common.table(spark, sf_dir, "benchmark"))
+    return decontamination.keep_clean(docs, common.table(spark, sf_dir, "benchmark"), scripts=True)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

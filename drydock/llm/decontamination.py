@@ -1,6 +1,8 @@
 """Benchmark decontamination by greedy string tiling.
 
-Texts are compared as words: runs of letters and digits, ASCII letters in lower case. A document and a
+Texts are compared as words: runs of letters and digits, ASCII letters in lower case. With ``scripts``, as the query and the
+pipeline have it, letters and digits are those of Unicode, each character of a script without blanks is a word, and an
+item shorter than a seed is one seed as a whole; without it bytes from 128 up count as letters. A document and a
 benchmark item that share a seed (``SEED`` words in a row) often enough for the threshold are tiled: the
 longest match of words not yet used is marked, again and again, down to the length of a seed. Matches are found by the Karp-Rabin
 hashes of seed-long windows and confirmed word by word. An item leaks into a document if its tiles cover
@@ -10,14 +12,16 @@ A bitmap of fixed size tells which windows of the documents may be seeds, so onl
 joined with the seeds of the benchmark.
 
 Defined results: a null or empty text has no words and matches nothing. An item with fewer words than a seed
-matches nothing. Rows with a null document or item id take no part and stay. Rows that repeat an id and differ
+matches where all its words follow each other (nothing without ``scripts``). Rows with a null document or item id take no part and stay. Rows that repeat an id and differ
 are compared each, the best cover counts. Ties go to the place that comes first in the item, then in the
 document. Extra columns do not matter; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,13 +39,65 @@ BITMAP_BITS = 1 << 23  # fixed: one megabyte, whatever the benchmark
 _BREAK = np.ones(256, bool)
 _BREAK[list(b"0123456789abcdefghijklmnopqrstuvwxyz")] = False
 _BREAK[128:] = False
-
-
-def word_hashes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+#: First and last code points of scripts that set no blanks between words.
+_NO_BLANKS = (
+    (0x0E00, 0x109F),  # Thai, Lao, Tibetan, Myanmar
+    (0x1780, 0x17FF),  # Khmer
+    (0x1950, 0x1AAF),  # Tai Le, New Tai Lue, Buginese, Tai Tham
+    (0x1B00, 0x1B7F),  # Balinese
+    (0x2E80, 0x312F),  # Han radicals and marks, Hiragana, Katakana, Bopomofo
+    (0x31A0, 0x31FF),
+    (0x3400, 0x4DBF),  # Han
+    (0x4E00, 0xA4CF),  # Han, Yi
+    (0xA980, 0xA9FF),  # Javanese, Myanmar
+    (0xAA00, 0xAADF),  # Cham, Myanmar, Tai Viet
+    (0xF900, 0xFAFF),
+    (0xFF66, 0xFF9F),  # half-width Katakana
+    (0x1AFF0, 0x1B16F),
+    (0x20000, 0x3FFFF),
+)
+
+
+@lru_cache(1)
+def _kinds() -> np.ndarray:
+    """By code point: 0 between words, 1 part of a word, 2 a word of its own."""
+    out = np.fromiter((unicodedata.category(chr(k))[0] in "LMN" for k in range(0x110000)), np.uint8, 0x110000)
+    for low, high in _NO_BLANKS:
+        out[low : high + 1] *= 2
+    return out
+
+
+def script_spans(buf: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(starts, stops, first)`` of the words by Unicode letters and digits, as ``common.spans`` gives them."""
+    n = len(buf)
+    kind = np.zeros(n + 5, np.uint8)  # one before the first byte, room for a cut character at the end
+    kind[1 : n + 1] = ~_BREAK[buf]
+    lead = np.flatnonzero(buf >= 0xC0)
+    raw = np.concatenate([buf, np.zeros(3, np.uint8)])
+    width = 2 + (buf[lead] >= 0xE0) + (buf[lead] >= 0xF0)
+    point = buf[lead].astype(np.int64) & np.array([0, 0, 0x1F, 0x0F, 0x07])[width]
+    for k in range(1, 4):
+        point = np.where(width > k, point << 6 | raw[lead + k] & 0x3F, point)
+    found = _kinds()[np.minimum(point, 0x10FFFF)]
+    for k in range(4):
+        some = width > k
+        kind[1 + lead[some] + k] = found[some]
+    kind[n + 1 :] = 0
+    apart = np.zeros(n + 1, bool)  # places at which a word ends even if the next byte is in one
+    apart[ends[1:-1]] = True
+    first_byte = (buf & 0xC0) != 0x80
+    apart[:-1] |= first_byte & ((kind[1 : n + 1] == 2) | (kind[:n] == 2))
+    inside = kind > 0
+    starts = np.flatnonzero(inside[1 : n + 2] & (~inside[: n + 1] | apart))
+    stops = np.flatnonzero(inside[: n + 1] & (~inside[1 : n + 2] | apart))
+    return starts, stops, np.searchsorted(starts, ends)
+
+
+def word_hashes(col: pa.Array, scripts: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """The hash of every word, and the number of words before each row."""
     buf, ends = c.text_bytes(col)
     buf = c.lower_ascii(buf)
-    starts, stops, first = c.spans(buf, ends, _BREAK)
+    starts, stops, first = script_spans(buf, ends) if scripts and (buf >= 128).any() else c.spans(buf, ends, _BREAK)
     return c.span_hashes(buf, starts, stops), first
 
 
@@ -103,12 +159,14 @@ def tiles(item: np.ndarray, text: np.ndarray, n: int) -> list[tuple[int, int, in
     return sorted(out)
 
 
-def _seeds_of(n: int, bitmap=None):
-    """``id, seed, places`` of each row: its distinct seeds (only those the bitmap may hold)."""
+def _seeds_of(sizes: list[int], scripts: bool, bitmap=None):
+    """``id, seed, places`` of each row: its distinct seeds of these sizes (only those the bitmap may hold)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in c.slices(batches, "t"):
-            v, row = seeds(*word_hashes(part.column("t")), n)
+            words, first = word_hashes(part.column("t"), scripts)
+            found = [seeds(words, first, n) for n in sizes]
+            v, row = (np.concatenate(x) for x in zip(*found, strict=True))
             if bitmap is not None:
                 bit = v % c._U(BITMAP_BITS)
                 hit = (bitmap.value[(bit >> c._U(3)).astype(np.int64)] >> (bit & c._U(7)).astype(np.uint8)) & 1 == 1
@@ -125,10 +183,13 @@ def _seeds_of(n: int, bitmap=None):
     return run
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in c.slices(batches, "t"):
-        _, first = word_hashes(part.column("t"))
-        yield pa.RecordBatch.from_arrays([part.column("id"), part.column("t"), pa.array(np.diff(first), pa.int64())], ["id", "t", "n"])
+def _counted(scripts: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in c.slices(batches, "t"):
+            _, first = word_hashes(part.column("t"), scripts)
+            yield pa.RecordBatch.from_arrays([part.column("id"), part.column("t"), pa.array(np.diff(first), pa.int64())], ["id", "t", "n"])
+
+    return run
 
 
 def _bitmap(spark: SparkSession, items: DataFrame):
@@ -142,13 +203,13 @@ def _bitmap(spark: SparkSession, items: DataFrame):
     return spark.sparkContext.broadcast(out.view(np.uint8))
 
 
-def _tiled(n: int):
+def _tiled(n: int, scripts: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
             for k in range(batch.num_rows):
-                words, first = word_hashes(pa.array([batch.column("item")[k].as_py(), batch.column("t")[k].as_py()], pa.string()))
-                found.append(tiles(words[: first[1]], words[first[1] :], n))
+                words, first = word_hashes(pa.array([batch.column("item")[k].as_py(), batch.column("t")[k].as_py()], pa.string()), scripts)
+                found.append(tiles(words[: first[1]], words[first[1] :], min(n, first[1]) if scripts else n))
             size = [sum(x[2] for x in f) for f in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc"), batch.column("item_id"), batch.column("n"), pa.array(size, pa.int64()), pa.array(map(len, found), pa.int64()), pa.array([max((x[2] for x in f), default=0) for f in found], pa.int64())],
@@ -167,15 +228,21 @@ def leaks(
     item_text_col: str = "text",
     seed: int = SEED,
     cover: float = COVER,
+    scripts: bool = False,
 ) -> DataFrame:
     """``id_col, item_id, n_words, covered, n_tiles, longest, coverage`` of every pair at or above ``cover``."""
     spark = docs.sparkSession
     kind, item_kind = (df.schema[x].dataType.simpleString() for df, x in ((docs, id_col), (benchmark, item_col)))
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("t")).filter("id is not null and t is not null")
     items = benchmark.select(benchmark[item_col].alias("id"), benchmark[item_text_col].cast("string").alias("t"))
-    items = c.stored(items.filter("id is not null and t is not null").distinct().mapInArrow(_counted, f"id {item_kind}, t string, n long"), "items")
-    wanted = c.stored(items.select("id", "t").mapInArrow(_seeds_of(seed), f"id {item_kind}, seed long, places long"), "item-seeds")
-    hits = texts.mapInArrow(_seeds_of(seed, _bitmap(spark, wanted)), f"id {kind}, seed long, places long")
+    items = c.stored(items.filter("id is not null and t is not null").distinct().mapInArrow(_counted(scripts), f"id {item_kind}, t string, n long"), "items")
+    # Shorter items are one seed each; the documents are cut by the sizes there are.
+    short = [r["n"] for r in items.filter(F.col("n").between(1, seed - 1)).select("n").distinct().collect()] if scripts else []
+    found = [items.filter(F.col("n") >= seed).select("id", "t").mapInArrow(_seeds_of([seed], scripts), f"id {item_kind}, seed long, places long")]
+    for n in sorted(short):
+        found.append(items.filter(F.col("n") == n).select("id", "t").mapInArrow(_seeds_of([n], scripts), found[0].schema))
+    wanted = c.stored(reduce(DataFrame.unionByName, found), "item-seeds")
+    hits = texts.mapInArrow(_seeds_of([seed, *short], scripts, _bitmap(spark, wanted)), f"id {kind}, seed long, places long")
     hits = c.stored(hits.select(F.col("id").alias("doc"), "seed").distinct(), "hits")
     shared = hits.join(wanted.groupBy("seed", "id").agg(F.max("places").alias("places")), "seed")
     shared = shared.groupBy("doc", F.col("id").alias("item_id")).agg(F.sum("places").alias("places"))
@@ -185,7 +252,7 @@ def leaks(
     pairs = c.stored(pairs.select("doc", "item_id", "item", "n"), "pairs")
     some = linkage.maybe_in(texts, "id", pairs.select(F.col("doc").alias("id")))
     both = pairs.join(some.withColumnRenamed("id", "doc"), "doc")
-    tiled = both.mapInArrow(_tiled(seed), f"doc {kind}, item_id {item_kind}, n long, covered long, n_tiles long, longest long")
+    tiled = both.mapInArrow(_tiled(seed, scripts), f"doc {kind}, item_id {item_kind}, n long, covered long, n_tiles long, longest long")
     best = tiled.groupBy("doc", "item_id").agg(F.max(F.struct(F.col("covered") / F.col("n"), "n", "covered", "n_tiles", "longest")).alias("b"))
     return best.select(
         F.col("doc").alias(id_col),
@@ -198,11 +265,11 @@ def leaks(
     ).filter(F.col("coverage") >= cover)
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", scripts: bool = False) -> DataFrame:
     """``docs`` without the documents into which an item leaks."""
-    gone = leaks(docs, benchmark, id_col, text_col).select(F.col(id_col).alias("_gone")).distinct()
+    gone = leaks(docs, benchmark, id_col, text_col, scripts=scripts).select(F.col(id_col).alias("_gone")).distinct()
     return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
 
 
 def op3_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leaks(c.table(spark, sf_dir, "documents"), c.table(spark, sf_dir, "benchmark"))
+    return leaks(c.table(spark, sf_dir, "documents"), c.table(spark, sf_dir, "benchmark"), scripts=True)

@@ -89,3 +89,37 @@ def test_empty_tables(spark):
     assert [r["coverage"] for r in dc.leaks(df, bench).collect()] == [1.0]
     assert dc.leaks(df.limit(0), bench).count() == 0 and dc.leaks(df, bench.limit(0)).count() == 0
     assert dc.keep_clean(df, bench.limit(0)).count() == 1
+
+
+def test_words_of_every_script():
+    texts = ["Don’t “stop”—now", "日本 語x1テ", "สวัสดี", "हिन्दी में", None, "ascii, only 12", "é", "日"]
+    want = [["don", "t", "stop", "now"], list("日本語") + ["x1", "テ"], list("สวัสดี"), ["हिन्दी", "में"], [], ["ascii", "only", "12"], ["é"], ["日"]]
+    buf, ends = dc.c.text_bytes(pa.array(texts))
+    buf = dc.c.lower_ascii(buf)
+    starts, stops, first = dc.script_spans(buf, ends)
+    words = [bytes(buf[a:b]).decode() for a, b in zip(starts, stops, strict=True)]
+    assert [words[a:b] for a, b in zip(first[:-1], first[1:], strict=True)] == want
+
+
+def test_scripts_without_blanks_and_short_items_leak(spark, tmp_path):
+    zh = "今天天气很好我们一起去公园散步看花吧"
+    items = [(0, zh), (1, "ภาษาไทยไม่มีช่องว่างระหว่างคำ"), (2, "Zyx"), (3, "four words in all"), (4, "he said one two three four five"), (5, "…"), (6, "two words")]
+    docs = [
+        (0, f"前面还有别的话，{zh}。后面也有。", {0}),
+        (1, "กขค ภาษาไทยไม่มีช่องว่างระหว่างคำ งจฉ", {1}),
+        (2, "it holds (zyx) once", {2}),
+        (3, "here are FOUR words, in all.", {3}),
+        (4, "four words but not in all", set()),
+        (5, "then he said “one two three four five”", {4}),
+        (6, "unrelated zyxw", set()),
+        (7, "two words, two words", {6}),
+        (8, "two", set()),
+    ]
+    df = spark.createDataFrame([(d, t) for d, t, _ in docs], "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = {(r["doc_id"], r["item_id"]) for r in dc.op3_string_tiling(spark, str(tmp_path)).collect()}
+    assert got == {(d, i) for d, _, found in docs for i in found}
+    left = dc.keep_clean(df, bench, scripts=True)
+    assert sorted(r["doc_id"] for r in left.collect()) == [d for d, _, found in docs if not found]
