@@ -90,3 +90,18 @@ def test_hashes_do_not_depend_on_the_rest_of_the_buffer():
             got = v[before[k] : before[k + 1]].tolist()
             assert len(got) == max(1, len(col[r]) - 8)
             assert seen.setdefault(col[r], got) == got
+
+
+def test_planted_edits_in_ordinary_lines(spark):
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    lines, want = [], []
+    for length in range(30, 125, 3):
+        for new, least in (("#", 49), ("ABCDEF", 94)):
+            line = "".join(rng.choice(letters) for _ in range(length))
+            at = rng.randrange(8, length - 16)
+            want += [len(lines), len(lines) if length >= least else len(lines) + 1]
+            lines += [line, line[:at] + new + line[at + len(new) :]]
+    df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    got = {r["doc_id"]: r["first_doc"] for r in ld.line_classes(df).collect()}
+    assert [got[k] for k in range(len(lines))] == want
