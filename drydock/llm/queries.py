@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import op3_string_tiling
+from .harmonic import op11_harmonic
 from .language_id import op6_subword_language
 from .line_dedup import op4_fuzzy_lines
 from .lm_scoring import op9_maximum_entropy
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_linear_grouping": op8_linear_grouping,
     "op9_maximum_entropy": op9_maximum_entropy,
     "op10_warc": op10_warc,
+    "op11_harmonic": op11_harmonic,
 }
 
 _NEAR_DUPLICATES = """
