@@ -15,6 +15,7 @@ from .minhash import op2_circulant_minhash
 from .packing import op8_linear_grouping
 from .quality_classifier import op7_additive_quality
 from .quality_rules import op1_compression_bands
+from .term_scan import op12_term_scan
 from .token_files import op5_context_mixing
 from .warc import op10_warc
 
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_maximum_entropy": op9_maximum_entropy,
     "op10_warc": op10_warc,
     "op11_harmonic": op11_harmonic,
+    "op12_term_scan": op12_term_scan,
 }
 
 _NEAR_DUPLICATES = """
@@ -69,4 +71,20 @@ select page_id, size::bigint payload_bytes,
 from b
 """
 
-ORACLE: dict[str, str] = {"op2_circulant_minhash": _NEAR_DUPLICATES, "op10_warc": _ARCHIVES}
+_TERMS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+_SEARCH = f"""
+with d as (select doc_id, {_TERMS} ts from documents),
+q as (select distinct item_id, unnest({_TERMS}) term from benchmark),
+s as (select count(*) all_docs, sum(len(ts))::bigint all_terms from d where len(ts) > 0),
+m as (select doc_id, 10 + (90 * len(ts)::bigint * all_docs) // all_terms as m from d, s where len(ts) > 0),
+f as (select doc_id, term, count(*) tf from (select doc_id, unnest(ts) term from d) where term in (select term from q) group by all),
+w as (select term, floor(1000 * ln((2 * all_docs + 2) / (2 * df + 1)))::bigint w from (select term, count(*) df from f group by term), s),
+p as (
+  select item_id, doc_id, sum(w * (1000000000 * tf // (1000 * tf + 8 * m)))::bigint score
+  from q join f using (term) join w using (term) join m using (doc_id) group by all),
+r as (select *, row_number() over (partition by item_id order by score desc, doc_id)::int rank from p where score > 0)
+select item_id, rank, doc_id, score from r where rank <= 10
+"""
+
+ORACLE: dict[str, str] = {"op2_circulant_minhash": _NEAR_DUPLICATES, "op10_warc": _ARCHIVES, "op12_term_scan": _SEARCH}
