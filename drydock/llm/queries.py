@@ -11,6 +11,7 @@ from .harmonic import op11_harmonic
 from .language_id import op6_subword_language
 from .line_dedup import op4_fuzzy_lines
 from .lm_scoring import op9_maximum_entropy
+from .merkle import op13_postorder_log
 from .minhash import op2_circulant_minhash
 from .packing import op8_linear_grouping
 from .quality_classifier import op7_additive_quality
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_warc": op10_warc,
     "op11_harmonic": op11_harmonic,
     "op12_term_scan": op12_term_scan,
+    "op13_postorder_log": op13_postorder_log,
 }
 
 _NEAR_DUPLICATES = """
@@ -87,4 +89,43 @@ r as (select *, row_number() over (partition by item_id order by score desc, doc
 select item_id, rank, doc_id, score from r where rank <= 10
 """
 
-ORACLE: dict[str, str] = {"op2_circulant_minhash": _NEAR_DUPLICATES, "op10_warc": _ARCHIVES, "op12_term_scan": _SEARCH}
+_LEAF = " || ".join(f"coalesce(strlen({x}::varchar) || ':' || {x}, '-')" for x in ("doc_id", "source", "lang", "n_chars", "text"))
+_NEXT_LEVEL = "list_transform(range(0, (len(nodes) + 7) // 8), lambda i: sha256(array_to_string(nodes[i * 8 + 1 : i * 8 + 8], '')))"
+
+
+def _walk(name: str, start: str, nodes: str) -> str:
+    """From each start to the top of its tree: the hash folded with its siblings, and the siblings joined."""
+    before = "array_to_string(n.nodes[idx // 8 * 8 + 1 : idx], '')"
+    after = "array_to_string(n.nodes[idx + 2 : idx // 8 * 8 + 8], '')"
+    return f"""{name} as (
+  select doc_id, tree, idx, 0 lvl, h, proof from ({start})
+  union all
+  select doc_id, tree, idx // 8, lvl + 1, sha256({before} || h || {after}), proof || {before} || {after}
+  from {name} join {nodes} n using (tree, lvl) where len(n.nodes) > 1)"""
+
+
+_MANIFEST = f"""
+with recursive d as (
+  select doc_id, coalesce('=' || lang, '') tree, sha256({_LEAF}) leaf,
+    sha256({_LEAF.replace("text", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")}) other,
+    xor(4294967295, list_reduce(
+      flatten([[4294967295], flatten(list_transform(range(1, len(doc_id::varchar) + 1),
+        lambda i: [ord(substr(doc_id::varchar, i, 1)), -1, -1, -1, -1, -1, -1, -1, -1]))]),
+      lambda a, b: case when b >= 0 then xor(a, b) else xor(a >> 1, 3988292384 * (a & 1)) end)) % 3 = 0 tampered
+  from documents),
+leaves as (select *, row_number() over (partition by tree order by doc_id, leaf) - 1 idx from d),
+levels as (
+  select tree, 0 lvl, list(leaf order by idx) nodes from leaves group by tree
+  union all select tree, lvl + 1, {_NEXT_LEVEL} from levels where len(nodes) > 1),
+subroots as (select tree, nodes[1] subroot, row_number() over (order by tree) - 1 place from levels where len(nodes) = 1),
+upper as (
+  select '' tree, 0 lvl, list(subroot order by place) nodes from subroots
+  union all select tree, lvl + 1, {_NEXT_LEVEL} from upper where len(nodes) > 1),
+{_walk("low", "select doc_id, tree, idx, case when tampered then other else leaf end h, '' proof from leaves", "levels")},
+{_walk("high", "select doc_id, '' tree, place idx, h, proof from low join subroots using (tree) join levels using (tree, lvl) where len(nodes) = 1", "upper")}
+select doc_id, leaf, subroot, nodes[1] root, sha256(proof) proof_sha256, h folded_root, h = nodes[1] verified
+from high join upper using (lvl) join leaves using (doc_id) join subroots on subroots.tree = leaves.tree
+where len(nodes) = 1
+"""
+
+ORACLE: dict[str, str] = {"op2_circulant_minhash": _NEAR_DUPLICATES, "op10_warc": _ARCHIVES, "op12_term_scan": _SEARCH, "op13_postorder_log": _MANIFEST}
