@@ -59,6 +59,28 @@ def transitions(snapshots: DataFrame, subject: str, order: list[str]) -> DataFra
     return _changes(compared, [subject, *order], "_before")
 
 
+def transitions_with_expiry(snapshots: DataFrame, subject: str, time: str, order: list[str], absent: str, late: str = "0 seconds") -> DataFrame:
+    """``subject, at, rule_id, change``: what opened or closed, also because the subject was not listed any more.
+
+    A subject without a snapshot for longer than ``absent`` has gone: its findings close at that time after the last one, and
+    its next snapshot opens all its findings. What the latest time of all snapshots, less ``late``, has not passed stays open.
+    ``order`` begins with ``time``.
+    """
+    kept = F.struct(*order, "rule_ids")
+    held = snapshots.withColumn("_kept", kept)
+    compared = previous(held, [subject], order, "_kept", "_last")
+    gone_at = F.col(f"_last.{time}") + F.expr(f"interval {absent}")
+    gone = F.col(time) > gone_at
+    before = F.coalesce(F.when(~F.coalesce(gone, F.lit(False)), F.col("_last.rule_ids")), F.array().cast("array<string>"))
+    seen = _changes(compared.withColumn("_before", before), [subject, time], "_before").withColumnRenamed(time, "at")
+    left = compared.filter(gone).select(subject, gone_at.alias("at"), F.col("_last.rule_ids").alias("rule_ids"))
+    latest = held.agg((F.max(time) - F.expr(f"interval {late}")).alias("_latest"))
+    ends = held.groupBy(subject).agg(F.max("_kept").alias("_last")).crossJoin(latest).filter(F.col("_latest") > gone_at)
+    left = left.unionByName(ends.select(subject, gone_at.alias("at"), F.col("_last.rule_ids").alias("rule_ids")))
+    closed = unfold(left, [subject, "at"], F.col("rule_ids"), "rule_id").withColumn("change", F.lit("closed"))
+    return seen.unionByName(closed)
+
+
 def _changes(df: DataFrame, keys: list[str], before: str) -> DataFrame:
     old = F.coalesce(F.col(before), F.array().cast("array<string>"))
     opened = F.transform(

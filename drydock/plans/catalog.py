@@ -708,3 +708,49 @@ def stream_chunk_reassembly(spark: SparkSession, sf: str) -> DataFrame:
     chunks = fr.chunks(_stream(spark, sf, "conversations"))
     completions.watch_completions(chunks, f"{base}/out", f"{base}/checkpoint").awaitTermination()
     return completions.latest(spark, f"{base}/out")
+
+
+@query
+def stream_finding_expiry(spark: SparkSession, sf: str) -> DataFrame:
+    """Opened and closed findings over several micro-batches; containers that are not listed for a day have gone."""
+    base = work_dir(spark, "expiry")
+    events = fr.in_batches(fr.event_arrivals(spark, sf), f"{base}/in")
+    sets = containers.rule_sets(fr.container_snapshots(events), list(fr.CONTAINER_KEYS))
+    transitions.watch_expiring(
+        sets, f"{base}/out", f"{base}/checkpoint", "container_id", "ts", ["ts", "event_id"], "24 hours", "1 hour"
+    ).awaitTermination()
+    return spark.read.parquet(f"{base}/out").withColumn("at", F.unix_micros("at"))
+
+
+@query
+def finding_expiry(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from the whole table, without the events that come too late."""
+    events = fr.event_arrivals(spark, sf, late=False)
+    sets = containers.rule_sets(fr.container_snapshots(events), list(fr.CONTAINER_KEYS))
+    return containers.transitions_with_expiry(sets, "container_id", "ts", ["ts", "event_id"], "24 hours", "1 hour").withColumn("at", F.unix_micros("at"))
+
+
+@query
+def stream_finding_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Findings per rule and day over several micro-batches, deliveries that come twice counted once, late ones left out."""
+    base = work_dir(spark, "counts")
+    events = fr.in_batches(fr.event_arrivals(spark, sf), f"{base}/in")
+    found = containers.container_findings(fr.container_snapshots(events), ["event_id", "ts"])
+    watch.watch_counts(found, f"{base}/out", f"{base}/checkpoint", "ts", "1 day", "1 hour", ["event_id", "rule_id"]).awaitTermination()
+    out = spark.read.parquet(f"{base}/out")
+    return out.select(F.unix_seconds("window_start").alias("day"), "rule_id", "n")
+
+
+@query
+def stream_completions(spark: SparkSession, sf: str) -> DataFrame:
+    """Completions that finish or fall silent, over several micro-batches with late and repeated chunks."""
+    base = work_dir(spark, "closing")
+    chunks = fr.in_batches(fr.timed_chunks(spark, sf), f"{base}/in")
+    completions.watch_closing(chunks, f"{base}/out", f"{base}/checkpoint", "ts", "60 seconds", "10 minutes").awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
+@query
+def closed_completions(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from the whole table, without the chunks that come too late."""
+    return completions.close_completions(fr.timed_chunks(spark, sf, late=False), "ts", "60 seconds", "10 minutes")

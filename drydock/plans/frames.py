@@ -559,3 +559,64 @@ def chunks(rows: DataFrame) -> DataFrame:
         F.when(F.col("seq") == 0, F.col("word")).otherwise(F.concat(F.lit(" "), F.col("word"))).alias("text"),
         F.when(F.col("seq") == F.col("n") - 1, F.lit("stop")).alias("finish_reason"),
     )
+
+
+# --- streams in several micro-batches ----------------------------------------------------------------
+
+#: Rows of one file of a micro-batch.
+FILE_ROWS = 500_000
+MICRO_BATCHES = 4
+
+
+def in_batches(df: DataFrame, folder: str) -> DataFrame:
+    """A stream of ``df`` (with ``arrival`` from 0) that takes the rows of one arrival after the other, each as a micro-batch.
+
+    Every arrival is written as the same number of files, and a micro-batch takes that many.
+    """
+    spark = df.sparkSession
+    files = max(1, df.count() // MICRO_BATCHES // FILE_ROWS)
+    for k in range(MICRO_BATCHES):
+        df.filter(F.col("arrival") == k).drop("arrival").repartition(files).write.mode("append").parquet(folder)
+    rows = df.drop("arrival").schema
+    return spark.readStream.schema(rows).option("maxFilesPerTrigger", files).parquet(folder)
+
+
+def event_arrivals(spark: SparkSession, sf_dir: str, late: bool = True) -> DataFrame:
+    """``events`` with ``arrival``: a quarter of the time each; some rows of the first quarter come last, too late (or are left out).
+
+    Every twentieth event is delivered twice.
+    """
+    # Times without a zone are taken as UTC, whatever the session's zone is.
+    utc = F.to_utc_timestamp(F.col("ts").cast("timestamp"), F.current_timezone())
+    events = table(spark, sf_dir, "events").withColumn("ts", utc)
+    lo, hi = events.agg(F.min(F.unix_micros("ts")), F.max(F.unix_micros("ts"))).first()
+    quarter = F.expr(f"cast((unix_micros(ts) - {lo}) * {MICRO_BATCHES} div {hi - lo + 1} as int)")
+    delayed = (quarter == 0) & (F.col("event_id") % 50 == 7)
+    arrived = events.withColumn("arrival", F.when(delayed, MICRO_BATCHES - 1).otherwise(quarter)).filter(F.lit(late) | ~delayed)
+    return arrived.unionByName(arrived.filter(F.col("event_id") % 20 == 3))
+
+
+def timed_chunks(spark: SparkSession, sf_dir: str, late: bool = True) -> DataFrame:
+    """``id, seq, text, finish_reason, ts, arrival``: sentences of the conversations as they come.
+
+    Some completions never finish, some lack a chunk, some chunks come twice, some in the next micro-batch, and some far too late (or are left out).
+    """
+    rows = table(spark, sf_dir, "conversations")
+    convs = (rows.agg(F.max("conv_id")).first()[0] or 0) + 1
+    parts = rows.select("conv_id", "turn", (F.col("conv_id") * 8 + F.col("turn")).alias("id"), F.split("text", r"\. ").alias("p"))
+    at = parts.select("conv_id", "turn", "id", F.size("p").alias("n"), F.posexplode("p").alias("seq", "text"))
+    seconds = 1_704_067_200 + F.col("conv_id") * 300 + F.col("turn") * 3 + F.col("seq")
+    quarter = F.floor(F.col("conv_id") * MICRO_BATCHES / convs).cast("int")
+    near = F.floor((F.col("conv_id") + 1) * MICRO_BATCHES / convs).cast("int")  # within the allowed delay of the next batch
+    delayed = (quarter == 0) & (F.col("id") % 13 == 4) & (F.col("seq") == 0)
+    at = at.filter(F.lit(late) | ~delayed)
+    arrival = F.when(delayed, MICRO_BATCHES - 1).when(F.col("seq") % 2 == 1, F.least(near, F.lit(MICRO_BATCHES - 1))).otherwise(quarter)
+    made = at.select(
+        "id",
+        F.col("seq").cast("long").alias("seq"),
+        "text",
+        F.when((F.col("seq") == F.col("n") - 1) & (F.col("id") % 7 != 3), F.lit("stop")).alias("finish_reason"),
+        F.timestamp_seconds(seconds).alias("ts"),
+        arrival.cast("int").alias("arrival"),
+    ).filter(~((F.col("id") % 11 == 5) & (F.col("seq") == 1)))
+    return made.unionByName(made.filter((F.col("id") % 5 == 2) & (F.col("seq") == 0)))

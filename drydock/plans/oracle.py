@@ -1142,3 +1142,52 @@ _CHUNKS = """SELECT id, string_agg(CASE WHEN i = 1 THEN w ELSE ' ' || w END, ''
       len(string_split(text, ' ')) AS n FROM conversations) GROUP BY 1"""
 _oracle("chunk_reassembly", _CHUNKS)
 _oracle("stream_chunk_reassembly", _CHUNKS)
+
+_cte(
+    "on_time",
+    sql="""SELECT event_id, ts, user_id FROM events, (SELECT epoch_us(min(ts)) AS lo, epoch_us(max(ts)) AS hi FROM events)
+      WHERE NOT (event_id % 50 = 7 AND (epoch_us(ts) - lo) * 4 // (hi - lo + 1) = 0)""",
+)
+_cte(
+    "listed",
+    "on_time",
+    sql="""SELECT event_id, user_id, epoch_us(ts) AS "at", lag(event_id) OVER w AS prev, lag(epoch_us(ts)) OVER w + 86400000000 AS gone_at,
+        lead(event_id) OVER w IS NULL AS is_last
+      FROM on_time WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)""",
+)
+_EXPIRY = """SELECT user_id AS container_id, "at", rule_id, 'opened' AS change FROM (
+      SELECT l.user_id, l."at", c.rule_id FROM listed l JOIN container_found c USING (event_id)
+      WHERE l."at" > l.gone_at OR NOT EXISTS (SELECT 1 FROM container_found p WHERE p.event_id = l.prev AND p.rule_id = c.rule_id))
+    UNION ALL
+    SELECT l.user_id, l."at", p.rule_id, 'closed' FROM listed l JOIN container_found p ON p.event_id = l.prev
+    WHERE l."at" <= l.gone_at AND NOT EXISTS (SELECT 1 FROM container_found c WHERE c.event_id = l.event_id AND c.rule_id = p.rule_id)
+    UNION ALL
+    SELECT l.user_id, l.gone_at, p.rule_id, 'closed' FROM listed l JOIN container_found p ON p.event_id = l.prev WHERE l."at" > l.gone_at
+    UNION ALL
+    SELECT l.user_id, l."at" + 86400000000, c.rule_id, 'closed' FROM listed l JOIN container_found c USING (event_id)
+    WHERE l.is_last AND l."at" + 86400000000 < (SELECT max("at") FROM listed) - 3600000000"""
+_oracle("stream_finding_expiry", _EXPIRY, "container_found", "listed")
+_oracle("finding_expiry", _EXPIRY, "container_found", "listed")
+_oracle(
+    "stream_finding_counts",
+    """SELECT CAST("at" // 86400000000 * 86400 AS BIGINT) AS day, rule_id, count(*) AS n
+    FROM listed JOIN (SELECT event_id, rule_id FROM container_all) USING (event_id)
+    GROUP BY 1, 2 HAVING (day + 86400) * 1000000 <= (SELECT max("at") FROM listed) - 3600000000""",
+    "container_all",
+    "listed",
+)
+_cte(
+    "timed_chunks",
+    sql="""SELECT id, seq, n, text, "at", seq = n - 1 AND id % 7 <> 3 AS is_end, conv_id * 4 // all_convs = 0 AND id % 13 = 4 AND seq = 0 AS is_late
+      FROM (SELECT conv_id, conv_id * 8 + turn AS id, unnest(range(0, len(p))) AS seq, unnest(p) AS text, len(p) AS n,
+          1704067200 + conv_id * 300 + turn * 3 + unnest(range(0, len(p))) AS "at"
+        FROM (SELECT *, string_split(text, '. ') AS p FROM conversations)), (SELECT max(conv_id) + 1 AS all_convs FROM conversations)
+      WHERE NOT (id % 11 = 5 AND seq = 1)""",
+)
+_CLOSED = """SELECT id, string_agg(text, '' ORDER BY seq) AS text, CAST(count(*) AS INTEGER) AS n_chunks,
+      CASE WHEN bool_or(is_end) THEN 'stop' END AS finish_reason,
+      CASE WHEN bool_or(is_end) AND count(*) = any_value(n) THEN 'finish' ELSE 'timeout' END AS closed
+    FROM timed_chunks WHERE NOT is_late GROUP BY id
+    HAVING closed = 'finish' OR max("at") + 60 < (SELECT max("at") FROM timed_chunks) - 600"""
+_oracle("stream_completions", _CLOSED, "timed_chunks")
+_oracle("closed_completions", _CLOSED, "timed_chunks")

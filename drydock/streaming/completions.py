@@ -1,16 +1,20 @@
 """Reassembly of streamed completions: the whole text of each id, from chunks in any order.
 
 A chunk that comes twice counts once. The batch and the streaming form give the same rows, also for
-completions whose end has not come.
+completions whose end has not come. ``close_completions`` gives each completion once, when it has ended or fallen silent, and
+forgets it then.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from .watch import trigger
+from .watch import milliseconds, start_keyed, to_parquet, trigger
 
 
 def reassemble(chunks: DataFrame) -> DataFrame:
@@ -48,3 +52,136 @@ def latest(spark: SparkSession, sink: str) -> DataFrame:
     rows = spark.read.parquet(sink)
     last = rows.groupBy("id").agg(F.max_by(F.struct("text", "n_chunks", "finish_reason"), "batch").alias("l"))
     return last.select("id", "l.*")
+
+
+# --- completions that close --------------------------------------------------------------------------
+
+_CLOSED = "text string, n_chunks int, finish_reason string, closed string"
+
+
+def _millis(time: str) -> Column:
+    return F.unix_millis(time).alias("at")
+
+
+def close_completions(chunks: DataFrame, time: str, silence: str, late: str = "0 seconds") -> DataFrame:
+    """``id, text, n_chunks, finish_reason, closed`` of each completion, once, when it closes; a batch or a stream.
+
+    Chunks of an id that follow each other within ``silence`` are one completion. It closes as ``finish`` as soon as
+    the chunk with a finish reason and all before it (``seq`` from 0) are there, and chunks that still come for it are dropped. Else it
+    closes as ``timeout`` with the chunks it has, once nothing has come for it during ``silence``, seen from the latest time of
+    all chunks less ``late``. Chunks with one ``seq`` are equal and count once. A stream drops chunks that come later than ``late``, and
+    keeps nothing of a closed completion longer than ``silence`` after it.
+    """
+    millis = milliseconds(silence)
+    rows = chunks.select("id", "seq", "text", "finish_reason", _millis(time), *([time] if chunks.isStreaming else []))
+    if not chunks.isStreaming:
+        return _closed_in_batch(rows, millis, milliseconds(late))
+    kind = chunks.schema["id"].dataType.simpleString()
+    return rows.withWatermark(time, late).groupBy("id").transformWithStateInPandas(_Closing(millis), f"id {kind}, {_CLOSED}", "append", "eventTime")
+
+
+def _closed_in_batch(rows: DataFrame, silence: int, late: int) -> DataFrame:
+    by_time = Window.partitionBy("id").orderBy("at", "seq")
+    gap = F.coalesce((F.col("at") - F.lag("at").over(by_time) > silence).cast("int"), F.lit(0))
+    parts = rows.withColumn("_gap", gap).withColumn("_part", F.sum("_gap").over(by_time))
+    pieces = F.array_sort(F.collect_set(F.struct("seq", "text")))
+    ending = F.when(F.col("finish_reason").isNotNull(), F.col("seq"))
+    whole = parts.groupBy("id", "_part").agg(
+        pieces.alias("all"), F.min(ending).alias("end"), F.min_by("finish_reason", ending).alias("finish_reason"), F.max("at").alias("last")
+    )
+    upto = F.filter("all", lambda p: p["seq"] <= F.col("end"))
+    finished = F.coalesce(F.size(upto) == F.col("end") + 1, F.lit(False))
+    used = F.when(finished, upto).otherwise(F.col("all"))
+    latest = rows.agg((F.max("at") - late).alias("_latest"))
+    out = whole.withColumn("used", used).withColumn("closed", F.when(finished, "finish").otherwise("timeout")).crossJoin(latest)
+    text = F.array_join(F.transform("used", lambda p: p["text"]), "").alias("text")
+    return out.filter((F.col("closed") == "finish") | (F.col("last") + silence < F.col("_latest"))).select(
+        "id", text, F.size("used").alias("n_chunks"), "finish_reason", "closed"
+    )
+
+
+class _Closing(StatefulProcessor):
+    """The open chunks of an id, and the time up to which chunks belong to a completion that has closed."""
+
+    def __init__(self, silence: int):
+        self.silence = silence
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.chunks = handle.getListState("chunks", "seq long, text string, at long, finish_reason string")
+        self.done = handle.getValueState("done", "first long, last long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new, watermark = [], timerValues.getCurrentWatermarkInMs()
+        for batch in rows:
+            columns = (batch[c].tolist() for c in ("seq", "text", "at", "finish_reason"))
+            new += [(int(s), t, int(at), f if isinstance(f, str) else None) for s, t, at, f in zip(*columns, strict=True) if at >= watermark]
+        yield from self._settle(key, new, watermark)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield from self._settle(key, [], timerValues.getCurrentWatermarkInMs())
+
+    def _settle(self, key, new: list[tuple], watermark: int) -> Iterator[pd.DataFrame]:
+        chunks = sorted([tuple(r) for r in self.chunks.get()] + new, key=lambda r: (r[2], r[0]))
+        done = self.done.get() if self.done.exists() else None
+        out, left, timers = [], [], []
+        for part in self._parts(chunks):
+            first, last = part[0][2], part[-1][2]
+            if done and first <= done[1] + self.silence and last >= done[0] - self.silence:
+                done = (min(done[0], first), max(done[1], last))
+                continue
+            row = self._row(part, last + self.silence < watermark)
+            if row is None:
+                left += part
+                timers.append(last + self.silence + 1)
+                continue
+            out.append((key[0], *row))
+            if row[-1] == "finish":
+                done = (first, last)
+        self._keep(left, done if done and done[1] + self.silence >= watermark else None, timers)
+        if out:
+            yield pd.DataFrame(out, columns=["id", *(x.split()[0] for x in _CLOSED.split(", "))])
+
+    def _parts(self, chunks: list[tuple]) -> Iterator[list[tuple]]:
+        part: list[tuple] = []
+        for r in chunks:
+            if part and r[2] - part[-1][2] > self.silence:
+                yield part
+                part = []
+            part.append(r)
+        if part:
+            yield part
+
+    def _row(self, part: list[tuple], silent: bool) -> tuple | None:
+        texts = {r[0]: r[1] for r in part}
+        ends = sorted((r[0], r[3]) for r in part if r[3] is not None)
+        if ends and all(k in texts for k in range(ends[0][0] + 1)):
+            return "".join(texts[k] for k in range(ends[0][0] + 1)), ends[0][0] + 1, ends[0][1], "finish"
+        if silent:
+            return "".join(texts[k] for k in sorted(texts)), len(texts), ends[0][1] if ends else None, "timeout"
+        return None
+
+    def _keep(self, left: list[tuple], done: tuple | None, timers: list[int]) -> None:
+        if left:
+            self.chunks.put(left)
+        else:
+            self.chunks.clear()
+        if done:
+            self.done.update(done)
+            timers.append(done[1] + self.silence + 1)
+        else:
+            self.done.clear()
+        for old in list(self.handle.listTimers()):
+            self.handle.deleteTimer(old)
+        if timers:
+            self.handle.registerTimer(min(timers))
+
+    def close(self) -> None:
+        pass
+
+
+def watch_closing(
+    chunks: DataFrame, sink: str, checkpoint: str, time: str, silence: str, late: str, every_seconds: float | None = None
+) -> StreamingQuery:
+    """Append each completion to a parquet sink when it closes."""
+    return start_keyed(to_parquet(close_completions(chunks, time, silence, late), sink, checkpoint), chunks.sparkSession, every_seconds)

@@ -2,7 +2,8 @@
 subject as keyed state.
 
 Snapshots of a subject that come in one micro-batch are taken in order. One that is not after the subject's
-stored snapshot is late: it is dropped, as what it would have changed has been reported.
+stored snapshot is late: it is dropped, as what it would have changed has been reported. ``stream_expiring`` also closes the findings of
+subjects that are not listed any more, and forgets these.
 """
 
 from __future__ import annotations
@@ -12,10 +13,11 @@ from typing import Any
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from .watch import to_parquet, trigger
+from .watch import milliseconds, start_keyed, to_parquet, trigger
 
 
 def changes(before: set[str], now: list[str]) -> list[tuple[str, str]]:
@@ -61,3 +63,76 @@ def watch_transitions(
 ) -> StreamingQuery:
     """Append the changes to a parquet sink."""
     return trigger(to_parquet(stream_transitions(snapshots, subject, order), sink, checkpoint), every_seconds).start()
+
+
+# --- subjects that vanish ------------------------------------------------------------------------------
+
+
+class _Expiring(StatefulProcessor):
+    """The last snapshot of a subject, dropped when none has come for ``absent`` microseconds."""
+
+    def __init__(self, subject: str, position: list[str], absent: int):
+        self.subject, self.position, self.absent = subject, position, absent
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", f"{', '.join(self.position)}, rule_ids array<string>")
+
+    def _rows(self, key, changed: list[tuple]) -> Iterator[pd.DataFrame]:
+        if changed:
+            at = pd.to_datetime([r[0] for r in changed], unit="us", utc=True)
+            yield pd.DataFrame({self.subject: key[0], "at": at, "rule_id": [r[1] for r in changed], "change": [r[2] for r in changed]})
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        last, rules = None, set()
+        if self.last.exists():
+            *last, held = self.last.get()
+            last, rules = tuple(last), set(held)
+        names = [p.split()[0].strip("`") for p in self.position]
+        arrived = pd.concat(list(rows)).sort_values(names, kind="stable")
+        changed, watermark = [], timerValues.getCurrentWatermarkInMs() * 1000
+        for values, ids in zip(arrived[names].itertuples(index=False), arrived["rule_ids"], strict=True):
+            at = tuple(map(_plain, values))
+            if at[0] < watermark or (last is not None and at <= last):
+                continue
+            if last is not None and at[0] > last[0] + self.absent:
+                changed += [(last[0] + self.absent, r, "closed") for r in sorted(rules)]
+                rules = set()
+            changed += [(at[0], *change) for change in changes(rules, list(ids))]
+            last, rules = at, set(ids)
+        if last is None:
+            return
+        self.last.update((*last, sorted(rules)))
+        for old in list(self.handle.listTimers()):
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer((last[0] + self.absent) // 1000 + 1)
+        yield from self._rows(key, changed)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        at, *_, held = self.last.get()
+        self.last.clear()
+        yield from self._rows(key, [(at + self.absent, r, "closed") for r in sorted(held)])
+
+    def close(self) -> None:
+        pass
+
+
+def stream_expiring(snapshots: DataFrame, subject: str, time: str, order: list[str], absent: str, late: str) -> DataFrame:
+    """The streaming form of ``containers.transitions_with_expiry``: timers close what the watermark has passed.
+
+    ``order`` begins with ``time``, to which a delay of ``late`` is allowed.
+    """
+    fields = {f.name: f.dataType.simpleString() for f in snapshots.schema.fields}
+    position = ["at_micros bigint", *(f"`{c}` {fields[c]}" for c in order[1:])]
+    rows = snapshots.withWatermark(time, late).select(subject, time, F.unix_micros(time).alias("at_micros"), *order[1:], "rule_ids")
+    processor = _Expiring(subject, position, milliseconds(absent) * 1000)
+    out = f"`{subject}` {fields[subject]}, at timestamp, rule_id string, change string"
+    return rows.groupBy(subject).transformWithStateInPandas(processor, out, "append", "eventTime")
+
+
+def watch_expiring(
+    snapshots: DataFrame, sink: str, checkpoint: str, subject: str, time: str, order: list[str], absent: str, late: str, every_seconds: float | None = None
+) -> StreamingQuery:
+    """Append the changes to a parquet sink."""
+    writer = to_parquet(stream_expiring(snapshots, subject, time, order, absent, late), sink, checkpoint)
+    return start_keyed(writer, snapshots.sparkSession, every_seconds)
