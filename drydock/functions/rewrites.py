@@ -16,8 +16,9 @@ APT_INSTALL, APT_FLAG = "apt-get install", "--no-install-recommends"
 PIP_INSTALL, PIP_FLAG = "pip install", "--no-cache-dir"
 LIST_CLEANUP = "rm -rf /var/lib/apt/lists"
 CLEANUP_TAIL = " && rm -rf /var/lib/apt/lists/*"
-# A line end that does not continue the command; blank lines do not end a continuation.
-COMMAND_BREAK = r"(?<!\\[ \t\r\n]{0,64})\n"
+# A line end after a backslash and blanks, and each one that follows it after blanks only, continues the command.
+CONTINUATION = r"(\\|(?!^)\G)([ \t\r]*)\n"
+_HELD = "\x01"  # stands for a line end inside a command
 ENDS_IN_COMMENT = r"\n[ \t]*#[^\n]*$"
 CLEANUP_LINE = "\n    && rm -rf /var/lib/apt/lists/* \\"
 
@@ -74,20 +75,32 @@ def _command_needs_cleanup(command: Column) -> Column:
     )
 
 
-def add_cleanup_safely(content: Column) -> Column:
-    """The same clean-up on whole commands of a text: it goes to the end of the last line of a
-    continued command, never into the middle of a package list."""
-    return F.array_join(
-        F.transform(
-            F.split(content, COMMAND_BREAK),
-            lambda c: F.when(_command_needs_cleanup(c), F.concat(rstrip(c), F.lit(CLEANUP_TAIL))).otherwise(c),
-        ),
-        "\n",
-    )
+def commands(content: Column) -> Column:
+    """The commands of a text, their lines joined as ``_HELD`` text; one pass, whatever the length of a continuation."""
+    plain = F.replace(F.replace(content, F.lit("\x02"), F.lit("\x02b")), F.lit(_HELD), F.lit("\x02a"))
+    return F.split(F.regexp_replace(plain, CONTINUATION, f"$1$2{_HELD}"), "\n")
+
+
+def _text(command: Column) -> Column:
+    lines = F.replace(command, F.lit(_HELD), F.lit("\n"))
+    return F.replace(F.replace(lines, F.lit("\x02a"), F.lit(_HELD)), F.lit("\x02b"), F.lit("\x02"))
+
 
+def clean_commands(commands_: Column) -> Column:
+    """``(text, edited)`` of each command: the same clean-up goes to the end of the last line of a continued
+    command, never into the middle of a package list."""
 
-def count_safe_edits(content: Column) -> Column:
-    return F.size(F.filter(F.split(content, COMMAND_BREAK), _command_needs_cleanup))
+    def cleaned(held: Column) -> Column:
+        c = _text(held)
+        return F.when(_command_needs_cleanup(c), F.struct(F.concat(rstrip(c), F.lit(CLEANUP_TAIL)).alias("text"), F.lit(True).alias("edited"))).otherwise(
+            F.struct(c.alias("text"), F.lit(False).alias("edited"))
+        )
+
+    # Only commands that install are looked at closely.
+    return F.transform(
+        commands_,
+        lambda c: F.when(c.contains(APT_INSTALL), cleaned(c)).otherwise(F.struct(_text(c).alias("text"), F.lit(False).alias("edited"))),
+    )
 
 
 def count_cleanup_hits(lines: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import sizes
-from .skew import forward_fill
+from .skew import forward_fill, quantiles
 
 NO_SIZE = ("BUILD_FAILED", "NO_OPTIMIZATIONS", "N/A")
 
@@ -118,8 +118,7 @@ def size_reduction(observed: DataFrame) -> DataFrame:
 
 def reduction_percentiles(reduced: DataFrame, shares: Sequence[float] = (0.1, 0.5, 0.9)) -> DataFrame:
     """Percentiles of the size ratio, interpolated, over the images that have one."""
-    names = [f"ratio_p{round(100 * s):02d}" for s in shares]
-    return reduced.agg(*[F.percentile("ratio", s).alias(n) for s, n in zip(shares, names, strict=True)])
+    return quantiles(reduced, "ratio", {f"ratio_p{round(100 * s):02d}": s for s in shares})
 
 
 def reduction_summary(reduced: DataFrame) -> DataFrame:

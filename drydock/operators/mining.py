@@ -10,7 +10,8 @@ from .rows import hold, unfold
 from .skew import first_per_key
 
 PR = ["project", "pnumber"]
-LIST_LENGTH = 64
+#: Characters of the piece of a pattern by which paths find it.
+GRAM = 5
 
 
 def dedup_prs(prs: DataFrame, position: str = "pos") -> DataFrame:
@@ -29,43 +30,61 @@ def _used(patterns: DataFrame) -> DataFrame:
     return patterns.select("project", F.trim("pattern").alias("pattern")).filter("pattern <> ''").distinct()
 
 
-def _pattern_lists(patterns: DataFrame) -> DataFrame:
-    """``project, patterns, n_lists``: the patterns of a project in lists of about ``LIST_LENGTH``."""
-    used = _used(patterns)
-    size = used.groupBy("project").agg(F.count("*").alias("n"))
-    chunk = F.pmod(F.xxhash64("pattern"), F.ceil(F.col("n") / LIST_LENGTH))
-    lists = used.join(size, "project").groupBy("project", chunk.alias("_chunk")).agg(F.collect_list("pattern").alias("patterns"))
-    n_lists = lists.groupBy("project").agg(F.count("*").alias("n_lists"))
-    return lists.drop("_chunk").join(n_lists, "project")
+def _grams(text: Column, length: Column) -> Column:
+    """The different pieces of ``length`` characters of a text."""
+    starts = F.sequence(F.lit(1), F.length(text) - length + 1)
+    pieces = F.transform(starts, lambda i: F.substring(text, i, length))
+    return F.when(F.length(text) >= length, F.array_distinct(pieces)).otherwise(F.array().cast("array<string>"))
 
 
-def _has_pattern() -> Column:
-    return F.exists("patterns", lambda p: F.col("path").contains(p))
+def pattern_index(patterns: DataFrame) -> DataFrame:
+    """``project, pattern, gram``: of each pattern the piece that the fewest patterns of its project have.
 
+    A pattern shorter than ``GRAM`` is its own piece.
+    """
+    used = _used(patterns)
+    size = F.least(F.length("pattern"), F.lit(GRAM))
+    pieces = used.select("project", "pattern", F.explode(_grams(F.col("pattern"), size)).alias("gram"))
+    counts = pieces.groupBy("project", "gram").agg(F.count("*").alias("n"))
+    rarest = pieces.join(counts, ["project", "gram"]).groupBy("project", "pattern").agg(F.min(F.struct("n", "gram")).alias("r"))
+    return rarest.select("project", "pattern", F.col("r.gram").alias("gram"))
 
-def matching_paths(files: DataFrame, patterns: DataFrame) -> DataFrame:
-    """Counted paths that contain a pattern of their project, each (project, pnumber, path) row once.
 
-    A path meets the lists of its project, which for hand-kept patterns is one; only hits are made distinct.
+def pattern_candidates(files: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``project, path, pattern``: different paths with the patterns whose rarest piece they hold.
+
+    An equi-join of pieces, so a path meets few patterns however many its project has.
     """
-    counted = files.filter(paths.is_counted_path(F.col("path"))).select(*PR, "path")
-    return counted.join(_pattern_lists(patterns), "project").filter(_has_pattern()).select(*PR, "path").distinct()
+    index = pattern_index(patterns)
+    lengths = index.groupBy("project").agg(F.collect_set(F.length("gram")).alias("lengths"))
+    held = files.select("project", "path").distinct().join(lengths, "project")
+    pieces = F.flatten(F.transform("lengths", lambda n: _grams(F.col("path"), n)))
+    return held.select("project", "path", F.explode(pieces).alias("gram")).join(index, ["project", "gram"]).select("project", "path", "pattern")
+
+
+def pattern_paths(files: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``project, path``: the different paths that contain a pattern of their project."""
+    return pattern_candidates(files, patterns).filter(F.col("path").contains(F.col("pattern"))).select("project", "path").distinct()
+
+
+def matching_paths(files: DataFrame, patterns: DataFrame) -> DataFrame:
+    """Counted paths that contain a pattern of their project, each (project, pnumber, path) row once."""
+    counted = files.filter(paths.is_counted_path(F.col("path"))).select(*PR, "path").distinct()
+    return counted.join(pattern_paths(counted, patterns), ["project", "path"], "left_semi").select(*PR, "path")
 
 
 def file_evidence(files: DataFrame, patterns: DataFrame) -> DataFrame:
     """``project, pnumber, n_changed, is_candidate``: one row per PR with at least one changed file.
 
-    Every file meets each list of its project once, so the rows of a PR are a multiple of its files. One
-    shuffle of partial sums, one row per PR and task, whatever the size of a PR.
+    Only counted paths that are no build files look for a pattern. One shuffle of partial sums, one row per PR and task,
+    whatever the size of a PR.
     """
-    tagged = files.join(_pattern_lists(patterns), "project", "left")
-    hit = paths.is_build_path(F.col("path")) | F.coalesce(_has_pattern(), F.lit(False))
-    summed = tagged.groupBy(*PR).agg(
-        F.count("*").alias("n"),
-        F.coalesce(F.max("n_lists"), F.lit(1)).alias("times"),
-        F.bool_or(paths.is_counted_path(F.col("path")) & hit).alias("is_candidate"),
+    tagged = files.select(*PR, "path", paths.is_counted_path(F.col("path")).alias("counted"), paths.is_build_path(F.col("path")).alias("build"))
+    hits = pattern_paths(tagged.filter("counted and not build"), patterns).withColumn("hit", F.lit(True))
+    summed = tagged.join(hits, ["project", "path"], "left").groupBy(*PR).agg(
+        F.count("*").alias("n_changed"), F.bool_or(F.col("counted") & (F.col("build") | F.coalesce("hit", F.lit(False)))).alias("is_candidate")
     )
-    return summed.select(*PR, (F.col("n") / F.col("times")).cast("long").alias("n_changed"), "is_candidate")
+    return summed.select(*PR, "n_changed", "is_candidate")
 
 
 def select_prs(prs: DataFrame, files: DataFrame, patterns: DataFrame, position: str = "pos") -> DataFrame:

@@ -6,6 +6,7 @@ can be plugged in between with ``call_model``.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import replies as rp
+from ..sources import commits
 from .rows import hold, unfold
 
 # List lengths in the prompt.
@@ -97,6 +99,60 @@ def call_model(prompts: DataFrame, complete: Callable[[str], str], key: str = "f
     return prompts.select(key, "prompt").mapInPandas(run, schema)
 
 
+ANSWERS = "answers"
+_ANSWER = "prompt_hash string, raw string, ok boolean"
+
+
+def _asked(complete: Callable[[str], str], attempts: int, transient: tuple[type[Exception], ...], pause: float):
+    def ask(prompt: str) -> tuple[str, bool]:
+        for k in range(attempts):
+            try:
+                return complete(prompt), True
+            except transient as exc:
+                error = exc
+                if k + 1 < attempts:
+                    time.sleep(pause * 2**k)
+            except Exception as exc:  # noqa: BLE001 - the boundary reports every failure as text
+                error = exc
+                break
+        return f"LLM API error: {error}", False
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            answers = [ask(p) for p in batch["prompt"]]
+            yield pd.DataFrame({"prompt_hash": batch["prompt_hash"], "raw": [a for a, _ in answers], "ok": [ok for _, ok in answers]})
+
+    return run
+
+
+def ask_once(
+    prompts: DataFrame,
+    complete: Callable[[str], str],
+    folder: str,
+    key: str = "file_id",
+    callers: int = 8,
+    attempts: int = 3,
+    transient: tuple[type[Exception], ...] = (TimeoutError, ConnectionError),
+    pause: float = 1.0,
+) -> DataFrame:
+    """``key, raw``: each different prompt is asked once, by ``callers`` tasks at a time, and its answer kept in ``folder``.
+
+    Prompts that have an answer there are not asked again. Errors of a ``transient`` class are tried ``attempts`` times, the
+    pauses doubling; what fails in the end becomes an error text, is not kept as an answer, and is asked again in the next run.
+    """
+    spark = prompts.sparkSession
+    text = F.coalesce("prompt", F.lit(""))
+    named = prompts.select(key, text.alias("prompt"), F.sha2(text, 256).alias("prompt_hash"))
+    known = commits.read(spark, folder, ANSWERS, _ANSWER).filter("ok").select("prompt_hash")
+    different = named.select("prompt_hash", "prompt").dropDuplicates(["prompt_hash"])
+    fresh = different.join(known, "prompt_hash", "left_anti").repartition(callers, "prompt_hash")
+    written = commits.write_segment(fresh.mapInPandas(_asked(complete, attempts, transient, pause), _ANSWER), folder, ANSWERS)
+    failed = spark.read.schema(_ANSWER).parquet(f"{folder}/{written}").filter("not ok")
+    commits.commit(spark, folder, append={ANSWERS: written})
+    answers = commits.read(spark, folder, ANSWERS, _ANSWER).filter("ok").unionByName(failed).select("prompt_hash", "raw")
+    return named.join(answers.dropDuplicates(["prompt_hash"]), "prompt_hash").select(key, "raw")
+
+
 def normalise(responses: DataFrame, key: str = "id", window: int | None = None) -> DataFrame:
     """``key, status, error, data``.
 

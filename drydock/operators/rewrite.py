@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import rewrites as rw
 from ..functions import rules
 from .lint import KEYS, with_instructions
+from .rows import hold
 
 
 def static_rewrite(files: DataFrame, keys: Sequence[str] = KEYS, safe_cleanup: bool = False) -> DataFrame:
@@ -58,16 +59,19 @@ def static_rewrite(files: DataFrame, keys: Sequence[str] = KEYS, safe_cleanup: b
         F.when(apt, rw.add_flag(F.col("l0"), rw.APT_INSTALL, rw.APT_FLAG)).otherwise(F.col("l0")).alias("l1"),
     )
     if safe_cleanup:
-        cleaned = flagged.select(
+        once = hold(
+            flagged,
+            [*keys, "content", "kb", "pip", "n_apt", "clean", "l1"],
+            F.when(F.col("clean"), rw.clean_commands(rw.commands(F.array_join("l1", "\n")))).otherwise(F.array().cast("array<struct<text:string,edited:boolean>>")),
+            "commands",
+        )
+        cleaned = once.select(
             *keys, "content", "kb", "pip", "n_apt",
-            F.split(
-                F.when(F.col("clean"), rw.add_cleanup_safely(F.array_join("l1", "\n"))).otherwise(
-                    F.array_join("l1", "\n")
-                ),
-                "\n",
-            ).alias("l2"),
+            F.when(F.col("clean"), F.split(F.array_join(F.transform("commands", lambda c: c["text"]), "\n"), "\n"))
+            .otherwise(F.col("l1"))
+            .alias("l2"),
             F.lit(0).alias("n_dangling"),
-            F.when(F.col("clean"), rw.count_safe_edits(F.array_join("l1", "\n"))).otherwise(0).alias("n_cleanup"),
+            F.size(F.filter("commands", lambda c: c["edited"])).alias("n_cleanup"),
         )
     else:
         once = flagged.select(

@@ -82,6 +82,29 @@ def running(
     return out.drop("_block", "_base", "_skip")
 
 
+def quantiles(df: DataFrame, value: str, shares: dict[str, float], block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """One row with the exact quantiles of a column, interpolated between ranks, under the names of ``shares``; nulls do not count.
+
+    Equal values are counted first; running counts over blocks of the different ones say which hold the ranks. So no task
+    holds all values, and a value that most rows have is one row.
+    """
+    counts = df.filter(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_c"))
+    upto = running(counts, [], ["_v"], "_c", total="_upto", block_rows=block_rows)
+    total = counts.agg(F.sum("_c").alias("_n"))
+    ranked = upto.crossJoin(total)  # one row
+    at = {name: (F.col("_n") - 1) * F.lit(float(share)) for name, share in shares.items()}
+    found = ranked.agg(
+        F.max("_n").alias("_n"),
+        *[F.min(F.when(F.col("_upto") > edge(p), F.col("_v"))).alias(f"_{kind}_{name}") for name, p in at.items() for kind, edge in (("low", F.floor), ("high", F.ceil))],
+    )
+
+    def between(name: str) -> Column:
+        low, high, p = F.col(f"_low_{name}"), F.col(f"_high_{name}"), at[name]
+        return F.when((low == high) | (F.floor(p) == F.ceil(p)), low).otherwise((F.ceil(p) - p) * low + (p - F.floor(p)) * high)
+
+    return found.select(*[between(name).alias(name) for name in shares])
+
+
 def _add_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join that matches null keys, to a right side with one row per key."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})

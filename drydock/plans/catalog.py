@@ -14,6 +14,7 @@ from ..operators import (
     containers,
     images,
     labels,
+    ledger,
     lint,
     logs,
     mining,
@@ -24,8 +25,10 @@ from ..operators import (
     scorecard,
 )
 from ..session import work_dir
+from ..sources import commits
+from ..sources import files as file_sources
 from ..sources import repos as repo_sources
-from ..sources import sinks, snapshots
+from ..sources import sheets, sinks, snapshots
 from ..streaming import completions, transitions, watch
 from . import flows
 from . import frames as fr
@@ -530,6 +533,31 @@ def model_call(spark: SparkSession, sf: str) -> DataFrame:
     return replies.call_model(prompts, stub)
 
 
+@query
+def model_answers(spark: SparkSession, sf: str) -> DataFrame:
+    """A second run over kept answers: only the prompts that failed in the first one are asked again."""
+
+    def first(prompt: str) -> str:
+        if len(prompt) % 5 == 0:
+            raise RuntimeError("429")
+        return f"first {len(prompt)}"
+
+    prompts = replies.analysis_prompts(_build_files(spark, sf))
+    folder = work_dir(spark, "answers")
+    replies.ask_once(prompts, first, folder)
+    return replies.ask_once(prompts, lambda prompt: f"second {len(prompt)}", folder)
+
+
+@query
+def fresh_work(spark: SparkSession, sf: str) -> DataFrame:
+    """Build files that a first run has not finished; a run that broke before its commit has finished none."""
+    files = _build_files(spark, sf).select("repo_id", "file_id", "file_name")
+    folder = work_dir(spark, "ledger")
+    ledger.finish(files.filter("file_id % 3 = 0"), folder, ["repo_id", "file_id"])
+    commits.write_segment(files.filter("file_id % 3 = 1"), folder, ledger.RESULTS)  # never committed
+    return ledger.pending(files, folder, ["repo_id", "file_id"])
+
+
 @query
 def issue_scores(spark: SparkSession, sf: str) -> DataFrame:
     return scorecard.score(_analyses(spark, sf)).select("id", "status", "scores.*")
@@ -579,8 +607,9 @@ def run_metadata(spark: SparkSession, sf: str) -> DataFrame:
     card = _scorecard(spark, sf)
     out = work_dir(spark, "scorecard")
     sinks.write_scorecard(card, scorecard.run_metadata, out)
-    good = scorecard.stage_success(spark.read.parquet(f"{out}/scores")).agg(F.count_if("success").alias("n_success"))
-    meta = spark.read.parquet(f"{out}/run_metadata").select("repo_count", "dockerfile_count")
+    scores, meta = sinks.read_scorecard(spark, out)
+    good = scorecard.stage_success(scores).agg(F.count_if("success").alias("n_success"))
+    meta = meta.select("repo_count", "dockerfile_count")
     both = meta.unionByName(good, allowMissingColumns=True)
     return both.agg(*[F.max(c).alias(c) for c in ("repo_count", "dockerfile_count", "n_success")])
 
@@ -754,3 +783,91 @@ def stream_completions(spark: SparkSession, sf: str) -> DataFrame:
 def closed_completions(spark: SparkSession, sf: str) -> DataFrame:
     """The same from the whole table, without the chunks that come too late."""
     return completions.close_completions(fr.timed_chunks(spark, sf, late=False), "ts", "60 seconds", "10 minutes")
+
+
+# --- readers -----------------------------------------------------------------------------------
+
+
+def _sheet(spark: SparkSession, df: DataFrame, name: str, sep: str = ",") -> str:
+    path = f"{work_dir(spark, name)}/sheet"
+    df.write.csv(path, header=True, sep=sep, escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    return path
+
+
+@query
+def read_build_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """All texts written below folders, the build files among them found and read back."""
+    folder = F.concat((F.col("file_id") % 16).cast("string"), F.lit("/"), F.col("file_id").cast("string"), F.lit("/"), F.col("path"))
+    root = f"{work_dir(spark, 'tree')}/files"
+    sinks.write_files(fr.files(spark, sf).select(folder.alias("path"), "content"), root)
+    found = file_sources.read_build_files(spark, root)
+    file_id = F.regexp_extract("path", r"/files/\d+/(\d+)/", 1).cast("long")
+    return found.select(file_id.alias("file_id"), "file_name", "is_plausible", F.md5("content").alias("digest"))
+
+
+@query
+def read_log_tree(spark: SparkSession, sf: str) -> DataFrame:
+    """Logs written as files, read back by line."""
+    root = f"{work_dir(spark, 'logs')}/files"
+    sinks.write_files(fr.logs(spark, sf).select(F.concat(F.col("source").cast("string"), F.lit(".log")).alias("path"), "content"), root)
+    lines = file_sources.read_log_lines(spark, root)
+    return lines.withColumn("source", F.regexp_extract("source", r"/(\d+)\.log$", 1).cast("long"))
+
+
+@query
+def read_pull_requests(spark: SparkSession, sf: str) -> DataFrame:
+    """Pull requests whose bodies span lines, from CSV."""
+    rows = sheets.read_pull_requests(spark, _sheet(spark, fr.pull_request_sheet(spark, sf), "prs"))
+    return rows.select("project", "pnumber", "is_merged", "n_files", "n_commits", F.size("commits").alias("n_listed"), "title", "body", F.col("merged_at").isNull().alias("never_merged"))
+
+
+@query
+def read_patterns(spark: SparkSession, sf: str) -> DataFrame:
+    """Path patterns, a file for each project."""
+    root = f"{work_dir(spark, 'patterns')}/files"
+    lines = fr.patterns(spark, sf).groupBy("project").agg(F.array_join(F.collect_list("pattern"), "\n").alias("content"))
+    sinks.write_files(lines.select(F.concat("project", F.lit("_Patterns.csv")).alias("path"), "content"), root)
+    return sheets.read_patterns(spark, root).distinct()
+
+
+@query
+def read_annotations(spark: SparkSession, sf: str) -> DataFrame:
+    return sheets.read_annotations(spark, _sheet(spark, fr.annotation_sheet(spark, sf), "annotations", ";"))
+
+
+@query
+def read_taxonomy(spark: SparkSession, sf: str) -> DataFrame:
+    rows = sheets.read_taxonomy(spark, _sheet(spark, fr.taxonomy(spark, sf), "taxonomy", ";"), "bad_practice")
+    return rows.withColumn("levels", F.size("levels"))
+
+
+@query
+def read_relations(spark: SparkSession, sf: str) -> DataFrame:
+    sheet = fr.relation_sheet(spark, sf).select("left_label", "right_label", (F.col("row_no") % 7).alias("occurrences"))
+    rows = sheets.read_relations(spark, _sheet(spark, sheet, "relations", ";"))
+    return rows.groupBy("left_label", "right_label").agg(F.count("*").alias("n"), F.sum("occurrences").alias("occurrences"))
+
+
+@query
+def read_observed_sizes(spark: SparkSession, sf: str) -> DataFrame:
+    """Hand-kept sizes from CSV to reductions."""
+    sizes_ = sheets.read_observed_sizes(spark, _sheet(spark, fr.observed_sizes(spark, sf), "sizes"))
+    return labels.size_reduction(sizes_.withColumn("repo", F.col("repo").cast("long")))
+
+
+@query
+def image_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Image listings from JSON lines, some of them malformed or without a tag."""
+    key = F.col("p_partkey")
+    tag = F.when(key % 4 == 0, F.lit("")).otherwise(F.lit(',"Tag":"v1"'))
+    line = F.concat(F.lit('{"ID":"'), key.cast("string"), F.lit('","Repository":"'), "p_brand", F.lit('"'), tag, F.when(key % 10 == 3, F.lit("")).otherwise("}"))
+    return snapshots.image_listing(fr.table(spark, sf, "part").select(line.alias("line"))).select("ID", "name")
+
+
+@query
+def image_history(spark: SparkSession, sf: str) -> DataFrame:
+    """History entries of images, from lines with the newest first."""
+    entry = lambda i: F.when(i % 5 == 0, F.lit("{broken")).otherwise(F.concat(F.lit('{"ID":"h'), i.cast("string"), F.lit('","Size":"'), (i * 10).cast("string"), F.lit('MB"}')))
+    lines = F.array_join(F.transform(F.sequence(F.col("p_size"), F.lit(1), F.lit(-1)), entry), "\n\n")
+    captures = fr.table(spark, sf, "part").select(F.col("p_partkey").alias("image_id"), lines.alias("lines"))
+    return snapshots.history(captures).select("image_id", "pos", "ID", "Size")

@@ -357,11 +357,13 @@ def commit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LONG_LIST = 200  # some replies list so many risks, which is some thousand characters
 def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``repo_url, sha, author, message``: one commit for each even event."""
+    """``repo_url, sha, author, message``: one commit for each repository and pair of events, from the first of them."""
     key = F.col("event_id")
-    return table(spark, sf_dir, "events").filter(key % 2 == 0).select(
+    first = F.min("event_id").alias("event_id")
+    made = table(spark, sf_dir, "events").groupBy("user_id", F.floor(key / 2).alias("pair")).agg(first)
+    return made.select(
         mined_repo(F.col("user_id")).alias("repo_url"),
-        F.md5(F.floor(key / 2).cast("string")).alias("sha"),
+        F.md5(F.col("pair").cast("string")).alias("sha"),
         F.concat(F.lit("dev"), (key % 7).cast("string")).alias("author"),
         F.concat(F.lit("change "), key.cast("string")).alias("message"),
     )
@@ -620,3 +622,29 @@ def timed_chunks(spark: SparkSession, sf_dir: str, late: bool = True) -> DataFra
         arrival.cast("int").alias("arrival"),
     ).filter(~((F.col("id") % 11 == 5) & (F.col("seq") == 1)))
     return made.unionByName(made.filter((F.col("id") % 5 == 2) & (F.col("seq") == 0)))
+
+
+# --- files to read back --------------------------------------------------------------------------------
+
+
+def pull_request_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of a pull-request CSV: titles with commas and quotes, bodies over several lines."""
+    key = F.col("o_orderkey")
+    body = F.concat(
+        F.lit('He said: "'), F.col("o_orderpriority"), F.lit('"\n\n- item, '), F.col("o_custkey").cast("string"), F.when(key % 3 == 0, F.lit("\r\n;end\n")).otherwise("")
+    )
+    merged = F.when(key % 2 == 0, "True").otherwise("False")
+    return prs(spark, sf_dir).join(table(spark, sf_dir, "orders"), F.col("pos") == key).select(
+        F.col("project").alias("Project"), F.col("pnumber").alias("PNumber"), F.lit("2024-01-02 03:04:05").alias("CreatedAt"), F.lit("None").alias("ClosedAt"),
+        merged.alias("isMerged"), F.lit("none").alias("MergedAt"), F.md5("title").alias("MergedCommit"), F.col("n_files").alias("nFiles"), F.col("n_commits").alias("nCommits"),
+        F.concat(F.lit("c1 c2  "), F.md5("title")).alias("Commits"), F.lit("a,b").alias("Labels"), F.concat("title", F.lit(', "quoted"')).alias("Title"), body.alias("Body"),
+    )
+
+
+def annotation_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two raters' answers to the questions of the annotation sheet, as text with separators and line breaks."""
+    key = F.col("doc_id")
+    asked = [
+        F.concat(F.lit(f"q{k};r{r}\n"), (key % (k + r + 1)).cast("string")).alias(f"{k}-{r}") for k in range(6) for r in (1, 2)
+    ]
+    return table(spark, sf_dir, "labels").select(F.concat(F.lit("p"), (key % 20).cast("string")).alias("Project"), key.alias("Number"), *asked)

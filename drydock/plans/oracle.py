@@ -413,6 +413,13 @@ _oracle(
     "texts",
 )
 
+_oracle(
+    "model_answers",
+    f"SELECT file_id, CASE WHEN length({_PROMPT}) % 5 = 0 THEN 'second ' ELSE 'first ' END || length({_PROMPT}) AS raw FROM texts",
+    "texts",
+)
+_oracle("fresh_work", "SELECT file_id - file_id % 3 AS repo_id, file_id, file_name FROM build_files WHERE file_id % 3 <> 0", "build_files")
+
 # --- repositories ------------------------------------------------------------------------------
 
 _cte(
@@ -1121,7 +1128,8 @@ _oracle(
     FROM (SELECT *, 'https://git.example/o' || user_id % 25 || '/r' || user_id AS repo_url, md5(CAST(event_id // 2 AS VARCHAR)) AS sha,
         (['Dockerfile', 'docker-compose.yml', 'main.c', '.dockerignore', 'chart.yaml'])[(CAST(floor(value) AS BIGINT) + event_id) % 5 + 1] AS filename
         FROM events) f
-      JOIN events c ON c.event_id % 2 = 0 AND c.user_id = f.user_id AND c.event_id // 2 = f.event_id // 2""",
+      JOIN (SELECT user_id, event_id // 2 AS pair, min(event_id) AS event_id FROM events GROUP BY 1, 2) c
+      ON c.user_id = f.user_id AND c.pair = f.event_id // 2""",
 )
 _oracle("commit_list_file", "SELECT DISTINCT commit_url FROM docker_commit", "docker_commit")
 _oracle(
@@ -1191,3 +1199,57 @@ _CLOSED = """SELECT id, string_agg(text, '' ORDER BY seq) AS text, CAST(count(*)
     HAVING closed = 'finish' OR max("at") + 60 < (SELECT max("at") FROM timed_chunks) - 600"""
 _oracle("stream_completions", _CLOSED, "timed_chunks")
 _oracle("closed_completions", _CLOSED, "timed_chunks")
+
+# --- readers -----------------------------------------------------------------------------------
+
+_oracle(
+    "read_build_tree",
+    """SELECT file_id, file_name, is_plausible, md5(content) AS digest FROM (
+      SELECT b.file_id, file_name, coalesce(bool_or(NOT starts_with(trim(raw), '#') AND upper(trim(raw)) LIKE 'FROM%'), false) AS is_plausible
+      FROM build_files b LEFT JOIN lines l USING (file_id) GROUP BY ALL) JOIN texts USING (file_id)""",
+    "build_files",
+    "lines",
+    "texts",
+)
+_oracle("read_log_tree", "SELECT source, line_no, content FROM log_line", "log_line")
+_oracle(
+    "read_pull_requests",
+    """SELECT project, CAST(pnumber AS INTEGER) AS pnumber, pos % 2 = 0 AS is_merged, CAST(n_files AS INTEGER) AS n_files, CAST(n_commits AS INTEGER) AS n_commits,
+      3 AS n_listed, title || ', "quoted"' AS title,
+      'He said: "' || o_orderpriority || '"' || chr(10) || chr(10) || '- item, ' || o_custkey || CASE WHEN pos % 3 = 0 THEN chr(13) || chr(10) || ';end' || chr(10) ELSE '' END AS body,
+      true AS never_merged
+    FROM pr JOIN orders ON pos = o_orderkey""",
+    "pr",
+)
+_oracle("read_patterns", "SELECT DISTINCT project, pattern FROM pattern", "pattern")
+_oracle(
+    "read_annotations",
+    "SELECT 'p' || doc_id % 20 AS project, CAST(doc_id AS VARCHAR) AS pnumber, "
+    + ", ".join(
+        f"'q{k};r{r}' || chr(10) || doc_id % {k + r + 1} AS {q}_{r}"
+        for k, q in enumerate(("is_challenge", "is_specific", "bad_practice", "challenge", "mitigation", "restructuring"))
+        for r in (1, 2)
+    )
+    + " FROM labels",
+)
+_oracle(
+    "read_taxonomy",
+    """SELECT 'bad_practice' AS kind, label, CAST(len(string_split(label, '_')) AS INTEGER) AS levels, CAST(freq AS INTEGER) AS freq,
+      CASE WHEN is_new THEN 'YES' ELSE 'NO' END AS is_new FROM taxon""",
+    "taxon",
+)
+_oracle(
+    "read_relations",
+    """SELECT CASE WHEN o_orderkey % 5 = 1 THEN o_orderpriority || '-' || o_custkey ELSE '' END AS left_label, o_orderstatus AS right_label,
+      count(*) AS n, CAST(sum(o_orderkey % 7) AS BIGINT) AS occurrences FROM orders GROUP BY 1, 2""",
+)
+_oracle("read_observed_sizes", "SELECT * EXCLUDE (best), before_bytes - best AS saved_bytes, round(best / before_bytes, 4) AS ratio FROM observed", "observed")
+_oracle(
+    "image_listing",
+    "SELECT CAST(p_partkey AS VARCHAR) AS \"ID\", p_brand || ':' || CASE WHEN p_partkey % 4 = 0 THEN '<none>' ELSE 'v1' END AS name FROM part WHERE p_partkey % 10 <> 3",
+)
+_oracle(
+    "image_history",
+    """SELECT p_partkey AS image_id, CAST(i - i // 5 - 1 AS INTEGER) AS pos, 'h' || i AS "ID", i * 10 || 'MB' AS "Size"
+    FROM (SELECT p_partkey, unnest(range(1, p_size + 1)) AS i FROM part) WHERE i % 5 <> 0""",
+)

@@ -8,12 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
+from ..operators.skew import running
+from .csvfiles import header_of, read_csv
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``path, line_no, line`` of text files, numbered from 0 in file order."""
-    whole = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value")
-    return whole.select("path", F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("line_no", "line"))
+    """``path, line_no, line`` of text files, numbered from 0 in file order; files are read in splits."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_row"),
+        F.col("value").alias("line"),
+        F.lit(1).alias("_one"),
+    )
+    numbered = running(lines, ["path"], ["_start", "_row"], "_one", total="line_no")
+    return numbered.select("path", (F.col("line_no") - 1).cast("int").alias("line_no"), "line")
 
 
 def repo_urls(lines: DataFrame) -> DataFrame:
@@ -60,8 +69,9 @@ def repo_sheet(rows: DataFrame, limit: int | None = None, position: str | None =
 
 
 def read_repo_sheet(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    rows = spark.read.csv(path, header=True, multiLine=True, escape='"').withColumn("_pos", F.monotonically_increasing_id())
-    return repo_sheet(rows, limit, "_pos").drop("_pos")
+    """The rows of a sheet with its header's columns, in the order of the sheet; ``limit`` takes the first ones."""
+    schema = ", ".join(f"`{name}` string" for name in header_of(spark, path))
+    return repo_sheet(read_csv(spark, path, schema), limit, "pos").orderBy("pos").drop("pos")
 
 
 def classified_repos(rows: DataFrame) -> DataFrame:

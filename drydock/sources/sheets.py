@@ -6,12 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import schemas
+from .csvfiles import read_csv
+
+
+def _texts(names: list[str]) -> str:
+    return ", ".join(f"`{n}` string" for n in names)
 
 
 def read_pull_requests(spark: SparkSession, path: str) -> DataFrame:
-    """Pull requests with typed columns; bodies may span lines. ``pos`` is the order in the file."""
-    rows = spark.read.csv(path, schema=schemas.PULL_REQUEST, header=True, multiLine=True, escape='"')
-    return rows.select("*", F.monotonically_increasing_id().alias("pos")).transform(typed_pull_requests)
+    """Pull requests with typed columns; bodies may span lines. ``pos`` is the order in the file, which is read in splits."""
+    return read_csv(spark, path, schemas.PULL_REQUEST).transform(typed_pull_requests)
 
 
 def typed_pull_requests(rows: DataFrame) -> DataFrame:
@@ -42,33 +46,25 @@ def read_patterns(spark: SparkSession, path: str) -> DataFrame:
 
 def read_annotations(spark: SparkSession, path: str) -> DataFrame:
     """Two-rater sheet: project, number, then two columns per question (``<question>_1``, ``_2``)."""
-    rows = spark.read.csv(path, sep=";", header=True, multiLine=True, escape='"')
     names = ["project", "pnumber"] + [f"{q}_{r}" for q in schemas.ANNOTATION_QUESTIONS for r in (1, 2)]
-    return rows.toDF(*names, *rows.columns[len(names):]).select(*names)
+    return read_csv(spark, path, _texts(names), ";").select(*names)
 
 
 def read_taxonomy(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """``kind, label, levels, freq, is_new``."""
-    rows = spark.read.csv(path, sep=";", header=True).toDF("label", "freq", "is_new")
+    rows = read_csv(spark, path, _texts(["label", "freq", "is_new"]), ";")
     return rows.select(
         F.lit(kind).alias("kind"), "label", F.split("label", "_").alias("levels"), F.col("freq").try_cast("int").alias("freq"), "is_new"
     )
 
 
 def read_relations(spark: SparkSession, path: str) -> DataFrame:
-    """``row_no, left_label, right_label, occurrences`` in sheet order, left labels still blank."""
-    text = spark.read.text(path, wholetext=True)
-    lines = text.select(F.posexplode(F.split("value", r"\r?\n")).alias("row_no", "line")).filter("row_no > 0 and line <> ''")
-    cells = F.split("line", ";")
-    return lines.select(
-        "row_no",
-        F.get(cells, F.lit(0)).alias("left_label"),
-        F.get(cells, F.lit(1)).alias("right_label"),
-        F.get(cells, F.lit(2)).try_cast("int").alias("occurrences"),
-    )
+    """``row_no, left_label, right_label, occurrences`` in sheet order, left labels still blank; ``row_no`` rises along a file."""
+    rows = read_csv(spark, path, _texts(["left_label", "right_label", "occurrences"]), ";")
+    label = lambda n: F.coalesce(n, F.lit("")).alias(n)
+    return rows.select(F.col("pos").alias("row_no"), label("left_label"), label("right_label"), F.col("occurrences").try_cast("int").alias("occurrences"))
 
 
 def read_observed_sizes(spark: SparkSession, path: str) -> DataFrame:
     """``repo, before, static, final`` as text."""
-    rows = spark.read.csv(path, header=True, multiLine=True, escape='"')
-    return rows.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(rows.columns[:4], ("repo", "before", "static", "final"), strict=True)])
+    return read_csv(spark, path, _texts(["repo", "before", "static", "final"])).drop("pos")

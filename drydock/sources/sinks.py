@@ -2,26 +2,37 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import commits
+from .files import file_system
+
+
+SCORES, METADATA = "scores", "run_metadata"
+
 
 def write_scorecard(card: DataFrame, metadata: Callable[[DataFrame], DataFrame], path: str, fmt: str = "parquet") -> None:
-    """Two tables, ``scores`` and ``run_metadata``; the metadata is made from the scores as written."""
+    """Two tables, ``scores`` and ``run_metadata``, that appear together; the metadata is made from the scores as written.
+
+    ``csv`` also writes them as CSV with a header, from what has been committed.
+    """
+    spark, runs = card.sparkSession, f"{path}/_runs"
+    scores = commits.write_segment(card, runs, SCORES)
+    written = spark.read.schema(card.schema).parquet(f"{runs}/{scores}")
+    commits.commit(spark, runs, replace={SCORES: scores, METADATA: commits.write_segment(metadata(written), runs, METADATA)})
+    if fmt == "csv":
+        for name, table in zip((SCORES, METADATA), read_scorecard(spark, path), strict=True):
+            table.write.mode("overwrite").option("header", "true").option("escape", '"').csv(f"{path}/{name}")
 
-    def save(table: DataFrame, name: str) -> None:
-        writer = table.write.mode("overwrite")
-        if fmt == "csv":
-            writer.option("header", "true").option("escape", '"').csv(f"{path}/{name}")
-        else:
-            writer.format(fmt).save(f"{path}/{name}")
 
-    save(card, "scores")
-    reader = card.sparkSession.read.schema(card.schema)
-    written = reader.option("header", "true").option("escape", '"').csv(f"{path}/scores") if fmt == "csv" else reader.format(fmt).load(f"{path}/scores")
-    save(metadata(written), "run_metadata")
+def read_scorecard(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """The scores and the metadata of the last run that ended."""
+    found = commits.segments(spark, f"{path}/_runs")
+    return tuple(spark.read.parquet(*[f"{path}/_runs/{name}" for name in found[table]]) for table in (SCORES, METADATA))
 
 
 def write_results(results: DataFrame, path: str) -> None:
@@ -39,6 +50,21 @@ def write_sorted_lines(df: DataFrame, column: str, path: str) -> None:
     df.select(F.col(column).cast("string").alias("value")).orderBy("value").write.mode("overwrite").text(path)
 
 
+def write_files(df: DataFrame, folder: str) -> None:
+    """Each row of ``df(path, content)`` as a file below ``folder``, written by the tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
+                fs, name, _ = file_system(f"{folder}/{path}")
+                fs.create_dir(name.rpartition("/")[0], recursive=True)
+                with fs.open_output_stream(name) as f:
+                    f.write((content or "").encode())
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    df.select("path", "content").mapInArrow(run, "n long").write.format("noop").mode("overwrite").save()
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """Nested rows as JSON lines."""
     df.write.mode("overwrite").json(path)

@@ -9,10 +9,24 @@ from ..operators.rows import hold
 from . import schemas
 
 
+_CORRUPT = "_corrupt_line"
+
+
+def parsed(text: Column, schema: str) -> Column:
+    """The document of a JSON text with ``_CORRUPT``: null, or the text if it is malformed or a value is of another type."""
+    return F.from_json(text, f"{schema.rstrip()[:-1]}, {_CORRUPT}:string>", {"columnNameOfCorruptRecord": _CORRUPT})
+
+
+def well_formed(doc: Column) -> Column:
+    """Whether a ``parsed`` document is JSON; only texts that did not fit the schema are looked at again."""
+    return doc[_CORRUPT].isNull() | F.try_parse_json(doc[_CORRUPT]).isNotNull()
+
+
 def json_lines(lines: DataFrame, schema: str, column: str = "line") -> DataFrame:
     """Parsed ``doc`` of each non-blank line; malformed lines are dropped."""
-    doc = F.when(F.try_parse_json(column).isNotNull(), F.from_json(column, schema))
-    return hold(lines.filter(F.trim(column) != ""), [c for c in lines.columns if c != column], doc, "doc")
+    kept = [c for c in lines.columns if c != column]
+    docs = hold(lines.filter(F.trim(column) != ""), kept, parsed(F.col(column), schema), "doc")
+    return docs.filter(well_formed(F.col("doc"))).withColumn("doc", F.col("doc").dropFields(_CORRUPT))
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -54,9 +68,11 @@ def image_listing(lines: DataFrame) -> DataFrame:
 
 def history(captures: DataFrame) -> DataFrame:
     """``image_id, pos, ...`` from ``captures(image_id, lines)``; pos 0 is the oldest entry."""
-    entries = F.transform(F.split("lines", r"\r?\n"), lambda l: F.when(F.try_parse_json(l).isNotNull(), F.from_json(l, schemas.HISTORY_ENTRY)))
-    oldest_first = F.reverse(F.array_compact(entries))  # blank and malformed lines do not count
-    return captures.select("image_id", F.posexplode(oldest_first).alias("pos", "doc")).select("image_id", "pos", "doc.*")
+    lines = F.filter(F.split("lines", r"\r?\n"), lambda l: F.trim(l) != "")
+    entries = hold(captures, ["image_id"], F.transform(lines, lambda l: parsed(l, schemas.HISTORY_ENTRY)), "entries")
+    oldest_first = F.reverse(F.filter("entries", well_formed))  # blank and malformed lines do not count
+    docs = entries.select("image_id", F.posexplode(oldest_first).alias("pos", "doc"))
+    return docs.withColumn("doc", F.col("doc").dropFields(_CORRUPT)).select("image_id", "pos", "doc.*")
 
 
 def completion_chunks(lines: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:

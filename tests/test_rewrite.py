@@ -74,3 +74,16 @@ def test_stage_texts(spark, file_of):
 def test_keep_real_rewrites(spark):
     df = spark.createDataFrame([("a", "a"), ("a", ""), ("a", None), ("a", "b")], "x string, y string")
     assert [r.y for r in rewrite.keep_real_rewrites(df, "x", "y").collect()] == ["b"]
+
+
+@pytest.mark.parametrize("blanks", [" " * 100, "\t \r" * 50, "\n" * 90, " \n\t\n" * 40])
+def test_a_continuation_of_any_length(file_of, blanks):
+    text = f"FROM a\nRUN apt-get update && apt-get install -y \\{blanks}\n  x\nRUN apt-get install y && z"
+    new = text.replace("install ", "install --no-install-recommends ").replace("  x\n", "  x && rm -rf /var/lib/apt/lists/*\n") + " && rm -rf /var/lib/apt/lists/*"
+    assert run(file_of(text), safe_cleanup=True)[0][0] == new
+
+
+def test_control_characters_stay(file_of):
+    text = "FROM a\n# \x01 \x02a \x02\nRUN apt-get install x && y \\ \n \x01\x02b"
+    got = run(file_of(text), safe_cleanup=True)[0][0]
+    assert got == text.replace("install ", "install --no-install-recommends ") + " && rm -rf /var/lib/apt/lists/*"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -117,9 +119,9 @@ def pr_tables(spark):
     return prs, mining.changed_files(diffs), patterns
 
 
-@pytest.mark.parametrize("length", [64, 1])
+@pytest.mark.parametrize("length", [5, 1])
 def test_select_prs(spark, pr_tables, monkeypatch, length):
-    monkeypatch.setattr(mining, "LIST_LENGTH", length)
+    monkeypatch.setattr(mining, "GRAM", length)
     prs, files, patterns = pr_tables
     patterns = patterns.unionByName(spark.createDataFrame([("p", f"none{i}/") for i in range(20)], patterns.schema))
     rows = {(r.project, r.pnumber, r.pos) for r in mining.select_prs(prs, files, patterns).collect()}
@@ -144,3 +146,21 @@ def test_counted_paths(spark, path, ok):
 
     df = spark.createDataFrame([(path,)], "p string")
     assert df.select(paths.is_counted_path(F.col("p"))).first()[0] is ok
+
+
+def test_many_patterns_of_a_project_meet_few_paths(spark):
+    rng = random.Random(4)
+    name = lambda: "".join(rng.choice("abcdefgh_") for _ in range(9))
+    names = [name() for _ in range(4000)]
+    files = [("p", k, f"src/{rng.choice(names)}/{name()}.cpp") for k in range(3000)] + [("p", 5, "src/x.cpp"), ("q", 5, "ci"), ("q", 6, "日本語の道")]
+    df = spark.createDataFrame(files, "project string, pnumber int, path string")
+    found = []
+    for n in (2000, 4000):
+        patterns = [("p", f"src/{x}/") for x in names[:n]] + [("q", "i"), ("q", "語"), ("q", "本語の道x"), ("q", " ")]
+        pf = spark.createDataFrame(patterns, "project string, pattern string")
+        want = {f for f in files if any(f[0] == p and t.strip() and t.strip() in f[2] for p, t in patterns)}
+        assert {tuple(r) for r in mining.matching_paths(df, pf).collect()} == want
+        found.append(mining.pattern_candidates(df, pf).count())
+        plan = mining.pattern_candidates(df, pf)._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert found[1] < 3 * len(files)
