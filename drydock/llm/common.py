@@ -20,6 +20,8 @@ STEP_BYTES = 1 << 21
 #: Texts that go to a Python worker at a time while a table is stored.
 ARROW_ROWS = 2000
 _ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Shuffle files go as soon as the table that needed them is written.
+_SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _PRIME = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
 _U = np.uint64
 
@@ -48,21 +50,33 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     folder = new_folder(spark, label)
     rows = int(spark.conf.get(_ARROW_ROWS))
+    before = spark.conf.get(_SHUFFLES_GO)
     spark.conf.set(_ARROW_ROWS, str(min(rows, ARROW_ROWS) if rows > 0 else ARROW_ROWS))
+    spark.conf.set(_SHUFFLES_GO, "true")
     try:
         df.write.parquet(folder)
     finally:
         spark.conf.set(_ARROW_ROWS, str(rows))
+        spark.conf.set(_SHUFFLES_GO, before)
     out = spark.read.schema(df.schema).parquet(folder)
     out._folder = folder
     return out
 
 
-def discard(df: DataFrame) -> None:
-    """Removes the files of a ``stored`` table that nothing reads any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df._folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+def discard(*tables: DataFrame) -> None:
+    """Removes the files of ``stored`` tables that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so."""
+    taken = {x.lower() for x in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
 
 
 def fold_of(column: str, n: int) -> Column:
@@ -133,7 +147,7 @@ _powers = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``p**0..p**n`` and their inverses modulo 2**64, as far as any call has needed them."""
     if len(_powers[0]) <= n:
-        size = max(n + 1, STEP_BYTES + 2)
+        size = 1 << (n + 1).bit_length()
         inverse = _U(pow(int(_PRIME), -1, 1 << 64))
         with np.errstate(over="ignore"):
             for k, base in enumerate((_PRIME, inverse)):
@@ -154,9 +168,47 @@ def prefix_sums(buf: np.ndarray) -> np.ndarray:
     return total
 
 
-def span_hashes(buf: np.ndarray, starts: np.ndarray, stops: np.ndarray, total: np.ndarray | None = None) -> np.ndarray:
-    """A 64-bit hash of each byte span: a polynomial over its bytes, from prefix sums, mixed with its length."""
-    total = prefix_sums(buf) if total is None else total
+_MERSENNE = _U((1 << 31) - 1)
+#: Two polynomials modulo a prime: modulo 2**64 alone, texts of repeated blocks can be made to agree.
+_BASES = (1_150_825_967, 1_901_713_139)
+_fields: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """``x`` modulo ``2**31 - 1``."""
+    for _ in range(2):
+        x = (x & _MERSENNE) + (x >> _U(31))
+    return np.where(x >= _MERSENNE, x - _MERSENNE, x)
+
+
+def _field_powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """``base**0..base**n`` and their inverses modulo ``2**31 - 1``, as far as any call has needed them."""
+    if base not in _fields or len(_fields[base][0]) <= n:
+        both, prime = [], int(_MERSENNE)
+        for x in (base, pow(base, -1, prime)):
+            out = np.ones(1, np.uint32)
+            while len(out) <= n:
+                out = np.concatenate([out, _reduced(out.astype(np.uint64) * _U(pow(x, len(out), prime))).astype(np.uint32)])
+            both.append(out)
+        _fields[base] = (both[0], both[1])
+    return _fields[base]
+
+
+def span_hashes(buf: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each byte span: two polynomials over its bytes, from prefix sums, mixed with its length."""
+    bytes_ = buf.astype(np.uint64) + _U(1)
+    parts = []
+    for base in _BASES:
+        up, down = _field_powers(base, len(buf))
+        terms = bytes_ * up[: len(buf)]
+        total = np.zeros(len(buf) + 1, np.uint64)
+        np.cumsum(terms if len(buf) < 1 << 23 else _reduced(terms), out=total[1:])
+        parts.append(_reduced(_reduced(total[stops] - total[starts]) * down[starts]))
+    return mix(mix(parts[0] << _U(31) | parts[1]) + (stops - starts).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+
+
+def short_hashes(buf: np.ndarray, starts: np.ndarray, stops: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """As ``span_hashes``, by one polynomial modulo 2**64 from ``prefix_sums``: for spans of some characters, or beside the other."""
     _, down = powers(len(buf))
     return mix((total[stops] - total[starts]) * down[starts] + (stops - starts).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
 

@@ -1,9 +1,10 @@
 """Fuzzy line dedup by MinHash.
 
 A line is the text between line breaks without blanks at its ends; lines without a word take no part. Its set
-is its runs of ``SHINGLE`` characters. Equal lines are folded first. MinHash bands over the rest give
-buckets, candidates are confirmed on full sets (shingles told apart by 64-bit hashes), and links are joined by distributed union-find.
-Of each component the first line stays, in the order of document id and line number.
+is its runs of ``SHINGLE`` characters. Equal lines are one item, told by two 64-bit hashes. MinHash bands give buckets of
+items, candidates are confirmed on full sets (shingles told apart by 64-bit hashes), and links are joined by distributed union-find.
+Of each component the first line stays, in the order of document id and line number. Texts are scanned for the places of
+their lines, for the bands, and for the lines that share a bucket; neither lines nor bands are stored for all of them.
 
 With 22 bands of 5 a pair at similarity 0.8 is missed about once in 6,000, at 0.9 less than once in a hundred million. One changed
 character leaves 0.8 or more in lines from 49 characters, a replaced word of six letters in lines from 94; changes in shorter
@@ -20,9 +21,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from . import common as c
 from . import linkage
@@ -30,6 +33,8 @@ from .minhash import band_keys
 
 SHINGLE = 5
 BANDS, ROWS = 22, 5
+#: Bytes of text that one numpy step handles.
+STEP = 1 << 19
 SIMILAR = 80
 BLANKS = " \\t\\n\\u000B\\f\\r"
 
@@ -71,7 +76,7 @@ def shingle_hashes(
         out[:m] = (ends[size:] - ends[: n + 1 - size])[:m] * down[lead[:m]]
         out[:m] += (limit[size:] - limit[: n + 1 - size])[:m].astype(np.uint64)
     few = np.flatnonzero(short)
-    out[a[few]] = c.span_hashes(buf, starts[few], stops[few], total)
+    out[a[few]] = c.short_hashes(buf, starts[few], stops[few], total)
     change = np.zeros(n + 1, np.int8)
     change[a] += 1
     np.subtract.at(change, a + runs, 1)
@@ -93,37 +98,55 @@ def signature(values: np.ndarray, before: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _scan(size: int, bands: int, rows: int):
+def _lines(part: pa.RecordBatch):
+    """The buffer and its prefix sums, and start, stop, row, number and both hashes of every line with a word."""
+    buf, ends = c.text_bytes(part.column("t"))
+    starts, stops, row, number = line_spans(buf, ends)
+    total = c.prefix_sums(buf)
+    return buf, total, starts, stops, row, number, c.span_hashes(buf, starts, stops), c.short_hashes(buf, starts, stops, total)
+
+
+def _distinct(k1: np.ndarray, k2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The item of each different line, and its first place, in the order of the places."""
+    _, head = np.unique(k1 ^ k2, return_index=True)
+    head.sort()
+    return (k1 ^ k2)[head].view(np.int64), head
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in c.slices(batches, "t", STEP):
+        _, _, _, _, row, number, k1, k2 = _lines(part)
+        yield pa.RecordBatch.from_arrays(
+            [part.column("id").take(pa.array(row)), pa.array(number, pa.int32()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64))],
+            ["doc", "line", "k1", "k2"],
+        )
+
+
+def _banded(size: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in c.slices(batches, "t", 1 << 20):
-            buf, ends = c.text_bytes(part.column("t"))
-            starts, stops, row, number = line_spans(buf, ends)
+        for part in c.slices(batches, "t", STEP):
+            buf, total, starts, stops, _, _, k1, k2 = _lines(part)
             if not len(starts):
                 continue
-            total = c.prefix_sums(buf)
-            k1 = c.span_hashes(buf, starts, stops, total)
-            _, head, back = np.unique(k1, return_index=True, return_inverse=True)
-            rank = np.argsort(np.argsort(head))
-            head, back = np.sort(head), rank[back]  # in the order of the buffer
+            items, head = _distinct(k1, k2)
             v, before = shingle_hashes(buf, starts[head], stops[head], size, total)
-            k2 = np.add.reduceat(c.mix(v), before[:-1])[back]
-            lists: list = [None] * len(starts)  # the first of equal lines carries the bands
-            for i, keys in zip(head, band_keys(signature(v, before, bands * rows), rows), strict=True):
-                lists[i] = keys
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("id").take(pa.array(row)),
-                    pa.array(number, pa.int32()),
-                    pa.array(k1.view(np.int64)),
-                    pa.array(k2.view(np.int64)),
-                    pa.array(lists, pa.list_(pa.int64())),
-                ],
-                ["doc", "line", "k1", "k2", "bands"],
-            )
+            coordinates = signature(v, before, max(bands * rows, linkage.SKETCH))
+            keys, sketches = band_keys(coordinates[:, : bands * rows], rows), linkage.sketch_bits(coordinates)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(items) + 1, dtype=np.int32) * bands), pa.array(keys.ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array(items), lists, pa.array(sketches.view(np.int64))], ["id", "bucket", "sketch"])
 
     return run
 
 
+def _line_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for part in c.slices(batches, "t", STEP):
+        buf, _, starts, stops, _, _, k1, k2 = _lines(part)
+        items, head = _distinct(k1, k2)
+        raw = buf.tobytes()
+        lines = [raw[a:b].decode() for a, b in zip(starts[head].tolist(), stops[head].tolist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array(items), pa.array(lines, pa.string())], ["id", "l"])
+
+
 def char_set(line: str, size: int = SHINGLE) -> frozenset[str]:
     return frozenset(line[i : i + size] for i in range(max(1, len(line) - size + 1)))
 
@@ -179,36 +202,29 @@ def line_classes(
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("t")).filter("id is not null")
     place = F.struct("doc", "line")
-    lines = c.stored(
-        texts.mapInArrow(_scan(size, bands, rows), f"doc {kind}, line int, k1 long, k2 long, bands array<long>"), "lines"
-    )
-    folded = c.stored(lines.groupBy("k1", "k2").agg(F.min(place).alias("rep"), F.min("bands").alias("bands")), "folded")
-    wide, lines = lines, c.stored(lines.drop("bands"), "places")
-    c.discard(wide)
-    members = folded.select(F.explode("bands").alias("bucket"), F.col("rep").alias("id"))
+    lines = c.stored(texts.mapInArrow(_places, f"doc {kind}, line int, k1 long, k2 long"), "places")
 
     def prepare(ids: DataFrame):
-        places = ids.withColumnRenamed("id", "place")
-        some = linkage.maybe_in(texts, "id", places.select(F.col("place.doc").alias("id")))
-        text = some.select(F.col("id").alias("doc"), F.posexplode(F.split("t", "\n", -1)).alias("line", "l"))
-        trimmed = F.regexp_replace("l", f"^[{BLANKS}]+|[{BLANKS}]+$", "")
-        text = linkage.maybe_in(text.select(place.alias("place"), "l"), "place", places)
-        text = c.stored(text.select("place", trimmed.alias("l")), "candidates")
-        typed = f"struct<doc:{kind},line:int>"
+        found = linkage.maybe_in(texts.select("t").mapInArrow(_line_texts, "id long, l string"), "id", ids)
+        text = c.stored(found.groupBy("id").agg(F.min("l").alias("l")), "candidates")
 
         def similar(pairs: DataFrame) -> DataFrame:
             # The last join is on the leader, so its rows follow each other and its set is built once.
-            both = pairs.join(text.select(F.col("place").alias("b"), F.col("l").alias("tb")), "b")
-            both = both.join(text.select(F.col("place").alias("a"), F.col("l").alias("ta")), "a")
+            both = pairs.join(text.select(F.col("id").alias("b"), F.col("l").alias("tb")), "b")
+            both = both.join(text.select(F.col("id").alias("a"), F.col("l").alias("ta")), "a")
             both = both.select("a", "b", "ta", "tb")
-            return both.mapInArrow(_similar(size, percent), f"a {typed}, b {typed}").distinct()
-
-        return linkage.Compare(similar, text.select(F.col("place").alias("id"), F.col("l").alias("v")), hashed_sets(size), percent)
-
-    comps = linkage.linked(members, prepare)
-    reps = folded.select("k1", "k2", "rep").join(comps.withColumnRenamed("id", "rep"), "rep", "left")
-    reps = reps.select("k1", "k2", F.coalesce("component", "rep").alias("first"))
-    joined = lines.select("doc", "line", "k1", "k2").join(reps, ["k1", "k2"])
+            return both.mapInArrow(_similar(size, percent), "a long, b long").distinct()
+
+        return linkage.Compare(similar, text.withColumnRenamed("l", "v"), hashed_sets(size), percent, (text,))
+
+    banded = texts.select("t").mapInArrow(_banded(size, bands, rows), "id long, bucket array<long>, sketch long")
+    comps = linkage.linked(banded, prepare, percent)
+    reps = lines.groupBy("k1", "k2").agg(F.min(place).alias("rep")).withColumn("id", F.col("k1").bitwiseXOR(F.col("k2")))
+    met = reps.join(comps, "id").groupBy("component").agg(F.min("rep").alias("first"))
+    firsts = c.stored(comps.join(met, "component").select("id", "first"), "firsts")
+    c.discard(comps)
+    reps = reps.join(firsts, "id", "left").select("k1", "k2", F.coalesce("first", "rep").alias("first"))
+    joined = lines.join(reps, ["k1", "k2"])
     return joined.select(
         F.col("doc").alias(id_col),
         F.col("line").alias("line_no"),
@@ -218,15 +234,31 @@ def line_classes(
     )
 
 
+@F.pandas_udf(StringType())
+def _without(texts: pd.Series, gone: pd.Series) -> pd.Series:
+    """The texts without the lines of these numbers; a null text stays null."""
+    out = []
+    for text, numbers in zip(texts, gone, strict=True):
+        if text is not None:
+            lines = text.split("\n")
+            left = np.ones(len(lines), bool)
+            left[numbers] = False
+            text = "\n".join([lines[k] for k in np.flatnonzero(left)])
+        out.append(text)
+    return pd.Series(out, dtype=object)
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the lines that repeat an earlier one, and without documents of which no line stays."""
     classes = line_classes(docs, id_col, text_col)
-    gone = classes.filter("not kept").groupBy(id_col).agg(F.collect_set("line_no").alias("_gone")).withColumnRenamed(id_col, "_id")
-    joined = docs.join(gone, docs[id_col] == F.col("_id"), "left")
-    left = F.filter(F.split(docs[text_col], "\n", -1), lambda x, i: ~F.array_contains(F.col("_gone"), i))
-    text = F.when(F.col("_gone").isNull(), docs[text_col]).otherwise(F.array_join(left, "\n"))
-    out = joined.select(*[text.alias(x) if x == text_col else docs[x] for x in docs.columns], "_gone")
-    return out.filter(F.col("_gone").isNull() | F.col(text_col).rlike(f"[^{BLANKS}]")).drop("_gone")
+    id_, gone, rest = (c.fresh_name(docs, x) for x in ("id_of_lines", "gone_lines", "rest_of_text"))
+    found = classes.filter("not kept").groupBy(F.col(id_col).alias(id_)).agg(F.collect_set("line_no").alias(gone))
+    joined = docs.join(found, docs[id_col] == F.col(id_), "left")
+    some = F.col(gone).isNotNull()
+    joined = joined.withColumn(rest, _without(F.when(some, docs[text_col].cast("string")), F.col(gone)))
+    text = F.when(some, F.col(rest)).otherwise(docs[text_col])
+    out = joined.filter(~some | F.col(rest).rlike(f"[^{BLANKS}]"))
+    return out.select(*[text.alias(x) if x == text_col else docs[x] for x in docs.columns])
 
 
 def op4_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,37 +1,52 @@
 """Links between similar items: buckets, exact confirmation, and components by distributed union-find.
 
-Items are compared only inside buckets, and never all with all. First each bucket's smallest id meets the others.
-What is then left to settle are buckets that hold several components; there, members outside the largest
-component meet the members of other components: as pairs if they are few, else in blocks of about
-``BLOCK`` items, two blocks to a row, whose items are compared inside the task that gets the row. So no
-pair that shares a bucket and lies in two components stays unchecked, and what moves grows with the number of members.
-
-``id`` may be any orderable type. Tables between the steps are written to the shared folder.
+Items are numbered, and compared only if they share a bucket. Bucket keys travel as arrays with the items and a sketch of
+their sets; where they meet they are sorted in ranges, one at a time. A task sorts a quarter of a million keys before it sends them, and
+of more than ``SMALL`` items that share a bucket there it sends only the smallest on, so of a bucket of any size each task sends a few.
+
+The items of small buckets meet as pairs, all of them. Two sketches agree in fewer than ``least_agreement`` bits less than once in a million
+for sets that are just similar enough; such pairs go at once. Each member of a larger bucket first meets the smallest item
+that its task knows, and these meet each other. What is then left to settle are large buckets that hold several components; there, members
+outside the largest component meet the members of other components: as pairs if they are few, and up to a million pairs in blocks of bounded bytes inside tasks. The members
+of larger buckets are put in new ones, by the rarest elements of their sets, so many that two similar sets must share one, and
+settled in the same way, so unlike members of a large bucket cost no more than their elements. No pair that shares a bucket and lies in two
+components stays unchecked.
+
+Tables between the steps are written to the shared folder and removed when the next one stands.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from math import comb
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, stored
 
-#: Most pairs of a bucket that are compared as rows, and items of a block beyond that.
-FEW_PAIRS, BLOCK = 256, 64
-#: 64-bit words of a membership bitmap: the bound of what is broadcast, whatever the number of keys.
-BITMAP_WORDS = 1 << 17
+#: Most pairs of a bucket that are compared as rows, and in blocks before rare elements are tried; items and words of a block.
+FEW_PAIRS, BLOCK_PAIRS, BLOCK, BLOCK_WORDS = 256, 1 << 20, 64, 1 << 20
+#: Bits of a membership bitmap for each key, and its most 64-bit words: the bound of what is broadcast.
+BITS_PER_KEY, BITMAP_WORDS = 16, 1 << 21
+#: Bucket keys that a task sorts at a time, and the ranges of keys that a task takes one after the other.
+GATHER, RANGES = 1 << 18, 8
+#: Items of a bucket that all meet as pairs.
+SMALL = 16
+#: Bits of a sketch, and how often, at most, a sketch hides a pair that is just similar enough.
+SKETCH, HIDDEN = 64, 1e-6
 
 
-def maybe_in(df: DataFrame, key: str, keys: DataFrame, words: int = BITMAP_WORDS) -> DataFrame:
-    """The rows of ``df`` whose ``key`` may be in ``keys``: all that are, and few others while ``keys`` is small.
+def maybe_in(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
+    """The rows of ``df`` whose ``key`` may be in ``keys``: all that are, and one in 16 of the others, more beyond some 8 million keys.
 
-    A bitmap of at most ``words`` rows is broadcast; nothing else moves.
+    A bitmap sized by the number of keys, of at most ``BITMAP_WORDS`` rows, is broadcast; nothing else moves.
     """
+    words = min(BITMAP_WORDS, keys.count() * BITS_PER_KEY // 64 + 1)
     bit = F.pmod(F.xxhash64(key), F.lit(words * 64))
     masks = (
         keys.select(bit.alias("_b"))
@@ -45,7 +60,7 @@ def maybe_in(df: DataFrame, key: str, keys: DataFrame, words: int = BITMAP_WORDS
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``id, component`` of every id on an edge ``(a, b)``; the component is its smallest id.
+    """``id, component`` of every id on an edge ``(a, b)``; the component is its smallest id. The result is stored.
 
     Large-star and small-star steps in turn, until nothing changes. Each step is a partial minimum per id
     and a join, so an id with many edges is split like any skewed join key.
@@ -60,25 +75,190 @@ def components(edges: DataFrame) -> DataFrame:
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         met = large.join(low, "a")
         small = met.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        edges = stored(small.unionByName(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), "edges")
+        last, edges = edges, stored(small.unionByName(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), "edges")
+        discard(last)
         state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if state == before:
             break
         before = state
     roots = edges.select(F.col("b").alias("id")).distinct()
-    return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).unionByName(
-        roots.select("id", F.col("id").alias("component"))
-    )
+    of = edges.select(F.col("a").alias("id"), F.col("b").alias("component"))
+    out = stored(of.unionByName(roots.select("id", F.col("id").alias("component"))), "components")
+    discard(edges)
+    return out
+
+
+# --- buckets ---------------------------------------------------------------------------------------
+
+
+def least_agreement(percent: int, bits: int = SKETCH, hidden: float = HIDDEN) -> int:
+    """Bits in which the sketches of two sets that share ``percent`` of their union agree, but for a chance of ``hidden``.
+
+    A bit comes from a MinHash coordinate: it agrees with the share in common, and else in half of all cases.
+    """
+    agree, total = (1 + percent / 100) / 2, 0.0
+    for k in range(bits + 1):
+        total += comb(bits, k) * agree**k * (1 - agree) ** (bits - k)
+        if total > hidden:
+            return k
+    return bits
+
+
+def sketch_bits(signature: np.ndarray) -> np.ndarray:
+    """A bit of each of the first ``SKETCH`` MinHash coordinates, as one 64-bit word an item."""
+    bits = (signature[:, :SKETCH] * np.uint32(0x9E3779B1)) >> np.uint32(31)
+    return np.packbits(bits.astype(np.uint8), axis=1).view(np.uint64).ravel()
+
+
+def _sorted_runs(keys: np.ndarray, ids: np.ndarray, *more: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct (key, id) by key, then id, with what belongs to them, and where a key begins."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    shared = np.flatnonzero((np.append(keys[1:] == keys[:-1], False)) | (np.append(False, keys[1:] == keys[:-1])))
+    if len(shared):
+        order[shared] = order[shared][np.lexsort((ids[order[shared]], keys[shared]))]
+    ids = ids[order]
+    first = np.ones(len(keys), bool)
+    first[1:] = keys[1:] != keys[:-1]
+    keep = first.copy()
+    keep[1:] |= ids[1:] != ids[:-1]
+    return (keys[keep], ids[keep], *[x[order[keep]] for x in more], first[keep])
+
+
+def _agree(a: np.ndarray, b: np.ndarray, least: int) -> np.ndarray:
+    return np.bitwise_count(~(a ^ b)) >= least
+
+
+def _close_pairs(ids: np.ndarray, sketches: np.ndarray, run: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of items of a run whose sketches agree; runs follow each other and have ``SMALL`` items at most."""
+    a, b = [], []
+    for d in range(1, SMALL):
+        at = np.flatnonzero(run[d:] == run[:-d])
+        if not len(at):
+            break
+        at = at[_agree(sketches[at], sketches[at + d], least)]
+        a.append(ids[at])
+        b.append(ids[at + d])
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *a]), np.concatenate([none, *b])
+
+
+_DEALT = "part int, range int, keys binary, ids binary, sketches binary, large binary, leads binary"
+_MET = "bucket long, id long, lead long, near boolean"
+
+
+def _deal(parts: int, least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranges = parts * RANGES
+        limits = np.array([(k << 64) // ranges for k in range(1, ranges)], np.uint64)
+        turn = TaskContext.get().partitionId()
+
+        def send(keys: np.ndarray, ids: np.ndarray, sketches: np.ndarray) -> pa.RecordBatch:
+            nonlocal turn
+            keys, ids, sketches, first = _sorted_runs(keys, ids, sketches)
+            head, run_of = np.flatnonzero(first), np.cumsum(first) - 1
+            large = (np.diff(np.append(head, len(keys))) > SMALL)[run_of]
+            lead = head[run_of[large]]
+            known = keys[large], ids[large], _agree(sketches[large], sketches[lead], least).astype(np.uint64), ids[lead]
+            on = ~large | first
+            keys, ids, sketches, large = keys[on], ids[on], sketches[on], large[on]
+            at = np.concatenate([[0], np.searchsorted(keys, limits), [len(keys)]]).tolist()
+            rows = [
+                (k // RANGES, k % RANGES, *[x[a:b].tobytes() for x in (keys, ids, sketches, large)], None)
+                for k, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True))
+                if b > a
+            ]
+            if len(lead):  # members with their lead: they need not meet, so the tasks take them in turn
+                turn += 1
+                rows.append((turn % parts, RANGES, *[x.tobytes() for x in known[:3]], None, known[3].tobytes()))
+            names = [x.split()[0] for x in _DEALT.split(", ")]
+            kinds = [pa.int32() if x in ("part", "range") else pa.binary() for x in names]
+            return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+        held, n = [], 0
+        for batch in batches:
+            bucket, ids, sketches = (batch.column(x) for x in ("bucket", "id", "sketch"))
+            ids, sketches = ids.to_numpy(), sketches.to_numpy().view(np.uint64)
+            if pa.types.is_list(bucket.type):
+                of = np.repeat(np.arange(len(ids)), np.diff(bucket.offsets.to_numpy()))
+                ids, sketches, bucket = ids[of], sketches[of], bucket.flatten()
+            if not len(ids):
+                continue
+            held.append((bucket.to_numpy().view(np.uint64), ids, sketches))
+            n += len(ids)
+            if n >= GATHER:
+                yield send(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                held, n = [], 0
+        if held:
+            yield send(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    return run
+
+
+def _members(keys: np.ndarray | None, ids: np.ndarray, leads: np.ndarray, near: np.ndarray) -> pa.RecordBatch:
+    bucket = pa.nulls(len(ids), pa.int64()) if keys is None else pa.array(keys.view(np.int64))
+    return pa.RecordBatch.from_arrays([bucket, pa.array(ids), pa.array(leads), pa.array(near)], ["bucket", "id", "lead", "near"])
+
+
+def _meet(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], -1
+
+        def met() -> Iterator[pa.RecordBatch]:
+            if not held:
+                return
+            keys, ids, sketches, large, first = _sorted_runs(*(np.concatenate(x) for x in zip(*held, strict=True)))
+            held.clear()
+            head, run_of = np.flatnonzero(first), np.cumsum(first) - 1
+            size = np.diff(np.append(head, len(keys)))
+            star = (size > SMALL) | (np.logical_or.reduceat(large, head) & (size > 1))
+            small = (~star & (size > 1))[run_of]
+            a, b = _close_pairs(ids[small], sketches[small], run_of[small], least)
+            yield _members(None, b, a, np.ones(len(a), bool))
+            star = star[run_of]
+            lead = head[run_of[star]]
+            yield _members(keys[star], ids[star], ids[lead], _agree(sketches[star], sketches[lead], least))
+
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = {x: batch.column(x)[k].as_py() for x in batch.schema.names}
+                number = row["part"] * (RANGES + 1) + row["range"]
+                keys, ids, sketches = (np.frombuffer(row[x], t) for x, t in (("keys", np.uint64), ("ids", np.int64), ("sketches", np.uint64)))
+                if number != now:
+                    yield from met()
+                    now = number
+                if row["leads"] is not None:
+                    yield _members(keys, ids, np.frombuffer(row["leads"], np.int64), sketches.astype(bool))
+                else:
+                    held.append((keys, ids, sketches, np.frombuffer(row["large"], bool)))
+        yield from met()
+
+    return run
+
+
+def crowded(banded: DataFrame, percent: int = 0) -> DataFrame:
+    """``bucket, id, lead, near`` of the items that share a bucket, from ``bucket`` (one or an array) and ``id``, both long. The result is stored.
+
+    Pairs of items of a small bucket have no bucket; those with sketches (``sketch``, if there are any) too far apart for ``percent`` are left out. Of
+    a large one all members are listed with a lead, and whether their sketch is near the lead's; leads lead to one another, so
+    all members but the smallest are listed with a smaller one.
+    """
+    parts = int(banded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    has = "sketch" in banded.columns
+    rows = banded.select("bucket", "id", "sketch" if has else F.lit(0).cast("long").alias("sketch"))
+    least = least_agreement(percent) if has else 0
+    dealt = rows.mapInArrow(_deal(parts, least), _DEALT)
+    met = dealt.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "range").mapInArrow(_meet(least), _MET)
+    return stored(met, "buckets")
 
 
 def _labelled(members: DataFrame, comps: DataFrame) -> DataFrame:
     return members.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
 
-def _stars(members: DataFrame) -> DataFrame:
-    """Every member with the smallest id of its bucket."""
-    lead = members.groupBy("bucket").agg(F.min("id").alias("a"))
-    return members.join(lead, "bucket").filter("id <> a").select("a", F.col("id").alias("b")).distinct()
+def _stars(met: DataFrame) -> DataFrame:
+    """The pairs of small buckets, and every member of a large one with the leads that it knows."""
+    return met.filter("id <> lead and near").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
 
 
 @dataclass
@@ -87,13 +267,14 @@ class Compare:
 
     ``pairs``: from distinct pairs ``(a, b)`` to those that are similar. ``items``: ``id, v``, what is compared.
     ``sets``: from a list of values to their sets, each a sorted array of 64-bit words; sets whose shared part is
-    ``percent`` of their union or more are similar.
+    ``percent`` of their union or more are similar. ``tables`` are the stored ones that go when all is done.
     """
 
     pairs: Callable[[DataFrame], DataFrame]
     items: DataFrame
     sets: Callable[[pa.Array], list[np.ndarray]]
     percent: int
+    tables: tuple[DataFrame, ...] = ()
 
 
 #: Distinct words that one matrix product takes.
@@ -127,12 +308,14 @@ def similar_blocks(left: list[np.ndarray], right: list[np.ndarray], percent: int
 
 
 def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """``bucket, id, component, total, inside`` of the buckets with several components; ``inside``: in their largest."""
+    """``bucket, id, component, total, n_inside, inside, pairs`` of the buckets with several components; ``inside``: in their largest."""
     held = _labelled(members.select("bucket", "id"), comps)
     sizes = held.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     total = sizes.groupBy("bucket").agg(F.sum("n").alias("total"), F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("kinds"))
     mixed = held.join(total.filter("kinds > 1"), "bucket")
-    return mixed.select("bucket", "id", "component", "total", F.col("most.n").alias("n_inside"), (F.col("component") == F.col("most.component")).alias("inside"))
+    inside = (F.col("component") == F.col("most.component")).alias("inside")
+    pairs = ((F.col("total") - F.col("most.n")) * F.col("total")).alias("pairs")
+    return mixed.select("bucket", "id", "component", "total", F.col("most.n").alias("n_inside"), inside, pairs)
 
 
 def _met_in_blocks(sets: Callable[[pa.Array], list[np.ndarray]], percent: int):
@@ -157,41 +340,101 @@ def _met_in_blocks(sets: Callable[[pa.Array], list[np.ndarray]], percent: int):
 
 
 def _links_in_blocks(open_: DataFrame, compare: Compare) -> DataFrame:
-    count = F.greatest(F.lit(1), F.ceil(F.when(F.col("inside"), F.col("n_inside")).otherwise(F.col("total") - F.col("n_inside")) / BLOCK))
-    placed = open_.withColumn("block", F.pmod(F.xxhash64("id"), count))
+    with_sets = open_.join(compare.items, "id")
+    words = F.size("v") if compare.items.schema["v"].dataType.typeName() == "array" else F.octet_length("v")
+    sums = with_sets.groupBy("bucket", "inside").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(words) / BLOCK_WORDS)).alias("blocks"))
+    placed = with_sets.join(sums, ["bucket", "inside"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
     item = F.struct("id", "component", "v")
-    blocks = placed.join(compare.items, "id").groupBy("bucket", "inside", "block").agg(F.collect_list(item).alias("of"))
-    blocks = stored(blocks, "blocks")
+    blocks = stored(placed.groupBy("bucket", "inside", "block").agg(F.collect_list(item).alias("of")), "blocks")
     left = blocks.filter("not inside").select("bucket", F.col("block").alias("lb"), F.col("of").alias("left"))
     right = blocks.select("bucket", "inside", F.col("block").alias("rb"), F.col("of").alias("right"))
     met = left.join(right, "bucket").filter("inside or lb <= rb").select("left", "right")
-    kind = compare.items.schema["id"].dataType.simpleString()
-    return met.mapInArrow(_met_in_blocks(compare.sets, compare.percent), f"a {kind}, b {kind}").distinct()
+    return met.mapInArrow(_met_in_blocks(compare.sets, compare.percent), "a long, b long").distinct()
+
+
+def _elements(sets: Callable[[pa.Array], list[np.ndarray]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                (x,) = sets(batch.column("v").slice(k, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), batch.column("id")[k].as_py())), pa.array(x.view(np.int64))], ["id", "bucket"])
+
+    return run
 
 
-def linked(members: DataFrame, prepare: Callable[[DataFrame], Compare]) -> DataFrame:
-    """``id, component`` of the ids that are linked with another one.
+def _by_rare_elements(ids: DataFrame, compare: Compare) -> DataFrame:
+    """``bucket, id, lead`` of the items by the rarest elements of their sets.
 
-    ``members``: ``bucket, id``, one row per pair. ``prepare`` takes the ids that may ever be compared (column ``id``).
+    Of two sets that share ``percent`` of their union, the first ``n - ceil(n * percent / 100) + 1`` elements in one order
+    have one in common. The order is that of the number of sets that hold an element, so unlike sets share few.
     """
-    crowded = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    crowded = stored(crowded, "crowded")
-    held = stored(maybe_in(members, "bucket", crowded).join(crowded, "bucket", "left_semi"), "buckets")
-    discard(crowded)
-    members = held
-    compare = prepare(stored(members.select("id").distinct(), "ids"))
-    edges = stored(compare.pairs(_stars(members)), "links")
-    comps = components(edges)
-
-    open_ = stored(_open(members, comps).withColumn("few", (F.col("total") - F.col("n_inside")) * F.col("total") <= FEW_PAIRS), "open")
-    few = open_.filter("few")
+    held = compare.items.join(ids, "id", "left_semi").select("id", "v")
+    elements = stored(held.mapInArrow(_elements(compare.sets), "id long, bucket long"), "elements")
+    counts = elements.groupBy("bucket").agg(F.count("*").alias("n"))
+    sizes = elements.groupBy("id").agg(F.count("*").alias("size"))
+    ranked = elements.join(counts, "bucket").withColumn("rank", F.expr("row_number() over (partition by id order by n, bucket)"))
+    first = F.col("rank") <= F.col("size") - F.ceil(F.col("size") * F.lit(compare.percent) / 100) + 1
+    met = crowded(ranked.join(sizes, "id").filter(first & (F.col("n") > 1)).select("bucket", "id"))
+    discard(elements)
+    return met
+
+
+def _merged(comps: DataFrame | None, found: DataFrame) -> DataFrame:
+    """The components with more links: only the components that these join are united anew."""
+    if comps is None:
+        return components(found)
+    for end in ("a", "b"):
+        of = comps.select(F.col("id").alias(end), F.col("component").alias("c"))
+        found = found.join(of, end, "left").withColumn(end, F.coalesce("c", end)).drop("c")
+    named = stored(found.filter("a <> b").distinct(), "joins")
+    if named.isEmpty():
+        discard(named)
+        return comps
+    joined = components(named)
+    to = joined.select(F.col("id").alias("component"), F.col("component").alias("c"))
+    moved = comps.join(to, "component", "left").select("id", F.coalesce("c", "component").alias("component"))
+    out = stored(moved.unionByName(joined.join(comps.select("id"), "id", "left_anti")), "components")
+    discard(named, joined, comps)
+    return out
+
+
+def _few(met: DataFrame, comps: DataFrame, compare: Compare) -> tuple[DataFrame, DataFrame]:
+    """The components with the links of mixed buckets that few pairs settle, and the members of the other mixed ones."""
+    open_ = stored(_open(met.filter("bucket is not null").select("bucket", "id").distinct(), comps), "open")
+    few = open_.filter(F.col("pairs") <= FEW_PAIRS)
     lead = few.filter("not inside").select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"))
     pairs = few.join(lead, "bucket").filter("component <> ca")
-    found = compare.pairs(pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct())
-    edges = stored(edges.unionByName(found), "links")
-    many = open_.filter("not few").select("bucket", "id")
-    comps = components(edges)
-    if many.isEmpty():
-        return comps
-    open_ = stored(_open(many, comps), "open")
-    return components(edges.unionByName(_links_in_blocks(open_, compare)))
+    comps = _merged(comps, compare.pairs(pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()))
+    many = stored(open_.filter(F.col("pairs") > FEW_PAIRS).select("bucket", "id"), "many")
+    discard(open_)
+    return comps, many
+
+
+def linked(members: DataFrame, prepare: Callable[[DataFrame], Compare], percent: int = 0) -> DataFrame:
+    """``id, component`` of the ids that are linked with another one. The result is stored.
+
+    ``members``: ``bucket`` (a long or an array of them), ``id`` (long) and, if there is one, ``sketch`` (long, see ``sketch_bits``), whose pairs
+    are similar at ``percent``. ``prepare`` takes the ids that may ever be compared (column ``id``).
+    """
+    met = crowded(members, percent)
+    ids = met.select("id").unionByName(met.select(F.col("lead").alias("id"))).distinct()
+    ids = stored(ids, "ids")
+    compare, comps = prepare(ids), None
+    discard(ids)
+    for last in (False, True):
+        comps, many = _few(met, _merged(comps, compare.pairs(_stars(met))), compare)
+        discard(met)
+        open_ = stored(_open(many, comps), "open")
+        discard(many)
+        large = F.lit(False) if last else F.col("pairs") > BLOCK_PAIRS
+        if not open_.isEmpty():
+            comps = _merged(comps, _links_in_blocks(open_.filter(~large), compare))
+        rest = open_.filter(large).select("id").distinct()
+        again = not rest.isEmpty()
+        if again:
+            met = _by_rare_elements(rest, compare)
+        discard(open_)
+        if not again:
+            break
+    discard(*compare.tables)
+    return comps

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from . import common as c
 from . import linkage
@@ -84,14 +85,17 @@ def _signatures(n: int, bands: int, rows: int):
             full = np.flatnonzero(size)
             keys = np.zeros((len(size), 2), np.int64)
             lists: list = [None] * len(size)
+            sketches = np.zeros(len(size), np.int64)
             if len(full):
                 for k, x in enumerate((v, c.mix(v ^ c._PRIME))):
                     keys[full, k] = np.add.reduceat(x, before[full]).view(np.int64)
-                for i, row in zip(full, band_keys(circulant(v, before, bands * rows), rows), strict=True):
+                coordinates = circulant(v, before, max(bands * rows, linkage.SKETCH))
+                sketches[full] = linkage.sketch_bits(coordinates).view(np.int64)
+                for i, row in zip(full, band_keys(coordinates[:, : bands * rows], rows), strict=True):
                     lists[i] = row
             yield pa.RecordBatch.from_arrays(
-                [part.column("id"), pa.array(size, pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(lists, pa.list_(pa.int64()))],
-                ["id", "n", "k1", "k2", "bands"],
+                [part.column("id"), pa.array(size, pa.int64()), pa.array(keys[:, 0]), pa.array(keys[:, 1]), pa.array(lists, pa.list_(pa.int64())), pa.array(sketches)],
+                ["id", "n", "k1", "k2", "bands", "sketch"],
             )
 
     return run
@@ -125,16 +129,26 @@ def near_duplicates(
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("t"))
     kind = docs.schema[id_col].dataType.simpleString()
     signed = c.stored(
-        texts.mapInArrow(_signatures(shingle, bands, rows), f"id {kind}, n long, k1 long, k2 long, bands array<long>"), "signatures"
+        texts.mapInArrow(_signatures(shingle, bands, rows), f"id {kind}, n long, k1 long, k2 long, bands array<long>, sketch long"), "signatures"
     )
     usable = signed.filter("id is not null and n > 0")
-    folded = c.stored(
-        usable.groupBy("n", "k1", "k2").agg(F.min("id").alias("rep"), F.min("bands").alias("bands")), "folded"
-    )
-    members = folded.select(F.explode("bands").alias("bucket"), F.col("rep").alias("id"))
+    # Integers number the items as they are; other ids get numbers, and a component's smallest id is found at the end.
+    whole = isinstance(docs.schema[id_col].dataType, IntegralType)
+    folded = usable.groupBy("n", "k1", "k2").agg(F.min("id").alias("rep"), F.min("bands").alias("bands"), F.min("sketch").alias("sketch"))
+    folded = c.stored(folded.withColumn("item", F.col("rep").cast("long")) if whole else folded, "folded")
+    wide, signed = signed, c.stored(signed.drop("bands", "sketch"), "sizes")
+    numbers = c.stored(folded.select("rep").distinct().withColumn("item", F.col("rep").cast("long") if whole else F.monotonically_increasing_id()), "numbers")
+    members = folded if whole else folded.join(numbers, "rep")
+    reps = c.stored(folded.select("n", "k1", "k2", "rep"), "copies")
+    c.discard(wide)
 
     def prepare(ids: DataFrame):
-        sets = linkage.maybe_in(texts, "id", ids).mapInArrow(_sets(shingle), f"id {kind}, s array<long>")
+        names = ids if whole else numbers.join(ids, F.col("item") == F.col("id")).select(F.col("rep").alias("id"))
+        sets = linkage.maybe_in(texts, "id", names).mapInArrow(_sets(shingle), f"id {kind}, s array<long>")
+        if whole:
+            sets = sets.withColumn("id", F.col("id").cast("long"))
+        else:
+            sets = sets.join(numbers, F.col("id") == F.col("rep")).select(F.col("item").alias("id"), "s")
         sets = c.stored(sets, "sets")
 
         def similar(pairs: DataFrame) -> DataFrame:
@@ -145,12 +159,16 @@ def near_duplicates(
             alike = (100 * small >= percent * large) & (100 * shared >= percent * (small + large - shared))
             return both.filter(alike).select("a", "b").distinct()
 
-        return linkage.Compare(similar, sets.withColumnRenamed("s", "v"), stored_sets, percent)
+        return linkage.Compare(similar, sets.withColumnRenamed("s", "v"), stored_sets, percent, (sets,))
 
-    comps = linkage.linked(members, prepare)
-    reps = folded.select("n", "k1", "k2", "rep").join(comps.withColumnRenamed("id", "rep"), "rep", "left")
-    reps = reps.select("n", "k1", "k2", F.coalesce("component", "rep").alias("component"))
-    joined = signed.select("id", "n", "k1", "k2").join(reps, ["n", "k1", "k2"], "left")
+    comps = linkage.linked(members.select(F.col("bands").alias("bucket"), F.col("item").alias("id"), "sketch"), prepare, percent)
+    c.discard(folded)
+    named = comps.join(numbers, F.col("id") == F.col("item")).select("rep", "component")
+    firsts = named.groupBy("component").agg(F.min("rep").alias("first"))
+    firsts = c.stored(named.join(firsts, "component").select("rep", "first"), "firsts")
+    c.discard(comps, numbers)
+    reps = reps.join(firsts, "rep", "left").select("n", "k1", "k2", F.coalesce("first", "rep").alias("component"))
+    joined = signed.join(reps, ["n", "k1", "k2"], "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce(F.when(F.col("n") > 0, F.col("component")), F.col("id")))
     return joined.select(
         F.col("id").alias(id_col),
@@ -162,8 +180,9 @@ def near_duplicates(
 
 def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents that are near copies of one with a smaller id."""
-    gone = near_duplicates(docs, id_col, text_col).filter("not kept").select(F.col(id_col).alias("_gone"))
-    return docs.join(gone.distinct(), docs[id_col] == F.col("_gone"), "left_anti")
+    name = c.fresh_name(docs, "copy_id")
+    gone = near_duplicates(docs, id_col, text_col).filter("not kept").select(F.col(id_col).alias(name))
+    return docs.join(gone.distinct(), docs[id_col] == F.col(name), "left_anti")
 
 
 def op2_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pyarrow as pa
 
@@ -68,6 +69,22 @@ def test_blocks_equal_brute_force(spark, monkeypatch):
     assert sorted(map(tuple, ld.line_classes(df).collect())) == brute(rows)
 
 
+def test_names_of_extra_columns(spark):
+    names = ["_gone", "_id", "id_of_lines", "gone_lines", "rest_of_text", "_gone_lines"]
+    df = spark.createDataFrame([(1, "a line of words", *range(6)), (2, "a line of words\nanother one", *range(6))], f"doc_id long, text string, {' int, '.join(names)} int")
+    left = ld.remove_repeats(df)
+    assert left.columns == df.columns
+    assert sorted(map(tuple, left.collect())) == [(1, "a line of words", *range(6)), (2, "another one", *range(6))]
+
+
+def test_a_text_of_very_many_repeated_lines(spark):
+    line = "the same line again and again"
+    df = spark.createDataFrame([(1, "\n".join([line] * 80_000 + ["and quite another one at the end"]))], "doc_id long, text string")
+    start = time.monotonic()
+    assert ld.remove_repeats(df).collect()[0]["text"] == f"{line}\nand quite another one at the end"
+    assert time.monotonic() - start < 60
+
+
 def test_null_ids_repeats_and_empty_table(spark):
     line = "a line that is long enough to have shingles"
     rows = [(None, line), (3, line), (3, line), (7, f"{line}\nand one of its own, quite different")]

@@ -5,6 +5,8 @@ import random
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from drydock.llm import linkage, minhash
 
 
@@ -110,9 +112,10 @@ def test_blocks_of_sets(monkeypatch):
     assert linkage.similar_blocks([], sides[1], 80).shape == (0, 17)
 
 
-@pytest.mark.parametrize("few", [256, 0])
-def test_blocks_equal_brute_force(spark, monkeypatch, few):
+@pytest.mark.parametrize("few, blocks", [(256, 1 << 20), (0, 1 << 20), (0, 0)])
+def test_blocks_equal_brute_force(spark, monkeypatch, few, blocks):
     monkeypatch.setattr(linkage, "FEW_PAIRS", few)
+    monkeypatch.setattr(linkage, "BLOCK_PAIRS", blocks)
     rows = corpus(11)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(map(tuple, minhash.near_duplicates(df, shingle=4, percent=60).collect())) == brute(rows, 4, 60)
@@ -122,3 +125,89 @@ def test_components_of_a_path_and_a_star(spark):
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, 100 + k) for k in range(1, 60)]
     got = linkage.components(spark.createDataFrame(edges, "a long, b long"))
     assert sorted(map(tuple, got.collect())) == [(i, 0) for i in range(41)] + [(100 + k, 100) for k in range(60)]
+
+
+def test_unlike_members_of_a_large_bucket_meet_by_rare_elements_only(spark, monkeypatch):
+    """12,000 items share a bucket and a word; their pairs are 72 million, those that share a rare word two."""
+    n = 12_000
+    rows = [(i, [-1, *range(1000 + 4 * i, 1004 + 4 * i)]) for i in range(n)]
+    rows[77] = (77, rows[5][1][:4] + [3])
+    rows[11_000] = (11_000, rows[10_999][1][:4] + [7])
+    items = spark.createDataFrame(rows, "id long, v array<long>").withColumn("v", F.array_sort("v"))
+    members = items.selectExpr("cast(9 as long) bucket", "id")
+    seen = []
+
+    def similar(pairs):
+        pairs = pairs.cache()
+        seen.append(pairs.count())
+        both = pairs.join(items.selectExpr("id a", "v va"), "a").join(items.selectExpr("id b", "v vb"), "b")
+        return both.filter("3 * size(array_intersect(va, vb)) >= 2 * size(array_union(va, vb))").select("a", "b")
+
+    compared = []
+    real = linkage._links_in_blocks
+    monkeypatch.setattr(linkage, "_links_in_blocks", lambda open_, compare: compared.append(open_.count()) or real(open_, compare))
+    got = linkage.linked(members, lambda ids: linkage.Compare(similar, items, minhash.stored_sets, 66))
+    assert sorted(map(tuple, got.collect())) == [(5, 5), (77, 5), (10_999, 10_999), (11_000, 10_999)]
+    assert sum(seen) < 3 * n and sum(compared) < 100
+
+
+def test_buckets_of_many_tasks_and_ranges(spark, monkeypatch):
+    monkeypatch.setattr(linkage, "GATHER", 50)
+    rng = np.random.default_rng(4)
+    rows = [(int(b), int(i)) for b, i in zip(rng.integers(-(1 << 63), (1 << 63) - 1, 300).repeat(4), rng.integers(0, 400, 1200))]
+    rows += [(7, i) for i in range(500)] + [(-1, 3), (-1, 3), (-2, 9)]
+    members = spark.createDataFrame(rows, "bucket long, id long").repartition(6)
+    monkeypatch.setattr(linkage, "SMALL", 3)
+    met = linkage.crowded(members).collect()
+    want = {}
+    for b, i in rows:
+        want.setdefault(b, set()).add(i)
+    want_all = dict(want)
+    pairs = {(r["lead"], r["id"]) for r in met if r["bucket"] is None}
+    small = {(a, b) for ids in want.values() if len(ids) <= 3 for a in ids for b in ids if a < b}
+    want = {b: ids for b, ids in want.items() if len(ids) > 3}
+    got = {}
+    for r in met:
+        if r["bucket"] is None:
+            continue
+        if r["bucket"] not in want:  # several of few members had met in one task
+            small -= {(a, b) for a in want_all[r["bucket"]] for b in want_all[r["bucket"]]}
+            continue
+        got.setdefault(r["bucket"], {}).setdefault(r["id"], set()).add(r["lead"])
+    assert {b: set(x) for b, x in got.items()} == want
+    assert small <= pairs
+    for b, ids in got.items():
+        assert all(i == min(want[b]) or any(lead < i for lead in leads) for i, leads in ids.items())
+
+
+def test_sketches_hide_no_similar_pair():
+    """Agreement of sketches follows the similarity, and the bound is as rare as it says."""
+    rng = np.random.default_rng(8)
+    least = linkage.least_agreement(80)
+    sets, before = [], [0]
+    for _ in range(400):
+        common, own = rng.integers(0, 2**63, 80), rng.integers(0, 2**63, (2, 10))
+        for k in range(2):
+            sets.append(np.concatenate([common, own[k]]).astype(np.uint64))
+            before.append(before[-1] + 90)
+    sig = minhash.circulant(np.concatenate(sets), np.array(before), 64)
+    sketches = linkage.sketch_bits(sig)
+    agree = np.bitwise_count(~(sketches[::2] ^ sketches[1::2]))
+    assert (agree >= least).all() and abs(agree.mean() / 64 - 0.9) < 0.01
+    others = np.bitwise_count(~(sketches[:-2:2] ^ sketches[2::2]))
+    assert (others >= least).mean() < 0.01
+
+
+def test_string_ids(spark):
+    rows = corpus(5)
+    df = spark.createDataFrame([(f"{i:05d}", t) for i, t in rows], "doc_id string, text string")
+    got = sorted((int(r[0]), r[1], int(r[2]), r[3]) for r in minhash.near_duplicates(df, shingle=4).collect())
+    assert got == brute(rows, 4)
+
+
+def test_names_of_extra_columns(spark):
+    rows = corpus(6)
+    df = spark.createDataFrame([(i, t, 1, 2, 3) for i, t in rows], "doc_id long, text string, _gone int, copy_id int, _copy_id int")
+    left = minhash.keep_first(df)
+    assert left.columns == df.columns
+    assert sorted(r["doc_id"] for r in left.collect()) == [i for i, _, _, kept in brute(rows, 5) if kept]

@@ -58,3 +58,21 @@ def test_sample_does_not_depend_on_partitions(spark):
     two = c.hashed_sample(df.repartition(9, "v"), "id", 300).collect()
     assert len(one) == 300 and sorted(map(tuple, one)) == sorted(map(tuple, two))
     assert c.hashed_sample(df.limit(0), "id", 10).count() == 0 and c.hashed_sample(df, "id", 10**6).count() == 5000
+
+
+def test_hashes_of_texts_of_repeated_blocks_differ():
+    """The Thue-Morse word and its complement agree in every polynomial modulo 2**64 from 1,024 bytes on."""
+    word = "a"
+    while len(word) < 4096:
+        word += word.translate({97: 98, 98: 97})
+    rows = [word, word.translate({97: 98, 98: 97})]
+    buf, ends = c.text_bytes(pa.array(rows))
+    assert len(set(c.span_hashes(buf, ends[:-1], ends[1:]).tolist())) == 2
+
+
+def test_hashes_in_a_long_buffer():
+    rng = np.random.default_rng(0)
+    buf = rng.integers(32, 127, (1 << 23) + 5000).astype(np.uint8)
+    buf[-200:] = buf[:200]
+    a, b = c.span_hashes(buf, np.array([0, len(buf) - 200]), np.array([200, len(buf)]))
+    assert a == b == c.span_hashes(buf[:200], np.array([0]), np.array([200]))[0]
