@@ -29,6 +29,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.skew import running
 from . import common as c
 
 SHARD_BYTES = 64 << 20
@@ -37,9 +38,9 @@ FILE_BYTES = 32 << 20
 CHUNK_BYTES = 4 << 20
 READ_BYTES = 1 << 14
 LEVEL = 4
-BINS = 4096
+#: Reading tasks for each shuffle partition of the session, if there are as many chunks.
+READERS = 4
 DATE = "1970-01-01T00:00:00Z"
-SOFTWARE = "drydock"
 _ID, _NO_ID = 0x6D1F0B8A5C7E4D21, 0x6D1F0B8A5C7E4D20
 MANIFEST = "file string, shard int, offset long, length long, records long, file_crc32 long"
 RECORD = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -107,34 +108,14 @@ def parse(data: bytes) -> tuple[int | None, str, bytes | None, int, str, str, in
 
 
 def _cuts(sizes: DataFrame, shard_bytes: int) -> np.ndarray:
-    """Page ids at which a new shard begins, from sums of bytes over bins of ids.
+    """Page ids at which a new shard begins, from running sums of bytes over blocks of ids.
 
-    Bins heavier than a shard are cut again until they are light or hold one id. The driver sees ``BINS``
-    sums at a time, and one number per shard.
+    One job; the driver sees a number per shard. A shard has ``shard_bytes`` and what its last id has beyond.
     """
-    ends = sizes.agg(F.min("page_id").alias("lo"), F.max("page_id").alias("hi")).first()
-    if ends["lo"] is None:
-        return np.zeros(0, np.int64)
-    weights: list[tuple[int, int]] = []
-    todo = [(ends["lo"], ends["hi"])]
-    while todo:
-        lo, hi = todo.pop()
-        width = (hi - lo) // BINS + 1
-        part = sizes.filter(F.col("page_id").between(lo, hi))
-        bins = part.groupBy(F.floor((F.col("page_id") - lo) / width).cast("long").alias("bin")).agg(F.sum("size").alias("size"))
-        for r in bins.collect():
-            start = lo + r["bin"] * width
-            if r["size"] > shard_bytes and width > 1:
-                todo.append((start, min(hi, start + width - 1)))
-            else:
-                weights.append((start, r["size"]))
-    cuts, held = [], 0
-    for start, size in sorted(weights):
-        if held and held + size > shard_bytes:
-            cuts.append(start)
-            held = 0
-        held += size
-    return np.array(cuts, np.int64)
+    by_id = sizes.filter("page_id is not null").groupBy("page_id").agg(F.sum("size").alias("size"))
+    upto = running(by_id, [], ["page_id"], "size", total="upto")
+    shards = upto.groupBy(F.floor((F.col("upto") - F.col("size")) / shard_bytes).alias("shard")).agg(F.min("page_id").alias("first"))
+    return np.sort(np.array([r["first"] for r in shards.collect()], np.int64))[1:]
 
 
 def _payload(html: Column) -> Column:
@@ -254,9 +235,14 @@ def _read(folder: str, with_payload: bool):
 
 
 def read_archives(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:
-    """The records of the files in the manifest; digests are checked."""
+    """The records of the files in the manifest; digests are checked.
+
+    The manifest is tiny beside what it stands for, so its rows are dealt to tasks by number, which adaptive execution leaves alone.
+    """
     manifest = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
-    return manifest.repartition("file", "offset").mapInArrow(_read(folder, with_payload), RECORD)
+    tasks = max(1, min(manifest.count(), READERS * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    task = F.pmod(F.xxhash64("file", "offset"), F.lit(tasks)).cast("int")
+    return manifest.repartitionById(tasks, task).mapInArrow(_read(folder, with_payload), RECORD)
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

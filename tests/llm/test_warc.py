@@ -7,6 +7,7 @@ import random
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from drydock.llm import warc
 
@@ -83,3 +84,17 @@ def test_wrong_digest_is_an_error():
 
 def test_empty_table(spark, tmp_path):
     assert run(spark, [], str(tmp_path / "a"), 1).count() == 0
+
+
+def test_many_tasks_read(spark, tmp_path):
+    rng = random.Random(5)
+    pages = [(i, f"u{i}", "".join(rng.choice("abcdefgh") for _ in range(900))) for i in range(120)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    manifest = warc.write_archives(df, f"file://{tmp_path}/w", shard_bytes=3000)
+    assert manifest.select("shard").distinct().count() > 30
+    back = warc.read_archives(spark, f"file://{tmp_path}/w")
+    assert back.select(F.spark_partition_id()).distinct().count() > 8
+    assert {(r["page_id"], bytes(r["payload"]).decode()) for r in back.collect()} == {(i, t) for i, _, t in pages}
+    sizes = df.select("page_id", F.length("html").cast("long").alias("size"))
+    cuts = warc._cuts(sizes, 20_000)
+    assert (cuts == [i for i in range(1, 120) if (900 * i) // 20_000 > (900 * (i - 1)) // 20_000]).all()
