@@ -2,14 +2,14 @@
 
 A text is its runs of ``GRAMS`` bytes (letters in lower case, everything else a blank), hashed into
 buckets. A bucket has a small embedding; their mean goes through a linear softmax. Both are trained by
-stochastic gradient descent in numpy, in one task, on a sample of at most ``SAMPLE_ROWS`` rows of at most
-``SAMPLE_BYTES`` each. A fifth of the sample sets the temperature that calibrates the probabilities, and the
+stochastic gradient descent in numpy, in one task, on the bucket counts of a sample of at most ``SAMPLE_ROWS`` rows, of any
+length: the texts are counted where they are. A fifth of the sample sets the temperature that calibrates the probabilities, and the
 probability below which a prediction is rejected: the least at which ``ACCEPTED`` of the accepted ones are right.
 
 As the mean comes before a linear map, scoring needs one row of class scores per bucket, added up over
 the whole text.
 
-Defined results: a null text, or one without a letter, is ``und`` with score 0, and rejected. Without training rows
+Defined results: a null text, or one without a letter (Unicode category L), is ``und`` with score 0, and rejected. Without training rows
 every text is ``und``. Ties go to the language first in order. Each row is scored alone; repeated rows get equal results, extra
 columns do not matter, an empty table gives an empty result.
 """
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import pickle
 import re
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +35,6 @@ EPOCHS = 6
 RATE = 0.5
 BATCH = 32
 SAMPLE_ROWS = 6000
-SAMPLE_BYTES = 20_000
 ACCEPTED = 0.99
 UNKNOWN = "und"
 
@@ -42,7 +42,12 @@ _FOLD = np.full(256, 32, np.uint8)
 for _b in range(65, 91):
     _FOLD[_b] = _FOLD[_b + 32] = _b + 32
 _FOLD[128:] = np.arange(128, 256)
-_LETTER = re.compile(r"[^\W\d_]")
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Whether a character is of Unicode category L; numerals such as fractions and circled digits are not."""
+    return any(unicodedata.category(m.group())[0] == "L" for m in _MAYBE_LETTER.finditer(text))
 
 
 def grams(buf: np.ndarray, ends: np.ndarray) -> Iterator[np.ndarray]:
@@ -81,7 +86,7 @@ class Model:
 
     def predict(self, col: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, calibrated probability, and whether the prediction is rejected."""
-        known = np.array([bool(t) and _LETTER.search(t) is not None for t in col.to_pylist()])
+        known = np.array([bool(t) and has_letter(t) for t in col.to_pylist()])
         if not self.languages:
             return [UNKNOWN] * len(col), np.zeros(len(col)), np.ones(len(col), bool)
         p = softmax(self.logits(col) / self.temperature)
@@ -96,26 +101,46 @@ def softmax(x: np.ndarray) -> np.ndarray:
     return e / e.sum(axis=1, keepdims=True)
 
 
+NO_FEATURES = np.zeros(0, np.int32), np.zeros(0), np.zeros(1, np.int64)
+
+
 def _features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct buckets of each text, their shares, and the limits of the texts."""
     idx, share, limits = [], [], [0]
     for k in range(len(texts)):
         buf, ends = c.text_bytes(texts.slice(k, 1))
-        at = np.concatenate([g[g < BUCKETS] for g in grams(buf, ends)]) if len(buf) else np.zeros(0, np.int32)
-        b, n = np.unique(at, return_counts=True)
-        idx.append(b)
-        share.append(n / max(n.sum(), 1))
+        counts = np.zeros(BUCKETS + 1, np.int64)
+        for g in grams(buf, ends):
+            counts += np.bincount(g, minlength=BUCKETS + 1)
+        b = np.flatnonzero(counts[:BUCKETS])
+        idx.append(b.astype(np.int32))
+        share.append(counts[b] / max(counts[b].sum(), 1))
         limits.append(limits[-1] + len(b))
     return np.concatenate(idx), np.concatenate(share), np.array(limits)
 
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``k, l, b, n``: key, label and the bucket counts of each whole text, a row of bounded size however long the text is."""
+    for part in c.slices(batches, "t", 1 << 20):
+        b, n, limits = _features(part.column("t"))
+        columns = [part.column("k"), part.column("l")]
+        offsets = pa.array(limits, pa.int32())
+        columns += [pa.ListArray.from_arrays(offsets, pa.array(b)), pa.ListArray.from_arrays(offsets, pa.array(n))]
+        yield pa.RecordBatch.from_arrays(columns, ["k", "l", "b", "n"])
+
+
 def fit(texts: pa.Array, labels: list[str], seed: int = 1) -> Model:
+    return fit_features(_features(texts) if len(texts) else NO_FEATURES, labels, seed)
+
+
+def fit_features(features: tuple[np.ndarray, np.ndarray, np.ndarray], labels: list[str], seed: int = 1) -> Model:
+    """``features``: buckets, shares and limits of the labelled texts."""
     languages = sorted(set(labels))
     if not languages:
         return Model([], np.zeros((BUCKETS + 1, 0), np.float32), np.zeros(0))
     target = np.array([languages.index(x) for x in labels])
     rng = np.random.default_rng(seed)
-    idx, share, limits = _features(texts)
+    idx, share, limits = features
     size = np.diff(limits)
     rows = rng.permutation(np.flatnonzero(size))
     held, rows = rows[: len(rows) // 5], rows[len(rows) // 5 :]
@@ -144,7 +169,8 @@ def fit(texts: pa.Array, labels: list[str], seed: int = 1) -> Model:
     table[:-1] = embed @ weight
     model = Model(languages, table, bias)
     if len(held):
-        logits, want = model.logits(texts.take(pa.array(held))), target[held]
+        sums = np.add.reduceat(table[np.concatenate([idx[limits[r] : limits[r + 1]] for r in held])] * np.concatenate([share[limits[r] : limits[r + 1]] for r in held])[:, None], np.cumsum(size[held]) - size[held], axis=0)
+        logits, want = sums + bias, target[held]
         grid = np.exp(np.linspace(-4, 2, 61))
         loss = [-np.log(softmax(logits / t)[np.arange(len(held)), want] + 1e-12).mean() for t in grid]
         model.temperature = float(grid[int(np.argmin(loss))])
@@ -161,14 +187,25 @@ def train(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int
     """Fits in one task on a bounded sample of the labelled rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches), pa.schema([("k", pa.string()), ("t", pa.string()), ("l", pa.string())]))
-        model = fit(table.column("t").combine_chunks() if table.num_rows else pa.array([], pa.string()), table.column("l").to_pylist())
+        idx, share, limits, labels = [np.zeros(0, np.int32)], [np.zeros(0)], [np.zeros(1, np.int64)], []
+        for batch in batches:
+            b, n = batch.column("b"), batch.column("n")
+            idx.append(b.flatten().to_numpy())
+            share.append(n.flatten().to_numpy())
+            limits.append(limits[-1][-1] + np.cumsum(b.value_lengths().to_numpy()))
+            labels += batch.column("l").to_pylist()
+        model = fit_features((np.concatenate(idx), np.concatenate(share), np.concatenate(limits)), labels)
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model.__dict__)], pa.binary())], ["model"])
 
     known = docs.select(docs[id_col].cast("string").alias("k"), docs[text_col].cast("string").alias("t"), docs[lang_col].cast("string").alias("l"))
-    known = known.filter((F.octet_length("t") > 0) & (F.octet_length("t") <= SAMPLE_BYTES) & F.col("l").isNotNull())
-    fitted = c.hashed_sample(known, "k", rows).coalesce(1).mapInArrow(run, "model binary").first()
-    fields = pickle.loads(fitted["model"]) if fitted else fit(pa.array([], pa.string()), []).__dict__
+    known = known.filter((F.octet_length("t") > 0) & F.col("l").isNotNull())
+    # The sample is chosen by key, then counted where the texts are: whole texts of any length never leave their tasks.
+    chosen = c.hashed_sample(known.select("k"), "k", rows).select(F.col("k").alias("chosen"))
+    some = known.join(F.broadcast(chosen.distinct()), F.col("k").eqNullSafe(F.col("chosen"))).select("k", "l", "t")
+    counted = some.mapInArrow(_counted, "k string, l string, b array<int>, n array<double>")
+    counted = counted.groupBy("k").agg(F.min(F.struct("l", "b", "n")).alias("row")).select("row.*")  # one row an id, however often it repeats
+    fitted = counted.coalesce(1).mapInArrow(run, "model binary").first()
+    fields = pickle.loads(fitted["model"]) if fitted else fit_features(NO_FEATURES, []).__dict__
     return Model(**fields)
 
 

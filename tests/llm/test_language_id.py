@@ -51,3 +51,16 @@ def test_no_training_rows_and_empty_table(spark):
     model = li.train(df, "doc_id", "text", "lang")
     assert [tuple(r) for r in li.predictions(df, model).collect()] == [(1, "und", 0.0, True)]
     assert li.predictions(df.limit(0), model).count() == 0
+
+
+def test_numerals_are_no_letters():
+    assert [li.has_letter(x) for x in ("½ ² ① Ⅷ ٣", "_1", "é", "日", "ª", "ʰ", "")] == [False, False, True, True, True, True, False]
+
+
+def test_a_language_of_long_texts_only_is_learned(spark):
+    rows = [(i, t * (2000 if x == "cc" else 1), x) for i, t, x in corpus(120)]
+    assert all(len(t.encode()) > 20_000 for _, t, x in rows if x == "cc")
+    df = spark.createDataFrame([*rows, *[(7, rows[7][1], rows[7][2])] * 50], "doc_id long, text string, lang string").repartition(3)
+    model = li.train(df, "doc_id", "text", "lang")
+    assert model.languages == ["aa", "bb", "cc"]
+    assert model.predict(pa.array(["né ça tréeau où éça", "schneheit ich tzun"]))[0] == ["cc", "bb"]
