@@ -4,9 +4,10 @@ Texts are compared as words: runs of letters and digits, ASCII letters in lower
 pipeline have it, letters and digits are those of Unicode, each character of a script without blanks is a word, and an
 item shorter than a seed is one seed as a whole; without it bytes from 128 up count as letters. A document and a
 benchmark item that share a seed (``SEED`` words in a row) often enough for the threshold are tiled: the
-longest match of words not yet used is marked, again and again, down to the length of a seed. Matches are found by the Karp-Rabin
-hashes of seed-long windows and confirmed word by word. An item leaks into a document if its tiles cover
-``COVER`` of its words, in whatever order they come.
+longest match of words not yet used is marked, again and again, down to the length of a seed. Matches are found by running
+Karp-Rabin hashes and confirmed word by word. An item leaks into a document if its tiles cover
+``COVER`` of its words, in whatever order they come. ``keep_clean`` drops documents only for items of ``SEED`` words or more: a shorter
+item is an everyday phrase that clean documents hold too.
 
 A bitmap of fixed size tells which windows of the documents may be seeds, so only those are
 joined with the seeds of the benchmark.
@@ -109,54 +110,72 @@ def seeds(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.
     return v[full], row[full]
 
 
+class _Runs:
+    """Hashes of the runs of a word sequence, of any length, from prefix sums; which words are free."""
+
+    def __init__(self, words: np.ndarray):
+        up, self.down = c.powers(len(words))
+        self.words, self.free = words, np.ones(len(words), bool)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * up[: len(words)])])
+
+    def of(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and hashes of the free runs of ``n`` words."""
+        taken = np.concatenate([[0], np.cumsum(~self.free)])
+        at = np.flatnonzero(taken[n:] == taken[:-n])
+        return at, (self.sums[at + n] - self.sums[at]) * self.down[at]
+
+
 def tiles(item: np.ndarray, text: np.ndarray, n: int) -> list[tuple[int, int, int]]:
     """Greedy string tiles ``(item position, text position, length)`` of two word sequences.
 
-    Each step marks the longest match of unmarked words that has ``n`` words at least.
+    Each step marks the longest match of unmarked words that has ``n`` words at least. Its length is found by halving, with running
+    Karp-Rabin hashes of both sequences: if runs of some length match, shorter ones do. Memory follows the words, however
+    often they repeat; equal hashes are confirmed on the words.
     """
+    if not 0 < n <= min(len(item), len(text)):
+        return []
     hi, _ = c.windows(item, np.array([0, len(item)]), n)
     ht, _ = c.windows(text, np.array([0, len(text)]), n)
-    if len(item) < n or len(text) < n:
-        return []
-    places: dict[int, list[int]] = {}
-    for p, h in enumerate(hi.tolist()):
-        places.setdefault(h, []).append(p)
-    common_at = np.flatnonzero(np.isin(ht, hi))
-    starts = [(p, t) for t, h in zip(common_at.tolist(), ht[common_at].tolist(), strict=True) for p in places[h]]
-    a, b = item.tolist(), text.tolist()
-    used_a, used_b = [False] * len(a), [False] * len(b)
-
-    def length(p: int, t: int) -> int:
-        k = 0
-        while p + k < len(a) and t + k < len(b) and a[p + k] == b[t + k] and not used_a[p + k] and not used_b[t + k]:
-            k += 1
-        return k
-
-    # By length: a match that lost words to a tile is measured again when its turn comes.
-    at: dict[int, list[tuple[int, int]]] = {}
-    follows = set(starts)
-    for p, t in starts:
-        if (p - 1, t - 1) not in follows:  # others are the tails of a longer match
-            at.setdefault(length(p, t), []).append((p, t))
+    # Only words in runs that the item has too take part; a gap between them is one word that nothing equals.
+    change = np.zeros(len(text) + 1, np.int64)
+    met = np.flatnonzero(np.isin(ht, hi))
+    np.add.at(change, met, 1)
+    np.add.at(change, met + n, -1)
+    near = np.flatnonzero(np.cumsum(change[:-1]) > 0)
+    gap = np.flatnonzero(np.diff(near) > 1) + 1
+    place = np.insert(near, gap, -1)
+    a, b = _Runs(item), _Runs(text[place])
+    b.free = place >= 0
     out = []
-    size = max(at, default=0)
-    while size >= n:
-        for p, t in sorted(at.pop(size, ())):
-            k = length(p, t)
-            if k == size:
-                out.append((p, t, k))
-                used_a[p : p + k] = [True] * k
-                used_b[t : t + k] = [True] * k
+    longest = min(len(item), len(place))
+    while True:
+        low, high = n - 1, longest  # runs of ``low`` words match, if it is not below ``n``; none beyond ``high`` does
+        while low < high:
+            k = (low + high + 1) // 2
+            if np.isin(a.of(k)[1], b.of(k)[1]).any():
+                low = k
+            else:
+                high = k - 1
+        if low < n:
+            return sorted(out)
+        (at_a, hash_a), (at_b, hash_b) = a.of(low), b.of(low)
+        order = np.argsort(hash_b, kind="stable")
+        at_b, hash_b = at_b[order], hash_b[order]
+        first, end = np.searchsorted(hash_b, hash_a, "left"), np.searchsorted(hash_b, hash_a, "right")
+        turn: dict[int, int] = {}  # places before it are marked
+        for p, f, e in zip(at_a.tolist(), first.tolist(), end.tolist(), strict=True):
+            if f == e or not a.free[p : p + low].all():
                 continue
-            if k >= n:
-                at.setdefault(k, []).append((p, t))
-            for j in range(k + 1, size - n + 1):  # what is left of the match beyond the marked words
-                if not used_a[p + j] and not used_b[t + j] and (used_a[p + j - 1] or used_b[t + j - 1]):
-                    rest = min(length(p + j, t + j), size - j)
-                    if rest >= n:
-                        at.setdefault(rest, []).append((p + j, t + j))
-        size = max((k for k in at if k <= size), default=0)
-    return sorted(out)
+            k = turn.get(f, f)
+            while k < e:
+                t = int(at_b[k])
+                if b.free[t : t + low].all() and (a.words[p : p + low] == b.words[t : t + low]).all():
+                    out.append((p, int(place[t]), low))
+                    a.free[p : p + low] = b.free[t : t + low] = False
+                    break
+                k += 1
+            turn[f] = k
+        longest = low - 1  # every match of this length is marked or broken
 
 
 def _seeds_of(sizes: list[int], scripts: bool, bitmap=None):
@@ -204,17 +223,20 @@ def _bitmap(spark: SparkSession, items: DataFrame):
 
 
 def _tiled(n: int, scripts: bool):
+    """The tiles of every text with each of its items."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
             for k in range(batch.num_rows):
-                words, first = word_hashes(pa.array([batch.column("item")[k].as_py(), batch.column("t")[k].as_py()], pa.string()), scripts)
-                found.append(tiles(words[: first[1]], words[first[1] :], min(n, first[1]) if scripts else n))
-            size = [sum(x[2] for x in f) for f in found]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), batch.column("item_id"), batch.column("n"), pa.array(size, pa.int64()), pa.array(map(len, found), pa.int64()), pa.array([max((x[2] for x in f), default=0) for f in found], pa.int64())],
-                ["doc", "item_id", "n", "covered", "n_tiles", "longest"],
-            )
+                items = batch.column("items")[k].values
+                words, _ = word_hashes(batch.column("t").slice(k, 1), scripts)
+                asked, first = word_hashes(items.field("item"), scripts)
+                found = [tiles(asked[x:y], words, min(n, y - x) if scripts else n) for x, y in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+                sizes = [[sum(x[2] for x in f) for f in found], [len(f) for f in found], [max((x[2] for x in f), default=0) for f in found]]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc").take(pa.array([k] * len(items))), items.field("item_id"), items.field("n"), *[pa.array(x, pa.int64()) for x in sizes]],
+                    ["doc", "item_id", "n", "covered", "n_tiles", "longest"],
+                )
 
     return run
 
@@ -249,7 +271,8 @@ def leaks(
     # Each place starts one window, so tiles cover at most a seed of words for each shared place.
     full = items.select(F.col("id").alias("item_id"), F.col("t").alias("item"), "n")
     pairs = shared.join(full, "item_id").filter(F.col("places") * seed >= F.lit(cover) * F.col("n"))
-    pairs = c.stored(pairs.select("doc", "item_id", "item", "n"), "pairs")
+    pairs = c.stored(pairs.groupBy("doc").agg(F.collect_list(F.struct("item_id", "item", "n")).alias("items")), "pairs")  # a text meets its items at once
+    c.discard(hits, wanted)
     some = linkage.maybe_in(texts, "id", pairs.select(F.col("doc").alias("id")))
     both = pairs.join(some.withColumnRenamed("id", "doc"), "doc")
     tiled = both.mapInArrow(_tiled(seed, scripts), f"doc {kind}, item_id {item_kind}, n long, covered long, n_tiles long, longest long")
@@ -265,10 +288,16 @@ def leaks(
     ).filter(F.col("coverage") >= cover)
 
 
-def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", scripts: bool = False) -> DataFrame:
-    """``docs`` without the documents into which an item leaks."""
-    gone = leaks(docs, benchmark, id_col, text_col, scripts=scripts).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+def keep_clean(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", scripts: bool = False, least_words: int = SEED
+) -> DataFrame:
+    """``docs`` without the documents into which an item of ``least_words`` leaks.
+
+    A shorter item is an everyday phrase that many clean documents hold; ``leaks`` lists these pairs all the same.
+    """
+    name = c.fresh_name(docs, "leaked_id")
+    gone = leaks(docs, benchmark, id_col, text_col, scripts=scripts).filter(F.col("n_words") >= least_words)
+    return docs.join(gone.select(F.col(id_col).alias(name)).distinct(), docs[id_col] == F.col(name), "left_anti")
 
 
 def op3_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:

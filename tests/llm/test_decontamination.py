@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pyarrow as pa
 
 from drydock.llm import decontamination as dc
@@ -121,5 +122,29 @@ def test_scripts_without_blanks_and_short_items_leak(spark, tmp_path):
     bench.write.parquet(f"{tmp_path}/benchmark.parquet")
     got = {(r["doc_id"], r["item_id"]) for r in dc.op3_string_tiling(spark, str(tmp_path)).collect()}
     assert got == {(d, i) for d, _, found in docs for i in found}
-    left = dc.keep_clean(df, bench, scripts=True)
+    left = dc.keep_clean(df, bench, scripts=True, least_words=1)
     assert sorted(r["doc_id"] for r in left.collect()) == [d for d, _, found in docs if not found]
+
+
+def test_everyday_phrases_drop_no_document(spark):
+    """Short items are listed with every document that holds them, and drop none; extra columns keep their names."""
+    item = "which of these seven words comes last"
+    texts = ["Yes, the weather is fine today."] * 50 + [f"Before it: {item}, and after it."]
+    df = spark.createDataFrame([(i, t, 1, 2) for i, t in enumerate(texts)], "doc_id long, text string, _gone int, leaked_id int")
+    bench = spark.createDataFrame([(0, "Yes"), (1, "the weather"), (2, item)], "item_id long, text string")
+    assert dc.leaks(df, bench, scripts=True).count() == 101
+    left = dc.keep_clean(df, bench, scripts=True)
+    assert left.columns == df.columns and sorted(r["doc_id"] for r in left.collect()) == list(range(50))
+
+
+def test_repeated_words_take_memory_of_the_words():
+    import resource
+    import time
+
+    item, text = np.full(200, 7, np.uint64), np.full(500_000, 7, np.uint64)
+    before, start = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.monotonic()
+    assert dc.tiles(item, text, 5) == [(0, 0, 200)]
+    mixed = np.tile(np.array([7, 7, 7, 7, 7, 7, 9], np.uint64), 70_000)
+    assert [x[2] for x in dc.tiles(item, mixed, 5)] == [6] * 33
+    assert time.monotonic() - start < 30
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 300_000
