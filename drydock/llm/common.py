@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +49,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: it is computed once and survives lost executors."""
     spark = df.sparkSession
     folder = new_folder(spark, label)
+    if _open:
+        _open[-1].append(folder)
     rows = int(spark.conf.get(_ARROW_ROWS))
     before = spark.conf.get(_SHUFFLES_GO)
     spark.conf.set(_ARROW_ROWS, str(min(rows, ARROW_ROWS) if rows > 0 else ARROW_ROWS))
@@ -63,12 +65,32 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def discard(*tables: DataFrame) -> None:
     """Removes the files of ``stored`` tables that nothing reads any more."""
     for df in tables:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(df._folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _remove(df.sparkSession, df._folder)
+
+
+#: Folders of the tables stored inside each open ``last_only``.
+_open: list[list[str]] = []
+
+
+def last_only(make: Callable[[], DataFrame], label: str) -> DataFrame:
+    """What ``make`` gives, stored; the tables that were stored on the way are removed."""
+    _open.append([])
+    try:
+        out = stored(make(), label)
+    finally:
+        folders = _open.pop()
+    for folder in folders:
+        if folder != out._folder:
+            _remove(out.sparkSession, folder)
+    return out
 
 
 def fresh_name(df: DataFrame, name: str) -> str:
