@@ -1,7 +1,8 @@
 """The corpus pipeline: quality rules, line dedup, near-duplicate removal, decontamination, packing.
 
 Each stage takes ``(spark, docs, sf_dir)`` and works on all that the stage before kept. Stages are
-written to the shared folder and read back, so none is computed twice.
+written to the shared folder and read back, so none is computed twice; the tables inside a stage, and the stage before, are removed
+when it stands.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
+    """Of each group of near copies the document with the smallest id stays; shingles of five words, as near-duplicate stages have."""
     return minhash.keep_first(docs)
 
 
@@ -51,7 +52,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents")
+    docs, before = common.table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = common.stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = common.last_only(lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), f"stage-{name}")
+        if before is not None:
+            common.discard(before)
+        before = docs
     return docs
