@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy step handles; a longer single text makes a step of its own.
-STEP_BYTES = 1 << 21
+STEP_BYTES = 1 << 20
 #: Texts that go to a Python worker at a time while a table is stored.
 ARROW_ROWS = 2000
 _ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"

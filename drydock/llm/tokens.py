@@ -16,8 +16,8 @@ import numpy as np
 
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-#: Runs that one worker remembers; beyond it the table starts anew, which changes the time only.
-REMEMBERED = 1_000_000
+#: Runs that one worker remembers, some 100 MB; beyond it the table starts anew, which changes the time only.
+REMEMBERED = 400_000
 _RUN = re.compile(r"[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
 BLANKS = " \n\r\t"
 _BESIDE_SPACE = ("  ", "\n ", "\r ", "\t ")
