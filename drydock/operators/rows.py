@@ -30,11 +30,11 @@ def hold(df: DataFrame, keys: Sequence[str], value: Column, name: str) -> DataFr
 
 
 #: Bits of a membership bitmap for each key, and its most 64-bit words: the bound of what is broadcast.
-BITS_PER_KEY, BITMAP_WORDS = 16, 1 << 21
+BITS_PER_KEY, BITMAP_WORDS = 16, 1 << 20
 
 
 def maybe_in(df: DataFrame, keys: Sequence[str], others: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose keys may be in ``others``: all that are, and one in 16 of the others, more beyond some 8 million keys.
+    """The rows of ``df`` whose keys may be in ``others``: all that are, and one in 16 of the others, more beyond some 4 million keys.
 
     A bitmap sized by the number of keys is broadcast; nothing else moves.
     """
