@@ -32,7 +32,7 @@ from .common import discard, stored
 #: Most pairs of a bucket that are compared as rows, and in blocks before rare elements are tried; items and words of a block.
 FEW_PAIRS, BLOCK_PAIRS, BLOCK, BLOCK_WORDS = 256, 1 << 20, 64, 1 << 20
 #: Bits of a membership bitmap for each key, and its most 64-bit words: the bound of what is broadcast.
-BITS_PER_KEY, BITMAP_WORDS = 16, 1 << 21
+BITS_PER_KEY, BITMAP_WORDS = 16, 1 << 20
 #: Bucket keys that a task sorts at a time, and the ranges of keys that a task takes one after the other.
 GATHER, RANGES = 1 << 18, 8
 #: Items of a bucket that all meet as pairs.
@@ -42,7 +42,7 @@ SKETCH, HIDDEN = 64, 1e-6
 
 
 def maybe_in(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose ``key`` may be in ``keys``: all that are, and one in 16 of the others, more beyond some 8 million keys.
+    """The rows of ``df`` whose ``key`` may be in ``keys``: all that are, and one in 16 of the others, more beyond some 4 million keys.
 
     A bitmap sized by the number of keys, of at most ``BITMAP_WORDS`` rows, is broadcast; nothing else moves.
     """
