@@ -190,43 +190,38 @@ def prefix_sums(buf: np.ndarray) -> np.ndarray:
     return total
 
 
-_MERSENNE = _U((1 << 31) - 1)
-#: Two polynomials modulo a prime: modulo 2**64 alone, texts of repeated blocks can be made to agree.
-_BASES = (1_150_825_967, 1_901_713_139)
-_fields: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _reduced(x: np.ndarray) -> np.ndarray:
-    """``x`` modulo ``2**31 - 1``."""
-    for _ in range(2):
-        x = (x & _MERSENNE) + (x >> _U(31))
-    return np.where(x >= _MERSENNE, x - _MERSENNE, x)
-
-
-def _field_powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``base**0..base**n`` and their inverses modulo ``2**31 - 1``, as far as any call has needed them."""
-    if base not in _fields or len(_fields[base][0]) <= n:
-        both, prime = [], int(_MERSENNE)
-        for x in (base, pow(base, -1, prime)):
-            out = np.ones(1, np.uint32)
-            while len(out) <= n:
-                out = np.concatenate([out, _reduced(out.astype(np.uint64) * _U(pow(x, len(out), prime))).astype(np.uint32)])
-            both.append(out)
-        _fields[base] = (both[0], both[1])
-    return _fields[base]
+#: Longest span that is hashed as one; longer ones are hashes of the hashes of such pieces.
+PIECE = 4096
 
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span: two polynomials over its bytes, from prefix sums, mixed with its length."""
-    bytes_ = buf.astype(np.uint64) + _U(1)
-    parts = []
-    for base in _BASES:
-        up, down = _field_powers(base, len(buf))
-        terms = bytes_ * up[: len(buf)]
-        total = np.zeros(len(buf) + 1, np.uint64)
-        np.cumsum(terms if len(buf) < 1 << 23 else _reduced(terms), out=total[1:])
-        parts.append(_reduced(_reduced(total[stops] - total[starts]) * down[starts]))
-    return mix(mix(parts[0] << _U(31) | parts[1]) + (stops - starts).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
+    """A 64-bit hash of each byte span: its length, then eight bytes at a time, mixed in one after the other."""
+    size = stops - starts
+    out = size.astype(np.uint64) * _U(0xD6E8FEB86659FD93)
+    if not len(size):
+        return out
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    eight = np.ndarray(len(buf) + 1, "<u8", padded, strides=(1,))  # the eight bytes from each place on
+    long = np.flatnonzero(size > PIECE)
+    which, at, left = np.flatnonzero(size <= PIECE) if len(long) else None, starts, size
+    if which is not None:
+        at, left = at[which], left[which]
+    while which is None or len(which):
+        word = eight[at]
+        end = np.flatnonzero(left < 8)
+        word[end] &= (_U(1) << (left[end].astype(np.uint64) << _U(3))) - _U(1)
+        if which is None:
+            out = mix(out * _PRIME + word)
+            which = np.arange(len(at))
+        else:
+            out[which] = mix(out[which] * _PRIME + word)
+        more = np.flatnonzero(left > 8)
+        which, at, left = which[more], at[more] + 8, left[more] - 8
+    for k in long.tolist():
+        edges = np.append(np.arange(starts[k], stops[k], PIECE), stops[k])
+        parts = span_hashes(buf, edges[:-1], edges[1:]).view(np.uint8)
+        out[k] = mix(out[k : k + 1] * _PRIME + span_hashes(parts, np.zeros(1, np.int64), np.array([len(parts)])))[0]
+    return out
 
 
 def short_hashes(buf: np.ndarray, starts: np.ndarray, stops: np.ndarray, total: np.ndarray) -> np.ndarray:

@@ -217,8 +217,7 @@ def line_classes(
 
         return linkage.Compare(similar, text.withColumnRenamed("l", "v"), hashed_sets(size), percent, (text,))
 
-    banded = texts.select("t").mapInArrow(_banded(size, bands, rows), "id long, bucket array<long>, sketch long")
-    comps = linkage.linked(banded, prepare, percent)
+    comps = linkage.linked(texts.select("t"), prepare, percent, _banded(size, bands, rows))
     reps = lines.groupBy("k1", "k2").agg(F.min(place).alias("rep")).withColumn("id", F.col("k1").bitwiseXOR(F.col("k2")))
     met = reps.join(comps, "id").groupBy("component").agg(F.min("rep").alias("first"))
     firsts = c.stored(comps.join(met, "component").select("id", "first"), "firsts")

@@ -236,18 +236,25 @@ def _meet(least: int):
     return run
 
 
-def crowded(banded: DataFrame, percent: int = 0) -> DataFrame:
+Batches = Iterator[pa.RecordBatch]
+
+
+def crowded(banded: DataFrame, percent: int = 0, make: Callable[[Batches], Batches] | None = None) -> DataFrame:
     """``bucket, id, lead, near`` of the items that share a bucket, from ``bucket`` (one or an array) and ``id``, both long. The result is stored.
 
     Pairs of items of a small bucket have no bucket; those with sketches (``sketch``, if there are any) too far apart for ``percent`` are left out. Of
     a large one all members are listed with a lead, and whether their sketch is near the lead's; leads lead to one another, so
-    all members but the smallest are listed with a smaller one.
+    all members but the smallest are listed with a smaller one. ``make`` gives these columns from the batches of ``banded``, in the
+    same Python worker.
     """
     parts = int(banded.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    has = "sketch" in banded.columns
-    rows = banded.select("bucket", "id", "sketch" if has else F.lit(0).cast("long").alias("sketch"))
-    least = least_agreement(percent) if has else 0
-    dealt = rows.mapInArrow(_deal(parts, least), _DEALT)
+    has = make is not None or "sketch" in banded.columns
+    deal = _deal(parts, least := least_agreement(percent) if has else 0)
+    if make:
+        dealt = banded.mapInArrow(lambda batches: deal(make(batches)), _DEALT)
+    else:
+        sketch = "sketch" if has else F.lit(0).cast("long").alias("sketch")
+        dealt = banded.select("bucket", "id", sketch).mapInArrow(deal, _DEALT)
     met = dealt.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "range").mapInArrow(_meet(least), _MET)
     return stored(met, "buckets")
 
@@ -410,13 +417,15 @@ def _few(met: DataFrame, comps: DataFrame, compare: Compare) -> tuple[DataFrame,
     return comps, many
 
 
-def linked(members: DataFrame, prepare: Callable[[DataFrame], Compare], percent: int = 0) -> DataFrame:
+def linked(
+    members: DataFrame, prepare: Callable[[DataFrame], Compare], percent: int = 0, make: Callable[[Batches], Batches] | None = None
+) -> DataFrame:
     """``id, component`` of the ids that are linked with another one. The result is stored.
 
     ``members``: ``bucket`` (a long or an array of them), ``id`` (long) and, if there is one, ``sketch`` (long, see ``sketch_bits``), whose pairs
-    are similar at ``percent``. ``prepare`` takes the ids that may ever be compared (column ``id``).
+    are similar at ``percent``; or what ``make`` makes these from. ``prepare`` takes the ids that may ever be compared (column ``id``).
     """
-    met = crowded(members, percent)
+    met = crowded(members, percent, make)
     ids = met.select("id").unionByName(met.select(F.col("lead").alias("id"))).distinct()
     ids = stored(ids, "ids")
     compare, comps = prepare(ids), None

@@ -70,6 +70,19 @@ def test_hashes_of_texts_of_repeated_blocks_differ():
     assert len(set(c.span_hashes(buf, ends[:-1], ends[1:]).tolist())) == 2
 
 
+def test_hashes_of_long_spans():
+    """Spans beyond a piece, at any place; one changed byte changes the hash."""
+    rng = np.random.default_rng(1)
+    for n in (c.PIECE - 1, c.PIECE, c.PIECE + 1, 3 * c.PIECE, 70_001, c.PIECE * c.PIECE // 4 + 3):
+        text = rng.integers(32, 127, n).astype(np.uint8)
+        buf = np.concatenate([text, np.zeros(3, np.uint8), text, text[:9]])
+        a, b, short = c.span_hashes(buf, np.array([0, n + 3, 2 * n + 3]), np.array([n, 2 * n + 3, 2 * n + 12])).tolist()
+        assert a == b == c.span_hashes(text, np.array([0]), np.array([n]))[0]
+        assert short == c.span_hashes(text, np.array([0]), np.array([9]))[0]
+        text[n // 2] ^= 1
+        assert c.span_hashes(text, np.array([0]), np.array([n]))[0] != a
+
+
 def test_hashes_in_a_long_buffer():
     rng = np.random.default_rng(0)
     buf = rng.integers(32, 127, (1 << 23) + 5000).astype(np.uint8)
