@@ -12,7 +12,7 @@ IGNORED_ENDINGS = (".txt", ".md", ".png", "jpeg", ".in")
 IGNORED_FOLDERS = ("/docs/", "/doc/", "/Documentation/")
 BUILD_ENDINGS = (".sh", ".bash", ".yml", ".yaml", ".cmake", ".config")
 BUILD_NAMES = ("Jenkinsfile", "Makefile", "Dockerfile", "Vagrantfile")
-# Path tests kept as options for commit mining, all case-insensitive.
+# Path tests kept as options for commit mining, all case-insensitive.
 CONTAINER_PATH_TESTS = {
     "container_files": r"(?i)(Dockerfile|\.dockerignore|docker[-_.\w]*)",
     "container_and_deploy_files": r"(?i)(Dockerfile|docker-compose\.yml|\.ya?ml$|\.helm$)",

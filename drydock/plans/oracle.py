@@ -1132,6 +1132,7 @@ _oracle(
       ON c.user_id = f.user_id AND c.pair = f.event_id // 2""",
 )
 _oracle("commit_list_file", "SELECT DISTINCT commit_url FROM docker_commit", "docker_commit")
+# The shorter list of size words.
 _oracle(
     "model_review_issues",
     """SELECT id, CAST(unnest(range(0, len(l))) AS INTEGER) AS pos, unnest(l) AS issue FROM (SELECT id, list_filter(list_concat(perf, opts), lambda t:
