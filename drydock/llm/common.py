@@ -191,7 +191,7 @@ def prefix_sums(buf: np.ndarray) -> np.ndarray:
 
 
 #: Longest span that is hashed as one; longer ones are hashes of the hashes of such pieces.
-PIECE = 4096
+PIECE = 128
 
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
@@ -217,10 +217,12 @@ def span_hashes(buf: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.nd
             out[which] = mix(out[which] * _PRIME + word)
         more = np.flatnonzero(left > 8)
         which, at, left = which[more], at[more] + 8, left[more] - 8
-    for k in long.tolist():
-        edges = np.append(np.arange(starts[k], stops[k], PIECE), stops[k])
-        parts = span_hashes(buf, edges[:-1], edges[1:]).view(np.uint8)
-        out[k] = mix(out[k : k + 1] * _PRIME + span_hashes(parts, np.zeros(1, np.int64), np.array([len(parts)])))[0]
+    if len(long):
+        n = -(-size[long] // PIECE)
+        ends = np.cumsum(n)
+        first = np.repeat(starts[long], n) + (np.arange(ends[-1]) - np.repeat(ends - n, n)) * PIECE
+        pieces = span_hashes(buf, first, np.minimum(first + PIECE, np.repeat(stops[long], n)))
+        out[long] = mix(out[long] * _PRIME + span_hashes(pieces.view(np.uint8), 8 * (ends - n), 8 * ends))
     return out
 
 
