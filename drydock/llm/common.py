@@ -6,6 +6,7 @@ buffer with row offsets, so words, hashes and windows come from whole-buffer num
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -106,6 +107,15 @@ def fold_of(column: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: workers stay for later stages, whose memory should not add up."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        pass
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, step: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches cut so that each holds about ``step`` bytes of text, and one row at least."""
     for batch in batches:
@@ -117,6 +127,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, step: int = STEP_BYTE
             to = max(at + 1, int(np.searchsorted(ends, ends[at] + step, "right")) - 1)
             yield batch.slice(at, to - at)
             at = to
+    give_back()
 
 
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

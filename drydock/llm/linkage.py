@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, stored
+from .common import discard, give_back, stored
 
 #: Most pairs of a bucket that are compared as rows, and in blocks before rare elements are tried; items and words of a block.
 FEW_PAIRS, BLOCK_PAIRS, BLOCK, BLOCK_WORDS = 256, 1 << 20, 64, 1 << 20
@@ -232,6 +232,7 @@ def _meet(least: int):
                 else:
                     held.append((keys, ids, sketches, np.frombuffer(row["large"], bool)))
         yield from met()
+        give_back()
 
     return run
 
@@ -342,6 +343,7 @@ def _met_in_blocks(sets: Callable[[pa.Array], list[np.ndarray]], percent: int):
                     _, first = np.unique(np.minimum(ca[i], cb[j]) * len(names) + np.maximum(ca[i], cb[j]), return_index=True)
                     ia, ib = left.field("id").take(pa.array(i[first])), right.field("id").take(pa.array(j[first]))
                     yield pa.RecordBatch.from_arrays([ia, ib], ["a", "b"])
+        give_back()
 
     return run
 
