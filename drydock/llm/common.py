@@ -107,8 +107,14 @@ def fold_of(column: str, n: int) -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n
 
 
+#: Called when a task ends; what a worker remembers for tasks of one kind goes when it does another.
+at_task_end: list[Callable[[], None]] = []
+
+
 def give_back() -> None:
     """Returns freed memory to the system: workers stay for later stages, whose memory should not add up."""
+    for forget in at_task_end:
+        forget()
     pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)

@@ -14,10 +14,12 @@ import re
 
 import numpy as np
 
+from . import common as c
+
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
-#: Runs that one worker remembers, some 100 MB; beyond it the table starts anew, which changes the time only.
-REMEMBERED = 400_000
+#: Runs that one worker remembers, some 250 MB; beyond it the table starts anew, which changes the time only.
+REMEMBERED = 1_000_000
 _RUN = re.compile(r"[ \n\r\t]*[^ \n\r\t]+|[ \n\r\t]+")
 BLANKS = " \n\r\t"
 _BESIDE_SPACE = ("  ", "\n ", "\r ", "\t ")
@@ -58,7 +60,9 @@ class Coder:
         self.end = np.array([end_id], "<u4").tobytes()
         self.added = sorted(x.content for x in self.tokenizer.get_added_tokens_decoder().values())
         self.widths = self._widths()
+        self.used = False
         self._forget()
+        c.at_task_end.append(self._task_end)
 
     @classmethod
     def of(cls, name: str = TOKENIZER, end_id: int = END_ID) -> Coder:
@@ -83,6 +87,12 @@ class Coder:
         self.store: list[bytes | None] = []
         self.after_space, self.plain = _Numbers(self.store), _Numbers(self.store)
 
+    def _task_end(self) -> None:
+        """The runs stay for the next task that codes texts, not for others."""
+        if not self.used and self.store:
+            self._forget()
+        self.used = False
+
     def _learn_joined(self, keys: list[str]) -> None:
         """Codes runs that start with a space as one text, and cuts the ids where the runs' bytes end."""
         text = " " + " ".join(keys)
@@ -119,6 +129,7 @@ class Coder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text with the end id; a null text is empty."""
+        self.used = True
         if len(self.store) > REMEMBERED:
             self._forget()
         rows = [self._numbers(t) if t else [] for t in texts]
