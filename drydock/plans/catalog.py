@@ -869,5 +869,5 @@ def image_history(spark: SparkSession, sf: str) -> DataFrame:
     """History entries of images, from lines with the newest first."""
     entry = lambda i: F.when(i % 5 == 0, F.lit("{broken")).otherwise(F.concat(F.lit('{"ID":"h'), i.cast("string"), F.lit('","Size":"'), (i * 10).cast("string"), F.lit('MB"}')))
     lines = F.array_join(F.transform(F.sequence(F.col("p_size"), F.lit(1), F.lit(-1)), entry), "\n\n")
-    captures = fr.table(spark, sf, "part").select(F.col("p_partkey").alias("image_id"), lines.alias("lines"))
+    captures = fr.spread(fr.table(spark, sf, "part").select("p_partkey", "p_size")).select(F.col("p_partkey").alias("image_id"), lines.alias("lines"))
     return snapshots.history(captures).select("image_id", "pos", "ID", "Size")

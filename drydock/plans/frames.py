@@ -51,6 +51,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt out to all tasks: a table that comes in one split feeds as many as there are."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def pick(values: tuple[str | None, ...], index: Column) -> Column:
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index % len(values) + 1).cast("int"))
 
