@@ -54,10 +54,13 @@ def write_files(df: DataFrame, folder: str) -> None:
     """Each row of ``df(path, content)`` as a file below ``folder``, written by the tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
         for batch in batches:
             for path, content in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
                 fs, name, _ = file_system(f"{folder}/{path}")
-                fs.create_dir(name.rpartition("/")[0], recursive=True)
+                if name.rpartition("/")[0] != last:
+                    last = name.rpartition("/")[0]
+                    fs.create_dir(last, recursive=True)
                 with fs.open_output_stream(name) as f:
                     f.write((content or "").encode())
             yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
