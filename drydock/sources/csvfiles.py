@@ -2,18 +2,83 @@
 
 A line break ends a record if an even number of quotes lies before it in the file. So each split counts its
 quotes and, for both cases, its records; the sums over the splits before tell which case it is, and which record the first lines of a
-split still belong to. Only the lines of records over several lines are brought together.
+split still belong to. Then the task that reads a split puts its records together; only pieces of records that go over a split's end are brought
+together. The records are written to the shared folder, so lines are not shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..session import work_dir
+
 #: Bits of a record's position that number it in its split.
 POSITION_BITS = 33
 
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per split: its quotes, and its lines with an even and with an odd number of quotes before them in it."""
+    found: dict[tuple, list[int]] = {}
+    for batch in batches:
+        starts, quotes = batch.column("start").to_numpy(), batch.column("quotes").to_numpy()
+        sources = batch.column("source").dictionary_encode()
+        codes, names = sources.indices.to_numpy(), sources.dictionary.to_pylist()
+        edges = np.flatnonzero((np.diff(codes) != 0) | (np.diff(starts) != 0)) + 1
+        for a, b in zip([0, *edges], [*edges, len(codes)], strict=True):
+            if a == b:
+                continue
+            sums = found.setdefault((names[codes[a]], int(starts[a])), [0, 0, 0])
+            odd = int(((sums[0] + np.cumsum(quotes[a:b]) - quotes[a:b]) % 2).sum())
+            sums[0] += int(quotes[a:b].sum())
+            sums[1] += b - a - odd
+            sums[2] += odd
+    rows = [{"source": k[0], "start": k[1], "quotes": v[0], "even": v[1], "odd": v[2]} for k, v in found.items()]
+    schema = pa.schema([("source", pa.string()), ("start", pa.int64()), ("quotes", pa.int64()), ("even", pa.int64()), ("odd", pa.int64())])
+    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+
+_RECORDS = "source string, pos long, start long, whole boolean, record binary"
+
+
+def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of each split, and the pieces of records that begin or end in another one (not ``whole``)."""
+    at, out, lines = None, [], []
+    pos, whole, open_ = None, False, False
+
+    def end(is_whole: bool) -> None:
+        out.append((at[0], pos, at[1], is_whole, b"\n".join(lines)))
+        lines.clear()
+
+    def made() -> pa.RecordBatch:
+        columns = list(zip(*out, strict=True)) or [[]] * 5
+        out.clear()
+        kinds = (pa.string(), pa.int64(), pa.int64(), pa.bool_(), pa.binary())
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["source", "pos", "start", "whole", "record"])
+
+    for batch in batches:
+        columns = (batch.column(k).to_pylist() for k in ("source", "start", "inside", "number", "open", "quotes", "value"))
+        for source, start, inside, number, before, quotes, value in zip(*columns, strict=True):
+            if at is None or at[1] != start or at[0] != source:
+                if lines:
+                    end(False)
+                at, open_, whole, pos, following = (source, start), inside, False, before, number
+            if not open_:
+                whole, pos, following = True, following, following + 1
+            lines.append(value)
+            open_ ^= quotes % 2 == 1
+            if not open_:
+                end(whole)
+        yield made()
+    if lines:
+        end(False)
+        yield made()
+
+
 def read_records(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
     """``source, pos, record``: the text of every record, line breaks inside it kept; ``pos`` rises along a file, from 0.
 
@@ -22,17 +87,14 @@ def read_records(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
     lines = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("source"),
         F.col("_metadata.file_block_start").alias("start"),
-        F.monotonically_increasing_id().alias("row"),
-        "value",
-        (F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))).alias("quotes"),
+        F.col("value").cast("binary").alias("value"),
+        (F.length("value") - F.length(F.replace("value", F.lit(quote), F.lit("")))).cast("long").alias("quotes"),
     )
-    split = Window.partitionBy("source", "start")
-    upto = split.orderBy("row")
-    counted = lines.withColumn("after", F.sum("quotes").over(upto)).withColumn("before", F.col("after") - F.col("quotes"))
+    base = work_dir(spark, "records")
+    counted = lines.select("source", "start", "quotes").mapInArrow(_count, "source string, start long, quotes long, even long, odd long")
+    counted.write.parquet(f"{base}/splits")
+    sums = spark.read.parquet(f"{base}/splits")
 
-    sums = counted.groupBy("source", "start").agg(
-        F.sum("quotes").alias("quotes"), F.count_if(F.col("before") % 2 == 0).alias("even"), F.count_if(F.col("before") % 2 == 1).alias("odd")
-    )
     along = Window.partitionBy("source").orderBy("start")
     earlier = along.rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("inside", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2 == 1)
@@ -41,16 +103,12 @@ def read_records(spark: SparkSession, path: str, quote: str = '"') -> DataFrame:
     last = F.last(F.when(F.col("begun") > 0, F.col("number") + F.col("begun") - 1), ignorenulls=True).over(earlier)
     splits = sums.withColumn("number", number).select("source", "start", "inside", "number", last.alias("open"))
 
-    placed = counted.join(splits, ["source", "start"])
-    even = lambda n: (n + F.col("inside").cast("int")) % 2 == 0
-    placed = placed.withColumn("first", even(F.col("before"))).withColumn("ends", even(F.col("after")))
-    begun = F.sum(F.col("first").cast("int")).over(upto)
-    pos = F.when(begun > 0, F.col("number") + begun - 1).otherwise(F.col("open"))
-    placed = placed.withColumn("pos", pos)
-    alone = F.col("first") & F.col("ends")
-    one = placed.filter(alone).select("source", "pos", F.col("value").alias("record"))
-    pieces = F.array_sort(F.collect_list(F.struct("start", "row", "value")))
-    several = placed.filter(~alone).groupBy("source", "pos").agg(F.array_join(F.transform(pieces, lambda p: p["value"]), "\n").alias("record"))
+    placed = lines.join(F.broadcast(splits), ["source", "start"])  # one row for each split
+    placed.mapInArrow(_assemble, _RECORDS).write.parquet(f"{base}/records")
+    found = spark.read.parquet(f"{base}/records").withColumn("record", F.col("record").cast("string"))
+    one = found.filter("whole").select("source", "pos", "record")
+    pieces = F.array_sort(F.collect_list(F.struct("start", "record")))
+    several = found.filter("not whole").groupBy("source", "pos").agg(F.array_join(F.transform(pieces, lambda p: p["record"]), "\n").alias("record"))
     records = one.unionByName(several).withColumn("record", F.regexp_replace("record", "\r$", ""))
     return records.filter(F.trim("record") != "")
 
