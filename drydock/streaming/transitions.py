@@ -12,7 +12,7 @@ from collections.abc import Iterator
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -69,65 +69,80 @@ def watch_transitions(
 
 
 class _Expiring(StatefulProcessor):
-    """The last snapshot of a subject, dropped when none has come for ``absent`` microseconds."""
+    """The last snapshot of a subject, dropped when none has come for ``absent`` microseconds.
+
+    A subject has one timer, set when it comes and set anew when it ends too early; so a snapshot costs one look at the state and one update.
+    """
 
     def __init__(self, subject: str, position: list[str], absent: int):
         self.subject, self.position, self.absent = subject, position, absent
+        self.names = [p.split()[0].strip("`") for p in position]
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", f"{', '.join(self.position)}, rule_ids array<string>")
 
-    def _rows(self, key, changed: list[tuple]) -> Iterator[pd.DataFrame]:
-        if changed:
-            at = pd.to_datetime([r[0] for r in changed], unit="us", utc=True)
-            yield pd.DataFrame({self.subject: key[0], "at": at, "rule_id": [r[1] for r in changed], "change": [r[2] for r in changed]})
+    def _due(self, at: int) -> int:
+        return (at + self.absent) // 1000 + 1
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        last, rules = None, set()
-        if self.last.exists():
-            *last, held = self.last.get()
-            last, rules = tuple(last), set(held)
-        names = [p.split()[0].strip("`") for p in self.position]
-        arrived = pd.concat(list(rows)).sort_values(names, kind="stable")
-        changed, watermark = [], timerValues.getCurrentWatermarkInMs() * 1000
-        for values, ids in zip(arrived[names].itertuples(index=False), arrived["rule_ids"], strict=True):
-            at = tuple(map(_plain, values))
-            if at[0] < watermark or (last is not None and at <= last):
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        watermark = timerValues.getCurrentWatermarkInMs() * 1000
+        arrived = [(tuple(r[n] for n in self.names), r["rule_ids"]) for r in rows]
+        arrived = [x for x in arrived if x[0][0] is not None and x[0][0] >= watermark]
+        if not arrived:
+            return
+        arrived.sort(key=lambda x: _rank(x[0]))
+        held = self.last.get()
+        known = held is not None
+        last, rules, moved = (tuple(held[:-1]), set(held[-1]), False) if known else (None, set(), False)
+        for at, ids in arrived:
+            if last is not None and _rank(at) <= _rank(last):
                 continue
             if last is not None and at[0] > last[0] + self.absent:
-                changed += [(last[0] + self.absent, r, "closed") for r in sorted(rules)]
+                yield from self._rows(key, last[0] + self.absent, [(r, "closed") for r in sorted(rules)])
                 rules = set()
-            changed += [(at[0], *change) for change in changes(rules, list(ids))]
-            last, rules = at, set(ids)
-        if last is None:
-            return
-        self.last.update((*last, sorted(rules)))
-        for old in list(self.handle.listTimers()):
-            self.handle.deleteTimer(old)
-        self.handle.registerTimer((last[0] + self.absent) // 1000 + 1)
-        yield from self._rows(key, changed)
+            yield from self._rows(key, at[0], changes(rules, list(ids)))
+            last, rules, moved = at, set(ids), True
+        if moved:
+            self.last.update((*last, sorted(rules)))
+        if not known:
+            self.handle.registerTimer(self._due(last[0]))
+
+    def _rows(self, key, at: int, changed: list[tuple[str, str]]) -> Iterator[Row]:
+        return (Row(**{self.subject: key[0], "at": at, "rule_id": rule, "change": change}) for rule, change in changed)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         at, *_, held = self.last.get()
+        due = self._due(at)
+        if due > timerValues.getCurrentWatermarkInMs():
+            self.handle.registerTimer(due)
+            return
         self.last.clear()
-        yield from self._rows(key, [(at + self.absent, r, "closed") for r in sorted(held)])
+        yield from self._rows(key, at + self.absent, [(r, "closed") for r in sorted(held)])
 
     def close(self) -> None:
         pass
 
 
+def _rank(position: tuple) -> tuple:
+    """Orders positions, nulls last."""
+    return tuple((v is None, 0 if v is None else v) for v in position)
+
+
 def stream_expiring(snapshots: DataFrame, subject: str, time: str, order: list[str], absent: str, late: str) -> DataFrame:
     """The streaming form of ``containers.transitions_with_expiry``: timers close what the watermark has passed.
 
     ``order`` begins with ``time``, to which a delay of ``late`` is allowed.
     """
     fields = {f.name: f.dataType.simpleString() for f in snapshots.schema.fields}
-    position = ["at_micros bigint", *(f"`{c}` {fields[c]}" for c in order[1:])]
-    rows = snapshots.withWatermark(time, late).select(subject, time, F.unix_micros(time).alias("at_micros"), *order[1:], "rule_ids")
+    micros = {c for c in order[1:] if fields[c] == "timestamp"}
+    position = ["at_micros bigint", *(f"`{c}` {'bigint' if c in micros else fields[c]}" for c in order[1:])]
+    rest = [F.unix_micros(c).alias(c) if c in micros else F.col(c) for c in order[1:]]
+    rows = snapshots.withWatermark(time, late).select(subject, time, F.unix_micros(time).alias("at_micros"), *rest, "rule_ids")
     processor = _Expiring(subject, position, milliseconds(absent) * 1000)
-    out = f"`{subject}` {fields[subject]}, at timestamp, rule_id string, change string"
-    return rows.groupBy(subject).transformWithStateInPandas(processor, out, "append", "eventTime")
+    out = f"`{subject}` {fields[subject]}, at bigint, rule_id string, change string"
+    found = rows.groupBy(subject).transformWithState(processor, out, "append", "eventTime")
+    return found.withColumn("at", F.timestamp_micros("at"))
 
 
 def watch_expiring(
