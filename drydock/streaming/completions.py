@@ -9,8 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
@@ -57,6 +56,7 @@ def latest(spark: SparkSession, sink: str) -> DataFrame:
 # --- completions that close --------------------------------------------------------------------------
 
 _CLOSED = "text string, n_chunks int, finish_reason string, closed string"
+_CLOSED_ROW = Row("id", *(x.split()[0] for x in _CLOSED.split(", ")))
 
 
 def _millis(time: str) -> Column:
@@ -77,7 +77,7 @@ def close_completions(chunks: DataFrame, time: str, silence: str, late: str = "0
     if not chunks.isStreaming:
         return _closed_in_batch(rows, millis, milliseconds(late))
     kind = chunks.schema["id"].dataType.simpleString()
-    return rows.withWatermark(time, late).groupBy("id").transformWithStateInPandas(_Closing(millis), f"id {kind}, {_CLOSED}", "append", "eventTime")
+    return rows.withWatermark(time, late).groupBy("id").transformWithState(_Closing(millis), f"id {kind}, {_CLOSED}", "append", "eventTime")
 
 
 def _closed_in_batch(rows: DataFrame, silence: int, late: int) -> DataFrame:
@@ -101,7 +101,10 @@ def _closed_in_batch(rows: DataFrame, silence: int, late: int) -> DataFrame:
 
 
 class _Closing(StatefulProcessor):
-    """The open chunks of an id, and the time up to which chunks belong to a completion that has closed."""
+    """The open chunks of an id, and the time up to which chunks belong to a completion that has closed.
+
+    What an id has beside its chunks, its timer too, is one value, so that an id costs few looks at the state.
+    """
 
     def __init__(self, silence: int):
         self.silence = silence
@@ -109,21 +112,23 @@ class _Closing(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.chunks = handle.getListState("chunks", "seq long, text string, at long, finish_reason string")
-        self.done = handle.getValueState("done", "first long, last long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        new, watermark = [], timerValues.getCurrentWatermarkInMs()
-        for batch in rows:
-            columns = (batch[c].tolist() for c in ("seq", "text", "at", "finish_reason"))
-            new += [(int(s), t, int(at), f if isinstance(f, str) else None) for s, t, at, f in zip(*columns, strict=True) if at >= watermark]
-        yield from self._settle(key, new, watermark)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield from self._settle(key, [], timerValues.getCurrentWatermarkInMs())
-
-    def _settle(self, key, new: list[tuple], watermark: int) -> Iterator[pd.DataFrame]:
-        chunks = sorted([tuple(r) for r in self.chunks.get()] + new, key=lambda r: (r[2], r[0]))
-        done = self.done.get() if self.done.exists() else None
+        self.done = handle.getValueState("done", "first long, last long, open int, timer long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        new = [(r["seq"], r["text"], r["at"], r["finish_reason"]) for r in rows if r["at"] >= watermark]
+        if new:
+            yield from self._settle(key, new, watermark)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from self._settle(key, [], timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+
+    def _settle(self, key, new: list[tuple], watermark: int, fired: int | None = None) -> Iterator[Row]:
+        held = self.done.get()
+        first, last, n_open, timer = held if held is not None else (None, None, 0, None)
+        done = None if first is None else (first, last)
+        old = [tuple(r) for r in self.chunks.get()] if n_open else []
+        chunks = sorted(old + new, key=lambda r: (r[2], r[0]))
         out, left, timers = [], [], []
         for part in self._parts(chunks):
             first, last = part[0][2], part[-1][2]
@@ -135,12 +140,12 @@ class _Closing(StatefulProcessor):
                 left += part
                 timers.append(last + self.silence + 1)
                 continue
-            out.append((key[0], *row))
+            out.append(_CLOSED_ROW(key[0], *row))
             if row[-1] == "finish":
                 done = (first, last)
-        self._keep(left, done if done and done[1] + self.silence >= watermark else None, timers)
-        if out:
-            yield pd.DataFrame(out, columns=["id", *(x.split()[0] for x in _CLOSED.split(", "))])
+        done = done if done and done[1] + self.silence >= watermark else None
+        self._keep(old, left, done, timers, None if timer == fired else timer)
+        yield from out
 
     def _parts(self, chunks: list[tuple]) -> Iterator[list[tuple]]:
         part: list[tuple] = []
@@ -161,20 +166,25 @@ class _Closing(StatefulProcessor):
             return "".join(texts[k] for k in sorted(texts)), len(texts), ends[0][1] if ends else None, "timeout"
         return None
 
-    def _keep(self, left: list[tuple], done: tuple | None, timers: list[int]) -> None:
-        if left:
+    def _keep(self, old: list[tuple], left: list[tuple], done: tuple | None, timers: list[int], timer: int | None) -> None:
+        """``timer`` is the one that is set; it is left alone if it ends soon enough."""
+        if left and left != old:
             self.chunks.put(left)
-        else:
+        elif old and not left:
             self.chunks.clear()
         if done:
-            self.done.update(done)
             timers.append(done[1] + self.silence + 1)
-        else:
+        if not timers:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
             self.done.clear()
-        for old in list(self.handle.listTimers()):
-            self.handle.deleteTimer(old)
-        if timers:
-            self.handle.registerTimer(min(timers))
+            return
+        if timer is None or min(timers) < timer:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            timer = min(timers)
+            self.handle.registerTimer(timer)
+        self.done.update((*(done or (None, None)), len(left), timer))
 
     def close(self) -> None:
         pass
