@@ -169,15 +169,19 @@ def layer_table(layers: DataFrame, order: list[str]) -> DataFrame:
 
     ``layers(image_id, layer_id, created_by, comment, size_bytes)`` plus the ``order`` columns.
     """
-    sized = layers.withColumn("size_bytes", F.coalesce("size_bytes", F.lit(0)))
+    shown = [short_id(F.col("layer_id")).alias("_layer"), layer_command(F.col("created_by"), F.col("comment")).alias("_command")]
+    size = F.coalesce("size_bytes", F.lit(0)).alias("size_bytes")
+    kept = [c for c in order if c not in ("image_id", "size_bytes")]
+    # What is shown of the texts is cut before the rows move.
+    sized = layers.select("image_id", size, *kept, *shown)
     out = running(sized, ["image_id"], order, "size_bytes", total="cumulative_bytes", number="layer_no")
     return out.select(
         "image_id",
         "layer_no",
-        short_id(F.col("layer_id")).alias("layer"),
+        F.col("_layer").alias("layer"),
         "size_bytes",
         sizes.signed_size(F.col("size_bytes")).alias("size"),
-        layer_command(F.col("created_by"), F.col("comment")).alias("command"),
+        F.col("_command").alias("command"),
         "cumulative_bytes",
         sizes.signed_size(F.col("cumulative_bytes")).alias("cumulative"),
     )

@@ -6,6 +6,8 @@ per-block summaries are scanned over the few blocks of a key, and the two are jo
 ``block_rows``: so they hold about that many rows wherever the key's rows lie along the order, for any
 orderable type, and the same ones when a task is run again. A key with few rows has no cut and one block.
 Rows that agree in the whole order tuple stay together; give an order that tells rows apart.
+Cuts, and the summaries of the blocks of keys that have cuts, are about a millionth of the rows, so they are broadcast: the
+rows themselves move once, to the task of their block.
 """
 
 from __future__ import annotations
@@ -36,11 +38,16 @@ def with_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], block_
     """``df`` with ``_block``, which does not decrease along ``order`` within ``keys``.
 
     The cuts of a key come as one sorted array, about one for ``block_rows`` rows; a row finds its block by
-    binary search. The join is on the keys, so adaptive execution broadcasts the cuts or splits a hot key.
+    binary search.
     """
+    return _blocked(df, keys, order, block_rows).drop("_several")
+
+
+def _blocked(df: DataFrame, keys: Sequence[str], order: Sequence[str], block_rows: int) -> DataFrame:
+    """``with_blocks``, and whether the key has ``_several`` blocks."""
     at = F.struct(*order)
     picked = df.filter(F.pmod(F.xxhash64(*keys, *order), F.lit(block_rows)) == 0)
-    cuts = picked.groupBy(*keys).agg(F.array_sort(F.collect_set(at)).alias("_cuts"))
+    cuts = F.broadcast(picked.groupBy(*keys).agg(F.array_sort(F.collect_set(at)).alias("_cuts")))
     joined = _add_by_key(df.withColumn("_at", at), cuts, keys, "left") if keys else df.withColumn("_at", at).join(cuts, how="left")
 
     def step(found: Column, bit: Column) -> Column:
@@ -48,9 +55,10 @@ def with_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str], block_
         inside = to <= F.size("_cuts")
         return F.when(inside & (F.get("_cuts", F.when(inside, to - 1)) <= F.col("_at")), to).otherwise(found)
 
+    several = F.coalesce(F.size("_cuts") > 0, F.lit(False))
     bits = F.sequence(F.lit(SEARCH_BITS), F.lit(0), F.lit(-1))
-    block = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(F.aggregate(bits, F.lit(0), step))
-    return joined.withColumn("_block", block).drop("_cuts", "_at")
+    block = F.when(several, F.aggregate(bits, F.lit(0), step)).otherwise(F.lit(0))
+    return joined.withColumn("_block", block).withColumn("_several", several).drop("_cuts", "_at")
 
 
 def running(
@@ -64,22 +72,17 @@ def running(
 ) -> DataFrame:
     """Running sum of ``value``, and the 1-based row number, in ``order`` within ``keys``."""
     keys = list(keys)
-    blocked = with_blocks(df, keys, order, block_rows)
-    sums = blocked.groupBy(*keys, "_block").agg(F.sum(value).alias("_t"), F.count(F.lit(1)).alias("_c"))
+    blocked = _blocked(df, keys, order, block_rows)
+    sums = blocked.filter("_several").groupBy(*keys, "_block").agg(F.sum(value).alias("_t"), F.count(F.lit(1)).alias("_c"))
     before = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    offsets = sums.select(
-        *keys,
-        "_block",
-        F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_base"),
-        F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_skip"),
-    )
+    offsets = sums.select(*keys, "_block", F.sum("_t").over(before).alias("_base"), F.sum("_c").over(before).alias("_skip"))
     inside = W.partitionBy(*keys, "_block").orderBy(*order)
     upto = inside.rowsBetween(W.unboundedPreceding, 0)
-    joined = _add_by_key(blocked, offsets, [*keys, "_block"])
-    out = joined.withColumn(total, F.col("_base") + F.coalesce(F.sum(value).over(upto), F.lit(0)))
+    joined = _add_by_key(blocked, F.broadcast(offsets), [*keys, "_block"], "left")
+    out = joined.withColumn(total, F.coalesce("_base", F.lit(0)) + F.coalesce(F.sum(value).over(upto), F.lit(0)))
     if number:
-        out = out.withColumn(number, F.col("_skip") + F.row_number().over(inside))
-    return out.drop("_block", "_base", "_skip")
+        out = out.withColumn(number, F.coalesce("_skip", F.lit(0)) + F.row_number().over(inside))
+    return out.drop("_block", "_several", "_base", "_skip")
 
 
 def quantiles(df: DataFrame, value: str, shares: dict[str, float], block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -115,29 +118,29 @@ def _add_by_key(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str
 
 
 def _carry(df: DataFrame, keys: list[str], order: Sequence[str], value: Column, skip_nulls: bool) -> DataFrame:
-    """Per (keys, _block): ``value`` of the last row in all earlier blocks, as ``_carry``.
+    """Per (keys, _block) of keys with several blocks: ``value`` of the last row in all earlier blocks, as ``_carry``.
 
     ``skip_nulls`` takes the last row that has a value.
     """
     position = F.struct(*order)
     if skip_nulls:
         position = F.when(value.isNotNull(), position)
-    blocks = df.groupBy(*keys, "_block").agg(F.max_by(F.struct(value.alias("v")), position).alias("_last"))
+    blocks = df.filter("_several").groupBy(*keys, "_block").agg(F.max_by(F.struct(value.alias("v")), position).alias("_last"))
     w = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
-    return blocks.select(*keys, "_block", F.last("_last", ignorenulls=True).over(w)["v"].alias("_carry"))
+    return F.broadcast(blocks.select(*keys, "_block", F.last("_last", ignorenulls=True).over(w)["v"].alias("_carry")))
 
 
 def forward_fill(df: DataFrame, keys: Sequence[str], order: Sequence[str], column: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Replace null or blank ``column`` by the last value above it within ``keys``."""
     keys = list(keys)
     blank = df.withColumn(column, F.nullif(F.trim(column), F.lit("")))
-    blocked = with_blocks(blank, keys, order, block_rows)
+    blocked = _blocked(blank, keys, order, block_rows)
     carry = _carry(blocked, keys, order, F.col(column), skip_nulls=True)
     inside = W.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    filled = _add_by_key(blocked, carry, [*keys, "_block"]).withColumn(
+    filled = _add_by_key(blocked, carry, [*keys, "_block"], "left").withColumn(
         column, F.coalesce(F.last(column, ignorenulls=True).over(inside), F.col("_carry"))
     )
-    return filled.drop("_block", "_carry")
+    return filled.drop("_block", "_several", "_carry")
 
 
 def previous(
@@ -145,11 +148,11 @@ def previous(
 ) -> DataFrame:
     """Value of ``column`` in the row before, within ``keys``; null in the first row."""
     keys = list(keys)
-    blocked = with_blocks(df, keys, order, block_rows)
+    blocked = _blocked(df, keys, order, block_rows)
     carry = _carry(blocked, keys, order, F.col(column), skip_nulls=False)
     inside = W.partitionBy(*keys, "_block").orderBy(*order)
-    joined = _add_by_key(blocked, carry, [*keys, "_block"])
+    joined = _add_by_key(blocked, carry, [*keys, "_block"], "left")
     first = F.row_number().over(inside) == 1
     return joined.withColumn(
         out, F.when(first, F.col("_carry")).otherwise(F.lag(column).over(inside))
-    ).drop("_block", "_carry")
+    ).drop("_block", "_several", "_carry")
