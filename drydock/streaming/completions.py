@@ -116,7 +116,7 @@ class _Closing(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         watermark = timerValues.getCurrentWatermarkInMs()
-        new = [(r["seq"], r["text"], r["at"], r["finish_reason"]) for r in rows if r["at"] >= watermark]
+        new = [(r["seq"], r["text"], r["at"], r["finish_reason"]) for r in rows if r["at"] is not None and r["at"] >= watermark]
         if new:
             yield from self._settle(key, new, watermark)
 

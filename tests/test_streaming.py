@@ -207,3 +207,17 @@ def test_counts_of_windows_over_batches(spark, tmp_path):
     watch.watch_counts(found, f"{tmp_path}/out", f"{tmp_path}/cp", "ts", "1 hour", "30 minutes", ["event", "rule_id"]).awaitTermination()
     got = spark.read.parquet(f"{tmp_path}/out").select((F.unix_seconds("window_start") - START) / 3600, "rule_id", "n")
     assert sorted(map(tuple, got.collect())) == [(0.0, "q", 1), (0.0, "r", 3), (1.0, "r", 1)]
+
+
+def test_chunks_and_snapshots_without_time_or_id_do_not_break_a_stream(spark, tmp_path):
+    schema = "id long, seq long, text string, finish_reason string, m double"
+    rows = [(1, 0, "a", "stop", 0.0), (1, 1, "x", None, None), (None, 0, "n", "stop", 0.0), (2, 0, "b", "stop", 1.0)]
+    chunks = in_order(spark, f"{tmp_path}/in", [rows], schema)
+    completions.watch_closing(chunks, f"{tmp_path}/out", f"{tmp_path}/cp", "ts", "2 minutes", "5 minutes").awaitTermination()
+    got = {(r.id, r.text) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {(1, "a"), (None, "n"), (2, "b")}
+    sets = [[("a", 1, ["x"], 0.0), ("a", None, ["y"], 1.0), (None, 2, ["z"], 1.0), ("b", 1, ["x"], None)]]
+    seen = in_order(spark, f"{tmp_path}/in2", sets, "s string, n long, rule_ids array<string>, m double")
+    transitions.watch_expiring(seen, f"{tmp_path}/out2", f"{tmp_path}/cp2", "s", "ts", ["ts", "n"], "10 minutes", "2 minutes").awaitTermination()
+    got = {(r.s, r.rule_id, r.change) for r in spark.read.parquet(f"{tmp_path}/out2").collect()}
+    assert got == {("a", "x", "opened"), ("a", "x", "closed"), ("a", "y", "opened"), (None, "z", "opened")}
