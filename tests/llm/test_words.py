@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
 
 from drydock.llm import common as c
+from drydock.llm import tokens
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -89,3 +91,16 @@ def test_hashes_in_a_long_buffer():
     buf[-200:] = buf[:200]
     a, b = c.span_hashes(buf, np.array([0, len(buf) - 200]), np.array([200, len(buf)]))
     assert a == b == c.span_hashes(buf[:200], np.array([0]), np.array([200]))[0]
+
+
+def test_remembered_runs_take_little_memory():
+    coder = tokens.Coder(tokens.TOKENIZER, tokens.END_ID)
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(10**9)}" for _ in range(20_000)]
+    tracemalloc.start()
+    coder.encode([" ".join(words[k : k + 500]) for k in range(0, len(words), 500)])
+    size = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    c.at_task_end.remove(coder._task_end)
+    assert len(coder.store) > 15_000
+    assert size / len(coder.store) * tokens.REMEMBERED < 100 << 20  # beside the memory of the worker and of its executor
