@@ -33,8 +33,8 @@ from .minhash import band_keys
 
 SHINGLE = 5
 BANDS, ROWS = 22, 5
-#: Bytes of text that one numpy step handles.
-STEP = 1 << 19
+#: Bytes of text that one numpy step handles, and shingles that stay in the processor's cache while their signatures are made.
+STEP, NEAR = 1 << 19, 1 << 16
 SIMILAR = 80
 BLANKS = " \\t\\n\\u000B\\f\\r"
 
@@ -87,14 +87,19 @@ def shingle_hashes(
 def signature(values: np.ndarray, before: np.ndarray, n: int) -> np.ndarray:
     """``n`` MinHash coordinates per span; odd multiples and shifts of 32-bit words order the shingles."""
     x = (values >> c._U(32)).astype(np.uint32)
-    work = np.empty_like(x)
-    rng = np.random.default_rng(20)
+    orders = np.random.default_rng(20).integers(0, 1 << 32, (n, 2), np.uint32)
+    orders[:, 0] |= np.uint32(1)
     out = np.empty((len(before) - 1, n), np.uint32)
-    for k in range(n):
-        a, b = rng.integers(0, 1 << 32, 2, np.uint32)
-        np.multiply(x, a | np.uint32(1), out=work)
-        np.add(work, b, out=work)
-        out[:, k] = np.minimum.reduceat(work, before[:-1])
+    a = 0
+    while a < len(out):
+        b = max(a + 1, int(np.searchsorted(before, before[a] + NEAR, "right")) - 1)
+        part, at = x[before[a] : before[b]], before[a:b] - before[a]
+        work = np.empty_like(part)
+        for k in range(n):
+            np.multiply(part, orders[k, 0], out=work)
+            np.add(work, orders[k, 1], out=work)
+            out[a:b, k] = np.minimum.reduceat(work, at)
+        a = b
     return out
 
 
@@ -206,23 +211,32 @@ def line_classes(
 
     def prepare(ids: DataFrame):
         found = linkage.maybe_in(texts.select("t").mapInArrow(_line_texts, "id long, l string"), "id", ids)
-        text = c.stored(found.groupBy("id").agg(F.min("l").alias("l")), "candidates")
+        # The bitmap lets others through, the more the more ids there are; they go before the texts are stored.
+        text = c.stored(found.groupBy("id").agg(F.min("l").alias("l")).join(ids, "id", "left_semi"), "candidates")
+        n_texts, tables = text.count(), [text]
 
         def similar(pairs: DataFrame) -> DataFrame:
+            pairs = c.stored(pairs, "pairs")
+            tables.append(pairs)
+            ends = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
+            own = linkage.maybe_in(text, "id", ends) if 2 * ends.count() < n_texts else text  # later pairs are of few texts
             # The last join is on the leader, so its rows follow each other and its set is built once.
-            both = pairs.join(text.select(F.col("id").alias("b"), F.col("l").alias("tb")), "b")
-            both = both.join(text.select(F.col("id").alias("a"), F.col("l").alias("ta")), "a")
+            both = pairs.join(own.select(F.col("id").alias("b"), F.col("l").alias("tb")), "b")
+            both = both.join(own.select(F.col("id").alias("a"), F.col("l").alias("ta")), "a")
             both = both.select("a", "b", "ta", "tb")
             return both.mapInArrow(_similar(size, percent), "a long, b long").distinct()
 
-        return linkage.Compare(similar, text.withColumnRenamed("l", "v"), hashed_sets(size), percent, (text,))
+        return linkage.Compare(similar, text.withColumnRenamed("l", "v"), hashed_sets(size), percent, tables)
 
     comps = linkage.linked(texts.select("t"), prepare, percent, _banded(size, bands, rows))
-    reps = lines.groupBy("k1", "k2").agg(F.min(place).alias("rep")).withColumn("id", F.col("k1").bitwiseXOR(F.col("k2")))
-    met = reps.join(comps, "id").groupBy("component").agg(F.min("rep").alias("first"))
-    firsts = c.stored(comps.join(met, "component").select("id", "first"), "firsts")
-    c.discard(comps)
-    reps = reps.join(firsts, "id", "left").select("k1", "k2", F.coalesce("first", "rep").alias("first"))
+    reps = lines.groupBy("k1", "k2").agg(F.min(place).alias("rep"))
+    # Few lines have a component, and only these are told apart by id; all others meet by both hashes, where they are.
+    of = linkage.maybe_in(reps.withColumn("id", F.col("k1").bitwiseXOR(F.col("k2"))), "id", comps.select("id")).join(comps, "id")
+    of = c.stored(of.select("k1", "k2", "component", "rep"), "reps")
+    met = of.groupBy("component").agg(F.min("rep").alias("first"))
+    firsts = c.stored(of.join(met, "component").select("k1", "k2", "first"), "firsts")
+    c.discard(comps, of)
+    reps = reps.join(firsts, ["k1", "k2"], "left").select("k1", "k2", F.coalesce("first", "rep").alias("first"))
     joined = lines.join(reps, ["k1", "k2"])
     return joined.select(
         F.col("doc").alias(id_col),

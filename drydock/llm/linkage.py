@@ -17,7 +17,7 @@ Tables between the steps are written to the shared folder and removed when the n
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from math import comb
 
@@ -282,7 +282,7 @@ class Compare:
     items: DataFrame
     sets: Callable[[pa.Array], list[np.ndarray]]
     percent: int
-    tables: tuple[DataFrame, ...] = ()
+    tables: Sequence[DataFrame] = ()
 
 
 #: Distinct words that one matrix product takes.

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import time
 
+import numpy as np
 import pyarrow as pa
 
 from drydock.llm import line_dedup as ld
@@ -122,3 +123,33 @@ def test_planted_edits_in_ordinary_lines(spark):
     df = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
     got = {r["doc_id"]: r["first_doc"] for r in ld.line_classes(df).collect()}
     assert [got[k] for k in range(len(lines))] == want
+
+
+def test_only_texts_that_share_a_bucket_are_stored(spark, monkeypatch):
+    rng = random.Random(9)
+    lines = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(90)).strip() + "." for _ in range(300)]
+    rows = [(k, line) for k, line in enumerate(lines)] + [(1000, lines[7] + "!"), (1001, lines[8] + "?")]
+    stored, sizes = ld.c.stored, {}
+
+    def counted(df, label):
+        out = stored(df, label)
+        sizes.setdefault(label, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(ld.c, "stored", counted)
+    monkeypatch.setattr(ld.linkage, "BITMAP_WORDS", 1)  # a bitmap that is full, as it is with very many ids
+    found = ld.line_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted((r["doc_id"], r["first_doc"]) for r in found.filter("not kept").collect()) == [(1000, 7), (1001, 8)]
+    assert sizes["candidates"] == [4] and sizes["reps"] == [4] and sizes["firsts"] == [4]
+
+
+def test_signatures_do_not_depend_on_the_step(monkeypatch):
+    rng = np.random.default_rng(3)
+    sizes = rng.integers(1, 40, 200)
+    before = np.concatenate([[0], np.cumsum(sizes)])
+    values = rng.integers(0, 1 << 64, before[-1], np.uint64)
+    want = ld.signature(values, before, 12)
+    assert np.array_equal(want[5], ld.signature(values[before[5] : before[6]], np.array([0, sizes[5]]), 12)[0])
+    for step in (1, 30, 1000):
+        monkeypatch.setattr(ld, "NEAR", step)
+        assert np.array_equal(want, ld.signature(values, before, 12))
