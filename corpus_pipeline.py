@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from drydock.llm import common, decontamination, line_dedup, minhash, packing, quality_rules
 
+#: Token runs that a worker remembers, some 60 MB: less than by default, since executors still hold the heap of the stages before.
+REMEMBERED = 250_000
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or lie outside the compression bands go."""
@@ -36,7 +39,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of the documents that are left."""
-    return packing.pack(docs)
+    return packing.pack(docs, remembered=REMEMBERED)
 
 
 STAGES = [

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common as c
-from .tokens import END_ID, TOKENIZER, Coder
+from .tokens import END_ID, REMEMBERED, TOKENIZER, Coder
 
 CAPACITY = 1024
 #: Lengths above this share of a sequence are large.
@@ -187,12 +187,12 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, head), *((at, capacity) for at in range(head, n, capacity))]
 
 
-def _cut_texts(capacity: int, tokenizer: str, end_id: int, with_ids: bool):
+def _cut_texts(capacity: int, tokenizer: str, end_id: int, with_ids: bool, remembered: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = Coder.of(tokenizer, end_id)
         for part in c.slices(batches, "t"):
             row, rows, tokens = [], [], []
-            for i, raw in enumerate(coder.encode(part.column("t").to_pylist())):
+            for i, raw in enumerate(coder.encode(part.column("t").to_pylist(), remembered)):
                 for k, (start, length) in enumerate(cut(len(raw) // 4, capacity)):
                     ids = raw[4 * start : 4 * (start + length)]
                     row.append(i)
@@ -231,13 +231,14 @@ def pack(
     tokenizer: str = TOKENIZER,
     end_id: int = END_ID,
     with_ids: bool = False,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """``id_col, piece, start, length, ids_crc32, sequence_id, offset`` of every piece, and its ids if wanted."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(docs[id_col].alias("id"), docs[text_col].cast("string").alias("t"))
     schema = f"id {kind}, {PIECE}" + (", ids binary" if with_ids else "")
-    pieces = c.stored(texts.mapInArrow(_cut_texts(capacity, tokenizer, end_id, with_ids), schema), "pieces")
+    pieces = c.stored(texts.mapInArrow(_cut_texts(capacity, tokenizer, end_id, with_ids, remembered), schema), "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     runs = spark.createDataFrame(plan(histogram, capacity) or [], "l long, first_rank long, n long, first_sequence long, offset long")
     blocks = max(8, -(-max(histogram.values(), default=0) // RANK_ROWS))
