@@ -133,7 +133,7 @@ def _first_round(capacity: int, slack: int, tokenizer: str, end_id: int, with_id
         coder, worker, rests = Coder.of(tokenizer, end_id), _Worker(capacity, 0, False), cuts_by_rest(capacity, slack)
         for part in c.slices(batches, "t"):
             row, rows, tokens = [], [], []
-            for i, raw in enumerate(coder.encode(part.column("t").to_pylist())):
+            for i, raw in enumerate(coder.encode(part.column("t"))):
                 n, at = len(raw) // 4, 0
                 for length in [capacity] * (n // capacity) + rests[n % capacity]:
                     ids = raw[4 * at : 4 * (at + length)]

@@ -192,7 +192,7 @@ def _cut_texts(capacity: int, tokenizer: str, end_id: int, with_ids: bool, remem
         coder = Coder.of(tokenizer, end_id)
         for part in c.slices(batches, "t"):
             row, rows, tokens = [], [], []
-            for i, raw in enumerate(coder.encode(part.column("t").to_pylist(), remembered)):
+            for i, raw in enumerate(coder.encode(part.column("t"), remembered)):
                 for k, (start, length) in enumerate(cut(len(raw) // 4, capacity)):
                     ids = raw[4 * start : 4 * (start + length)]
                     row.append(i)

@@ -109,3 +109,22 @@ def test_remembered_runs_take_little_memory():
     coder.encode([" ".join(words)])
     assert len(coder.store) > 15_000
     assert size / len(coder.store) * corpus_pipeline.REMEMBERED < 100 << 20  # beside the memory of the worker and of its executor
+
+
+def test_new_runs_are_coded_in_short_texts():
+    """The tokenizer's time for a character grows with the length of a text, so new runs go to it some at a time."""
+    coder = tokens.Coder(tokens.TOKENIZER, tokens.END_ID)
+    c.at_task_end.remove(coder._task_end)
+    tokenizer, lengths = coder.tokenizer, []
+
+    class Watched:
+        def encode_batch_fast(self, batch, **options):
+            lengths.extend(len(x.split(" ")) for x in batch)
+            return tokenizer.encode_batch_fast(batch, **options)
+
+    rng = random.Random(8)
+    rows = [" ".join("".join(rng.choice("abcdé日.,'\n") for _ in range(rng.randrange(1, 9))) for _ in range(n)) for n in (1, 63, 64, 65, 3000, 9000)]
+    want = [np.array([*x.ids, tokens.END_ID], "<u4").tobytes() for x in tokenizer.encode_batch_fast(rows, add_special_tokens=False)]
+    coder.tokenizer = Watched()
+    assert coder.encode(rows) == want
+    assert max(lengths) < 2 * tokens.JOINED and sum(lengths) > 9000  # a run may hold spaces itself
