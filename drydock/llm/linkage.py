@@ -285,18 +285,26 @@ class Compare:
     tables: Sequence[DataFrame] = ()
 
 
-#: Distinct words that one matrix product takes.
+#: Distinct words that one step compares as bits.
 PRODUCT_WORDS = 1 << 15
 
 
+def _distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    new = np.ones(len(x), bool)
+    new[1:] = x[1:] != x[:-1]
+    return x[new]
+
+
 def similar_blocks(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> np.ndarray:
     """Whether each set of ``left`` is similar to each of ``right``.
 
-    The sets become rows of zeros and ones over the words that both sides have; products of such matrices
-    count what two sets share, exactly.
+    The sets become rows of bits over the words that both sides have; the bits that two rows
+    share are counted, exactly.
     """
     flat = [np.concatenate(x) if x else np.zeros(0, np.int64) for x in (left, right)]
-    words = np.intersect1d(*flat)
+    both = np.sort(np.concatenate([_distinct(x) for x in flat]))
+    words = both[1:][both[1:] == both[:-1]]
     shared = np.zeros((len(left), len(right)))
     rows = [np.repeat(np.arange(len(x)), [len(y) for y in x]) for x in (left, right)]
     at = [np.searchsorted(words, x) for x in flat]
@@ -306,10 +314,11 @@ def similar_blocks(left: list[np.ndarray], right: list[np.ndarray], percent: int
         side = []
         for x, row, k, ok in zip((left, right), rows, at, known, strict=True):
             ok = ok & (k >= start) & (k < start + width)
-            ones = np.zeros((len(x), width), np.float32)
-            ones[row[ok], k[ok] - start] = 1
-            side.append(ones)
-        shared += side[0] @ side[1].T
+            bits = np.zeros((len(x), -(-width // 64) * 64), bool)
+            bits[row[ok], k[ok] - start] = True
+            side.append(np.packbits(bits, axis=1).view(np.uint64))
+        for i, own in enumerate(side[0]):
+            shared[i] += np.bitwise_count(own & side[1]).sum(axis=1)
     sizes = [np.array([len(y) for y in x], float) for x in (left, right)]
     union = sizes[0][:, None] + sizes[1][None, :] - shared
     return (100 * shared >= percent * union) & (shared > 0)
@@ -326,6 +335,18 @@ def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
     return mixed.select("bucket", "id", "component", "total", F.col("most.n").alias("n_inside"), inside, pairs)
 
 
+def _mixed(met: DataFrame, comps: DataFrame) -> DataFrame:
+    """``bucket, id`` of the buckets in which a member lies in another component than its lead: as leads lead to one another, those with several.
+
+    An item has the same lead in many buckets, so the pairs of both are labelled, not every member of every bucket.
+    """
+    pairs = met.filter("id <> lead").select("id", "lead").distinct()
+    of_lead = comps.select(F.col("id").alias("lead"), F.col("component").alias("c"))
+    apart = _labelled(pairs, comps).join(of_lead, "lead", "left").filter(F.col("component") != F.coalesce("c", "lead"))
+    buckets = met.join(apart.select("id", "lead"), ["id", "lead"], "left_semi").select("bucket").distinct()
+    return met.select("bucket", "id").join(buckets, "bucket", "left_semi").distinct()
+
+
 def _met_in_blocks(sets: Callable[[pa.Array], list[np.ndarray]], percent: int):
     """Links between two blocks: of those that join the same two components one is enough."""
 
@@ -409,7 +430,7 @@ def _merged(comps: DataFrame | None, found: DataFrame) -> DataFrame:
 
 def _few(met: DataFrame, comps: DataFrame, compare: Compare) -> tuple[DataFrame, DataFrame]:
     """The components with the links of mixed buckets that few pairs settle, and the members of the other mixed ones."""
-    open_ = stored(_open(met.filter("bucket is not null").select("bucket", "id").distinct(), comps), "open")
+    open_ = stored(_open(_mixed(met.filter("bucket is not null"), comps), comps), "open")
     few = open_.filter(F.col("pairs") <= FEW_PAIRS)
     lead = few.filter("not inside").select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"))
     pairs = few.join(lead, "bucket").filter("component <> ca")

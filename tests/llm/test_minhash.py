@@ -211,3 +211,23 @@ def test_names_of_extra_columns(spark):
     left = minhash.keep_first(df)
     assert left.columns == df.columns
     assert sorted(r["doc_id"] for r in left.collect()) == [i for i, _, _, kept in brute(rows, 5) if kept]
+
+
+def test_members_of_settled_buckets_are_not_labelled(spark, monkeypatch):
+    """A group of 100 alike items in 22 buckets is 100 pairs of item and lead, not 2,200 members; a bucket with another group is found."""
+    labelled, real = [], linkage._labelled
+
+    def counted(members, comps):
+        labelled.append(members.count())
+        return real(members, comps)
+
+    monkeypatch.setattr(linkage, "_labelled", counted)
+    alike = [(100 + b, i) for b in range(22) for i in range(100)]
+    rows = alike + [(7, i) for i in range(40, 100)] + [(7, i) for i in range(500, 530)]
+    members = spark.createDataFrame(rows, "bucket long, id long").repartition(3)
+    links = spark.createDataFrame([(0, i) for i in range(1, 100)] + [(500, i) for i in range(501, 530)] + [(40, i) for i in range(41, 100)], "a long, b long")
+    items = spark.createDataFrame([(i, [1, 2, 3] if i < 100 else [7, 8, 9]) for i in range(530)], "id long, v array<long>")
+    compare = linkage.Compare(lambda pairs: pairs.join(links, ["a", "b"], "left_semi"), items, minhash.stored_sets, 80)
+    found = {r["id"]: r["component"] for r in linkage.linked(members, lambda ids: compare).collect()}
+    assert found == {i: 0 if i < 100 else 500 for i in [*range(100), *range(500, 530)]}
+    assert labelled and sum(labelled) < 1000
