@@ -260,8 +260,8 @@ def crowded(banded: DataFrame, percent: int = 0, make: Callable[[Batches], Batch
     return stored(met, "buckets")
 
 
-def _labelled(members: DataFrame, comps: DataFrame) -> DataFrame:
-    return members.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
+def _labelled(items: DataFrame, comps: DataFrame) -> DataFrame:
+    return items.join(comps, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
 
 def _stars(met: DataFrame) -> DataFrame:
@@ -325,26 +325,20 @@ def similar_blocks(left: list[np.ndarray], right: list[np.ndarray], percent: int
 
 
 def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
-    """``bucket, id, component, total, n_inside, inside, pairs`` of the buckets with several components; ``inside``: in their largest."""
-    held = _labelled(members.select("bucket", "id"), comps)
+    """``bucket, id, component, total, n_inside, inside, pairs`` of the buckets with several components; ``inside``: in their largest. Stored.
+
+    ``members`` may repeat. An item lies in several buckets, so it is labelled once, beside their list: as long as it has bands, or rare elements.
+    """
+    own = members.groupBy("id").agg(F.collect_set("bucket").alias("buckets"))
+    held = stored(_labelled(own, comps).select(F.explode("buckets").alias("bucket"), "id", "component"), "labels")
     sizes = held.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     total = sizes.groupBy("bucket").agg(F.sum("n").alias("total"), F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("kinds"))
     mixed = held.join(total.filter("kinds > 1"), "bucket")
     inside = (F.col("component") == F.col("most.component")).alias("inside")
     pairs = ((F.col("total") - F.col("most.n")) * F.col("total")).alias("pairs")
-    return mixed.select("bucket", "id", "component", "total", F.col("most.n").alias("n_inside"), inside, pairs)
-
-
-def _mixed(met: DataFrame, comps: DataFrame) -> DataFrame:
-    """``bucket, id`` of the buckets in which a member lies in another component than its lead: as leads lead to one another, those with several.
-
-    An item has the same lead in many buckets, so the pairs of both are labelled, not every member of every bucket.
-    """
-    pairs = met.filter("id <> lead").select("id", "lead").distinct()
-    of_lead = comps.select(F.col("id").alias("lead"), F.col("component").alias("c"))
-    apart = _labelled(pairs, comps).join(of_lead, "lead", "left").filter(F.col("component") != F.coalesce("c", "lead"))
-    buckets = met.join(apart.select("id", "lead"), ["id", "lead"], "left_semi").select("bucket").distinct()
-    return met.select("bucket", "id").join(buckets, "bucket", "left_semi").distinct()
+    open_ = stored(mixed.select("bucket", "id", "component", "total", F.col("most.n").alias("n_inside"), inside, pairs), "open")
+    discard(held)
+    return open_
 
 
 def _met_in_blocks(sets: Callable[[pa.Array], list[np.ndarray]], percent: int):
@@ -430,7 +424,7 @@ def _merged(comps: DataFrame | None, found: DataFrame) -> DataFrame:
 
 def _few(met: DataFrame, comps: DataFrame, compare: Compare) -> tuple[DataFrame, DataFrame]:
     """The components with the links of mixed buckets that few pairs settle, and the members of the other mixed ones."""
-    open_ = stored(_open(_mixed(met.filter("bucket is not null"), comps), comps), "open")
+    open_ = _open(met.filter("bucket is not null"), comps)
     few = open_.filter(F.col("pairs") <= FEW_PAIRS)
     lead = few.filter("not inside").select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"))
     pairs = few.join(lead, "bucket").filter("component <> ca")
@@ -456,7 +450,7 @@ def linked(
     for last in (False, True):
         comps, many = _few(met, _merged(comps, compare.pairs(_stars(met))), compare)
         discard(met)
-        open_ = stored(_open(many, comps), "open")
+        open_ = _open(many, comps)
         discard(many)
         large = F.lit(False) if last else F.col("pairs") > BLOCK_PAIRS
         if not open_.isEmpty():

@@ -231,3 +231,23 @@ def test_members_of_settled_buckets_are_not_labelled(spark, monkeypatch):
     found = {r["id"]: r["component"] for r in linkage.linked(members, lambda ids: compare).collect()}
     assert found == {i: 0 if i < 100 else 500 for i in [*range(100), *range(500, 530)]}
     assert labelled and sum(labelled) < 1000
+
+
+def test_an_item_is_labelled_once_however_many_leads_it_has(spark, monkeypatch):
+    """Each task knows other leads, so items that share many buckets meet many of them."""
+    labelled, real = [], linkage._labelled
+
+    def counted(items, comps):
+        labelled.append(items.count())
+        return real(items, comps)
+
+    monkeypatch.setattr(linkage, "_labelled", counted)
+    monkeypatch.setattr(linkage, "SMALL", 3)
+    rows = [(100 + b, i) for b in range(22) for i in range(100)] + [(7, i) for i in [*range(60, 100), *range(500, 530)]]
+    members = spark.createDataFrame(rows, "bucket long, id long").repartition(12)
+    links = spark.createDataFrame([(i - 1, i) for i in range(1, 100)] + [(500, i) for i in range(501, 530)], "a long, b long")
+    items = spark.createDataFrame([(i, [1, 2, 3] if i < 100 else [7, 8, 9]) for i in range(530)], "id long, v array<long>")
+    compare = linkage.Compare(lambda pairs: pairs.join(links, ["a", "b"], "left_semi"), items, minhash.stored_sets, 80)
+    found = {r["id"]: r["component"] for r in linkage.linked(members, lambda ids: compare).collect()}
+    assert found == {i: 0 if i < 100 else 500 for i in [*range(100), *range(500, 530)]}
+    assert labelled and max(labelled) <= 130
