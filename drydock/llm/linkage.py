@@ -7,7 +7,8 @@ of more than ``SMALL`` items that share a bucket there it sends only the smalles
 The items of small buckets meet as pairs, all of them. Two sketches agree in fewer than ``least_agreement`` bits less than once in a million
 for sets that are just similar enough; such pairs go at once. Each member of a larger bucket first meets the smallest item
 that its task knows, and these meet each other. What is then left to settle are large buckets that hold several components; there, members
-outside the largest component meet the members of other components: as pairs if they are few, and up to a million pairs in blocks of bounded bytes inside tasks. The members
+outside the largest component meet the members of other components, up to ``BLOCK_PAIRS`` of them in blocks of bounded bytes inside tasks. Blocks hold bitmaps of the
+sets, which bound from below in how many elements two sets differ, so no similar pair is missed; few pairs are left, and only these are compared with their sets. The members
 of larger buckets are put in new ones, by the rarest elements of their sets, so many that two similar sets must share one, and
 settled in the same way, so unlike members of a large bucket cost no more than their elements. No pair that shares a bucket and lies in two
 components stays unchecked.
@@ -29,8 +30,10 @@ from pyspark.sql import functions as F
 
 from .common import discard, give_back, stored
 
-#: Most pairs of a bucket that are compared as rows, and in blocks before rare elements are tried; items and words of a block.
-FEW_PAIRS, BLOCK_PAIRS, BLOCK, BLOCK_WORDS = 256, 1 << 20, 64, 1 << 20
+#: Pairs of two components in two blocks that are compared first, and most pairs of a bucket that meet in blocks; items and words of bitmaps of a block.
+FEW_PAIRS, BLOCK_PAIRS, BLOCK, BLOCK_WORDS = 16, 1 << 24, 256, 1 << 15
+#: Least and most 64-bit words of the bitmap of a set, and words of pairs of bitmaps that one step compares.
+MAP_WORDS, STEP_MAPS = (4, 1 << 18), 1 << 15
 #: Bits of a membership bitmap for each key, and its most 64-bit words: the bound of what is broadcast.
 BITS_PER_KEY, BITMAP_WORDS = 16, 1 << 20
 #: Bucket keys that a task sorts at a time, and the ranges of keys that a task takes one after the other.
@@ -341,39 +344,139 @@ def _open(members: DataFrame, comps: DataFrame) -> DataFrame:
     return open_
 
 
-def _met_in_blocks(sets: Callable[[pa.Array], list[np.ndarray]], percent: int):
-    """Links between two blocks: of those that join the same two components one is enough."""
+def parity_maps(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The size of each set, the 64-bit words of its bitmap, and all bitmaps one after the other.
+
+    A bitmap has a bit for each value of a hash, set if an odd number of elements have it; it has twice as many bits as the set has
+    elements, or more. Each element that only one of two sets has turns one bit, so their bitmaps differ in no more bits
+    than the sets in elements. Halves laid over each other (exclusive or) are the bitmap of half the width.
+    """
+    sizes = np.array([len(x) for x in sets], np.int64)
+    words = np.full(len(sets), MAP_WORDS[0], np.int64)
+    while len(few := np.flatnonzero((words * 32 < sizes) & (words < MAP_WORDS[1]))):
+        words[few] *= 2
+    ends = np.cumsum(words)
+    maps = np.zeros(ends[-1] if len(sets) else 0, np.uint64)
+    for k in range(0, len(sets), BLOCK):
+        x = np.concatenate(sets[k : k + BLOCK]).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(36)
+        width, first = (np.repeat(y[k : k + BLOCK], sizes[k : k + BLOCK]) for y in (words, ends - words))
+        at = first + ((x >> np.uint64(6)).view(np.int64) & (width - 1))
+        np.bitwise_xor.at(maps, at, np.uint64(1) << (x & np.uint64(63)))
+    return sizes, words, maps
+
+
+def near_maps(left: np.ndarray, right: np.ndarray, sizes: Sequence[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places in ``left`` and ``right`` of all pairs of sets that may share ``percent`` of their union, and in how many elements, at least, these differ.
+
+    Rows of ``left`` and ``right`` are bitmaps of one width on each side. No similar pair is missed: sets that share so much
+    differ in ``(100 - percent) / (100 + percent)`` of their elements at most.
+    """
+    maps = [left, right]
+    for k in range(2):
+        while maps[k].shape[1] > maps[1 - k].shape[1]:
+            half = maps[k].shape[1] // 2
+            maps[k] = maps[k][:, :half] ^ maps[k][:, half:]
+    a, b = (np.ascontiguousarray(x.T) for x in maps)
+    step = max(1, STEP_MAPS // max(1, b.size))
+    found = []
+    for k in range(0, a.shape[1], step):
+        x, y = sizes[0][k : k + step, None], sizes[1][None, :]
+        apart = np.add.reduce(np.bitwise_count(a[:, k : k + step, None] ^ b[:, None, :]), axis=0, dtype=np.int64)
+        np.maximum(apart, np.abs(x - y), out=apart)
+        i, j = np.nonzero(apart * (100 + percent) <= (x + y) * (100 - percent))
+        found.append((i + k, j, apart[i, j]))
+    none = np.zeros(0, np.int64)
+    return tuple(np.concatenate([none, *x]) for x in zip(*found, strict=True)) if found else (none, none, none)
+
+
+def _maps(sets: Callable[[pa.Array], list[np.ndarray]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(0, batch.num_rows, BLOCK):
+                part = batch.slice(k, BLOCK)
+                sizes, words, maps = parity_maps(sets(part.column("v")))
+                ends = np.concatenate([[0], np.cumsum(8 * words)]).astype(np.int32)
+                bits = pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(maps.tobytes())])
+                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(sizes), pa.array(words), bits], ["id", "n", "words", "bits"])
+        give_back()
+
+    return run
+
+
+_NEAR = "bucket long, a long, b long, ca long, cb long, more boolean"
+
+
+def _near_in_blocks(percent: int, most: int | None = None):
+    """The pairs of two blocks that may be similar; of two components all or ``most`` pairs, the closest, and whether there are more."""
+
+    def side(of: pa.StructArray):
+        bits = of.field("bits")
+        ends = np.frombuffer(bits.buffers()[1], np.int32)[bits.offset : bits.offset + len(bits) + 1]
+        maps = np.frombuffer(bits.buffers()[2], np.uint8)[ends[0] : ends[-1]].copy().view(np.uint64).reshape(len(of), -1)
+        return (maps, *(of.field(x).to_numpy() for x in ("n", "id", "component")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            held = []
             for k in range(batch.num_rows):
-                left, right = batch.column("left")[k].values, batch.column("right")[k].values
-                names, place = np.unique(
-                    [str(x) for side in (left, right) for x in side.field("component").to_pylist()], return_inverse=True
-                )
-                ca, cb = place[: len(left)], place[len(left) :]
-                hits = similar_blocks(sets(left.field("v")), sets(right.field("v")), percent) & (ca[:, None] != cb[None, :])
-                i, j = np.nonzero(hits)
-                if len(i):
-                    _, first = np.unique(np.minimum(ca[i], cb[j]) * len(names) + np.maximum(ca[i], cb[j]), return_index=True)
-                    ia, ib = left.field("id").take(pa.array(i[first])), right.field("id").take(pa.array(j[first]))
-                    yield pa.RecordBatch.from_arrays([ia, ib], ["a", "b"])
+                (ma, na, ida, ca), (mb, nb, idb, cb) = (side(batch.column(x)[k].values) for x in ("left", "right"))
+                i, j, apart = near_maps(ma, mb, (na, nb), percent)
+                on = ca[i] != cb[j]
+                i, j, apart = i[on], j[on], apart[on]
+                if not len(i):
+                    continue
+                a, b, ca, cb = ida[i], idb[j], ca[i], cb[j]
+                order = np.lexsort((apart, np.maximum(ca, cb), np.minimum(ca, cb)))
+                low, high = np.minimum(ca, cb)[order], np.maximum(ca, cb)[order]
+                first = np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))
+                head = np.flatnonzero(first)
+                count = np.diff(np.append(head, len(low)))
+                rank = np.arange(len(low)) - np.repeat(head, count)
+                more = np.repeat(count > (most or len(low)), count)
+                keep = rank < (most or len(low))
+                a, b = a[order][keep], b[order][keep]
+                bucket = np.full(len(a), batch.column("bucket")[k].as_py())
+                held.append((bucket, np.minimum(a, b), np.maximum(a, b), low[keep], high[keep], more[keep]))
+            if held:
+                columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], [x.split()[0] for x in _NEAR.split(", ")])
         give_back()
 
     return run
 
 
 def _links_in_blocks(open_: DataFrame, compare: Compare) -> DataFrame:
-    with_sets = open_.join(compare.items, "id")
-    words = F.size("v") if compare.items.schema["v"].dataType.typeName() == "array" else F.octet_length("v")
-    sums = with_sets.groupBy("bucket", "inside").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum(words) / BLOCK_WORDS)).alias("blocks"))
-    placed = with_sets.join(sums, ["bucket", "inside"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
-    item = F.struct("id", "component", "v")
-    blocks = stored(placed.groupBy("bucket", "inside", "block").agg(F.collect_list(item).alias("of")), "blocks")
-    left = blocks.filter("not inside").select("bucket", F.col("block").alias("lb"), F.col("of").alias("left"))
-    right = blocks.select("bucket", "inside", F.col("block").alias("rb"), F.col("of").alias("right"))
-    met = left.join(right, "bucket").filter("inside or lb <= rb").select("left", "right")
-    return met.mapInArrow(_met_in_blocks(compare.sets, compare.percent), "a long, b long").distinct()
+    """The links between the components of each bucket. Blocks hold bitmaps, not sets; only the pairs that these leave are compared by ``compare.pairs``.
+
+    Two components may be joined by very many pairs. So the closest are compared first, and all others only if none of them is similar. The result is stored.
+    """
+    percent = compare.percent
+    ids = stored(open_.select("id").distinct(), "open-ids")
+    maps = maybe_in(compare.items, "id", ids).join(ids, "id", "left_semi").select("id", "v")
+    maps = maps.mapInArrow(_maps(compare.sets), "id long, n long, words long, bits binary")
+    # Sets of which one has a bitmap much wider than the other differ too much in size.
+    placed = stored(open_.select("bucket", "id", "component", "inside").join(maps, "id"), "maps")
+    own = ["bucket", "inside", "words"]
+    sums = placed.groupBy(own).agg(F.ceil(F.count("*") / F.greatest(F.lit(1), F.least(F.lit(BLOCK), F.floor(F.lit(BLOCK_WORDS) / F.col("words"))))).alias("blocks"))
+    dealt = placed.join(sums, own).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    blocks = stored(dealt.groupBy(*own, "block").agg(F.collect_list(F.struct("id", "component", "n", "bits")).alias("of")), "blocks")
+    discard(ids, placed)
+    left = blocks.filter("not inside").select("bucket", F.col("words").alias("lw"), F.col("block").alias("lb"), F.col("of").alias("left"))
+    right = blocks.select("bucket", "inside", F.col("words").alias("rw"), F.col("block").alias("rb"), F.col("of").alias("right"))
+    fit = F.greatest("lw", "rw") * percent <= 200 * F.least("lw", "rw")
+    met = left.join(right, "bucket").filter(fit & F.expr("inside or lw < rw or (lw = rw and lb <= rb)")).select("bucket", "left", "right")
+    near = stored(met.mapInArrow(_near_in_blocks(percent, max(1, FEW_PAIRS)), _NEAR), "near")
+    links = stored(compare.pairs(near.select("a", "b").distinct()).select("a", "b"), "links")
+    more = near.filter("more").select("bucket", "ca", "cb").distinct()
+    joined = near.join(links, ["a", "b"]).select("ca", "cb").distinct()
+    more = stored(more.join(joined, ["ca", "cb"], "left_anti"), "more")
+    if not more.isEmpty():
+        rest = met.join(more.select("bucket").distinct(), "bucket", "left_semi").mapInArrow(_near_in_blocks(percent), _NEAR)
+        rest = rest.join(more, ["bucket", "ca", "cb"], "left_semi").select("a", "b").distinct()
+        first, links = links, stored(links.unionByName(compare.pairs(rest).select("a", "b")), "links")
+        discard(first)
+    discard(blocks, near, more)
+    return links
 
 
 def _elements(sets: Callable[[pa.Array], list[np.ndarray]]):
@@ -422,18 +525,6 @@ def _merged(comps: DataFrame | None, found: DataFrame) -> DataFrame:
     return out
 
 
-def _few(met: DataFrame, comps: DataFrame, compare: Compare) -> tuple[DataFrame, DataFrame]:
-    """The components with the links of mixed buckets that few pairs settle, and the members of the other mixed ones."""
-    open_ = _open(met.filter("bucket is not null"), comps)
-    few = open_.filter(F.col("pairs") <= FEW_PAIRS)
-    lead = few.filter("not inside").select("bucket", F.col("id").alias("a"), F.col("component").alias("ca"))
-    pairs = few.join(lead, "bucket").filter("component <> ca")
-    comps = _merged(comps, compare.pairs(pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()))
-    many = stored(open_.filter(F.col("pairs") > FEW_PAIRS).select("bucket", "id"), "many")
-    discard(open_)
-    return comps, many
-
-
 def linked(
     members: DataFrame, prepare: Callable[[DataFrame], Compare], percent: int = 0, make: Callable[[Batches], Batches] | None = None
 ) -> DataFrame:
@@ -448,10 +539,9 @@ def linked(
     compare, comps = prepare(ids), None
     discard(ids)
     for last in (False, True):
-        comps, many = _few(met, _merged(comps, compare.pairs(_stars(met))), compare)
+        comps = _merged(comps, compare.pairs(_stars(met)))
+        open_ = _open(met.filter("bucket is not null"), comps)
         discard(met)
-        open_ = _open(many, comps)
-        discard(many)
         large = F.lit(False) if last else F.col("pairs") > BLOCK_PAIRS
         if not open_.isEmpty():
             comps = _merged(comps, _links_in_blocks(open_.filter(~large), compare))

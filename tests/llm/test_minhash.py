@@ -251,3 +251,74 @@ def test_an_item_is_labelled_once_however_many_leads_it_has(spark, monkeypatch):
     found = {r["id"]: r["component"] for r in linkage.linked(members, lambda ids: compare).collect()}
     assert found == {i: 0 if i < 100 else 500 for i in [*range(100), *range(500, 530)]}
     assert labelled and max(labelled) <= 130
+
+
+@pytest.mark.parametrize("percent, sizes", [(80, (1, 40)), (80, (200, 300)), (60, (1, 700)), (33, (1, 90)), (80, (3000, 4000))])
+def test_bitmaps_miss_no_similar_pair_and_leave_few_others(percent, sizes):
+    rng = np.random.default_rng(percent + sizes[1])
+    sets = []
+    for _ in range(40):
+        x = np.unique(rng.integers(-(1 << 62), 1 << 62, rng.integers(*sizes)))
+        for _ in range(4):
+            sets.append(np.unique(np.concatenate([x[rng.random(len(x)) > 0.07], rng.integers(0, 1 << 62, rng.integers(0, 1 + len(x) // 12))])))
+    n, words, maps = linkage.parity_maps(sets)
+    assert [len(x) for x in sets] == n.tolist() and (64 * words >= 2 * n).all()
+    ends = np.cumsum(words)
+    want = linkage.similar_blocks(sets, sets, percent)
+    got = np.zeros_like(want)
+    for a in np.unique(words):
+        for b in np.unique(words):
+            of = [np.flatnonzero(words == x) for x in (a, b)]
+            rows = [np.stack([maps[ends[k] - w : ends[k]] for k in x]) for x, w in zip(of, (a, b))]
+            i, j, apart = linkage.near_maps(*rows, [n[x] for x in of], percent)
+            got[of[0][i], of[1][j]] = True
+            for x, y, least in zip(of[0][i], of[1][j], apart):
+                assert least <= len(np.setxor1d(sets[x], sets[y]))
+            if max(a, b) * percent > 200 * min(a, b):
+                assert not want[np.ix_(*of)].any()
+    assert want.sum() > len(sets) and not (want & ~got).any()
+    if sizes[0] > 1:
+        assert (got & ~want).mean() < 0.01
+
+
+def test_unlike_members_of_mixed_buckets_are_not_compared_as_sets(spark, monkeypatch):
+    """Buckets of 100 unlike items, two of which are alike, cost two pairs; their blocks hold bitmaps and not the sets."""
+    rng = np.random.default_rng(12)
+    seen, sets = [], {i: np.unique(rng.integers(0, 1 << 62, 60)) for i in range(400)}
+    for b in range(4):
+        sets[100 * b + 77] = np.unique(np.append(sets[100 * b + 5][2:], 1 << 61))
+    items = spark.createDataFrame([(i, x.tolist()) for i, x in sets.items()], "id long, v array<long>")
+    members = spark.createDataFrame([(i // 100, i) for i in sets], "bucket long, id long")
+
+    def similar(pairs):
+        pairs = pairs.cache()
+        seen.append(pairs.count())
+        both = pairs.join(items.selectExpr("id a", "v va"), "a").join(items.selectExpr("id b", "v vb"), "b")
+        return both.filter("5 * size(array_intersect(va, vb)) >= 4 * size(array_union(va, vb))").select("a", "b")
+
+    stored, blocks = linkage.stored, []
+
+    def counted(df, label):
+        out = stored(df, label)
+        if label == "blocks":
+            blocks.append(out.selectExpr("explode(of) x").selectExpr("x.*").drop("id", "component", "n"))
+            assert blocks[-1].columns == ["bits"] and blocks[-1].agg(F.max(F.octet_length("bits"))).first()[0] == 32
+        return out
+
+    monkeypatch.setattr(linkage, "stored", counted)
+    got = linkage.linked(members, lambda ids: linkage.Compare(similar, items, minhash.stored_sets, 80))
+    assert sorted(map(tuple, got.collect())) == sorted((100 * b + k, 100 * b + 5) for b in range(4) for k in (5, 77))
+    assert len(blocks) == 1 and sum(seen) < 450
+
+
+@pytest.mark.parametrize("first", [1, 16])
+def test_links_that_are_not_among_the_closest_pairs(spark, monkeypatch, first):
+    """Of two components the closest pairs are compared first; if none of them is a link, all others are."""
+    monkeypatch.setattr(linkage, "FEW_PAIRS", first)
+    base = list(range(1000, 1100))
+    rows = [(i, base) for i in range(1, 8)] + [(i, [*base[:-3], 1, 2, 3]) for i in range(20, 40)]
+    items = spark.createDataFrame(rows, "id long, v array<long>")
+    links = spark.createDataFrame([(1, i) for i in range(2, 8)] + [(20, i) for i in range(21, 40)] + [(6, 33)], "a long, b long")
+    members = spark.createDataFrame([(1, i) for i, _ in rows if i < 8] + [(2, i) for i, _ in rows if i > 8] + [(3, i) for i, _ in rows], "bucket long, id long")
+    compare = linkage.Compare(lambda pairs: pairs.join(links, ["a", "b"], "left_semi"), items, minhash.stored_sets, 80)
+    assert sorted(map(tuple, linkage.linked(members, lambda ids: compare).collect())) == [(i, 1) for i, _ in rows]
