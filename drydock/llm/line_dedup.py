@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -35,25 +36,45 @@ SHINGLE = 5
 BANDS, ROWS = 22, 5
 #: Bytes of text that one numpy step handles, and shingles that stay in the processor's cache while their signatures are made.
 STEP, NEAR = 1 << 19, 1 << 16
+#: Blanks that go one by one at each end of all lines, and bits of the bitmap of the runs of a line.
+TRIMS, RUN_BITS = 8, 1 << 10
 SIMILAR = 80
 BLANKS = " \\t\\n\\u000B\\f\\r"
 
 
 def line_spans(buf: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Start, stop, row and number in its row of every line with a word, blanks at its ends left out."""
-    starts, stops, first = c.spans(buf, ends)
-    row = np.repeat(np.arange(len(ends) - 1), np.diff(first))
     breaks = np.flatnonzero(buf == 10)
-    number = np.searchsorted(breaks, starts) - np.searchsorted(breaks, ends)[row]
-    new = np.ones(len(starts), bool)
-    new[1:] = (row[1:] != row[:-1]) | (number[1:] != number[:-1])
-    head = np.flatnonzero(new)
-    tail = np.concatenate([head[1:], [len(starts)]]) - 1 if len(head) else head
-    return starts[head], stops[tail], row[head], number[head]
+    first = np.searchsorted(breaks, ends) + np.arange(len(ends))  # the lines before each row
+    row = np.repeat(np.arange(len(ends) - 1), np.diff(first))
+    number = np.arange(first[-1]) - first[row]
+    starts, stops = np.empty((2, first[-1]), np.int64)
+    head, tail = np.zeros((2, first[-1]), bool)
+    head[first[:-1]] = True
+    tail[first[1:] - 1] = True
+    starts[head], starts[~head] = ends[:-1], breaks + 1
+    stops[tail], stops[~tail] = ends[1:], breaks
+    full = np.flatnonzero(starts < stops)
+    starts, stops, row, number = starts[full], stops[full], row[full], number[full]
+    for turn, left in enumerate((True, False)):
+        at = np.arange(len(starts))
+        for _ in range(TRIMS):
+            at = at[c._BLANK[buf[starts[at] if left else stops[at] - 1]]]
+            (starts if left else stops)[at] += 1 - 2 * turn
+            at = at[starts[at] < stops[at]]
+        if len(at):  # long runs of blanks
+            words = np.flatnonzero(~c._BLANK[buf])
+            k = np.searchsorted(words, starts[at] if left else stops[at])
+            if left:
+                starts[at] = np.minimum(np.append(words, len(buf))[k], stops[at])
+            else:
+                stops[at] = np.maximum(np.append(-1, words)[k] + 1, starts[at])
+    full = np.flatnonzero(starts < stops)
+    return starts[full], stops[full], row[full], number[full]
 
 
 def shingle_hashes(
-    buf: np.ndarray, starts: np.ndarray, stops: np.ndarray, size: int, total: np.ndarray | None = None
+    buf: np.ndarray, starts: np.ndarray, stops: np.ndarray, size: int
 ) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the character runs of each span (spans in the order of the buffer), and the number of runs before each span.
 
@@ -66,7 +87,7 @@ def shingle_hashes(
     short = b - a < size
     runs = np.where(short, 1, b - a - size + 1)
     _, down = c.powers(len(buf))
-    total = c.prefix_sums(buf) if total is None else total
+    total = c.prefix_sums(buf)
     out = np.zeros(n, np.uint64)
     m = max(n - size + 1, 0)
     if n == len(buf):
@@ -103,12 +124,29 @@ def signature(values: np.ndarray, before: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def line_hashes(buf: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit hashes of each span, of a byte at least: sums of its mixed words of eight bytes, each with its place, in two ways."""
+    n = (stops - starts + 7) >> 3
+    ends = np.cumsum(n)
+    if not len(n):
+        return np.zeros((2, 0), np.uint64)
+    place = np.arange(ends[-1]) - np.repeat(ends - n, n)
+    padded = np.concatenate([buf, np.zeros(8, np.uint8)])
+    word = np.ndarray(len(buf) + 1, "<u8", padded, strides=(1,))[np.repeat(starts, n) + 8 * place]
+    over = (8 * n - (stops - starts)).astype(np.uint64) << c._U(3)  # bits of the last word that lie behind the span
+    word[ends - 1] &= ~c._U(0) >> over
+    x = c.mix(word * c._PRIME + place.astype(np.uint64) * c._U(0xD6E8FEB86659FD93))
+    y = (x ^ (x >> c._U(29))) * c._U(0xBF58476D1CE4E5B9)
+    y ^= y >> c._U(32)
+    size = (stops - starts).astype(np.uint64)
+    return tuple(c.mix(np.add.reduceat(z, ends - n) + size * c._PRIME) for z in (x, y))
+
+
 def _lines(part: pa.RecordBatch):
-    """The buffer and its prefix sums, and start, stop, row, number and both hashes of every line with a word."""
+    """The buffer, and start, stop, row, number and both hashes of every line with a word."""
     buf, ends = c.text_bytes(part.column("t"))
     starts, stops, row, number = line_spans(buf, ends)
-    total = c.prefix_sums(buf)
-    return buf, total, starts, stops, row, number, c.span_hashes(buf, starts, stops), c.short_hashes(buf, starts, stops, total)
+    return buf, starts, stops, row, number, *line_hashes(buf, starts, stops)
 
 
 def _distinct(k1: np.ndarray, k2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,7 +158,7 @@ def _distinct(k1: np.ndarray, k2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part in c.slices(batches, "t", STEP):
-        _, _, _, _, row, number, k1, k2 = _lines(part)
+        _, _, _, row, number, k1, k2 = _lines(part)
         yield pa.RecordBatch.from_arrays(
             [part.column("id").take(pa.array(row)), pa.array(number, pa.int32()), pa.array(k1.view(np.int64)), pa.array(k2.view(np.int64))],
             ["doc", "line", "k1", "k2"],
@@ -130,11 +168,11 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _banded(size: int, bands: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in c.slices(batches, "t", STEP):
-            buf, total, starts, stops, _, _, k1, k2 = _lines(part)
+            buf, starts, stops, _, _, k1, k2 = _lines(part)
             if not len(starts):
                 continue
             items, head = _distinct(k1, k2)
-            v, before = shingle_hashes(buf, starts[head], stops[head], size, total)
+            v, before = shingle_hashes(buf, starts[head], stops[head], size)
             coordinates = signature(v, before, max(bands * rows, linkage.SKETCH))
             keys, sketches = band_keys(coordinates[:, : bands * rows], rows), linkage.sketch_bits(coordinates)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(items) + 1, dtype=np.int32) * bands), pa.array(keys.ravel()))
@@ -143,13 +181,19 @@ def _banded(size: int, bands: int, rows: int):
     return run
 
 
-def _line_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in c.slices(batches, "t", STEP):
-        buf, _, starts, stops, _, _, k1, k2 = _lines(part)
-        items, head = _distinct(k1, k2)
-        raw = buf.tobytes()
-        lines = [raw[a:b].decode() for a, b in zip(starts[head].tolist(), stops[head].tolist(), strict=True)]
-        yield pa.RecordBatch.from_arrays([pa.array(items), pa.array(lines, pa.string())], ["id", "l"])
+def _line_texts(known: Broadcast):
+    """The different lines whose items may be known, see ``linkage.bitmap``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in c.slices(batches, "t", STEP):
+            buf, starts, stops, _, _, k1, k2 = _lines(part)
+            items, head = _distinct(k1, k2)
+            on = linkage.in_bitmap(items, known.value)
+            items, head = items[on], head[on]
+            lines = [buf[a:b].tobytes() for a, b in zip(starts[head].tolist(), stops[head].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(items), pa.array(lines, pa.binary()).cast(pa.string())], ["id", "l"])
+
+    return run
 
 
 def char_set(line: str, size: int = SHINGLE) -> frozenset[str]:
@@ -172,6 +216,19 @@ def hashed_sets(size: int):
     return sets
 
 
+def _run_maps(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """A bitmap of the hashes of each line's runs, and the number of these, which is that of its set or more.
+
+    Each bit that only one of two bitmaps has stands for an element that only one of the sets has.
+    """
+    buf, ends = c.text_bytes(column)
+    v, before = shingle_hashes(buf, ends[:-1], ends[1:], size)
+    runs = np.diff(before)
+    bits = np.zeros((len(runs), RUN_BITS), bool)
+    bits[np.repeat(np.arange(len(runs)), runs), (v >> c._U(40)) % c._U(RUN_BITS)] = True
+    return np.packbits(bits, axis=1).view(np.uint64), runs
+
+
 def _similar(size: int, percent: int):
     """Keeps the pairs ``(a, b)`` whose lines ``ta, tb`` are similar enough."""
     sets = hashed_sets(size)
@@ -179,6 +236,13 @@ def _similar(size: int, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in c.slices(batches, "tb", 1 << 20):
             left = part.column("ta").dictionary_encode()  # a leader meets many
+            lead = left.indices.to_numpy()
+            (ma, na), (mb, nb) = (_run_maps(x, size) for x in (left.dictionary, part.column("tb")))
+            apart = np.bitwise_count(ma[lead] ^ mb).sum(axis=1, dtype=np.int64)
+            part = part.filter(pa.array(apart * (100 + percent) <= (na[lead] + nb) * (100 - percent)))
+            if not part.num_rows:
+                continue
+            left = part.column("ta").dictionary_encode()
             lead, xs, ys = left.indices.to_pylist(), sets(left.dictionary), sets(part.column("tb"))
             hits = []
             for k, y in zip(lead, ys, strict=True):
@@ -210,7 +274,8 @@ def line_classes(
     lines = c.stored(texts.mapInArrow(_places, f"doc {kind}, line int, k1 long, k2 long"), "places")
 
     def prepare(ids: DataFrame):
-        found = linkage.maybe_in(texts.select("t").mapInArrow(_line_texts, "id long, l string"), "id", ids)
+        known = linkage.bitmap(ids, "id")
+        found = texts.select("t").mapInArrow(_line_texts(known), "id long, l string")
         # The bitmap lets others through, the more the more ids there are; they go before the texts are stored.
         text = c.stored(found.groupBy("id").agg(F.min("l").alias("l")).join(ids, "id", "left_semi"), "candidates")
         n_texts, tables = text.count(), [text]
@@ -231,7 +296,8 @@ def line_classes(
     comps = linkage.linked(texts.select("t"), prepare, percent, _banded(size, bands, rows))
     reps = lines.groupBy("k1", "k2").agg(F.min(place).alias("rep"))
     # Few lines have a component, and only these are told apart by id; all others meet by both hashes, where they are.
-    of = linkage.maybe_in(reps.withColumn("id", F.col("k1").bitwiseXOR(F.col("k2"))), "id", comps.select("id")).join(comps, "id")
+    of = linkage.maybe_in(lines.withColumn("id", F.col("k1").bitwiseXOR(F.col("k2"))), "id", comps.select("id"))
+    of = of.groupBy("id", "k1", "k2").agg(F.min(place).alias("rep")).join(comps, "id")
     of = c.stored(of.select("k1", "k2", "component", "rep"), "reps")
     met = of.groupBy("component").agg(F.min("rep").alias("first"))
     firsts = c.stored(of.join(met, "component").select("k1", "k2", "first"), "firsts")

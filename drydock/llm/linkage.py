@@ -1,7 +1,7 @@
 """Links between similar items: buckets, exact confirmation, and components by distributed union-find.
 
 Items are numbered, and compared only if they share a bucket. Bucket keys travel as arrays with the items and a sketch of
-their sets; where they meet they are sorted in ranges, one at a time. A task sorts a quarter of a million keys before it sends them, and
+their sets; where they meet they are sorted in ranges, one at a time. A task sorts half a million keys before it sends them, and
 of more than ``SMALL`` items that share a bucket there it sends only the smallest on, so of a bucket of any size each task sends a few.
 
 The items of small buckets meet as pairs, all of them. Two sketches agree in fewer than ``least_agreement`` bits less than once in a million
@@ -24,11 +24,11 @@ from math import comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, give_back, stored
+from .common import discard, give_back, mix, stored
 
 #: Pairs of two components in two blocks that are compared first, and most pairs of a bucket that meet in blocks; items and words of bitmaps of a block.
 FEW_PAIRS, BLOCK_PAIRS, BLOCK, BLOCK_WORDS = 16, 1 << 24, 256, 1 << 15
@@ -37,13 +37,16 @@ MAP_WORDS, STEP_MAPS = (4, 1 << 18), 1 << 15
 #: Bits of a membership bitmap for each key, and its most 64-bit words: the bound of what is broadcast.
 BITS_PER_KEY, BITMAP_WORDS = 16, 1 << 20
 #: Bucket keys that a task sorts at a time, and the ranges of keys that a task takes one after the other.
-GATHER, RANGES = 1 << 18, 8
+GATHER, RANGES = 1 << 19, 4
 #: Items of a bucket that all meet as pairs.
 SMALL = 16
 #: Bits of a sketch, and how often, at most, a sketch hides a pair that is just similar enough.
 SKETCH, HIDDEN = 64, 1e-6
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
 def maybe_in(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     """The rows of ``df`` whose ``key`` may be in ``keys``: all that are, and one in 16 of the others, more beyond some 4 million keys.
 
@@ -62,15 +65,64 @@ def maybe_in(df: DataFrame, key: str, keys: DataFrame) -> DataFrame:
     return hit.filter(F.expr("(shiftright(_m, cast(_b % 64 as int)) & 1) = 1")).drop("_b", "_w", "_m")
 
 
+def bitmap(keys: DataFrame, key: str) -> Broadcast:
+    """The bits of ``maybe_in`` for tasks that look up 64-bit keys with ``in_bitmap``: 64-bit words, sent to each worker once."""
+    words = min(BITMAP_WORDS, keys.count() * BITS_PER_KEY // 64 + 1)
+
+    def marked(batches: Batches) -> Batches:
+        found = np.zeros(words, np.uint64)
+        for batch in batches:
+            at = _bit_of(batch.column("key").to_numpy(), words)
+            np.bitwise_or.at(found, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(found[at].view(np.int64))], ["w", "m"])
+
+    masks = keys.select(F.col(key).alias("key")).mapInArrow(marked, "w long, m long").groupBy("w").agg(F.bit_or("m").alias("m")).toArrow()
+    found = np.zeros(words, np.uint64)
+    found[masks.column("w").to_numpy()] = masks.column("m").to_numpy().view(np.uint64)
+    return keys.sparkSession.sparkContext.broadcast(found)
+
+
+def _bit_of(keys: np.ndarray, words: int) -> np.ndarray:
+    return (mix(keys.view(np.uint64)) % np.uint64(words * 64)).view(np.int64)
+
+
+def in_bitmap(keys: np.ndarray, found: np.ndarray) -> np.ndarray:
+    """Which keys may be known: all that are, and one in 16 of the others, more beyond some 4 million keys."""
+    at = _bit_of(keys, len(found))
+    return (found[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def _forest(batches: Batches) -> Batches:
+    """The edges of a task as stars: each id with the smallest one that these edges link it with."""
+    a, b = (np.concatenate([np.zeros(0, np.int64), *x]) for x in zip(*[(np.zeros(0, np.int64),) * 2, *((y.column("a").to_numpy(), y.column("b").to_numpy()) for y in batches)]))
+    ids, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    a, b = at[: len(a)], at[len(a) :]
+    root = np.arange(len(ids))
+    while len(a):
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        on = low < high
+        a, b = a[on], b[on]
+        np.minimum.at(root, high[on], low[on])
+        while len(np.flatnonzero(root[root] != root)):
+            root = root[root]
+    on = root < np.arange(len(ids))
+    yield pa.RecordBatch.from_arrays([pa.array(ids[on]), pa.array(ids[root[on]])], ["a", "b"])
+
+
+def _state(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``id, component`` of every id on an edge ``(a, b)``; the component is its smallest id. The result is stored.
 
-    Large-star and small-star steps in turn, until nothing changes. Each step is a partial minimum per id
-    and a join, so an id with many edges is split like any skewed join key.
+    Each task first makes stars of its edges, then large-star and small-star steps in turn join those of all tasks, until nothing changes. Each step is
+    a partial minimum per id and a join, so an id with many edges is split like any skewed join key.
     """
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b").distinct()
-    edges = stored(edges, "edges")
-    before = None
+    edges = stored(edges.mapInArrow(_forest, "a long, b long"), "edges")
+    before = _state(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -80,7 +132,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = met.filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         last, edges = edges, stored(small.unionByName(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct(), "edges")
         discard(last)
-        state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
+        state = _state(edges)
         if state == before:
             break
         before = state
@@ -223,26 +275,23 @@ def _meet(least: int):
             yield _members(keys[star], ids[star], ids[lead], _agree(sketches[star], sketches[lead], least))
 
         for batch in batches:
-            for k in range(batch.num_rows):
-                row = {x: batch.column(x)[k].as_py() for x in batch.schema.names}
-                number = row["part"] * (RANGES + 1) + row["range"]
-                keys, ids, sketches = (np.frombuffer(row[x], t) for x, t in (("keys", np.uint64), ("ids", np.int64), ("sketches", np.uint64)))
+            part, turn, *parts = (batch.column(x) for x in batch.schema.names)
+            with_lead = parts[-1].is_valid().to_numpy(False)
+            for k, number in enumerate((part.to_numpy() * (RANGES + 1) + turn.to_numpy()).tolist()):
+                keys, ids, sketches = (np.frombuffer(x[k].as_buffer(), t) for x, t in zip(parts, (np.uint64, np.int64, np.uint64)))
                 if number != now:
                     yield from met()
                     now = number
-                if row["leads"] is not None:
-                    yield _members(keys, ids, np.frombuffer(row["leads"], np.int64), sketches.astype(bool))
+                if with_lead[k]:
+                    yield _members(keys, ids, np.frombuffer(parts[4][k].as_buffer(), np.int64), sketches.astype(bool))
                 else:
-                    held.append((keys, ids, sketches, np.frombuffer(row["large"], bool)))
+                    held.append((keys, ids, sketches, np.frombuffer(parts[3][k].as_buffer(), bool)))
         yield from met()
         give_back()
 
     return run
 
 
-Batches = Iterator[pa.RecordBatch]
-
-
 def crowded(banded: DataFrame, percent: int = 0, make: Callable[[Batches], Batches] | None = None) -> DataFrame:
     """``bucket, id, lead, near`` of the items that share a bucket, from ``bucket`` (one or an array) and ``id``, both long. The result is stored.
 

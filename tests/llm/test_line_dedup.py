@@ -153,3 +153,46 @@ def test_signatures_do_not_depend_on_the_step(monkeypatch):
     for step in (1, 30, 1000):
         monkeypatch.setattr(ld, "NEAR", step)
         assert np.array_equal(want, ld.signature(values, before, 12))
+
+
+def test_spans_and_hashes_of_lines():
+    """As by hand, with runs of blanks longer than what goes one by one; equal lines have equal hashes wherever they begin, others have others."""
+    rng = random.Random(6)
+    kinds = ["a", "bc", "é", "日", " ", "\n", "\n", "\t", "\r", "\x0b\x0c", " " * 20, "x" * 9, "\x00"]
+    seen = {}
+    for _ in range(300):
+        rows = ["".join(rng.choice(kinds) for _ in range(rng.randrange(0, 14))) for _ in range(rng.randrange(0, 6))]
+        buf, ends = ld.c.text_bytes(pa.array(rows, pa.string()))
+        starts, stops, row, number = ld.line_spans(buf, ends)
+        want = [(r, n, line.strip(BLANK).encode()) for r, t in enumerate(rows) for n, line in enumerate(t.split("\n")) if line.strip(BLANK)]
+        assert [(r, n, buf[a:b].tobytes()) for a, b, r, n in zip(starts, stops, row, number)] == want
+        for (_, _, line), *hashes in zip(want, *ld.line_hashes(buf, starts, stops)):
+            assert seen.setdefault(line, hashes) == hashes
+    assert all(len({h[k] for h in seen.values()}) == len(seen) > 200 for k in range(2))
+
+
+def test_only_known_lines_leave_the_scan_for_texts(spark):
+    rng = random.Random(7)
+    lines = ["".join(rng.choice("abcdefgh ") for _ in range(40)) + "." for _ in range(500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["\n".join(lines[k : k + 50]) for k in range(0, 500, 50)])], ["t"])
+    _, _, _, _, _, k1, k2 = ld._lines(batch)
+    ids = (k1 ^ k2).view(np.int64)[[3, 77, 400]].tolist()
+    known = ld.linkage.bitmap(spark.createDataFrame([(x,) for x in ids], "id long"), "id")
+    (out,) = ld._line_texts(known)(iter([batch]))
+    assert {lines[3], lines[77], lines[400]} <= set(out.column("l").to_pylist()) and out.num_rows < 100
+    assert set(ids) <= set(out.column("id").to_pylist())
+
+
+def test_sets_are_made_of_pairs_that_may_be_similar_only(monkeypatch):
+    rng = random.Random(8)
+    lines = ["".join(rng.choice("abcdefghijklmnop ") for _ in range(rng.randrange(3, 400))) + "." for _ in range(60)]
+    lines += [x[:-4] + "é" + x[-4:] for x in lines] + ["ha " * k for k in (1, 2, 50, 70)]
+    pairs = [(a, b) for a in range(len(lines)) for b in range(a)]
+    made, real = [], ld.hashed_sets
+    monkeypatch.setattr(ld, "hashed_sets", lambda size: lambda column: made.append(len(column)) or real(size)(column))
+    columns = [pa.array(x) for x in (*zip(*pairs), *([lines[p[k]] for p in pairs] for k in range(2)))]
+    batch = pa.RecordBatch.from_arrays(columns, ["a", "b", "ta", "tb"])
+    got = sorted((x, y) for out in ld._similar(5, 80)(iter([batch])) for x, y in zip(out.column("a").to_pylist(), out.column("b").to_pylist()))
+    sets = [ld.char_set(x) for x in lines]
+    assert got == sorted((a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]))
+    assert len(got) > 30 and sum(made) < len(pairs) / 10
