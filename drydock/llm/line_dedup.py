@@ -36,8 +36,8 @@ SHINGLE = 5
 BANDS, ROWS = 22, 5
 #: Bytes of text that one numpy step handles, and shingles that stay in the processor's cache while their signatures are made.
 STEP, NEAR = 1 << 19, 1 << 16
-#: Blanks that go one by one at each end of all lines, and bits of the bitmap of the runs of a line.
-TRIMS, RUN_BITS = 8, 1 << 10
+#: Blanks that go one by one at each end of all lines, and bits of the place in a bitmap of the runs of a line.
+TRIMS, RUN_BITS = 8, 10
 SIMILAR = 80
 BLANKS = " \\t\\n\\u000B\\f\\r"
 
@@ -90,12 +90,10 @@ def shingle_hashes(
     total = c.prefix_sums(buf)
     out = np.zeros(n, np.uint64)
     m = max(n - size + 1, 0)
-    if n == len(buf):
-        out[:m] = (total[size:] - total[: len(total) - size])[:m] * down[:m] + c._U(size)
-    else:
-        ends = total[limit]
-        out[:m] = (ends[size:] - ends[: n + 1 - size])[:m] * down[lead[:m]]
-        out[:m] += (limit[size:] - limit[: n + 1 - size])[:m].astype(np.uint64)
+    ends = total if n == len(buf) else total.take(limit)
+    np.subtract(ends[n + 1 - m :], ends[:m], out=out[:m])
+    out[:m] *= down[:m] if n == len(buf) else down.take(lead[:m])
+    out[:m] += c._U(size) if n == len(buf) else (limit[n + 1 - m :] - limit[:m]).view(np.uint64)
     few = np.flatnonzero(short)
     out[a[few]] = c.short_hashes(buf, starts[few], stops[few], total)
     change = np.zeros(n + 1, np.int8)
@@ -200,60 +198,60 @@ def char_set(line: str, size: int = SHINGLE) -> frozenset[str]:
     return frozenset(line[i : i + size] for i in range(max(1, len(line) - size + 1)))
 
 
+def _distinct_sorted(values: np.ndarray) -> np.ndarray:
+    x = np.sort(values.view(np.int64))
+    new = x[1:] != x[:-1]
+    return x if new.all() else x[np.concatenate([[True], new])]
+
+
 def hashed_sets(size: int):
     """The shingle hashes of each line, sorted and distinct."""
 
     def sets(column: pa.Array) -> list[np.ndarray]:
         buf, ends = c.text_bytes(column)
         v, before = shingle_hashes(buf, ends[:-1], ends[1:], size)
-        out = []
-        for a, b in zip(before[:-1].tolist(), before[1:].tolist(), strict=True):
-            x = np.sort(v[a:b].view(np.int64))
-            new = x[1:] != x[:-1]
-            out.append(x if new.all() else x[np.concatenate([[True], new])])
-        return out
+        return [_distinct_sorted(v[a:b]) for a, b in zip(before[:-1].tolist(), before[1:].tolist(), strict=True)]
 
     return sets
 
 
-def _run_maps(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """A bitmap of the hashes of each line's runs, and the number of these, which is that of its set or more.
+def _run_maps(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The hashes of each line's runs, the number of runs before each line, and a bitmap of the hashes.
 
     Each bit that only one of two bitmaps has stands for an element that only one of the sets has.
     """
     buf, ends = c.text_bytes(column)
     v, before = shingle_hashes(buf, ends[:-1], ends[1:], size)
     runs = np.diff(before)
-    bits = np.zeros((len(runs), RUN_BITS), bool)
-    bits[np.repeat(np.arange(len(runs)), runs), (v >> c._U(40)) % c._U(RUN_BITS)] = True
-    return np.packbits(bits, axis=1).view(np.uint64), runs
+    bits = np.zeros(len(runs) << RUN_BITS, bool)
+    bits[np.repeat(np.arange(len(runs)) << RUN_BITS, runs) + (v >> c._U(64 - RUN_BITS)).view(np.int64)] = True
+    return v, before, np.packbits(bits).view(np.uint64).reshape(len(runs), -1)
 
 
 def _similar(size: int, percent: int):
-    """Keeps the pairs ``(a, b)`` whose lines ``ta, tb`` are similar enough."""
-    sets = hashed_sets(size)
+    """Keeps the pairs ``(a, b)`` whose lines ``ta, tb`` are similar enough. Sets are made for the pairs that their bitmaps leave."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in c.slices(batches, "tb", 1 << 20):
             left = part.column("ta").dictionary_encode()  # a leader meets many
             lead = left.indices.to_numpy()
-            (ma, na), (mb, nb) = (_run_maps(x, size) for x in (left.dictionary, part.column("tb")))
+            (va, fa, ma), (vb, fb, mb) = (_run_maps(x, size) for x in (left.dictionary, part.column("tb")))
             apart = np.bitwise_count(ma[lead] ^ mb).sum(axis=1, dtype=np.int64)
-            part = part.filter(pa.array(apart * (100 + percent) <= (na[lead] + nb) * (100 - percent)))
-            if not part.num_rows:
-                continue
-            left = part.column("ta").dictionary_encode()
-            lead, xs, ys = left.indices.to_pylist(), sets(left.dictionary), sets(part.column("tb"))
-            hits = []
-            for k, y in zip(lead, ys, strict=True):
-                x = xs[k]
+            close = np.flatnonzero(apart * (100 + percent) <= (np.diff(fa)[lead] + np.diff(fb)) * (100 - percent))
+            sets, hits = {}, np.zeros(part.num_rows, bool)
+            for k in close.tolist():
+                of = lead[k]
+                x = sets.get(of)
+                if x is None:
+                    x = sets[of] = _distinct_sorted(va[fa[of] : fa[of + 1]])
+                y = _distinct_sorted(vb[fb[k] : fb[k + 1]])
                 both = 0
                 if 100 * min(len(x), len(y)) >= percent * max(len(x), len(y)):
                     z = np.concatenate([x, y])
                     z.sort()
                     both = int(np.count_nonzero(z[1:] == z[:-1]))
-                hits.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(hits, pa.bool_()))
+                hits[k] = both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+            yield pa.RecordBatch.from_arrays([part.column("a"), part.column("b")], ["a", "b"]).filter(pa.array(hits))
 
     return run
 

@@ -8,7 +8,8 @@ The items of small buckets meet as pairs, all of them. Two sketches agree in few
 for sets that are just similar enough; such pairs go at once. Each member of a larger bucket first meets the smallest item
 that its task knows, and these meet each other. What is then left to settle are large buckets that hold several components; there, members
 outside the largest component meet the members of other components, up to ``BLOCK_PAIRS`` of them in blocks of bounded bytes inside tasks. Blocks hold bitmaps of the
-sets, which bound from below in how many elements two sets differ, so no similar pair is missed; few pairs are left, and only these are compared with their sets. The members
+sets, which bound from below in how many elements two sets differ, so no similar pair is missed; few pairs are left, and only these are compared with their sets. Buckets of very
+many pairs that are nearly similar are compared in blocks of sets. The members
 of larger buckets are put in new ones, by the rarest elements of their sets, so many that two similar sets must share one, and
 settled in the same way, so unlike members of a large bucket cost no more than their elements. No pair that shares a bucket and lies in two
 components stays unchecked.
@@ -30,8 +31,10 @@ from pyspark.sql import functions as F
 
 from .common import discard, give_back, mix, stored
 
-#: Pairs of two components in two blocks that are compared first, and most pairs of a bucket that meet in blocks; items and words of bitmaps of a block.
-FEW_PAIRS, BLOCK_PAIRS, BLOCK, BLOCK_WORDS = 16, 1 << 24, 256, 1 << 15
+#: Most pairs for each item of two blocks that are compared as rows, and most pairs of a bucket that meet in blocks.
+FEW_PAIRS, BLOCK_PAIRS = 1, 1 << 24
+#: Items and words of a block of bitmaps, and of one of sets.
+BLOCK, BLOCK_WORDS, SETS, SET_WORDS = 256, 1 << 15, 64, 1 << 20
 #: Least and most 64-bit words of the bitmap of a set, and words of pairs of bitmaps that one step compares.
 MAP_WORDS, STEP_MAPS = (4, 1 << 18), 1 << 15
 #: Bits of a membership bitmap for each key, and its most 64-bit words: the bound of what is broadcast.
@@ -452,11 +455,8 @@ def _maps(sets: Callable[[pa.Array], list[np.ndarray]]):
     return run
 
 
-_NEAR = "bucket long, a long, b long, ca long, cb long, more boolean"
-
-
-def _near_in_blocks(percent: int, most: int | None = None):
-    """The pairs of two blocks that may be similar; of two components all or ``most`` pairs, the closest, and whether there are more."""
+def _near_in_blocks(percent: int, most: int):
+    """The pairs of two blocks that may be similar; if they are more than ``most`` for each item, a row of nulls instead."""
 
     def side(of: pa.StructArray):
         bits = of.field("bits")
@@ -466,38 +466,29 @@ def _near_in_blocks(percent: int, most: int | None = None):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = []
+            buckets, lows, highs = [], [], []
             for k in range(batch.num_rows):
                 (ma, na, ida, ca), (mb, nb, idb, cb) = (side(batch.column(x)[k].values) for x in ("left", "right"))
-                i, j, apart = near_maps(ma, mb, (na, nb), percent)
+                i, j, _ = near_maps(ma, mb, (na, nb), percent)
                 on = ca[i] != cb[j]
-                i, j, apart = i[on], j[on], apart[on]
-                if not len(i):
+                a, b = ida[i[on]], idb[j[on]]
+                if not len(a):
                     continue
-                a, b, ca, cb = ida[i], idb[j], ca[i], cb[j]
-                order = np.lexsort((apart, np.maximum(ca, cb), np.minimum(ca, cb)))
-                low, high = np.minimum(ca, cb)[order], np.maximum(ca, cb)[order]
-                first = np.append(True, (low[1:] != low[:-1]) | (high[1:] != high[:-1]))
-                head = np.flatnonzero(first)
-                count = np.diff(np.append(head, len(low)))
-                rank = np.arange(len(low)) - np.repeat(head, count)
-                more = np.repeat(count > (most or len(low)), count)
-                keep = rank < (most or len(low))
-                a, b = a[order][keep], b[order][keep]
-                bucket = np.full(len(a), batch.column("bucket")[k].as_py())
-                held.append((bucket, np.minimum(a, b), np.maximum(a, b), low[keep], high[keep], more[keep]))
-            if held:
-                columns = [np.concatenate(x) for x in zip(*held, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], [x.split()[0] for x in _NEAR.split(", ")])
+                many = len(a) > most * (len(ida) + len(idb))
+                buckets.append(np.full(1 if many else len(a), batch.column("bucket")[k].as_py()))
+                lows.append(pa.nulls(1, pa.int64()) if many else pa.array(np.minimum(a, b)))
+                highs.append(pa.nulls(1, pa.int64()) if many else pa.array(np.maximum(a, b)))
+            if buckets:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(buckets)), pa.concat_arrays(lows), pa.concat_arrays(highs)], ["bucket", "a", "b"])
         give_back()
 
     return run
 
 
 def _links_in_blocks(open_: DataFrame, compare: Compare) -> DataFrame:
-    """The links between the components of each bucket. Blocks hold bitmaps, not sets; only the pairs that these leave are compared by ``compare.pairs``.
+    """The links between the components of each bucket. The result is stored.
 
-    Two components may be joined by very many pairs. So the closest are compared first, and all others only if none of them is similar. The result is stored.
+    Blocks hold bitmaps, not sets; the pairs that these leave are compared by ``compare.pairs``. Buckets of which they leave very many are compared in blocks of sets.
     """
     percent = compare.percent
     ids = stored(open_.select("id").distinct(), "open-ids")
@@ -514,20 +505,53 @@ def _links_in_blocks(open_: DataFrame, compare: Compare) -> DataFrame:
     right = blocks.select("bucket", "inside", F.col("words").alias("rw"), F.col("block").alias("rb"), F.col("of").alias("right"))
     fit = F.greatest("lw", "rw") * percent <= 200 * F.least("lw", "rw")
     met = left.join(right, "bucket").filter(fit & F.expr("inside or lw < rw or (lw = rw and lb <= rb)")).select("bucket", "left", "right")
-    near = stored(met.mapInArrow(_near_in_blocks(percent, max(1, FEW_PAIRS)), _NEAR), "near")
-    links = stored(compare.pairs(near.select("a", "b").distinct()).select("a", "b"), "links")
-    more = near.filter("more").select("bucket", "ca", "cb").distinct()
-    joined = near.join(links, ["a", "b"]).select("ca", "cb").distinct()
-    more = stored(more.join(joined, ["ca", "cb"], "left_anti"), "more")
-    if not more.isEmpty():
-        rest = met.join(more.select("bucket").distinct(), "bucket", "left_semi").mapInArrow(_near_in_blocks(percent), _NEAR)
-        rest = rest.join(more, ["bucket", "ca", "cb"], "left_semi").select("a", "b").distinct()
-        first, links = links, stored(links.unionByName(compare.pairs(rest).select("a", "b")), "links")
-        discard(first)
-    discard(blocks, near, more)
+    near = stored(met.mapInArrow(_near_in_blocks(percent, FEW_PAIRS), "bucket long, a long, b long"), "near")
+    discard(blocks)
+    links = compare.pairs(near.filter("a is not null").select("a", "b").distinct()).select("a", "b")
+    crowds = near.filter("a is null").select("bucket").distinct()
+    if not crowds.isEmpty():
+        links = links.unionByName(_links_in_sets(open_.join(crowds, "bucket", "left_semi"), compare))
+    links = stored(links, "links")
+    discard(near)
     return links
 
 
+def _met_in_blocks(sets: Callable[[pa.Array], list[np.ndarray]], percent: int):
+    """Links between two blocks: of those that join the same two components one is enough."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                left, right = batch.column("left")[k].values, batch.column("right")[k].values
+                names, place = np.unique(
+                    [str(x) for side in (left, right) for x in side.field("component").to_pylist()], return_inverse=True
+                )
+                ca, cb = place[: len(left)], place[len(left) :]
+                hits = similar_blocks(sets(left.field("v")), sets(right.field("v")), percent) & (ca[:, None] != cb[None, :])
+                i, j = np.nonzero(hits)
+                if len(i):
+                    _, first = np.unique(np.minimum(ca[i], cb[j]) * len(names) + np.maximum(ca[i], cb[j]), return_index=True)
+                    ia, ib = left.field("id").take(pa.array(i[first])), right.field("id").take(pa.array(j[first]))
+                    yield pa.RecordBatch.from_arrays([ia, ib], ["a", "b"])
+        give_back()
+
+    return run
+
+
+def _links_in_sets(open_: DataFrame, compare: Compare) -> DataFrame:
+    with_sets = stored(open_.join(compare.items, "id"), "with-sets")
+    words = F.size("v") if compare.items.schema["v"].dataType.typeName() == "array" else F.octet_length("v")
+    sums = with_sets.groupBy("bucket", "inside").agg(F.greatest(F.ceil(F.count("*") / SETS), F.ceil(F.sum(words) / SET_WORDS)).alias("blocks"))
+    placed = with_sets.join(sums, ["bucket", "inside"]).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+    item = F.struct("id", "component", "v")
+    blocks = stored(placed.groupBy("bucket", "inside", "block").agg(F.collect_list(item).alias("of")), "set-blocks")
+    discard(with_sets)
+    left = blocks.filter("not inside").select("bucket", F.col("block").alias("lb"), F.col("of").alias("left"))
+    right = blocks.select("bucket", "inside", F.col("block").alias("rb"), F.col("of").alias("right"))
+    met = left.join(right, "bucket").filter("inside or lb <= rb").select("left", "right")
+    return met.mapInArrow(_met_in_blocks(compare.sets, compare.percent), "a long, b long").distinct()
+
+
 def _elements(sets: Callable[[pa.Array], list[np.ndarray]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -188,8 +188,8 @@ def test_sets_are_made_of_pairs_that_may_be_similar_only(monkeypatch):
     lines = ["".join(rng.choice("abcdefghijklmnop ") for _ in range(rng.randrange(3, 400))) + "." for _ in range(60)]
     lines += [x[:-4] + "é" + x[-4:] for x in lines] + ["ha " * k for k in (1, 2, 50, 70)]
     pairs = [(a, b) for a in range(len(lines)) for b in range(a)]
-    made, real = [], ld.hashed_sets
-    monkeypatch.setattr(ld, "hashed_sets", lambda size: lambda column: made.append(len(column)) or real(size)(column))
+    made, real = [], ld._distinct_sorted
+    monkeypatch.setattr(ld, "_distinct_sorted", lambda values: made.append(1) or real(values))
     columns = [pa.array(x) for x in (*zip(*pairs), *([lines[p[k]] for p in pairs] for k in range(2)))]
     batch = pa.RecordBatch.from_arrays(columns, ["a", "b", "ta", "tb"])
     got = sorted((x, y) for out in ld._similar(5, 80)(iter([batch])) for x, y in zip(out.column("a").to_pylist(), out.column("b").to_pylist()))
