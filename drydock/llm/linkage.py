@@ -1,7 +1,7 @@
 """Links between similar items: buckets, exact confirmation, and components by distributed union-find.
 
 Items are numbered, and compared only if they share a bucket. Bucket keys travel as arrays with the items and a sketch of
-their sets; where they meet they are sorted in ranges, one at a time. A task sorts half a million keys before it sends them, and
+their sets; where they meet they are sorted in ranges, one at a time. A task sorts a quarter of a million keys before it sends them, and
 of more than ``SMALL`` items that share a bucket there it sends only the smallest on, so of a bucket of any size each task sends a few.
 
 The items of small buckets meet as pairs, all of them. Two sketches agree in fewer than ``least_agreement`` bits less than once in a million
@@ -40,7 +40,7 @@ MAP_WORDS, STEP_MAPS = (4, 1 << 18), 1 << 15
 #: Bits of a membership bitmap for each key, and its most 64-bit words: the bound of what is broadcast.
 BITS_PER_KEY, BITMAP_WORDS = 16, 1 << 20
 #: Bucket keys that a task sorts at a time, and the ranges of keys that a task takes one after the other.
-GATHER, RANGES = 1 << 19, 4
+GATHER, RANGES = 1 << 18, 4
 #: Items of a bucket that all meet as pairs.
 SMALL = 16
 #: Bits of a sketch, and how often, at most, a sketch hides a pair that is just similar enough.
